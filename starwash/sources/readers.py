@@ -51,7 +51,7 @@ def load(spark: SparkSession, fmt: str, path: str, schema: StructType = RAW_SCHE
 
 
 def ingest_dir(spark: SparkSession, directory: str, schema: StructType = RAW_SCHEMA,
-               lineage: bool = False) -> DataFrame:
+               lineage: bool = False, null_value: str | None = None) -> DataFrame:
     """SRC3: every ``.parquet`` and ``.csv`` file (any case) in ``directory`` as one frame.
 
     One scan per format (not one job per file), unioned by name. Files with
@@ -63,7 +63,10 @@ def ingest_dir(spark: SparkSession, directory: str, schema: StructType = RAW_SCH
         try:
             reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "false")
             if fmt == "csv":
-                df = reader.schema(schema).options(**CSV_READ_OPTIONS).csv(directory)
+                df = reader.schema(schema).options(**CSV_READ_OPTIONS)
+                if null_value is not None:
+                    df = df.option("nullValue", null_value)
+                df = df.csv(directory)
             else:
                 df = reader.parquet(directory)
                 df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

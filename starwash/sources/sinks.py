@@ -50,9 +50,15 @@ def write_files(df: DataFrame, fmt: str, path: str, n_files: int | None = None,
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int | None = None,
-              partition_by: Sequence[str] = ()) -> None:
-    """SNK3: CSV with header; large outputs split by ``maxRecordsPerFile``, not one task."""
+              partition_by: Sequence[str] = (), null_value: str | None = None) -> None:
+    """SNK3: CSV with header; large outputs split by ``maxRecordsPerFile``, not one task.
+
+    With the default null marker an empty string and a null both read back as
+    null; pass ``null_value`` (e.g. ``\\N``) on both sides for a lossless trip.
+    """
     w = df.write.mode(mode).options(**CSV_WRITE_OPTIONS)
+    if null_value is not None:
+        w = w.option("nullValue", null_value)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
