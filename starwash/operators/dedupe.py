@@ -5,9 +5,10 @@ partial ``WindowGroupLimit`` before the shuffle, so a key that holds a third of
 all rows still sends at most one row per map partition across the network.
 
 The removed rows (``row_number > 1``) are found without a window over the whole
-key: rows are joined back to their key's winner and compared with it. Only
-identical copies of the winner need counting; those are counted per input
-partition, so no task ever holds a whole hot group.
+key: every row is joined to its key's winner (AQE splits a hot key on the row
+side) and compared with it. Rows that differ are removed. Rows identical to the
+winner ("copies") are all removed but one; they are counted per input
+partition, so no task ever holds a whole hot group of copies.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType
 
-_WIN = "_winner"
-_PID = "_pid"
+WIN = "_winner"
+PID = "_pid"
+COPY = "_copy"
 
 
 class Deduped(NamedTuple):
@@ -28,6 +30,10 @@ class Deduped(NamedTuple):
     removed: DataFrame
 
 
+def _q(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
 def _orderable(df: DataFrame, exclude: set[str]) -> list[str]:
     return [
         f.name
@@ -42,7 +48,7 @@ def total_order(df: DataFrame, key: str, order: Sequence[Column]) -> list[Column
     With this tie-break only identical rows tie, so the winner's values are
     deterministic whatever the physical row order.
     """
-    return [*order, *[F.col(f"`{n}`").asc_nulls_first() for n in _orderable(df, {key})]]
+    return [*order, *[_q(n).asc_nulls_first() for n in _orderable(df, {key})]]
 
 
 def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -51,29 +57,47 @@ def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def removed_rows(df: DataFrame, kept: DataFrame, key: str) -> DataFrame:
-    """Every row of ``df`` except one per key equal to that key's row in ``kept``."""
+def tag_against_winners(df: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """``df`` plus ``_copy`` (row equals its key's winner) and ``_pid``.
+
+    ``_pid`` is the input partition a row was read in; it is only used to
+    count identical copies per partition.
+    """
     cols = df.columns
-    row = F.struct(*[F.col(f"`{n}`") for n in cols])
-    win = kept.select(F.col(key).alias("_wkey"), F.struct(*[F.col(f"`{n}`") for n in cols]).alias(_WIN))
-    tagged = (
-        df.withColumn(_PID, F.spark_partition_id())
-        .join(win, F.col(key).eqNullSafe(F.col("_wkey")), "left")
-        .withColumn("_copy", row.eqNullSafe(F.col(_WIN)))
+    win = kept.select(_q(key).alias("_wkey"), F.struct(*[_q(n) for n in cols]).alias(WIN))
+    return (
+        df.withColumn(PID, F.spark_partition_id())
+        .join(win, _q(key).eqNullSafe(F.col("_wkey")), "left")
+        .withColumn(COPY, F.coalesce(F.struct(*[_q(n) for n in cols]).eqNullSafe(F.col(WIN)), F.lit(False)))
+        .drop("_wkey", WIN)
     )
-    others = tagged.filter(~F.col("_copy")).select(*[F.col(f"`{n}`") for n in cols])
-    # identical copies of the winner: all but one are removed
-    copies = (
-        tagged.filter(F.col("_copy"))
-        .groupBy(F.col(key).alias("_ckey"), F.col(_PID))
-        .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.col(_WIN)).alias(_WIN))
-        .withColumn("_first", F.col(_PID) == F.min(_PID).over(Window.partitionBy("_ckey")))
+
+
+def surplus_copies(copies: DataFrame, key: str) -> DataFrame:
+    """All but one of each key's identical copies (input: copy rows with ``_pid``).
+
+    Copies are counted per (key, input partition); the partition with the
+    smallest id gives up one row. Output rows are rebuilt from the counts, so
+    a group of copies is never gathered into one task.
+    """
+    cols = [c for c in copies.columns if c not in (PID, COPY)]
+    return (
+        copies.groupBy(_q(key).alias("_ckey"), F.col(PID))
+        .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[_q(n) for n in cols])).alias(WIN))
+        .withColumn("_first", F.col(PID) == F.min(PID).over(Window.partitionBy("_ckey")))
         .withColumn("_emit", F.col("_n") - F.col("_first").cast("long"))
         .filter(F.col("_emit") > 0)
-        .select(F.col(_WIN), F.explode(F.sequence(F.lit(1), F.col("_emit"))).alias("_i"))
-        .select(f"{_WIN}.*")
+        .select(F.col(WIN), F.explode(F.sequence(F.lit(1), F.col("_emit"))).alias("_i"))
+        .select(*[F.col(f"{WIN}.`{n}`").alias(n) for n in cols])
     )
-    return others.unionByName(copies)
+
+
+def removed_rows(df: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """Every row of ``df`` except one per key equal to that key's row in ``kept``."""
+    cols = df.columns
+    tagged = tag_against_winners(df, kept, key)
+    others = tagged.filter(~F.col(COPY)).select(*[_q(n) for n in cols])
+    return others.unionByName(surplus_copies(tagged.filter(F.col(COPY)), key))
 
 
 def keep_latest(df: DataFrame, key: str, order: Sequence[Column]) -> Deduped:

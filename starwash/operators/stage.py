@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..functions import rules as R
 from . import clean
-from .dedupe import keep_latest
+from .dedupe import COPY, keep_latest, tag_against_winners, winners
 from .keys import surrogate_keys
 
 REJECT_REASON = "reject_reason"
 MISSING_KEY = "missing_key"
 DUPLICATE = "duplicate"
 INVALID_DATE = "invalid_date"
+STAGED = "staged"
+# rows identical to their key's winner; all but one are duplicates
+WINNER_COPY = "winner_copy"
 
 
 @dataclass(frozen=True)
@@ -107,3 +110,31 @@ def rejects(result: Staged, raw_columns: list[str]) -> DataFrame:
         )
         out = piece if out is None else out.unionByName(piece)
     return out
+
+
+def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Every input row once, tagged with ``reject_reason``.
+
+    Reasons: missing_key, duplicate, winner_copy, invalid_date, staged. Kept
+    rows (invalid_date, staged) carry the derived columns; staged rows also
+    the star columns. Built so that each heavy subplan has one consumer: the
+    rows are joined to the per-key winners once, and the winners feed the
+    repair/parse chain once. ``winner_copy`` rows keep ``_pid`` so that all
+    but one copy can be marked later (``dedupe.surplus_copies``).
+    """
+    missing = clean.missing_key(raw, opts.key).withColumn(REJECT_REASON, F.lit(MISSING_KEY))
+    valid = clean.valid_key(raw, opts.key)
+    kept = winners(valid, opts.key, dedupe_order(opts))
+    dups = tag_against_winners(valid, kept, opts.key)
+    dups = dups.withColumn(
+        REJECT_REASON, F.when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE))
+    ).drop(COPY)
+    parsed = repair_and_parse(kept, opts)
+    is_staged = F.col("from_date_parsed").isNotNull()
+    x = finish_stage(parsed.withColumn("_make_year_raw", F.col("make_year")), opts)
+    x = star_columns(x, opts).withColumns({
+        # invalid-date rows leave with their raw make year, as the reference's quarantine
+        "make_year": F.when(is_staged, F.col("make_year")).otherwise(F.col("_make_year_raw")),
+        REJECT_REASON: F.when(is_staged, F.lit(STAGED)).otherwise(F.lit(INVALID_DATE)),
+    }).drop("_make_year_raw")
+    return missing.unionByName(dups, allowMissingColumns=True).unionByName(x, allowMissingColumns=True)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import dims as D
 from ..operators import stage as S
+from ..operators.dedupe import PID, surplus_copies
 from ..operators.fact import assemble_fact
 from ..operators.resolve import resolve_vehicles
 from ..schema import conform
@@ -35,16 +36,8 @@ from ..session import work_path
 from ..sources import sinks
 from ..sources.readers import read_parquet
 
-STAGED = "staged"
-REASONS = (S.MISSING_KEY, S.DUPLICATE, S.INVALID_DATE, STAGED)
-
-
-def tagged_stage(raw: DataFrame, opts: S.CleanOptions) -> DataFrame:
-    """All input rows, each tagged with a reject reason or 'staged'."""
-    raw_cols = list(raw.columns)
-    res = S.clean_and_stage(raw, opts)
-    staged = S.star_columns(res.staged, opts).withColumn(S.REJECT_REASON, F.lit(STAGED))
-    return S.rejects(res, raw_cols).unionByName(staged, allowMissingColumns=True)
+STAGED = S.STAGED
+REASONS = (S.MISSING_KEY, S.DUPLICATE, S.WINNER_COPY, S.INVALID_DATE, STAGED)
 
 
 def _count_by_reason(obs: Observation, df: DataFrame) -> DataFrame:
@@ -56,6 +49,23 @@ def _count_by_reason(obs: Observation, df: DataFrame) -> DataFrame:
     )
 
 
+_DERIVED_NODES = ("Join", "Aggregate", "Window", "Union", "Generate", "Sort", "Repartition", "Expand",
+                  "Deduplicate", "Intersect", "Except", "Sample", "LocalRelation", "LogicalRDD")
+
+
+def needs_landing(df: DataFrame) -> bool:
+    """True unless ``df`` is a plain parquet/orc scan (with projections/filters).
+
+    The stage step reads its input three times (missing-key filter, winners,
+    join to winners). A derived input would be recomputed each time, and a
+    text format re-parsed, so such inputs are landed once as parquet first.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(line.lstrip(" :+-").startswith(_DERIVED_NODES) for line in plan.splitlines()):
+        return True
+    return not any(fmt in plan for fmt in ("parquet", "orc"))
+
+
 def _delete(spark, path: str) -> None:
     """Remove a work folder through the Hadoop FileSystem of its path."""
     jvm = spark.sparkContext._jvm
@@ -76,12 +86,15 @@ def run_registrations_etl(
     conform_input: bool = True,
     work_dir: str | None = None,
     keep_work: bool = False,
+    land_input: bool | None = None,
 ) -> dict:
     """Clean, quarantine, build the star schema and write it; returns the metrics.
 
     Keyword-only on purpose (the reference's driver passed the run id where the
     output root belonged). ``raw`` may carry the reference's header names; they
-    are conformed to canonical names and cast to string first.
+    are conformed to canonical names and cast to string first. ``land_input``
+    (default: decided by ``needs_landing``) writes the conformed input to the
+    work folder once before staging.
     """
     spark = raw.sparkSession
     run_id = run_id or f"run_{int(time.time())}_{uuid.uuid4().hex[:6]}"
@@ -96,30 +109,50 @@ def run_registrations_etl(
         "writes": {},
     }
     counts = metrics["counts"]
-    started = time.perf_counter()
+    steps = metrics["step_sec"] = {}
+    started = last = time.perf_counter()
+
+    def lap(name):
+        nonlocal last
+        now = time.perf_counter()
+        steps[name] = round(now - last, 3)
+        last = now
     try:
         src = conform(raw) if conform_input else raw
         raw_cols = list(src.columns)
+        if needs_landing(src) if land_input is None else land_input:
+            sinks.write_parquet(src, f"{work}/input")
+            src = read_parquet(spark, f"{work}/input")
+            lap("land_input")
 
         # 1. one pass over the input: every row tagged, written once
         obs_stage = Observation("stage")
         stage_path = f"{work}/stage"
-        sinks.write_parquet(_count_by_reason(obs_stage, tagged_stage(src, options)), stage_path,
+        sinks.write_parquet(_count_by_reason(obs_stage, S.tagged_rows(src, options)), stage_path,
                             partition_by=[S.REJECT_REASON])
         got = obs_stage.get
+        kept = got[S.INVALID_DATE] + got[STAGED]
         counts.update(
-            input_rows=got["input_rows"], missing_key=got[S.MISSING_KEY],
-            duplicates_removed=got[S.DUPLICATE], after_dedupe=got[S.INVALID_DATE] + got[STAGED],
+            # every kept row appears twice: as its own winner copy and as invalid/staged
+            input_rows=got["input_rows"] - kept, missing_key=got[S.MISSING_KEY],
+            duplicates_removed=got[S.DUPLICATE] + got[S.WINNER_COPY] - kept, after_dedupe=kept,
             invalid_dates=got[S.INVALID_DATE], staged_rows=got[STAGED],
         )
+        lap("stage")
         stage_table = read_parquet(spark, stage_path)
         reason = F.col(S.REJECT_REASON)
 
-        # 2. quarantine: reject partitions only, raw columns plus the reason
-        bad = stage_table.filter(reason != STAGED).select(*raw_cols, S.REJECT_REASON)
-        sinks.write_rejects(bad, f"{root}/bad_records", mode=mode, output_format=output_format)
+        # 2. quarantine: reject partitions (pruned read), raw columns plus the reason;
+        #    of the winner copies all but one per key are duplicates
+        bad = stage_table.filter(reason.isin(S.MISSING_KEY, S.DUPLICATE, S.INVALID_DATE)).select(
+            *raw_cols, S.REJECT_REASON)
+        copies = stage_table.filter(reason == S.WINNER_COPY).select(*raw_cols, PID)
+        surplus = surplus_copies(copies, options.key).withColumn(S.REJECT_REASON, F.lit(S.DUPLICATE))
+        sinks.write_rejects(bad.unionByName(surplus), f"{root}/bad_records", mode=mode,
+                            output_format=output_format)
+        lap("quarantine")
 
-        staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON)
+        staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON, PID)
 
         # 3. dimensions
         dims = D.build_dimensions(staged, order_by=(options.key,))
@@ -130,12 +163,14 @@ def run_registrations_etl(
             dim_paths.update(sinks.write_star({name: frame.observe(obs, F.count(F.lit(1)).alias("rows"))},
                                               root, mode=mode, output_format=output_format))
             counts[f"{name[5:]}_rows"] = obs.get["rows"]
+        lap("dimensions")
 
         # 4. resolution map over distinct vehicles, against the written dimension
         dim_vehicle = read_parquet(spark, dim_paths["gold_dim_vehicle"]) if output_format == "parquet" else dims.vehicle
         map_path = f"{work}/vehicle_map"
         sinks.write_parquet(resolve_vehicles(staged, dim_vehicle, fuzzy_threshold), map_path)
         vehicle_map = read_parquet(spark, map_path)
+        lap("resolution")
 
         # 5. fact with match counts observed on the same write
         fact = assemble_fact(staged, vehicle_map, key=options.key, keep_match_flag=True)
@@ -150,6 +185,7 @@ def run_registrations_etl(
         files, nbytes = sinks.write_sized(measured, fact_path, partition_by=["REGISTRATION_YEAR"],
                                           target_mb=target_mb, mode=mode, output_format=output_format)
         got = obs_fact.get
+        lap("fact")
         counts.update(fact_rows=got["fact_rows"], exact_matches=got["exact_matches"],
                       fuzzy_matches=got["fuzzy_matches"],
                       total_resolved=got["exact_matches"] + got["fuzzy_matches"])
