@@ -57,17 +57,20 @@ def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def tag_against_winners(df: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, null_keys: bool = True) -> DataFrame:
     """``df`` plus ``_copy`` (row equals its key's winner) and ``_pid``.
 
     ``_pid`` is the input partition a row was read in; it is only used to
-    count identical copies per partition.
+    count identical copies per partition. With ``null_keys=False`` (keys known
+    not null) the join is a plain equi-join on the key, so the winners keep the
+    hash partitioning of their window and are not shuffled again.
     """
     cols = df.columns
     win = kept.select(_q(key).alias("_wkey"), F.struct(*[_q(n) for n in cols]).alias(WIN))
+    on = _q(key).eqNullSafe(F.col("_wkey")) if null_keys else _q(key) == F.col("_wkey")
     return (
         df.withColumn(PID, F.spark_partition_id())
-        .join(win, _q(key).eqNullSafe(F.col("_wkey")), "left")
+        .join(win, on, "left")
         .withColumn(COPY, F.coalesce(F.struct(*[_q(n) for n in cols]).eqNullSafe(F.col(WIN)), F.lit(False)))
         .drop("_wkey", WIN)
     )
@@ -92,19 +95,20 @@ def surplus_copies(copies: DataFrame, key: str) -> DataFrame:
     )
 
 
-def removed_rows(df: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+def removed_rows(df: DataFrame, kept: DataFrame, key: str, null_keys: bool = True) -> DataFrame:
     """Every row of ``df`` except one per key equal to that key's row in ``kept``."""
     cols = df.columns
-    tagged = tag_against_winners(df, kept, key)
+    tagged = tag_against_winners(df, kept, key, null_keys)
     others = tagged.filter(~F.col(COPY)).select(*[_q(n) for n in cols])
     return others.unionByName(surplus_copies(tagged.filter(F.col(COPY)), key))
 
 
-def keep_latest(df: DataFrame, key: str, order: Sequence[Column]) -> Deduped:
+def keep_latest(df: DataFrame, key: str, order: Sequence[Column], null_keys: bool = True) -> Deduped:
     """Split ``df`` into the first row per key and the rows removed.
 
     ``order`` is the preference, e.g. ``[F.col('from_date').desc_nulls_last()]``.
-    Rows with a null key form one group, as in a window partition.
+    Rows with a null key form one group, as in a window partition; pass
+    ``null_keys=False`` when the key is known not null (cheaper join).
     """
     kept = winners(df, key, order)
-    return Deduped(kept, removed_rows(df, kept, key))
+    return Deduped(kept, removed_rows(df, kept, key, null_keys))

@@ -66,7 +66,7 @@ def dedupe_order(opts: CleanOptions):
 def dedupe(df: DataFrame, opts: CleanOptions = CleanOptions()):
     """Missing-key split plus keep-latest: ``(missing, kept, removed)``."""
     missing = clean.missing_key(df, opts.key)
-    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts))
+    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts), null_keys=False)
     return missing, kept, removed
 
 
@@ -125,7 +125,7 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     missing = clean.missing_key(raw, opts.key).withColumn(REJECT_REASON, F.lit(MISSING_KEY))
     valid = clean.valid_key(raw, opts.key)
     kept = winners(valid, opts.key, dedupe_order(opts))
-    dups = tag_against_winners(valid, kept, opts.key)
+    dups = tag_against_winners(valid, kept, opts.key, null_keys=False)
     dups = dups.withColumn(
         REJECT_REASON, F.when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE))
     ).drop(COPY)
@@ -138,3 +138,19 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
         REJECT_REASON: F.when(is_staged, F.lit(STAGED)).otherwise(F.lit(INVALID_DATE)),
     }).drop("_make_year_raw")
     return missing.unionByName(dups, allowMissingColumns=True).unionByName(x, allowMissingColumns=True)
+
+
+def quarantine(tagged: DataFrame, raw_columns: list[str], key: str = "reg_no") -> DataFrame:
+    """Rejected rows from a (written) ``tagged_rows`` table, raw columns plus reason.
+
+    Of the ``winner_copy`` rows all but one per key are duplicates; the rest
+    are read by reason (partition pruning when the table is partitioned).
+    """
+    from .dedupe import PID, surplus_copies
+
+    reason = F.col(REJECT_REASON)
+    bad = tagged.filter(reason.isin(MISSING_KEY, DUPLICATE, INVALID_DATE)).select(
+        *[F.col(f"`{c}`") for c in raw_columns], REJECT_REASON)
+    copies = tagged.filter(reason == WINNER_COPY).select(*[F.col(f"`{c}`") for c in raw_columns], PID)
+    surplus = surplus_copies(copies, key).withColumn(REJECT_REASON, F.lit(DUPLICATE))
+    return bad.unionByName(surplus)

@@ -55,11 +55,24 @@ def _staged(spark, sf, opts=OPTS):
     return res, S.star_columns(res.staged, opts)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back (cuts the lineage,
+    so several consumers do not each recompute it)."""
+    path = work_path(df.sparkSession, name)
+    sinks.write_parquet(df, path)
+    return readers.read_parquet(df.sparkSession, path)
+
+
+def _staged_table(spark, sf):
+    """Staged rows with star columns, written once (for chains with several consumers)."""
+    return _written(_staged(spark, sf)[1], "staged")
+
+
 def _chain(spark, sf):
     """Staged rows, dimensions and the vehicle map for the dirty view."""
-    _, staged = _staged(spark, sf)
+    staged = _staged_table(spark, sf)
     dims = D.build_dimensions(staged)
-    vmap = resolve_vehicles(staged, dims.vehicle)
+    vmap = _written(resolve_vehicles(staged, dims.vehicle), "vehicle-map")
     return staged, dims, vmap
 
 
@@ -285,8 +298,8 @@ def q_sized_write_roundtrip(spark, sf):
 
 def q_quarantine_roundtrip(spark, sf):
     path = work_path(spark, "quarantine")
-    res, _ = _staged(spark, sf)
-    sinks.write_rejects(S.rejects(res, list(DIRTY_RAW)), path)
+    tagged = _written(S.tagged_rows(dirty(spark, sf), OPTS), "tagged")
+    sinks.write_rejects(S.quarantine(tagged, list(DIRTY_RAW)), path)
     return readers.read_parquet(spark, path)
 
 
@@ -361,31 +374,52 @@ def q_preview(spark, sf):
 
 
 def q_pipeline_counts(spark, sf):
-    """Per-stage counts of the whole chain as (metric, value) rows, in one lazy plan."""
-    res, staged = _staged(spark, sf)
-    d = dirty(spark, sf)
+    """Per-stage counts of the whole chain as (metric, value) rows.
+
+    The tagged rows are written once; every count is then an aggregate over
+    that table or over the dimensions, map and fact built from its staged part.
+    """
+    tagged = _written(S.tagged_rows(dirty(spark, sf), OPTS), "tagged")
+    reason = F.col(S.REJECT_REASON)
+    by_reason = tagged.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
+
+    def n_of(*reasons, sign=1):
+        return F.coalesce(F.sum(F.when(reason.isin(*reasons), F.col("n") * sign)), F.lit(0))
+
+    kept = n_of(S.INVALID_DATE, S.STAGED)
+    reasons = by_reason.agg(
+        (F.sum("n") - kept).alias("input_rows"),
+        n_of(S.MISSING_KEY).alias("missing_key"),
+        (n_of(S.DUPLICATE, S.WINNER_COPY) - kept).alias("duplicates_removed"),
+        kept.alias("after_dedupe"),
+        n_of(S.INVALID_DATE).alias("invalid_dates"),
+        n_of(S.STAGED).alias("staged_rows"),
+    )
+    names = ["input_rows", "missing_key", "duplicates_removed", "after_dedupe", "invalid_dates", "staged_rows"]
+    out = reasons.select(F.explode(F.map_from_arrays(
+        F.array(*[F.lit(x) for x in names]), F.array(*[F.col(x).cast("long") for x in names]))).alias("metric", "value"))
+
+    staged = tagged.filter(reason == S.STAGED).drop(S.REJECT_REASON, "_pid")
     dims = D.build_dimensions(staged)
-    vmap = resolve_vehicles(staged, dims.vehicle)
-    rmap = registration_map(staged, vmap)
-    fact = assemble_fact(staged, vmap)
-
-    def n(name, df, cond=None):
-        c = F.count(F.lit(1)) if cond is None else F.count_if(cond)
-        return df.agg(c.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
-
-    parts = [
-        n("input_rows", d), n("missing_key", res.missing), n("duplicates_removed", res.duplicates),
-        n("after_dedupe", res.invalid).unionByName(n("after_dedupe", res.staged))
-        .groupBy("metric").agg(F.sum("value").cast("long").alias("value")),
-        n("invalid_dates", res.invalid), n("staged_rows", res.staged),
-        n("dim_vehicle_rows", dims.vehicle), n("dim_manufacturer_rows", dims.manufacturer),
-        n("dim_rta_rows", dims.office),
-        n("exact_matches", rmap, ~F.col("IS_FUZZY_MATCH")), n("fuzzy_matches", rmap, F.col("IS_FUZZY_MATCH")),
-        n("total_resolved", rmap), n("fact_rows", fact),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    vmap = _written(resolve_vehicles(staged, dims.vehicle), "vehicle-map")
+    fact = assemble_fact(staged, vmap, keep_match_flag=True)
+
+    def n(name, df):
+        return df.agg(F.count(F.lit(1)).cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    matches = fact.agg(
+        F.count_if(F.col("_matched") & ~F.col("IS_FUZZY_MATCH")).alias("exact_matches"),
+        F.count_if(F.col("IS_FUZZY_MATCH")).alias("fuzzy_matches"),
+        F.count_if(F.col("_matched")).alias("total_resolved"),
+        F.count(F.lit(1)).alias("fact_rows"),
+    )
+    mnames = ["exact_matches", "fuzzy_matches", "total_resolved", "fact_rows"]
+    for part in (n("dim_vehicle_rows", dims.vehicle), n("dim_manufacturer_rows", dims.manufacturer),
+                 n("dim_rta_rows", dims.office),
+                 matches.select(F.explode(F.map_from_arrays(F.array(*[F.lit(x) for x in mnames]),
+                                                            F.array(*[F.col(x).cast("long") for x in mnames])))
+                                .alias("metric", "value"))):
+        out = out.unionByName(part)
     return out
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import dims as D
 from ..operators import stage as S
-from ..operators.dedupe import PID, surplus_copies
+from ..operators.dedupe import PID
 from ..operators.fact import assemble_fact
 from ..operators.resolve import resolve_vehicles
 from ..schema import conform
@@ -144,12 +144,8 @@ def run_registrations_etl(
 
         # 2. quarantine: reject partitions (pruned read), raw columns plus the reason;
         #    of the winner copies all but one per key are duplicates
-        bad = stage_table.filter(reason.isin(S.MISSING_KEY, S.DUPLICATE, S.INVALID_DATE)).select(
-            *raw_cols, S.REJECT_REASON)
-        copies = stage_table.filter(reason == S.WINNER_COPY).select(*raw_cols, PID)
-        surplus = surplus_copies(copies, options.key).withColumn(S.REJECT_REASON, F.lit(S.DUPLICATE))
-        sinks.write_rejects(bad.unionByName(surplus), f"{root}/bad_records", mode=mode,
-                            output_format=output_format)
+        sinks.write_rejects(S.quarantine(stage_table, raw_cols, options.key), f"{root}/bad_records",
+                            mode=mode, output_format=output_format)
         lap("quarantine")
 
         staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON, PID)
