@@ -16,6 +16,15 @@ from ..functions import columns as X
 from ..functions import rules as R
 
 
+def dataset_count(df: DataFrame, name: str = "") -> int:
+    """AGG7: the row count of a frame (one job), logged under ``name``."""
+    import logging
+
+    n = df.count()
+    logging.getLogger("starwash").info("rows in %s: %d", name or "frame", n)
+    return n
+
+
 def count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 

@@ -78,3 +78,15 @@ def test_metrics_append(spark):
     sinks.write_metrics(spark, {"run_id": "r2", "counts": {"a": 2}, "error": "boom"}, path)
     back = spark.read.json(path)
     assert {r.run_id: r.error for r in back.collect()} == {"r1": None, "r2": "boom"}
+
+
+def test_generic_sink_any_format(spark):
+    from starwash.operators.quality import dataset_count
+
+    path = work_path(spark, "t-generic")
+    df = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 7).alias("k"))
+    sinks.write_files(df, "csv", path, n_files=3, header=True, compression="gzip")
+    back = spark.read.option("header", "true").schema("id long, k long").csv(path)
+    assert dataset_count(back, "generic") == 1000
+    files, _ = sinks.audit_size(spark, path, "*.csv.gz")
+    assert files == 3
