@@ -7,6 +7,7 @@ from .columns import (
     date_id,
     first_match,
     fuzzy_key,
+    legacy_int,
     norm,
     parse_mixed_date,
     scrub_text,
@@ -22,6 +23,7 @@ __all__ = [
     "date_id",
     "first_match",
     "fuzzy_key",
+    "legacy_int",
     "norm",
     "parse_mixed_date",
     "scrub_text",

@@ -51,6 +51,20 @@ def parse_mixed_date(x, shapes=R.DATE_SHAPES) -> Column:
     return out.otherwise(F.lit(None).cast("date"))
 
 
+def legacy_int(x) -> Column:
+    """String to int as Spark casts with ANSI off, without turning ANSI off.
+
+    Surrounding whitespace/control characters are ignored, a sign is allowed,
+    a well-formed fraction is truncated ('4.7' -> 4, '.5' -> 0); anything
+    else, and overflow, gives null. (``try_cast`` would give null for '4.7'.)
+    """
+    t = F.regexp_replace(c(x).cast("string"), r"^[\s\x00-\x1F\x7F]+|[\s\x00-\x1F\x7F]+$", "")
+    well_formed = t.rlike(r"^[+-]?[0-9]*([.][0-9]*)?$") & ~t.isin("", "+", "-")
+    whole = F.regexp_extract(t, r"^[+-]?[0-9]*", 0)
+    whole = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
+    return F.when(well_formed, whole.try_cast("int"))
+
+
 def date_id(x) -> Column:
     """Date as int yyyyMMdd; null stays null."""
     return F.date_format(c(x).cast("date"), R.DATE_ID_FORMAT).cast("int")

@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as X
 from ..functions import rules as R
 
 
@@ -47,7 +48,7 @@ def vehicle_attributes() -> dict[str, Column]:
         "COLOUR": F.coalesce(F.col("colour"), F.lit(R.UNKNOWN)),
         "VEHICLE_CLASS": F.coalesce(F.col("vehicle_class"), F.lit(R.UNKNOWN)),
         "MAKE_YEAR": F.col("make_year"),
-        "SEAT_CAPACITY": F.col("seat_capacity").try_cast("int"),
+        "SEAT_CAPACITY": X.legacy_int("seat_capacity"),
         "IS_ELECTRIC": F.col("is_electric"),
     }
 

@@ -24,6 +24,9 @@ CSV_READ_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "mode": "PERMISSIVE",
+    # a declared schema is checked against each file's header instead of being
+    # applied by position, so a file with reordered columns fails loudly
+    "enforceSchema": "false",
 }
 
 
@@ -33,11 +36,19 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType = RAW_SCHEMA,
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
              **options) -> DataFrame:
-    """SRC2: CSV with a header and a declared schema (no inference)."""
+    """SRC2: CSV with a header; never schema inference.
+
+    Without ``schema`` the columns take the header names and are all strings
+    (conform them with ``starwash.schema.conform``). With ``schema`` the
+    header must match it.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).options(**{**CSV_READ_OPTIONS, **options}).csv(paths)
+    reader = spark.read.options(**{**CSV_READ_OPTIONS, **options}).option("inferSchema", "false")
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.csv(paths)
 
 
 def load(spark: SparkSession, fmt: str, path: str, schema: StructType = RAW_SCHEMA, **options) -> DataFrame:

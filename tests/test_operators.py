@@ -137,3 +137,13 @@ def test_resolution_external_dim(spark):
     assert len(by_reg["r1"]) == 2 and len(by_reg["r4"]) == 1
     assert by_reg["r4"][0].VEHICLE_ID == staged.filter("reg_no = 'r4'").first().VEHICLE_ID
     assert by_reg["r2"][0].IS_FUZZY_MATCH and by_reg["r2"][0].REGISTRATION_ISSUE_DATE_ID == 20200102
+
+
+@pytest.mark.parametrize(
+    "raw, expected",
+    [("4.7", 4), (" 5 ", 5), ("n/a", None), ("1e2", None), (".5", 0), ("-3.9", -3), ("+7", 7),
+     ("99999999999", None), ("", None), ("-", None), ("5.x", None), (None, None), ("\t12\n", 12)],
+)
+def test_legacy_int(spark, raw, expected):
+    df = spark.createDataFrame([(raw,)], "s string")
+    assert df.select(X.legacy_int("s").alias("v")).first().v == expected

@@ -90,3 +90,14 @@ def test_generic_sink_any_format(spark):
     assert dataset_count(back, "generic") == 1000
     files, _ = sinks.audit_size(spark, path, "*.csv.gz")
     assert files == 3
+
+
+def test_csv_header_names_any_order(spark):
+    path = work_path(spark, "t-csv-order")
+    df = spark.createDataFrame([("01/02/2020", "T1", "2018")], "fromdate string, tempRegistrationNumber string, makeYear string")
+    sinks.write_csv(df, path)
+    raw = conform(readers.read_csv(spark, path))
+    r = raw.first()
+    assert (r.reg_no, r.from_date, r.make_year) == ("T1", "01/02/2020", "2018")
+    with pytest.raises(Exception):
+        readers.read_csv(spark, path, RAW_SCHEMA).collect()  # header does not match the declared order
