@@ -211,6 +211,26 @@ def q_resolution_map(spark, sf):
     return registration_map(staged, vmap)
 
 
+def part_vehicle_dim(spark, sf) -> DataFrame:
+    """An external vehicle dimension derived from ``part`` (one row per part, so a
+    (model, variant, year) can carry several ids and fan out, as an external
+    reference may)."""
+    part = table(spark, sf, "part")
+    words = F.split("p_name", " ")
+    return part.select(
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("VEHICLE_ID"),
+        F.upper(words.getItem(0)).alias("MODEL_NAME"),
+        F.upper(F.concat_ws(" ", words.getItem(1), F.col("p_type"))).alias("VARIANT"),
+        (F.lit(1990) + F.col("p_size") % 30).cast("string").alias("MAKE_YEAR"),
+    )
+
+
+def q_resolution_external(spark, sf):
+    staged = _staged_table(spark, sf)
+    vmap = _written(resolve_vehicles(staged, part_vehicle_dim(spark, sf)), "vehicle-map-ext")
+    return registration_map(staged, vmap)
+
+
 def q_fact_registrations(spark, sf):
     return _fact(spark, sf)[0]
 

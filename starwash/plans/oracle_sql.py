@@ -206,6 +206,26 @@ def _unique(dim: str, key: str) -> str:
             f"FROM (SELECT {key}, count(*) AS n FROM {dim} GROUP BY {key})")
 
 
+EXTERNAL_RESOLUTION = [
+    ("pdim", """SELECT 'P' || CAST(p_partkey AS VARCHAR) AS VEHICLE_ID,
+        upper(split_part(p_name, ' ', 1)) AS MODEL_NAME,
+        upper(concat_ws(' ', split_part(p_name, ' ', 2), p_type)) AS VARIANT,
+        CAST(1990 + p_size % 30 AS VARCHAR) AS MAKE_YEAR FROM part"""),
+    ("xdv", """SELECT VEHICLE_ID AS dv_id, lower(trim(MODEL_NAME)) AS dv_model, lower(trim(VARIANT)) AS dv_variant,
+        MAKE_YEAR AS dv_make_year FROM pdim"""),
+    ("xexact", """SELECT s.reg_no, d.dv_id AS VEHICLE_ID_resolved FROM sm s JOIN xdv d
+        ON lower(trim(s.model_name)) = d.dv_model AND lower(trim(s.variant)) = d.dv_variant AND s.MAKE_YEAR_KEY = d.dv_make_year"""),
+    ("xunresolved", "SELECT * FROM sm s WHERE NOT EXISTS (SELECT 1 FROM xexact e WHERE e.reg_no = s.reg_no)"),
+    ("xcand", """SELECT u.reg_no, d.dv_id,
+        levenshtein(lower(trim(concat_ws(' ', u.model_name, u.variant))), lower(trim(concat_ws(' ', d.dv_model, d.dv_variant)))) AS dist
+      FROM xunresolved u JOIN xdv d
+        ON substr(lower(trim(concat_ws(' ', u.model_name, u.variant))), 1, 2) = substr(d.dv_model, 1, 2)
+       AND u.MAKE_YEAR_KEY = d.dv_make_year"""),
+    ("xfz", f"""SELECT reg_no, dv_id, dist FROM (
+        SELECT *, row_number() OVER (PARTITION BY reg_no ORDER BY dist, dv_id) AS _rn FROM xcand
+        WHERE dist <= {R.DEFAULT_FUZZY_THRESHOLD}) WHERE _rn = 1"""),
+]
+
 ORACLES: dict[str, str] = {
     "missing_key": with_chain("SELECT * FROM dirty WHERE reg_no IS NULL OR trim(reg_no) = ''"),
     "valid_key": with_chain("SELECT * FROM valid"),
@@ -250,6 +270,9 @@ ORACLES: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY lev_dist, matched_name) AS _rn
           FROM cand WHERE lev_dist <= {R.DEFAULT_FUZZY_THRESHOLD}) WHERE _rn = 1""",
     "resolution_map": with_chain("SELECT * FROM resmap"),
+    "resolution_external": with_chain(
+        """SELECT reg_no, VEHICLE_ID_resolved, CAST(NULL AS INTEGER) AS LEV_DIST, false AS IS_FUZZY_MATCH FROM xexact
+           UNION ALL SELECT reg_no, dv_id, CAST(dist AS INTEGER), true FROM xfz""", EXTERNAL_RESOLUTION),
     "fact_registrations": with_chain("SELECT * FROM fact"),
     "misalignment": with_chain(f"""
         SELECT CAST(count(*) AS BIGINT) AS total_rows,

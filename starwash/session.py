@@ -33,6 +33,34 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, shuffle_expansion: float = 2.0) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of raw input.
+
+    Shuffle partitions are sized so that the widest shuffle (all rows, joined
+    to their key's winner; decoded rows are about ``shuffle_expansion`` times
+    the encoded input) lands near ``partition_bytes`` per task before AQE
+    merges small ones; scans split at the same size. Skew splitting stays on
+    for joins and rebalances. Apply at session build time (static confs) or
+    with ``spark.conf.set`` (SQL confs).
+    """
+    import math
+
+    shuffle_partitions = max(200, math.ceil(input_bytes * shuffle_expansion / partition_bytes))
+    size = str(partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables.
 
@@ -68,4 +96,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["local_session", "shared_root", "work_path", "check_session", "local_path"]
+__all__ = ["local_session", "scale_conf", "shared_root", "work_path", "check_session", "local_path"]

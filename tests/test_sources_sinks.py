@@ -101,3 +101,12 @@ def test_csv_header_names_any_order(spark):
     assert (r.reg_no, r.from_date, r.make_year) == ("T1", "01/02/2020", "2018")
     with pytest.raises(Exception):
         readers.read_csv(spark, path, RAW_SCHEMA).collect()  # header does not match the declared order
+
+
+def test_scale_conf():
+    from starwash.session import scale_conf
+
+    conf = scale_conf(100 * 10**12)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 500_000
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(scale_conf(10**6)["spark.sql.shuffle.partitions"]) == 200
