@@ -58,9 +58,7 @@ def _staged(spark, sf, opts=OPTS):
 def _written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back (cuts the lineage,
     so several consumers do not each recompute it)."""
-    path = work_path(df.sparkSession, name)
-    sinks.write_parquet(df, path)
-    return readers.read_parquet(df.sparkSession, path)
+    return sinks.write_then_read(df, work_path(df.sparkSession, name))
 
 
 def _staged_table(spark, sf):

@@ -30,10 +30,15 @@ CSV_READ_OPTIONS = {
 }
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """SRC1/SRC5: parquet scan; partition columns come back by discovery."""
+def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
+    """SRC1/SRC5: parquet scan; partition columns come back by discovery.
+
+    Pass the writer's ``schema`` to re-read a table that may hold no rows
+    (an empty write leaves nothing to infer a schema from).
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.parquet(*paths)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*paths)
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,

@@ -34,6 +34,16 @@ def write_parquet(df: DataFrame | None, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def write_then_read(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as parquet and return the table read back with ``df``'s schema.
+
+    This is how intermediate results are shared between jobs: the lineage is
+    cut at the written table, and an empty result still has its schema.
+    """
+    write_parquet(df, path, partition_by=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_files(df: DataFrame, fmt: str, path: str, n_files: int | None = None, header: bool = True,
                 compression: str | None = None, mode: str = "overwrite") -> None:
     """SNK2: any format with header and codec options, into about ``n_files`` files.
@@ -91,7 +101,13 @@ def audit_size(spark: SparkSession, path: str, glob: str | None = None) -> tuple
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    row = r.load(path).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    try:
+        files = r.load(path)
+    except Exception as exc:  # a folder with no data file (empty write)
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return 0, 0
+        raise
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["b"])
 
 
