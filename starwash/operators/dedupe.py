@@ -57,22 +57,28 @@ def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, null_keys: bool = True) -> DataFrame:
+def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, null_keys: bool = True,
+                        join_key: Column | None = None) -> DataFrame:
     """``df`` plus ``_copy`` (row equals its key's winner) and ``_pid``.
 
     ``_pid`` is the input partition a row was read in; it is only used to
     count identical copies per partition. With ``null_keys=False`` (keys known
     not null) the join is a plain equi-join on the key, so the winners keep the
-    hash partitioning of their window and are not shuffled again.
+    hash partitioning of their window and are not shuffled again. ``join_key``
+    replaces the key on the ``df`` side (used to spread rows that have no key).
     """
     cols = df.columns
     win = kept.select(_q(key).alias("_wkey"), F.struct(*[_q(n) for n in cols]).alias(WIN))
-    on = _q(key).eqNullSafe(F.col("_wkey")) if null_keys else _q(key) == F.col("_wkey")
+    left = df.withColumn(PID, F.spark_partition_id())
+    if join_key is not None:
+        left = left.withColumn("_jkey", join_key)
+        on = F.col("_jkey") == F.col("_wkey")
+    else:
+        on = _q(key).eqNullSafe(F.col("_wkey")) if null_keys else _q(key) == F.col("_wkey")
     return (
-        df.withColumn(PID, F.spark_partition_id())
-        .join(win, on, "left")
+        left.join(win, on, "left")
         .withColumn(COPY, F.coalesce(F.struct(*[_q(n) for n in cols]).eqNullSafe(F.col(WIN)), F.lit(False)))
-        .drop("_wkey", WIN)
+        .drop("_wkey", "_jkey", WIN)
     )
 
 

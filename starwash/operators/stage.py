@@ -122,12 +122,19 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     repair/parse chain once. ``winner_copy`` rows keep ``_pid`` so that all
     but one copy can be marked later (``dedupe.surplus_copies``).
     """
-    missing = clean.missing_key(raw, opts.key).withColumn(REJECT_REASON, F.lit(MISSING_KEY))
     valid = clean.valid_key(raw, opts.key)
     kept = winners(valid, opts.key, dedupe_order(opts))
-    dups = tag_against_winners(valid, kept, opts.key, null_keys=False)
-    dups = dups.withColumn(
-        REJECT_REASON, F.when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE))
+    # every row goes through one join to its key's winner; rows without a key
+    # get a spread-out join key (input partition + row hash), so a flood of
+    # null or blank keys never lands on one reducer, and they are tagged by
+    # their own key first, whatever they happen to meet
+    no_key = X.blank(opts.key)
+    spread = F.concat_ws(":", F.lit("\u0001"), F.spark_partition_id().cast("string"),
+                         F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]).cast("string"))
+    rows = tag_against_winners(raw, kept, opts.key, join_key=F.when(no_key, spread).otherwise(F.col(opts.key)))
+    rows = rows.withColumn(
+        REJECT_REASON,
+        F.when(no_key, F.lit(MISSING_KEY)).when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE)),
     ).drop(COPY)
     parsed = repair_and_parse(kept, opts)
     is_staged = F.col("from_date_parsed").isNotNull()
@@ -137,7 +144,7 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
         "make_year": F.when(is_staged, F.col("make_year")).otherwise(F.col("_make_year_raw")),
         REJECT_REASON: F.when(is_staged, F.lit(STAGED)).otherwise(F.lit(INVALID_DATE)),
     }).drop("_make_year_raw")
-    return missing.unionByName(dups, allowMissingColumns=True).unionByName(x, allowMissingColumns=True)
+    return rows.unionByName(x, allowMissingColumns=True)
 
 
 def quarantine(tagged: DataFrame, raw_columns: list[str], key: str = "reg_no") -> DataFrame:
