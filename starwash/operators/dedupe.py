@@ -85,13 +85,17 @@ def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, null_keys: boo
 def surplus_copies(copies: DataFrame, key: str) -> DataFrame:
     """All but one of each key's identical copies (input: copy rows with ``_pid``).
 
-    Copies are counted per (key, input partition); the partition with the
-    smallest id gives up one row. Output rows are rebuilt from the counts, so
-    a group of copies is never gathered into one task.
+    Usually every key has exactly one copy (the winner itself), so the keys
+    with more are found first by a hash count over the key column alone; only
+    their rows go on. Those are counted per (key, input partition); the
+    partition with the smallest id gives up one row, and the output is rebuilt
+    from the counts, so a group of copies is never gathered into one task.
     """
     cols = [c for c in copies.columns if c not in (PID, COPY)]
+    multi = copies.groupBy(_q(key).alias("_mkey")).agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > 1)
+    candidates = copies.join(multi, _q(key) == F.col("_mkey"), "left_semi")
     return (
-        copies.groupBy(_q(key).alias("_ckey"), F.col(PID))
+        candidates.groupBy(_q(key).alias("_ckey"), F.col(PID))
         .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[_q(n) for n in cols])).alias(WIN))
         .withColumn("_first", F.col(PID) == F.min(PID).over(Window.partitionBy("_ckey")))
         .withColumn("_emit", F.col("_n") - F.col("_first").cast("long"))

@@ -33,19 +33,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, shuffle_expansion: float = 2.0) -> dict[str, str]:
+def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, shuffle_expansion: float = 2.0,
+               max_shuffle_partitions: int = 200_000) -> dict[str, str]:
     """Session settings for a cluster run over ``input_bytes`` of raw input.
 
     Shuffle partitions are sized so that the widest shuffle (all rows, joined
     to their key's winner; decoded rows are about ``shuffle_expansion`` times
     the encoded input) lands near ``partition_bytes`` per task before AQE
-    merges small ones; scans split at the same size. Skew splitting stays on
-    for joins and rebalances. Apply at session build time (static confs) or
-    with ``spark.conf.set`` (SQL confs).
+    merges small ones, capped so that map x reduce shuffle blocks stay
+    manageable (at 100 TB the cap gives about 1 GB per reduce task, which sorts
+    with spilling). Scans split at ``partition_bytes``. Skew splitting stays on
+    for joins and rebalances. Apply at session build time or with
+    ``spark.conf.set`` (all are SQL confs).
     """
     import math
 
-    shuffle_partitions = max(200, math.ceil(input_bytes * shuffle_expansion / partition_bytes))
+    wanted = math.ceil(input_bytes * shuffle_expansion / partition_bytes)
+    shuffle_partitions = min(max(200, wanted), max_shuffle_partitions)
     size = str(partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
@@ -53,7 +57,7 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, shuffle_expan
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": size,
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",

@@ -107,6 +107,7 @@ def test_scale_conf():
     from starwash.session import scale_conf
 
     conf = scale_conf(100 * 10**12)
-    assert int(conf["spark.sql.shuffle.partitions"]) > 500_000
+    assert int(conf["spark.sql.shuffle.partitions"]) == 200_000  # capped
+    assert int(scale_conf(10 * 10**12)["spark.sql.shuffle.partitions"]) > 35_000
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(scale_conf(10**6)["spark.sql.shuffle.partitions"]) == 200
