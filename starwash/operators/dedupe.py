@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType
 
 WIN = "_winner"
+# rows of one key a join task may take before the key is salted
+HOT_ROWS = 1_000_000
 PID = "_pid"
 COPY = "_copy"
 
@@ -57,68 +59,103 @@ def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, null_keys: bool = True,
-                        join_key: Column | None = None) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and how many salts each needs.
+
+    A hash count over the key column alone (map-side combined). The result has
+    at most ``rows / hot_rows`` entries, so it stays small enough for AQE to
+    broadcast it from its measured size.
+    """
+    k = _q(key)
+    return (
+        df.select(k.isNull().alias("_hkn"), F.coalesce(k, F.lit("")).alias("_hkv"))
+        .groupBy("_hkn", "_hkv").agg(F.count(F.lit(1)).alias("_hn"))
+        .filter(F.col("_hn") > hot_rows)
+        .select("_hkn", "_hkv", F.ceil(F.col("_hn") / F.lit(hot_rows)).cast("int").alias("_salts"))
+    )
+
+
+def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, join_key: Column | None = None,
+                        hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` plus ``_copy`` (row equals its key's winner) and ``_pid``.
 
-    ``_pid`` is the input partition a row was read in; it is only used to
-    count identical copies per partition. With ``null_keys=False`` (keys known
-    not null) the join is a plain equi-join on the key, so the winners keep the
-    hash partitioning of their window and are not shuffled again. ``join_key``
-    replaces the key on the ``df`` side (used to spread rows that have no key).
+    Each row is joined to its key's winner. Keys with more than ``hot_rows``
+    rows are salted: their rows get a salt from (row hash, input partition)
+    and the winner row is repeated once per salt, so no join task takes more
+    than about ``hot_rows`` rows of one key. Null keys match the null-key
+    winner. ``join_key`` replaces the key on the ``df`` side (used to spread
+    rows that have no usable key; they then meet no winner). ``_pid``, the
+    input partition of a row, is kept for counting identical copies.
     """
     cols = df.columns
-    win = kept.select(_q(key).alias("_wkey"), F.struct(*[_q(n) for n in cols]).alias(WIN))
-    left = df.withColumn(PID, F.spark_partition_id())
-    if join_key is not None:
-        left = left.withColumn("_jkey", join_key)
-        on = F.col("_jkey") == F.col("_wkey")
-    else:
-        on = _q(key).eqNullSafe(F.col("_wkey")) if null_keys else _q(key) == F.col("_wkey")
+    row = F.struct(*[_q(n) for n in cols])
+    hot = hot_keys(df, key, hot_rows)
+    left = df.withColumn(PID, F.spark_partition_id()).withColumns({
+        "_kn": _q(key).isNull() if join_key is None else F.lit(False),
+        "_kv": F.coalesce(_q(key), F.lit("")) if join_key is None else join_key,
+    })
+    left = (
+        left.join(hot, (F.col("_kn") == F.col("_hkn")) & (F.col("_kv") == F.col("_hkv")), "left")
+        .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                    .otherwise(F.pmod(F.xxhash64(row, F.col(PID)), F.col("_salts")).cast("int")))
+        .drop("_hkn", "_hkv", "_salts")
+    )
+    win = kept.select(_q(key).isNull().alias("_wkn"), F.coalesce(_q(key), F.lit("")).alias("_wkv"), row.alias(WIN))
+    win = (
+        win.join(hot, (F.col("_wkn") == F.col("_hkn")) & (F.col("_wkv") == F.col("_hkv")), "left")
+        .withColumn("_wsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
+        .drop("_hkn", "_hkv", "_salts")
+    )
+    on = ((F.col("_kn") == F.col("_wkn")) & (F.col("_kv") == F.col("_wkv"))
+          & (F.col("_salt") == F.col("_wsalt")))
     return (
         left.join(win, on, "left")
-        .withColumn(COPY, F.coalesce(F.struct(*[_q(n) for n in cols]).eqNullSafe(F.col(WIN)), F.lit(False)))
-        .drop("_wkey", "_jkey", WIN)
+        .withColumn(COPY, F.coalesce(row.eqNullSafe(F.col(WIN)), F.lit(False)))
+        .drop("_kn", "_kv", "_salt", "_wkn", "_wkv", "_wsalt", WIN)
     )
 
 
 def surplus_copies(copies: DataFrame, key: str) -> DataFrame:
     """All but one of each key's identical copies (input: copy rows with ``_pid``).
 
-    Usually every key has exactly one copy (the winner itself), so the keys
-    with more are found first by a hash count over the key column alone; only
-    their rows go on. Those are counted per (key, input partition); the
-    partition with the smallest id gives up one row, and the output is rebuilt
-    from the counts, so a group of copies is never gathered into one task.
+    Copies are counted per (key, input partition) by a hash count over those
+    two columns. Usually every key has one copy (the winner itself) and
+    nothing goes on. For keys with more, the copy rows are joined back on
+    (key, input partition), so a flood of identical rows stays spread over
+    the partitions it was read in, and one row of the key's first partition
+    is kept.
     """
     cols = [c for c in copies.columns if c not in (PID, COPY)]
-    multi = copies.groupBy(_q(key).alias("_mkey")).agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > 1)
-    candidates = copies.join(multi, _q(key) == F.col("_mkey"), "left_semi")
+    per_part = Window.partitionBy("_ckey")
+    counts = (
+        copies.groupBy(_q(key).alias("_ckey"), F.col(PID).alias("_cpid")).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_total", F.sum("_n").over(per_part))
+        .withColumn("_first", F.col("_cpid") == F.min("_cpid").over(per_part))
+        .filter(F.col("_total") > 1)
+        .select("_ckey", "_cpid", "_first")
+    )
+    candidates = copies.join(counts, _q(key).eqNullSafe(F.col("_ckey")) & (F.col(PID) == F.col("_cpid")), "inner")
+    in_group = Window.partitionBy("_ckey", "_cpid").orderBy(F.lit(1))
     return (
-        candidates.groupBy(_q(key).alias("_ckey"), F.col(PID))
-        .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[_q(n) for n in cols])).alias(WIN))
-        .withColumn("_first", F.col(PID) == F.min(PID).over(Window.partitionBy("_ckey")))
-        .withColumn("_emit", F.col("_n") - F.col("_first").cast("long"))
-        .filter(F.col("_emit") > 0)
-        .select(F.col(WIN), F.explode(F.sequence(F.lit(1), F.col("_emit"))).alias("_i"))
-        .select(*[F.col(f"{WIN}.`{n}`").alias(n) for n in cols])
+        candidates.withColumn("_rn", F.row_number().over(in_group))
+        .filter(~(F.col("_first") & (F.col("_rn") == 1)))
+        .select(*[_q(n) for n in cols])
     )
 
 
-def removed_rows(df: DataFrame, kept: DataFrame, key: str, null_keys: bool = True) -> DataFrame:
+def removed_rows(df: DataFrame, kept: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row of ``df`` except one per key equal to that key's row in ``kept``."""
     cols = df.columns
-    tagged = tag_against_winners(df, kept, key, null_keys)
+    tagged = tag_against_winners(df, kept, key, hot_rows=hot_rows)
     others = tagged.filter(~F.col(COPY)).select(*[_q(n) for n in cols])
     return others.unionByName(surplus_copies(tagged.filter(F.col(COPY)), key))
 
 
-def keep_latest(df: DataFrame, key: str, order: Sequence[Column], null_keys: bool = True) -> Deduped:
+def keep_latest(df: DataFrame, key: str, order: Sequence[Column], hot_rows: int = HOT_ROWS) -> Deduped:
     """Split ``df`` into the first row per key and the rows removed.
 
     ``order`` is the preference, e.g. ``[F.col('from_date').desc_nulls_last()]``.
-    Rows with a null key form one group, as in a window partition; pass
-    ``null_keys=False`` when the key is known not null (cheaper join).
+    Rows with a null key form one group, as in a window partition.
     """
     kept = winners(df, key, order)
-    return Deduped(kept, removed_rows(df, kept, key, null_keys))
+    return Deduped(kept, removed_rows(df, kept, key, hot_rows))

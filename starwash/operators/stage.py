@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..functions import rules as R
 from . import clean
-from .dedupe import COPY, keep_latest, tag_against_winners, winners
+from .dedupe import COPY, HOT_ROWS, keep_latest, tag_against_winners, winners
 from .keys import surrogate_keys
 
 REJECT_REASON = "reject_reason"
@@ -35,6 +35,7 @@ class CleanOptions:
     ``dedupe_order``: ``"raw"`` sorts the raw issue-date string (reference
     behaviour); ``"latest_valid"`` sorts by the parsed date first.
     ``tie_break``: extra ascending columns after the issue date.
+    ``hot_rows``: rows of one key a join task may take before the key is salted.
     """
 
     key: str = "reg_no"
@@ -45,6 +46,7 @@ class CleanOptions:
     fuel_rules: tuple = R.FUEL_RULES
     emission_pattern: str = R.EMISSION_PATTERN
     date_shapes: tuple = field(default=R.DATE_SHAPES)
+    hot_rows: int = HOT_ROWS
 
 
 class Staged(NamedTuple):
@@ -66,7 +68,7 @@ def dedupe_order(opts: CleanOptions):
 def dedupe(df: DataFrame, opts: CleanOptions = CleanOptions()):
     """Missing-key split plus keep-latest: ``(missing, kept, removed)``."""
     missing = clean.missing_key(df, opts.key)
-    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts), null_keys=False)
+    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts), opts.hot_rows)
     return missing, kept, removed
 
 
@@ -131,7 +133,8 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     no_key = X.blank(opts.key)
     spread = F.concat_ws(":", F.lit("\u0001"), F.spark_partition_id().cast("string"),
                          F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]).cast("string"))
-    rows = tag_against_winners(raw, kept, opts.key, join_key=F.when(no_key, spread).otherwise(F.col(opts.key)))
+    rows = tag_against_winners(raw, kept, opts.key, join_key=F.when(no_key, spread).otherwise(F.col(opts.key)),
+                               hot_rows=opts.hot_rows)
     rows = rows.withColumn(
         REJECT_REASON,
         F.when(no_key, F.lit(MISSING_KEY)).when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE)),

@@ -226,11 +226,20 @@ EXTERNAL_RESOLUTION = [
         WHERE dist <= {R.DEFAULT_FUZZY_THRESHOLD}) WHERE _rn = 1"""),
 ]
 
+HOT = [("hot", """SELECT * REPLACE (CASE WHEN fuel IN ('DIESEL', 'Diesel', 'LPG') THEN 'HOT' ELSE reg_no END AS reg_no)
+    FROM dirty""")]
+
 ORACLES: dict[str, str] = {
     "missing_key": with_chain("SELECT * FROM dirty WHERE reg_no IS NULL OR trim(reg_no) = ''"),
     "valid_key": with_chain("SELECT * FROM valid"),
     "latest_per_key": with_chain("SELECT * FROM kept"),
     "duplicates_removed": with_chain("SELECT * FROM removed"),
+    "hot_key_latest": with_chain(f"""SELECT * EXCLUDE (_rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY reg_no ORDER BY {ORDER_KEEP}) AS _rn FROM hot
+        WHERE NOT (reg_no IS NULL OR trim(reg_no) = '')) WHERE _rn = 1""", HOT),
+    "hot_key_duplicates": with_chain(f"""SELECT * EXCLUDE (_rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY reg_no ORDER BY {ORDER_KEEP}) AS _rn FROM hot
+        WHERE NOT (reg_no IS NULL OR trim(reg_no) = '')) WHERE _rn > 1""", HOT),
     "latest_valid_per_key": with_chain(
         f"""SELECT * EXCLUDE (_rn, _pd) FROM (
               SELECT *, row_number() OVER (PARTITION BY reg_no ORDER BY _pd DESC NULLS LAST, {ORDER_KEEP}) AS _rn

@@ -147,3 +147,30 @@ def test_resolution_external_dim(spark):
 def test_legacy_int(spark, raw, expected):
     df = spark.createDataFrame([(raw,)], "s string")
     assert df.select(X.legacy_int("s").alias("v")).first().v == expected
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3, 1_000_000])
+def test_keep_latest_salted_matches_window(spark, hot_rows):
+    rnd = random.Random(hot_rows)
+    rows = []
+    for i in range(400):
+        k = "HOT" if i % 3 == 0 else (None if i % 17 == 0 else f"K{rnd.randint(0, 30)}")
+        rows.append((k, f"0{rnd.randint(1, 3)}/01/2020", str(rnd.randint(0, 2))))
+    rows += [("HOT", "09/09/2099", "x")] * 5  # identical copies of the hot winner
+    df = spark.createDataFrame(rows, "reg_no string, from_date string, v string").repartition(5)
+    kept, removed = keep_latest(df, "reg_no", [F.col("from_date").desc_nulls_last()], hot_rows=hot_rows)
+    # brute force: the first row per key under (from_date desc, then every column asc)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[0], []).append(r)
+    want_kept = sorted((min(g, key=lambda r: (_neg(r[1]), r[2])) for g in groups.values()), key=repr)
+    got_kept = sorted((tuple(r) for r in kept.collect()), key=repr)
+    assert got_kept == want_kept
+    want_removed = sorted(rows, key=repr)
+    for r in want_kept:
+        want_removed.remove(r)
+    assert sorted((tuple(r) for r in removed.collect()), key=repr) == want_removed
+
+
+def _neg(s):
+    return tuple(-ord(ch) for ch in s) + (1,)
