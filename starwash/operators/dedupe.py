@@ -63,8 +63,8 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and how many salts each needs.
 
     A hash count over the key column alone (map-side combined). The result has
-    at most ``rows / hot_rows`` entries, so it stays small enough for AQE to
-    broadcast it from its measured size.
+    at most ``rows / hot_rows`` entries: a proven bound, which is why it is
+    broadcast.
     """
     k = _q(key)
     return (
@@ -89,7 +89,9 @@ def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, join_key: Colu
     """
     cols = df.columns
     row = F.struct(*[_q(n) for n in cols])
-    hot = hot_keys(df, key, hot_rows)
+    # broadcast on purpose: at most rows/hot_rows entries (<= 1e6 for 1e12 rows at the
+    # default), and joining rows to it by shuffle would put a hot key in one task
+    hot = F.broadcast(hot_keys(df, key, hot_rows))
     left = df.withColumn(PID, F.spark_partition_id()).withColumns({
         "_kn": _q(key).isNull() if join_key is None else F.lit(False),
         "_kv": F.coalesce(_q(key), F.lit("")) if join_key is None else join_key,

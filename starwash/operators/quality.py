@@ -111,12 +111,17 @@ def date_key_format(fact: DataFrame, column: str = "REGISTRATION_ISSUE_DATE_ID")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
-    """DQ9: fact rows whose key has no dimension row (a null key is an orphan)."""
+    """DQ9: fact rows whose key has no dimension row (a null key is an orphan).
+
+    Fact rows are first counted per key (map-side combined), so a hot key is
+    one row before the join to the dimension keys.
+    """
+    per_key = fact.groupBy(F.col(key).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
     d = dim.select(F.col(dim_key or key).alias("_dk")).distinct().withColumn("_hit", F.lit(True))
     return (
-        fact.select(key)
-        .join(d, F.col(key) == F.col("_dk"), "left")
-        .agg(F.count(F.lit(1)).alias("checked"), count_if(F.col("_hit").isNull()).alias("failed"))
+        per_key.join(d, F.col("_fk") == F.col("_dk"), "left")
+        .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("checked"),
+             F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).cast("long").alias("failed"))
         .select(F.lit(key).alias("foreign_key"), "checked", "failed")
     )
 
