@@ -21,6 +21,7 @@ sys.path.insert(0, ROOT)
 HEADLINE = (
     "latest_per_key",
     "duplicates_removed",
+    "hot_key_duplicates",
     "stage_registrations",
     "surrogate_keys",
     "dim_vehicle",
