@@ -381,24 +381,31 @@ def q_ingest_status(spark, sf):
                f"{folder}/_x", folder, "broken.parquet")
     schema = table(spark, sf, "region").schema
     st = readers.ingest_status(spark, folder, schema)
-    return st.select(F.lower(F.regexp_extract("file_name", r"\.([^.]+)$", 1)).alias("file_format"), "rows", "status")
+    fmt = F.lower(F.regexp_extract("file_name", r"\.([^.]+)$", 1)).alias("file_format")
+    return st.groupBy(fmt, "status").agg(F.sum("rows").cast("long").alias("rows"))
 
 
 def _write_one(df: DataFrame, fmt: str, tmp: str, folder: str, name: str) -> None:
-    """Write ``df`` as one file and move it to ``folder/name`` (Hadoop FS rename)."""
-    w = df.repartition(1).write.mode("overwrite")
+    """Write ``df`` in parallel and move its part files into ``folder``.
+
+    The first part file is named ``name``; further ones ``<stem>-<i><ext>``.
+    No single-task funnel: a large frame lands as many files.
+    """
+    w = df.write.mode("overwrite")
     if fmt == "csv":
         w.options(**sinks.CSV_WRITE_OPTIONS).option("nullValue", NULL_MARK).csv(tmp)
     else:
         w.format(fmt).save(tmp)
     jvm = df.sparkSession.sparkContext._jvm
     conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    src_dir = jvm.org.apache.hadoop.fs.Path(tmp)
+    path = jvm.org.apache.hadoop.fs.Path
+    src_dir = path(tmp)
     fs = src_dir.getFileSystem(conf)
-    for st in fs.listStatus(src_dir):
-        n = st.getPath().getName()
-        if n.startswith("part-"):
-            fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    stem, dot, ext = name.rpartition(".")
+    parts = sorted(st.getPath().getName() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        target = name if i == 0 else f"{stem}-{i}{dot}{ext}"
+        fs.rename(path(f"{tmp}/{part}"), path(f"{folder}/{target}"))
     fs.delete(src_dir, True)
 
 

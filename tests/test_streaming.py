@@ -16,8 +16,8 @@ def test_inbox_runs_each_file(spark, sf_small):
     d = dirty(spark, sf_small).withColumns(
         {"second_vehicle": F.lit(None).cast("string"), "category": F.lit(None).cast("string")}
     ).select(*CANONICAL_RAW_SCHEMA.fieldNames())  # CSV columns are read by position
-    _write_one(d.filter(F.col("slno") == "1"), "csv", f"{inbox}/_a", inbox, "a.csv")
-    _write_one(d.filter(F.col("slno") == "2"), "csv", f"{inbox}/_b", inbox, "b.csv")
+    _write_one(d.filter(F.col("slno") == "1").coalesce(1), "csv", f"{inbox}/_a", inbox, "a.csv")
+    _write_one(d.filter(F.col("slno") == "2").coalesce(1), "csv", f"{inbox}/_b", inbox, "b.csv")
     q = start_inbox(spark, inbox, out, fmt="csv", schema=CANONICAL_RAW_SCHEMA,
                     options=CleanOptions(tie_break=("slno",)), conform_input=False,
                     read_options={"nullValue": "\\N"})
