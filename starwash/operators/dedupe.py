@@ -76,7 +76,7 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, join_key: Column | None = None,
-                        hot_rows: int = HOT_ROWS) -> DataFrame:
+                        hot_rows: int = HOT_ROWS, salt: bool = True) -> DataFrame:
     """``df`` plus ``_copy`` (row equals its key's winner) and ``_pid``.
 
     Each row is joined to its key's winner. Keys with more than ``hot_rows``
@@ -86,23 +86,32 @@ def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, join_key: Colu
     winner. ``join_key`` replaces the key on the ``df`` side (used to spread
     rows that have no usable key; they then meet no winner). ``_pid``, the
     input partition of a row, is kept for counting identical copies.
+    ``salt=False`` (the caller has checked that no key exceeds ``hot_rows``)
+    joins on the key alone, so the winners keep their window partitioning.
     """
     cols = df.columns
     row = F.struct(*[_q(n) for n in cols])
-    # broadcast on purpose: at most rows/hot_rows entries (<= 1e6 for 1e12 rows at the
-    # default), and joining rows to it by shuffle would put a hot key in one task
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
     left = df.withColumn(PID, F.spark_partition_id()).withColumns({
         "_kn": _q(key).isNull() if join_key is None else F.lit(False),
         "_kv": F.coalesce(_q(key), F.lit("")) if join_key is None else join_key,
     })
+    win = kept.select(_q(key).isNull().alias("_wkn"), F.coalesce(_q(key), F.lit("")).alias("_wkv"), row.alias(WIN))
+    if not salt:
+        on = (F.col("_kn") == F.col("_wkn")) & (F.col("_kv") == F.col("_wkv"))
+        return (
+            left.join(win, on, "left")
+            .withColumn(COPY, F.coalesce(row.eqNullSafe(F.col(WIN)), F.lit(False)))
+            .drop("_kn", "_kv", "_wkn", "_wkv", WIN)
+        )
+    # broadcast on purpose: at most rows/hot_rows entries (<= 1e6 for 1e12 rows at the
+    # default), and joining rows to it by shuffle would put a hot key in one task
+    hot = F.broadcast(hot_keys(df, key, hot_rows))
     left = (
         left.join(hot, (F.col("_kn") == F.col("_hkn")) & (F.col("_kv") == F.col("_hkv")), "left")
         .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
                     .otherwise(F.pmod(F.xxhash64(row, F.col(PID)), F.col("_salts")).cast("int")))
         .drop("_hkn", "_hkv", "_salts")
     )
-    win = kept.select(_q(key).isNull().alias("_wkn"), F.coalesce(_q(key), F.lit("")).alias("_wkv"), row.alias(WIN))
     win = (
         win.join(hot, (F.col("_wkn") == F.col("_hkn")) & (F.col("_wkv") == F.col("_hkv")), "left")
         .withColumn("_wsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))

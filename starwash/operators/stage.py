@@ -114,7 +114,7 @@ def rejects(result: Staged, raw_columns: list[str]) -> DataFrame:
     return out
 
 
-def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions(), salt: bool = True) -> DataFrame:
     """Every input row once, tagged with ``reject_reason``.
 
     Reasons: missing_key, duplicate, winner_copy, invalid_date, staged. Kept
@@ -122,7 +122,8 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     the star columns. Built so that each heavy subplan has one consumer: the
     rows are joined to the per-key winners once, and the winners feed the
     repair/parse chain once. ``winner_copy`` rows keep ``_pid`` so that all
-    but one copy can be marked later (``dedupe.surplus_copies``).
+    but one copy can be marked later (``dedupe.surplus_copies``). ``salt=False``
+    is for callers that checked that no key has more than ``opts.hot_rows`` rows.
     """
     valid = clean.valid_key(raw, opts.key)
     kept = winners(valid, opts.key, dedupe_order(opts))
@@ -134,7 +135,7 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     spread = F.concat_ws(":", F.lit("\u0001"), F.spark_partition_id().cast("string"),
                          F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]).cast("string"))
     rows = tag_against_winners(raw, kept, opts.key, join_key=F.when(no_key, spread).otherwise(F.col(opts.key)),
-                               hot_rows=opts.hot_rows)
+                               hot_rows=opts.hot_rows, salt=salt)
     rows = rows.withColumn(
         REJECT_REASON,
         F.when(no_key, F.lit(MISSING_KEY)).when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE)),

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import dims as D
 from ..operators import stage as S
-from ..operators.dedupe import PID
+from ..operators import clean
+from ..operators.dedupe import PID, hot_keys
 from ..operators.fact import assemble_fact
 from ..operators.resolve import resolve_vehicles
 from ..schema import conform
@@ -142,10 +143,15 @@ def run_registrations_etl(
             src = sinks.write_then_read(src, f"{work}/input")
             lap("land_input")
 
-        # 1. one pass over the input: every row tagged, written once
+        # 1. one pass over the input: every row tagged, written once. Keys above
+        #    hot_rows are looked for first (a count over the key column); only if
+        #    there are any does the join to the winners need salting.
+        hot = hot_keys(clean.valid_key(src, options.key), options.key, options.hot_rows)
+        n_hot = hot.count()
+        metrics["hot_keys"] = n_hot
         obs_stage = Observation("stage")
         stage_path = f"{work}/stage"
-        tagged = S.tagged_rows(src, options)
+        tagged = S.tagged_rows(src, options, salt=n_hot > 0)
         sinks.write_parquet(_count_by_reason(obs_stage, tagged), stage_path, partition_by=[S.REJECT_REASON])
         stage_table = read_parquet(spark, stage_path, tagged.schema)
         got = _observed(obs_stage, ["input_rows", *REASONS], stage_table)
