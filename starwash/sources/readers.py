@@ -121,11 +121,9 @@ def ingest_status(spark: SparkSession, directory: str, schema: StructType = RAW_
             if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
                 continue
             raise
-        reader = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
-        if fmt == "csv":
-            df = reader.schema(schema).options(**CSV_READ_OPTIONS).csv(directory)
-        else:
-            df = reader.schema(_parquet_schema_or(spark, directory, glob, schema)).parquet(directory)
+        # row counts need no schema inference (which would trip over the unreadable files)
+        reader = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true").schema(schema)
+        df = reader.options(**CSV_READ_OPTIONS).csv(directory) if fmt == "csv" else reader.parquet(directory)
         counts = df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
         listed = files if listed is None else listed.unionByName(files)
         counted = counts if counted is None else counted.unionByName(counts)
@@ -138,16 +136,6 @@ def ingest_status(spark: SparkSession, directory: str, schema: StructType = RAW_
     )
 
 
-def _parquet_schema_or(spark: SparkSession, directory: str, glob: str, fallback: StructType) -> StructType:
-    try:
-        return (
-            spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
-            .parquet(directory).schema
-        )
-    except Exception:
-        return fallback
-
-
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
     """SRC6: the first ``n`` rows under a stated order (a top-n, not a sample)."""
     return df.orderBy(*order_by).limit(n)
