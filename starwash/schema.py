@@ -73,8 +73,3 @@ def conform(df: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
         if name not in renamed:
             out.append(F.lit(None).cast("string").alias(name))
     return df.select(*out)
-
-
-def raw_columns(df: DataFrame) -> list[str]:
-    """Canonical raw columns plus any pass-through columns, in input order."""
-    return [c for c in df.columns if not c.startswith("_")]
