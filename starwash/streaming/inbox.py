@@ -63,13 +63,14 @@ def start_inbox(
     stream = reader.load(input_dir).withColumn("_source_file", F.col("_metadata.file_name"))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        names = [r.file_name for r in batch.select(F.col("_source_file").alias("file_name")).distinct().collect()]
-        file_name = ",".join(sorted(names))
         run_id = f"run_{int(time.time())}_{batch_id}"
-        raw = batch.drop("_source_file")
+        file_name = f"batch-{batch_id}"  # kept if the file cannot even be read
         try:
-            metrics = run_registrations_etl(raw, output_root=f"{root}/{run_id}", run_id=run_id,
-                                            options=options, **etl_kwargs)
+            # one file per batch (maxFilesPerTrigger), so this collects one name
+            names = batch.select("_source_file").distinct().collect()
+            file_name = ",".join(sorted(r[0] for r in names))
+            metrics = run_registrations_etl(batch.drop("_source_file"), output_root=f"{root}/{run_id}",
+                                            run_id=run_id, options=options, **etl_kwargs)
             row = dict(rows=metrics["counts"]["input_rows"], status="ok", error=None)
         except Exception as exc:  # isolate the file, keep the stream going
             row = dict(rows=None, status="failed", error=str(exc)[:2000])
