@@ -421,7 +421,7 @@ def q_preview(spark, sf):
     return readers.preview(dirty(spark, sf), ["reg_no", "from_date", "slno", "pk", "sk", "qty"])
 
 
-def q_pipeline_counts(spark, sf):
+def q_etl_counts(spark, sf):
     """Per-stage counts of the whole chain as (metric, value) rows.
 
     The tagged rows are written once; every count is then an aggregate over

@@ -342,6 +342,6 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'parquet', CAST(0 AS BIGINT), 'skipped'""",
     "preview": with_chain(
         "SELECT * FROM dirty ORDER BY reg_no ASC NULLS FIRST, from_date ASC NULLS FIRST, slno, pk, sk, qty LIMIT 20"),
-    "pipeline_counts": with_chain(_metric_rows(PIPELINE_METRICS)),
+    "etl_counts": with_chain(_metric_rows(PIPELINE_METRICS)),
     "run_metrics": with_chain(_metric_rows(PIPELINE_METRICS)),
 }

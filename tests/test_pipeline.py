@@ -15,7 +15,7 @@ def _run(spark, sf, **kw):
     return root, run_registrations_etl(dirty(spark, sf), output_root=root, options=OPTS, conform_input=False, **kw)
 
 
-def test_pipeline_counts_and_properties(spark, sf_small):
+def test_etl_counts_and_properties(spark, sf_small):
     root, m = _run(spark, sf_small)
     c = m["counts"]
     assert c["input_rows"] == 6000

@@ -14,7 +14,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 # queries that write first (their plan is a read of the written table)
 WRITES = {"parquet_roundtrip", "csv_roundtrip", "partitioned_roundtrip", "sized_write_roundtrip",
           "quarantine_roundtrip", "star_roundtrip", "run_metrics", "dir_ingest", "ingest_status",
-          "output_size_audit", "pipeline_counts", "resolution_external", "resolution_map", "exact_match",
+          "output_size_audit", "etl_counts", "resolution_external", "resolution_map", "exact_match",
           "unresolved_keys", "fact_registrations", "dq_threshold", "dq_fk_null", "dq_date_key", "dq_fk_orphans"}
 
 
