@@ -1,12 +1,16 @@
 """The registrations ETL as one Spark plan per output (OP5, SNK7-9, AGG1-2).
 
-Run shape (each numbered step is one job):
-
-1. clean + dedupe + parse + keys, written ONCE to the shared work folder
-   (``spark.checkpoint.dir``) partitioned by ``reject_reason`` ('staged' for
-   rows that pass). This cuts the lineage: an executor lost later recomputes
-   from this table, not from the raw input. Row counts per reason come from an
-   ``Observation`` on the same write.
+Run shape (each numbered step is one job or a few):
+
+0. a derived or text input (a join, CSV) is landed once as parquet in the
+   shared work folder (``spark.checkpoint.dir``); a plain parquet/orc scan is
+   read directly.
+1. keys above ``hot_rows`` rows are counted (key column only); then clean +
+   dedupe + parse + keys are written ONCE to the work folder, partitioned by
+   ``reject_reason`` ('staged' for rows that pass). The join of rows to their
+   key's winner is salted only if a hot key exists. This cuts the lineage: an
+   executor lost later recomputes from this table, not from the raw input.
+   Row counts per reason come from an ``Observation`` on the same write.
 2. quarantine: the reject partitions (pruned read) to ``bad_records``.
 3. dimensions from the staged partition (aggregates, map-side combined).
 4. vehicle resolution map (distinct vehicles only) to the work folder.
