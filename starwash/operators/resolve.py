@@ -58,8 +58,12 @@ def probe_signatures(df: DataFrame, text: str, t: int) -> DataFrame:
     )
     start, seg_len = _segments(F.col("_len"), F.col("_seg_no"), t)
     x = x.withColumn("_start", start).withColumn("_slen", seg_len)
-    lo = F.greatest(F.col("_start") - t, F.lit(0))
-    hi = F.least(F.col("_start") + t, F.col("_plen") - F.col("_slen"))
+    # where segment i of a length-L string can sit in the probe: at most i edits
+    # before it and t - i after it (multi-match-aware), and the length gap d
+    # splits the t edits between the two sides (position-aware); Pass-Join, 4.2
+    i, p, d = F.col("_seg_no"), F.col("_start"), F.col("_plen") - F.col("_len")
+    lo = F.greatest(p - i, p + d - (F.lit(t) - i), p - F.floor((F.lit(t) - d) / 2), F.lit(0))
+    hi = F.least(p + i, p + d + (F.lit(t) - i), p + F.floor((F.lit(t) + d) / 2), F.col("_plen") - F.col("_slen"))
     positions = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
     x = x.withColumn("_pos", F.explode(positions))
     return x.withColumn("_seg", F.col(text).substr(F.col("_pos") + 1, F.col("_slen"))).drop(

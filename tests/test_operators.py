@@ -174,3 +174,32 @@ def test_keep_latest_salted_matches_window(spark, hot_rows):
 
 def _neg(s):
     return tuple(-ord(ch) for ch in s) + (1,)
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2, 3])
+def test_similar_pairs_near_copies_brute_force(spark, seed):
+    """Strings with many close neighbours (random edits of each other), t = 0..4."""
+    rnd = random.Random(100 + seed)
+    alphabet = ["ab", "abc", "ab c", "aab"][seed]
+    base = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(30)]
+    words = list(base)
+    for w in base:
+        x = list(w)
+        for _ in range(rnd.randint(0, 4)):
+            pos, op = rnd.randint(0, len(x)), rnd.random()
+            if op < 0.33 and x:
+                x.pop(min(pos, len(x) - 1))
+            elif op < 0.66:
+                x.insert(pos, rnd.choice(alphabet))
+            elif x:
+                x[min(pos, len(x) - 1)] = rnd.choice(alphabet)
+        words.append("".join(x))
+    left = [(i, w, 1) for i, w in enumerate(words[::2])]
+    right = [(1000 + i, w, 1) for i, w in enumerate(words[1::2])]
+    ldf = spark.createDataFrame(left, "lid int, ltext string, lb int")
+    rdf = spark.createDataFrame(right, "rid int, rtext string, rb int")
+    for t in range(5):
+        got = {(r.lid, r.rid, r.d) for r in similar_pairs(ldf, rdf, left_text="ltext", right_text="rtext",
+                                                          keys=[("lb", "rb")], threshold=t, dist_col="d").collect()}
+        want = {(li, ri, _lev(lw, rw)) for li, lw, _ in left for ri, rw, _ in right if _lev(lw, rw) <= t}
+        assert got == want, t
