@@ -9,9 +9,10 @@ The fuzzy step finds every dimension row in the same block and year within
 Levenshtein distance ``t`` without forming all pairs in a block. It uses the
 partition (pigeonhole) filter of Pass-Join (Li, Deng, Wang, Feng; VLDB 2011):
 split each dimension string of length L into t+1 segments; a probe within
-distance t must contain one of them unchanged, shifted by at most t places.
-So the join is an equi-join on (block, year, L, segment no, segment text),
-followed by an exact ``levenshtein(a, b, t)`` check. No candidate is dropped.
+distance t must contain one of them unchanged, at a place bounded by the edits
+allowed before and after that segment and by the length gap. So the join is an
+equi-join on (block, year, L, segment no, segment text), followed by an exact
+``levenshtein(a, b, t)`` check. No candidate is dropped.
 """
 
 from __future__ import annotations
