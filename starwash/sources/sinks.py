@@ -127,6 +127,8 @@ def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), targ
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": target,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # a hot partition value is split into several files instead of one huge one
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }):
         w = out.write.mode(mode)
         if partition_by:
