@@ -100,3 +100,15 @@ def test_pipeline_salted_equals_unsalted(spark, sf_small):
     assert m1["hot_keys"] == 0 and m2["hot_keys"] > 0
     assert m1["counts"] == m2["counts"]
     assert fact_hash(r1) == fact_hash(root)
+
+
+def test_dimensions_do_not_depend_on_partitioning(spark, sf_small):
+    from starwash.operators import stage as S
+    from starwash.operators.dims import build_dimensions
+
+    res = S.clean_and_stage(dirty(spark, sf_small), OPTS)
+    staged = S.star_columns(res.staged, OPTS)
+    a = build_dimensions(staged.repartition(1))
+    b = build_dimensions(staged.repartition(7, "colour"))
+    for x, y in zip(a, b):
+        assert sorted(map(tuple, x.collect()), key=repr) == sorted(map(tuple, y.collect()), key=repr)
