@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwash.llm import packing, quality, toxicity
+from starwash.llm import near_dedup, packing, quality, toxicity
 from starwash.llm.common import id_fold, table
 
 
@@ -26,6 +26,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), quality.training_rows())
@@ -36,5 +40,6 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_packing": op4_packing,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
 }
