@@ -36,9 +36,8 @@ def text_or_empty(col: str = "text") -> Column:
 
 
 def lower_ascii(text: Column) -> Column:
-    """Lower-case A-Z only. ``lower`` agrees with that on pure ASCII and is much
-    faster than ``translate``, which is kept for the other texts."""
-    return F.when(text.rlike("[^\\x00-\\x7F]"), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
+    """Lower-case A-Z only."""
+    return F.translate(text, _UPPER, _LOWER)
 
 
 def id_fold(id_col: str, folds: int) -> Column:

@@ -1,3 +1,50 @@
 """DuckDB statements for the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op3_url_filter"] = """
+with parts as (
+  select page_id,
+    case when strpos(coalesce(url, ''), '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages),
+hosts as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from parts),
+urls as (
+  select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path
+  from hosts),
+rules(verdict, h, p) as (
+  values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits as (
+  select page_id, max(struct_pack(n := length(h || p), verdict := verdict, rule := h || p)) as best
+  from urls join rules on (host = h or host like '%.' || h) and starts_with(path, p)
+  group by page_id)
+select u.page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict
+from urls u left join fits f on u.page_id = f.page_id
+"""
+
+ORACLES["op8_decontaminate"] = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+items as (select item_id, w, least(len(w), 10) as n from b where len(w) > 0),
+item_windows as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win
+  from items, unnest(range(1, cast(len(w) - n + 2 as bigint))) t(i)),
+sizes as (select distinct n from item_windows),
+doc_windows as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win
+  from d, sizes, unnest(range(1, cast(greatest(len(w) - n + 2, 1) as bigint))) t(i)),
+hits as (select doc_id, item_id, i, d.n as n from doc_windows d join item_windows b on d.n = b.n and d.win = b.win),
+hit_words as (select doc_id, count(distinct i + k) as n_hit from hits, unnest(range(0, cast(n as bigint))) t(k) group by doc_id),
+hit_items as (
+  select doc_id, count(distinct item_id) as n_items,
+    string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as names
+  from hits group by doc_id)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit_words h on d.doc_id = h.doc_id left join hit_items i on d.doc_id = i.doc_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwash.llm import near_dedup, packing, quality, toxicity
+from starwash.llm import decontaminate, near_dedup, packing, quality, toxicity, url_filter
 from starwash.llm.common import id_fold, table
 
 
@@ -22,6 +22,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(id_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+#: (verdict, host, path); a rule fits its host and all subdomains, and paths that start with its path
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, url_filter.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file(), tokenizer_file("byte_bpe_50k.tiktoken"))
 
@@ -37,9 +52,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(id_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.mark(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
+    "op8_decontaminate": op8_decontaminate,
 }
