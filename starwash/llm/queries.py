@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwash.llm import decontaminate, near_dedup, packing, quality, toxicity, url_filter
+from starwash.llm import decontaminate, line_dedup, near_dedup, packing, quality, toxicity, url_filter
 from starwash.llm.common import id_fold, table
 
 
@@ -59,6 +59,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_url_filter": op3_url_filter,
@@ -66,4 +71,5 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op10_line_dedup": op10_line_dedup,
 }
