@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwash.llm import decontaminate, line_dedup, near_dedup, packing, quality, toxicity, url_filter
+from starwash.llm import decontaminate, fingerprint, line_dedup, near_dedup, packing, pii, quality, toxicity, url_filter
 from starwash.llm.common import id_fold, table
 
 
@@ -22,6 +22,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(id_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, pii.train(docs)).select("doc_id", "base", "spans")
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == 0)), F.size(F.filter("base", lambda s: s["kind"] == 1)),
+              F.size(F.filter("base", lambda s: s["kind"] == 2)), F.size(F.filter("base", lambda s: s["kind"] == 3))]
+    return found.select("doc_id", *[n.cast("long").alias(f"n_{k}") for k, n in zip(pii.KINDS, counts)],
+                        F.sha2(pii.spans_text("base"), 256).alias("base_sha256"), pii.spans_text("spans").alias("spans"))
+
+
 #: (verdict, host, path); a rule fits its host and all subdomains, and paths that start with its path
 URL_RULES = [
     ("allow", "org", "/"),
@@ -59,6 +68,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
@@ -66,10 +79,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_pii": op2_pii,
     "op3_url_filter": op3_url_filter,
     "op4_packing": op4_packing,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op9_fingerprint": op9_fingerprint,
     "op10_line_dedup": op10_line_dedup,
 }
