@@ -6,13 +6,14 @@ by digest bits to shards of about ``SHARD`` values, and each shard is a lookup t
 of 3 x ``CELLS`` cells: a value goes to one cell of each third, and a cell is the XOR of
 its values. The fingerprint is the list of cells, in hex; equal texts have equal ones.
 
-Two sketches of the same shape are subtracted cell by cell (XOR), which leaves a
-sketch of the paragraphs that only one of them has. Peeling recovers these: a cell
-whose check fits holds a single value, which is taken out of its other cells, round by
-round, until all cells are zero. A shard that does not peel out is built again with four
-times the cells, twice if need be; what is left then (one shard in many thousands)
-is compared value by value. With D recovered values of sets of a and b values,
-the likeness is the Jaccard similarity (a + b - D) / (a + b + D).
+Two sketches are subtracted cell by cell (XOR; the one with more shards is folded
+to the other's number first), which leaves a sketch of the paragraphs that only one of
+them has. Peeling recovers these: a cell whose check fits holds a single value, which
+is taken out of its other cells, round by round, until all cells are zero. A shard
+that does not peel out is built again with four times the cells, as four shards dealt
+by further digest bits, up to ``LEVELS`` times; what is left then is compared value by
+value. With D recovered values of sets of a and b values, the likeness is the
+Jaccard similarity (a + b - D) / (a + b + D).
 
 ``with_next`` pairs each document with the one of the next greater id, without one
 global sort: ids are cut at quantiles into ranges, each range is one window, and the
@@ -35,8 +36,9 @@ from pyspark.sql import Window as W
 from starwash.llm.common import text_or_empty
 from starwash.llm.line_dedup import lines_of
 
-SHARD, CELLS, ROUNDS = 16, 8, 8
-_ITEM = "array<struct<v:bigint,g:bigint>>"
+SHARD, CELLS, ROUNDS, LEVELS = 16, 8, 6, 5
+_ITEM = "array<struct<v:bigint,a:int,b:int,c:int>>"
+_PLACES = list(range(CELLS))
 
 
 def _let(value: Column, body) -> Column:
@@ -48,15 +50,18 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(F.lit(9), digest).bitwiseAND(F.lit(0xFFFFFF))
 
 
-def _item(v: Column) -> Column:
-    return F.struct(v.alias("v"), F.xxhash64(F.lit(3), v).alias("g"))
+def _items(values: Column) -> Column:
+    """Values with their cell in each third."""
+    hashed = F.transform(values, lambda v: F.struct(v.alias("v"), F.xxhash64(F.lit(3), v).alias("g")))
+    place = lambda x, shift: F.shiftrightunsigned(x["g"], shift).bitwiseAND(F.lit(CELLS - 1)).cast("int")
+    return F.transform(hashed, lambda x: F.struct(x["v"].alias("v"), place(x, 0).alias("a"), place(x, 16).alias("b"), place(x, 32).alias("c")))
 
 
-def paragraph_values(text: Column) -> Column:
-    """Distinct 64-bit values (digest and check) of a text's paragraphs, with cell hashes."""
+def paragraph_items(text: Column) -> Column:
+    """Distinct 64-bit values (digest and check) of a text's paragraphs, with their cells."""
     pieces = F.coalesce(lines_of(text), F.array().cast("array<string>"))
     digests = F.transform(pieces, lambda p: F.xxhash64(F.rtrim(p, F.lit(" \n\r\t"))).bitwiseAND(F.lit((1 << 40) - 1)))
-    return F.transform(F.array_distinct(digests), lambda d: _item(F.shiftleft(d, 24).bitwiseOR(_check(d))))
+    return _items(F.transform(F.array_distinct(digests), lambda d: F.shiftleft(d, 24).bitwiseOR(_check(d))))
 
 
 def shard_count(n: Column) -> Column:
@@ -64,84 +69,89 @@ def shard_count(n: Column) -> Column:
     return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n / SHARD, F.lit(1.0))))).cast("int")
 
 
-def shards(items: Column, count: Column) -> Column:
-    """Items dealt to ``count`` shards, by digest bits."""
-    return _let(F.struct(items.alias("i"), count.alias("c")), lambda x: F.transform(
-        F.sequence(F.lit(0), x["c"] - 1),
-        lambda s: F.filter(x["i"], lambda it: F.shiftrightunsigned(it["v"], 24).bitwiseAND((x["c"] - 1).cast("long")) == s)))
+def table_of(items: Column) -> Column:
+    """The cells of one shard (``items`` must be a bound value)."""
+    def third(name):
+        return F.transform(F.array(*map(F.lit, _PLACES)), lambda j: F.aggregate(
+            items, F.lit(0).cast("long"), lambda x, it: F.when(it[name] == j, x.bitwiseXOR(it["v"])).otherwise(x)))
 
+    return F.concat(third("a"), third("b"), third("c"))
 
-def _place(g: Column, shift: int, cells: int) -> Column:
-    return F.shiftrightunsigned(g, shift).bitwiseAND(F.lit(cells - 1))
 
+def sketch(items: Column) -> Column:
+    """One (items, table) per shard; shards are dealt by the digests' low bits."""
+    def dealt(x):
+        return F.transform(F.sequence(F.lit(0), x["n"] - 1), lambda s: F.filter(
+            x["i"], lambda it: F.shiftrightunsigned(it["v"], 24).bitwiseAND(x["m"]) == s))
 
-def table_of(items: Column, cells: int) -> Column:
-    """3 x ``cells`` cells of one shard (``items`` must be a bound value)."""
-    places = F.sequence(F.lit(0), F.lit(cells - 1))
-    return F.concat(*[F.transform(places, _cell_of(items, 16 * third, cells)) for third in range(3)])
+    bound = _let(items, lambda i: F.struct(i.alias("i"), shard_count(F.size(i)).alias("n"), (shard_count(F.size(i)) - 1).cast("long").alias("m")))
+    return F.transform(_let(bound, dealt), lambda i: F.struct(i.alias("i"), table_of(i).alias("t")))
 
 
-def _cell_of(items: Column, shift: int, cells: int):
-    return lambda j: F.aggregate(F.filter(items, lambda it: _place(it["g"], shift, cells) == j), F.lit(0).cast("long"),
-                                 lambda a, it: a.bitwiseXOR(it["v"]))
+def _xor(x: Column, y: Column) -> Column:
+    return F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b))
 
 
-def subtract(x: Column, y: Column) -> Column:
-    return F.zip_with(x, y, lambda a, b: a.bitwiseXOR(b))
+def _folded(sketched: Column, n: Column) -> Column:
+    """A sketch of fewer shards: shards that agree modulo n are added up."""
+    def one(s):
+        parts = F.filter(sketched, lambda x, k: F.pmod(k, n) == s)
+        return F.struct(F.flatten(F.transform(parts, lambda x: x["i"])).alias("i"),
+                        F.aggregate(F.transform(parts, lambda x: x["t"]), F.array_repeat(F.lit(0).cast("long"), 3 * CELLS), _xor).alias("t"))
+
+    return F.when(F.size(sketched) == n, sketched).otherwise(F.transform(F.sequence(F.lit(0), n - 1), one))
 
 
-def peel(cells_left: Column, cells: int) -> Column:
+def peel(cells: Column) -> Column:
     """(left, pure, found): what remains of the cells (all zero if done) and the recovered values."""
     fits = lambda v: (v != 0) & (_check(F.shiftrightunsigned(v, 24)) == v.bitwiseAND(F.lit(0xFFFFFF)))
-    start = F.struct(cells_left.alias("left"), F.array().cast(_ITEM).alias("pure"), F.array().cast("array<bigint>").alias("found"))
+    start = F.struct(cells.alias("left"), F.array().cast(_ITEM).alias("pure"), F.array().cast("array<bigint>").alias("found"))
 
     def look(state):  # find single values
-        pure = F.transform(F.array_distinct(F.filter(state["left"], fits)), _item)
+        pure = _items(F.array_distinct(F.filter(state["left"], fits)))
         return F.struct(state["left"].alias("left"), pure.alias("pure"), state["found"].alias("found"))
 
     def take(state):  # take them out of their cells
-        def without(c, k):
-            third = F.floor(k / cells).cast("int")
-            here = lambda p: _place(F.when(third == 0, p["g"]).when(third == 1, F.shiftrightunsigned(p["g"], 16))
-                                    .otherwise(F.shiftrightunsigned(p["g"], 32)), 0, cells) == F.pmod(k, F.lit(cells))
-            return F.aggregate(F.filter(state["pure"], here), c, lambda a, p: a.bitwiseXOR(p["v"]))
-
-        return F.struct(F.transform(state["left"], without).alias("left"), F.array().cast(_ITEM).alias("pure"),
+        return F.struct(_xor(state["left"], table_of(state["pure"])).alias("left"), F.array().cast(_ITEM).alias("pure"),
                         F.concat(state["found"], F.transform(state["pure"], lambda p: p["v"])).alias("found"))
 
     turns = F.array(*[F.lit(k % 2 == 0) for k in range(2 * ROUNDS)])
-    return F.aggregate(turns, start, lambda state, looking: F.when(looking, look(state)).when(
+    return F.aggregate(turns, start, lambda state, looking: F.when(
+        looking, F.when(F.exists(state["left"], lambda c: c != 0), look(state)).otherwise(state)).when(
         F.size(state["pure"]) > 0, take(state)).otherwise(state))
 
 
-def _differing(x: Column, y: Column) -> Column:
+def _differing(x: Column, y: Column, tx: Column, ty: Column, level: int = 0) -> Column:
     """Number of values that only one of two shards has, by peeling, retrying larger."""
-    def attempt(cells, otherwise):
-        return _let(peel(subtract(table_of(x, cells), table_of(y, cells)), cells),
-                    lambda r: F.when(F.forall(r["left"], lambda c: c == 0), F.size(r["found"])).otherwise(otherwise))
-
-    values = lambda s: F.transform(s, lambda it: it["v"])
-    exact = F.size(F.array_except(values(x), values(y))) + F.size(F.array_except(values(y), values(x)))
-    return attempt(CELLS, attempt(4 * CELLS, attempt(16 * CELLS, exact)))
+    if level == LEVELS:
+        values = lambda s: F.transform(s, lambda it: it["v"])
+        larger = F.size(F.array_except(values(x), values(y))) + F.size(F.array_except(values(y), values(x)))
+    else:
+        part = lambda s, k: F.filter(s, lambda it: F.shiftrightunsigned(it["v"], 62 - 2 * level).bitwiseAND(F.lit(3)) == k)
+        larger = F.aggregate(
+            F.transform(F.transform(F.array(*map(F.lit, range(4))), lambda k: F.struct(part(x, k).alias("x"), part(y, k).alias("y"))),
+                        lambda s: _differing(s["x"], s["y"], table_of(s["x"]), table_of(s["y"]), level + 1)),
+            F.lit(0), lambda a, d: a + d)
+    return _let(peel(_xor(tx, ty)), lambda r: F.when(F.forall(r["left"], lambda c: c == 0), F.size(r["found"])).otherwise(larger))
 
 
 def likeness(x: Column, y: Column) -> Column:
-    """Jaccard similarity of two texts' paragraph values, from their subtracted sketches."""
+    """Jaccard similarity of two texts' paragraph values, from their sketches."""
+    def values(s):
+        return F.aggregate(F.transform(s, lambda p: F.size(p["i"])), F.lit(0), lambda a, n: a + n)
+
     def compare(p):
-        n = F.size(p["x"]) + F.size(p["y"])
-        common = shard_count(F.greatest(F.size(p["x"]), F.size(p["y"])))
-        pairs = F.zip_with(shards(p["x"], common), shards(p["y"], common), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        return _let(F.aggregate(F.transform(pairs, lambda s: _differing(s["a"], s["b"])), F.lit(0), lambda a, d: a + d),
-                    lambda d: F.when(n == 0, 1.0).otherwise((n - d) / (n + d)))
+        pairs = F.zip_with(_folded(p["x"], p["n"]), _folded(p["y"], p["n"]), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        differ = F.aggregate(F.transform(pairs, lambda s: _differing(s["a"]["i"], s["b"]["i"], s["a"]["t"], s["b"]["t"])), F.lit(0), lambda a, d: a + d)
+        return _let(F.struct(differ.alias("d"), (values(p["x"]) + values(p["y"])).alias("n")),
+                    lambda r: F.when(r["n"] == 0, 1.0).otherwise((r["n"] - r["d"]) / (r["n"] + r["d"])))
 
-    return _let(F.struct(x.alias("x"), y.alias("y")), compare)
+    return _let(F.struct(x.alias("x"), y.alias("y"), F.least(F.size(x), F.size(y)).alias("n")), compare)
 
 
-def fingerprint(items: Column) -> Column:
+def fingerprint(sketched: Column) -> Column:
     """The sketch's cells in hex, shard by shard."""
-    return _let(items, lambda i: F.array_join(F.transform(
-        shards(i, shard_count(F.size(i))),
-        lambda s: F.array_join(F.transform(table_of(s, CELLS), lambda c: F.lpad(F.hex(c), 16, "0")), "")), ""))
+    return F.array_join(F.transform(sketched, lambda s: F.array_join(F.transform(s["t"], lambda c: F.lpad(F.hex(c), 16, "0")), "")), "")
 
 
 def with_next(documents: DataFrame, ranges: int = 4096, range_rows: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,8 +189,7 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row: fingerprints of the text and its edited text, and their likenesses."""
     rows = with_next(documents, id_col=id_col, text_col=text_col).withColumn("edited", edited(F.col("text"), F.col("next_text")))
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-                       paragraph_values(F.col("text")).alias("t"), paragraph_values(F.col("edited")).alias("e"),
-                       paragraph_values(F.col("next_text")).alias("n"))
+                       *[sketch(paragraph_items(F.col(c))).alias(n) for c, n in (("text", "t"), ("edited", "e"), ("next_text", "n"))])
     return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("t")).alias("fingerprint"),
                        fingerprint(F.col("e")).alias("edited_fingerprint"),
                        likeness(F.col("t"), F.col("e")).alias("near_edited"), likeness(F.col("t"), F.col("n")).alias("near_next"))
