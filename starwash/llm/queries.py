@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwash.llm import decontaminate, fingerprint, line_dedup, near_dedup, packing, pii, quality, toxicity, url_filter
+from starwash.llm import decontaminate, fingerprint, html_text, line_dedup, near_dedup, packing, pii, quality, toxicity, url_filter
 from starwash.llm.common import id_fold, table
 
 
@@ -61,6 +61,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(id_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.train(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.mark(docs, table(spark, sf_dir, "benchmark")).select(
@@ -84,6 +89,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
+    "op7_html_text": op7_html_text,
     "op8_decontaminate": op8_decontaminate,
     "op9_fingerprint": op9_fingerprint,
     "op10_line_dedup": op10_line_dedup,
