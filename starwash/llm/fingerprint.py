@@ -167,10 +167,10 @@ def with_next(documents: DataFrame, ranges: int = 4096, range_rows: int = 4096,
                         lambda at, s: F.when(F.get(border, at + s - 1) < F.col("doc_id"), at + s).otherwise(at))
     in_range = F.when(F.col("doc_id").isNull(), -1).otherwise(found)
     rows = rows.withColumn("r", in_range)
-    first = {x["r"]: x["i"] for x in rows.groupBy("r").agg(F.min("doc_id").alias("i")).collect()}  # at most ranges + 1 rows
-    order = sorted(first)
-    heads = documents.sparkSession.createDataFrame(
-        [(first[r], order[k - 1], r) for k, r in enumerate(order)], "i long, before int, head int")
+    # at most ranges + 2 rows: each range with its first id, and the range before it (the last one, for the first)
+    heads = rows.groupBy("r").agg(F.min("doc_id").alias("i"))
+    heads = heads.select("i", F.col("r").alias("head"), F.coalesce(
+        F.lag("r").over(W.orderBy("r")), F.max("r").over(W.orderBy("r").rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("before"))
     head = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("r") == F.col("head")))
     head = head.groupBy("before").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x"))
     added = head.select(F.lit(None).cast("long").alias("doc_id"), F.col("x.text").alias("text"), F.col("before").alias("r"), F.lit(1).alias("last"))

@@ -28,7 +28,8 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
     """Rules as rows (verdict, host, path)."""
-    return spark.createDataFrame(rules, "verdict string, host string, path string")
+    listed = F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules])
+    return spark.range(1).select(F.inline(listed if rules else listed.cast("array<struct<verdict:string,host:string,path:string>>")))
 
 
 def url_parts(url):
