@@ -71,7 +71,6 @@ DEFAULT_FUZZY_THRESHOLD = 3
 
 # File sizing defaults.
 DEFAULT_TARGET_MB = 128.0
-DEFAULT_MAX_FILES = 200
 
 # ---- corrected variants (options, never defaults) --------------------------
 

@@ -20,7 +20,7 @@ from .dims import build_dimensions
 from .fact import assemble_fact
 from .keys import surrogate_keys
 from .resolve import best_match, registration_map, resolve_vehicles, similar_pairs
-from .stage import CleanOptions, clean_and_stage, rejects, star_columns
+from .stage import CleanOptions, clean_and_stage, star_columns
 
 __all__ = [
     "clean", "dedupe", "dims", "fact", "keys", "quality", "resolve", "stage",
@@ -28,5 +28,5 @@ __all__ = [
     "misalignment", "missing_key", "model_tokens", "parse_dates", "repair_office", "valid_dates",
     "valid_key", "keep_latest", "build_dimensions", "assemble_fact", "surrogate_keys",
     "best_match", "registration_map", "resolve_vehicles", "similar_pairs",
-    "CleanOptions", "clean_and_stage", "rejects", "star_columns",
+    "CleanOptions", "clean_and_stage", "star_columns",
 ]

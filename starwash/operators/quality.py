@@ -105,8 +105,8 @@ def mandatory_keys(fact: DataFrame, keys: Sequence[str] = ("VEHICLE_ID", "RTA_ID
 
 
 def date_key_format(fact: DataFrame, column: str = "REGISTRATION_ISSUE_DATE_ID") -> DataFrame:
-    """DQ8: date ids whose text is not 8 digits long."""
-    ok = F.length(F.col(column).cast("string")) == 8
+    """DQ8: date ids whose text is not 8 digits long (a null id is not)."""
+    ok = F.coalesce(F.length(F.col(column).cast("string")) == 8, F.lit(False))
     return fact.agg(F.count(F.lit(1)).alias("checked"), count_if(~ok).alias("failed"))
 
 

@@ -98,22 +98,6 @@ def star_columns(staged: DataFrame, opts: CleanOptions = CleanOptions()) -> Data
     return surrogate_keys(clean.emission_standard(staged, pattern=opts.emission_pattern))
 
 
-def rejects(result: Staged, raw_columns: list[str]) -> DataFrame:
-    """One frame of rejected rows with a ``reject_reason`` (raw columns only)."""
-    parts = [
-        (result.missing, MISSING_KEY),
-        (result.duplicates, DUPLICATE),
-        (result.invalid, INVALID_DATE),
-    ]
-    out = None
-    for frame, reason in parts:
-        piece = frame.select(*[F.col(f"`{c}`") for c in raw_columns]).withColumn(
-            REJECT_REASON, F.lit(reason)
-        )
-        out = piece if out is None else out.unionByName(piece)
-    return out
-
-
 def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions(), salt: bool = True) -> DataFrame:
     """Every input row once, tagged with ``reject_reason``.
 

@@ -323,7 +323,7 @@ ORACLES: dict[str, str] = {
         "FROM resmap"),
     "dq_fk_null": with_chain(_checked_failed("fact", "VEHICLE_ID IS NULL OR RTA_ID IS NULL")),
     "dq_date_key": with_chain(_checked_failed(
-        "fact", "length(CAST(REGISTRATION_ISSUE_DATE_ID AS VARCHAR)) <> 8")),
+        "fact", "REGISTRATION_ISSUE_DATE_ID IS NULL OR length(CAST(REGISTRATION_ISSUE_DATE_ID AS VARCHAR)) <> 8")),
     "dq_fk_orphans": with_chain(f"""{_orphans('VEHICLE_ID', 'fact', 'dim_vehicle', 'VEHICLE_ID')}
         UNION ALL {_orphans('MANUFACTURER_ID', 'fact', 'dim_manufacturer', 'MANUFACTURER_ID')}
         UNION ALL {_orphans('RTA_ID', 'fact', 'dim_office', 'RTA_ID')}"""),

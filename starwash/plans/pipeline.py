@@ -72,7 +72,7 @@ def needs_landing(df: DataFrame) -> bool:
 
 
 def _observed(obs: Observation, names, written: DataFrame) -> dict:
-    """The observed metrics, or zeros when the written output is empty.
+    """The observed metrics, or zeros when this run's rows ``written`` are none.
 
     AQE replaces a plan over empty input with an empty relation, so the
     metrics collector never runs; any other failure is raised.
@@ -89,6 +89,21 @@ def _observed(obs: Observation, names, written: DataFrame) -> dict:
     return {n: 0 for n in names}
 
 
+def _exists(spark, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _without_known(dim: DataFrame, path: str, output_format: str) -> DataFrame:
+    """Rows of ``dim`` whose id (its first column) the table at ``path`` does not have yet."""
+    spark, key = dim.sparkSession, dim.columns[0]
+    if not _exists(spark, path):
+        return dim
+    known = (spark.read.option("header", "true").csv(path) if output_format == "csv"
+             else spark.read.format(output_format).schema(dim.schema).load(path))
+    return dim.join(known.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_anti")
+
+
 def _delete(spark, path: str) -> None:
     """Remove a work folder through the Hadoop FileSystem of its path."""
     jvm = spark.sparkContext._jvm
@@ -122,7 +137,8 @@ def run_registrations_etl(
     spark = raw.sparkSession
     run_id = run_id or f"run_{int(time.time())}_{uuid.uuid4().hex[:6]}"
     root = output_root.rstrip("/")
-    work = work_dir or work_path(spark, f"etl-{run_id}")
+    # a folder of this run's own: only that is removed at the end, never what the caller passed
+    work = f"{work_dir.rstrip('/')}/{run_id}-{uuid.uuid4().hex[:8]}" if work_dir else work_path(spark, f"etl-{run_id}")
     metrics: dict = {
         "run_id": run_id,
         "config": {"output_root": root, "mode": mode, "target_mb": target_mb,
@@ -177,22 +193,24 @@ def run_registrations_etl(
 
         staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON, PID)
 
-        # 3. dimensions
+        # 3. dimensions: computed once into the work folder, then the ids that are
+        #    not there yet are written (in append mode; all of them otherwise)
         dims = D.build_dimensions(staged, order_by=(options.key,))
-        dim_paths = {}
+        dim_paths, of_run = {}, {}
         for name, frame in (("gold_dim_vehicle", dims.vehicle), ("gold_dim_manufacturer", dims.manufacturer),
                             ("gold_dim_rta", dims.office)):
+            of_run[name] = sinks.write_then_read(frame, f"{work}/{name}")
+            new = of_run[name]
+            if mode == "append":
+                new = _without_known(new, f"{root}/{name}", output_format)
             obs = Observation(name)
-            dim_paths.update(sinks.write_star({name: frame.observe(obs, F.count(F.lit(1)).alias("rows"))},
+            dim_paths.update(sinks.write_star({name: new.observe(obs, F.count(F.lit(1)).alias("rows"))},
                                               root, mode=mode, output_format=output_format))
-            written = (read_parquet(spark, dim_paths[name], frame.schema) if output_format == "parquet"
-                       else spark.read.option("header", "true").csv(dim_paths[name]))
-            counts[f"{name[5:]}_rows"] = _observed(obs, ["rows"], written)["rows"]
+            counts[f"{name[5:]}_rows"] = _observed(obs, ["rows"], new)["rows"]
         lap("dimensions")
 
-        # 4. resolution map over distinct vehicles, against the written dimension
-        dim_vehicle = (read_parquet(spark, dim_paths["gold_dim_vehicle"], dims.vehicle.schema)
-                       if output_format == "parquet" else dims.vehicle)
+        # 4. resolution map over distinct vehicles, against this run's dimension
+        dim_vehicle = of_run["gold_dim_vehicle"]
         vehicle_map = sinks.write_then_read(resolve_vehicles(staged, dim_vehicle, fuzzy_threshold),
                                             f"{work}/vehicle_map")
         lap("resolution")
@@ -209,9 +227,7 @@ def run_registrations_etl(
         fact_path = f"{root}/gold_fact_registrations"
         files, nbytes = sinks.write_sized(measured, fact_path, partition_by=["REGISTRATION_YEAR"],
                                           target_mb=target_mb, mode=mode, output_format=output_format)
-        fact_out = (read_parquet(spark, fact_path, measured.schema) if output_format == "parquet"
-                    else spark.read.option("header", "true").csv(fact_path))
-        got = _observed(obs_fact, ["fact_rows", "exact_matches", "fuzzy_matches"], fact_out)
+        got = _observed(obs_fact, ["fact_rows", "exact_matches", "fuzzy_matches"], staged)
         lap("fact")
         counts.update(fact_rows=got["fact_rows"], exact_matches=got["exact_matches"],
                       fuzzy_matches=got["fuzzy_matches"],

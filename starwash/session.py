@@ -68,8 +68,8 @@ def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, shuffle_expan
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables.
 
-    Read from ``spark.checkpoint.dir``. Only when that is unset (local tests)
-    a folder is created and registered as the checkpoint dir.
+    Read from ``spark.checkpoint.dir``. Only when that is unset and the master
+    is local, a temporary folder is registered; a cluster without it is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -78,6 +78,8 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     key = id(sc)
     if key not in _FALLBACK_ROOTS:
         _FALLBACK_ROOTS[key] = tempfile.mkdtemp(prefix="starwash-ckpt-")
@@ -95,9 +97,4 @@ def check_session(spark: SparkSession):
     return spark.sql("select current_date() as today").collect()[0]["today"]
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["local_session", "scale_conf", "shared_root", "work_path", "check_session", "local_path"]
+__all__ = ["local_session", "scale_conf", "shared_root", "work_path", "check_session"]

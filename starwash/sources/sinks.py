@@ -181,8 +181,11 @@ def write_metrics(spark: SparkSession, metrics: dict, path: str) -> DataFrame:
         "counts_json": json.dumps(metrics.get("counts", {}), sort_keys=True, default=str),
         "config_json": json.dumps(metrics.get("config", {}), sort_keys=True, default=str),
         "writes_json": json.dumps(metrics.get("writes", {}), sort_keys=True, default=str),
+        "step_json": json.dumps(metrics.get("step_sec", {}), sort_keys=True, default=str),
+        "elapsed_sec": flat.get("elapsed_sec"),
         "error": flat.get("error"),
     }
-    df = spark.createDataFrame([row], "run_id string, counts_json string, config_json string, writes_json string, error string")
+    df = spark.createDataFrame([row], "run_id string, counts_json string, config_json string, writes_json string, "
+                               "step_json string, elapsed_sec double, error string")
     df.write.mode("append").json(path)
     return df

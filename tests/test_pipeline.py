@@ -112,3 +112,24 @@ def test_dimensions_do_not_depend_on_partitioning(spark, sf_small):
     b = build_dimensions(staged.repartition(7, "colour"))
     for x, y in zip(a, b):
         assert sorted(map(tuple, x.collect()), key=repr) == sorted(map(tuple, y.collect()), key=repr)
+
+
+def test_append_runs_keep_ids_unique_and_fact_rows_single(spark, sf_small, tmp_path):
+    from starwash.plans import DIRTY_TIE_BREAK, dirty, run_registrations_etl
+    from starwash.operators.stage import CleanOptions
+
+    work = tmp_path / "work"
+    work.mkdir()
+    (work / "mine.txt").write_text("keep")
+    src, root = dirty(spark, sf_small), str(tmp_path / "star")
+    opts = dict(output_root=root, mode="append", options=CleanOptions(tie_break=DIRTY_TIE_BREAK), conform_input=False, work_dir=str(work))
+    one = run_registrations_etl(src, **opts)
+    two = run_registrations_etl(src, **opts)
+    none = run_registrations_etl(src.limit(0), **opts)
+    assert one["counts"]["fact_rows"] == two["counts"]["fact_rows"] > 0 and none["counts"]["fact_rows"] == 0
+    assert two["counts"]["dim_vehicle_rows"] == 0
+    dim = spark.read.parquet(f"{root}/gold_dim_vehicle")
+    assert dim.count() == dim.select("VEHICLE_ID").distinct().count() == one["counts"]["dim_vehicle_rows"]
+    assert spark.read.parquet(f"{root}/gold_fact_registrations").count() == 2 * one["counts"]["fact_rows"]
+    assert (work / "mine.txt").read_text() == "keep" and [p.name for p in work.iterdir()] == ["mine.txt"]
+    assert spark.read.json(f"{root}/metrics").filter("step_json like '%stage%'").count() == 3
