@@ -3,7 +3,7 @@ physical plans, not on timings)."""
 
 import pytest
 
-import __spark_entry__ as E
+from starwash.plans.catalog import QUERIES
 from starwash.operators import stage as S
 from starwash.plans import DIRTY_TIE_BREAK, dirty
 from starwash.plans.fixtures import table
@@ -22,9 +22,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_cartesian_or_python_in_plans(spark, sf_small, name):
-    plan = _plan(E.queries()[name](spark, sf_small))
+    plan = _plan(QUERIES[name](spark, sf_small))
     assert not any(tok in plan for tok in FORBIDDEN), name
 
 
@@ -39,7 +39,7 @@ def test_stage_plan_shape(spark, sf_small):
 
 
 def test_narrow_scans_are_pruned(spark, sf_small):
-    plan = E.queries()["date_parts"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["date_parts"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
