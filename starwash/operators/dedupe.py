@@ -1,14 +1,19 @@
-"""Keep one row per key under a stated total order (WIN1, FLT3, AGG5).
+"""Keep one row per key under a stated total order (WIN1, FLT3, AGG5, JN3).
 
-The winner per key is a ``row_number() = 1`` window: Catalyst plans it with a
+The kept rows alone are a ``row_number() = 1`` window: Catalyst plans it with a
 partial ``WindowGroupLimit`` before the shuffle, so a key that holds a third of
 all rows still sends at most one row per map partition across the network.
 
-The removed rows (``row_number > 1``) are found without a window over the whole
-key: every row is joined to its key's winner (AQE splits a hot key on the row
-side) and compared with it. Rows that differ are removed. Rows identical to the
-winner ("copies") are all removed but one; they are counted per input
-partition, so no task ever holds a whole hot group of copies.
+Where the removed rows are wanted too, every row is ranked in two windows over
+one scan, always by the same plan:
+
+1. rows are ranked within (key, bucket). The bucket is a hash of the row and its
+   input partition, so neither a hot key nor a flood of identical rows shares
+   one. All but the first of a bucket are removed.
+2. the buckets' first rows are ranked within the key: at most ``spread`` rows of
+   any key. The others ride along in their bucket, so no task takes a hot key.
+
+Keys may have any comparable type; rows with a null key form one group.
 """
 
 from __future__ import annotations
@@ -18,13 +23,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType
+from pyspark.sql.types import MapType
 
-WIN = "_winner"
-# rows of one key a join task may take before the key is salted
-HOT_ROWS = 1_000_000
-PID = "_pid"
-COPY = "_copy"
+FIRST = "_first"
 
 
 class Deduped(NamedTuple):
@@ -36,137 +37,59 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _orderable(df: DataFrame, exclude: set[str]) -> list[str]:
-    return [
-        f.name
-        for f in df.schema.fields
-        if f.name not in exclude and not isinstance(f.dataType, (MapType, ArrayType))
-    ]
+def _comparable(df: DataFrame) -> list[tuple[str, Column]]:
+    """(name, value) of every column; a map as its sorted entries."""
+    return [(f.name, F.array_sort(F.map_entries(_q(f.name))) if isinstance(f.dataType, MapType) else _q(f.name))
+            for f in df.schema.fields]
 
 
 def total_order(df: DataFrame, key: str, order: Sequence[Column]) -> list[Column]:
-    """``order`` followed by every other orderable column ascending.
+    """``order`` followed by every other column ascending.
 
     With this tie-break only identical rows tie, so the winner's values are
     deterministic whatever the physical row order.
     """
-    return [*order, *[_q(n).asc_nulls_first() for n in _orderable(df, {key})]]
+    return [*order, *[value.asc_nulls_first() for name, value in _comparable(df) if name != key]]
 
 
 def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """The first row per key under ``order`` (plus the all-column tie-break)."""
-    w = Window.partitionBy(key).orderBy(*total_order(df, key, order))
+    w = Window.partitionBy(_q(key)).orderBy(*total_order(df, key, order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and how many salts each needs.
+def mark_first(df: DataFrame, key: str, order: Sequence[Column], spread: int | None = None,
+               apart: Column | None = None) -> DataFrame:
+    """``df`` plus ``_first``: true for exactly one row per key, its first under ``order``.
 
-    A hash count over the key column alone (map-side combined). The result has
-    at most ``rows / hot_rows`` entries: a proven bound, which is why it is
-    broadcast.
-    """
-    k = _q(key)
-    return (
-        df.select(k.isNull().alias("_hkn"), F.coalesce(k, F.lit("")).alias("_hkv"))
-        .groupBy("_hkn", "_hkv").agg(F.count(F.lit(1)).alias("_hn"))
-        .filter(F.col("_hn") > hot_rows)
-        .select("_hkn", "_hkv", F.ceil(F.col("_hn") / F.lit(hot_rows)).cast("int").alias("_salts"))
-    )
-
-
-def tag_against_winners(df: DataFrame, kept: DataFrame, key: str, join_key: Column | None = None,
-                        hot_rows: int = HOT_ROWS, salt: bool = True) -> DataFrame:
-    """``df`` plus ``_copy`` (row equals its key's winner) and ``_pid``.
-
-    Each row is joined to its key's winner. Keys with more than ``hot_rows``
-    rows are salted: their rows get a salt from (row hash, input partition)
-    and the winner row is repeated once per salt, so no join task takes more
-    than about ``hot_rows`` rows of one key. Null keys match the null-key
-    winner. ``join_key`` replaces the key on the ``df`` side (used to spread
-    rows that have no usable key; they then meet no winner). ``_pid``, the
-    input partition of a row, is kept for counting identical copies.
-    ``salt=False`` (the caller has checked that no key exceeds ``hot_rows``)
-    joins on the key alone, so the winners keep their window partitioning.
-    """
-    cols = df.columns
-    row = F.struct(*[_q(n) for n in cols])
-    left = df.withColumn(PID, F.spark_partition_id()).withColumns({
-        "_kn": _q(key).isNull() if join_key is None else F.lit(False),
-        "_kv": F.coalesce(_q(key), F.lit("")) if join_key is None else join_key,
-    })
-    win = kept.select(_q(key).isNull().alias("_wkn"), F.coalesce(_q(key), F.lit("")).alias("_wkv"), row.alias(WIN))
-    if not salt:
-        on = (F.col("_kn") == F.col("_wkn")) & (F.col("_kv") == F.col("_wkv"))
-        return (
-            left.join(win, on, "left")
-            .withColumn(COPY, F.coalesce(row.eqNullSafe(F.col(WIN)), F.lit(False)))
-            .drop("_kn", "_kv", "_wkn", "_wkv", WIN)
-        )
-    # broadcast on purpose: at most rows/hot_rows entries (<= 1e6 for 1e12 rows at the
-    # default), and joining rows to it by shuffle would put a hot key in one task
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    left = (
-        left.join(hot, (F.col("_kn") == F.col("_hkn")) & (F.col("_kv") == F.col("_hkv")), "left")
-        .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                    .otherwise(F.pmod(F.xxhash64(row, F.col(PID)), F.col("_salts")).cast("int")))
-        .drop("_hkn", "_hkv", "_salts")
-    )
-    win = (
-        win.join(hot, (F.col("_wkn") == F.col("_hkn")) & (F.col("_wkv") == F.col("_hkv")), "left")
-        .withColumn("_wsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)))
-        .drop("_hkn", "_hkv", "_salts")
-    )
-    on = ((F.col("_kn") == F.col("_wkn")) & (F.col("_kv") == F.col("_wkv"))
-          & (F.col("_salt") == F.col("_wsalt")))
-    return (
-        left.join(win, on, "left")
-        .withColumn(COPY, F.coalesce(row.eqNullSafe(F.col(WIN)), F.lit(False)))
-        .drop("_kn", "_kv", "_salt", "_wkn", "_wkv", "_wsalt", WIN)
-    )
-
-
-def surplus_copies(copies: DataFrame, key: str) -> DataFrame:
-    """All but one of each key's identical copies (input: copy rows with ``_pid``).
-
-    Copies are counted per (key, input partition) by a hash count over those
-    two columns. Usually every key has one copy (the winner itself) and
-    nothing goes on. For keys with more, the copy rows are joined back on
-    (key, input partition), so a flood of identical rows stays spread over
-    the partitions it was read in, and one row of the key's first partition
-    is kept.
+    ``spread`` is the number of buckets that a key's rows are ranked in first
+    (default: the session's shuffle partitions, so a hot key fills all tasks
+    alike). Rows that meet ``apart`` are in no group: they are never first, and
+    are spread over the tasks like a hot key.
     """
-    cols = [c for c in copies.columns if c not in (PID, COPY)]
-    per_part = Window.partitionBy("_ckey")
-    counts = (
-        copies.groupBy(_q(key).alias("_ckey"), F.col(PID).alias("_cpid")).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_total", F.sum("_n").over(per_part))
-        .withColumn("_first", F.col("_cpid") == F.min("_cpid").over(per_part))
-        .filter(F.col("_total") > 1)
-        .select("_ckey", "_cpid", "_first")
-    )
-    candidates = copies.join(counts, _q(key).eqNullSafe(F.col("_ckey")) & (F.col(PID) == F.col("_cpid")), "inner")
-    in_group = Window.partitionBy("_ckey", "_cpid").orderBy(F.lit(1))
-    return (
-        candidates.withColumn("_rn", F.row_number().over(in_group))
-        .filter(~(F.col("_first") & (F.col("_rn") == 1)))
-        .select(*[_q(n) for n in cols])
-    )
-
-
-def removed_rows(df: DataFrame, kept: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every row of ``df`` except one per key equal to that key's row in ``kept``."""
-    cols = df.columns
-    tagged = tag_against_winners(df, kept, key, hot_rows=hot_rows)
-    others = tagged.filter(~F.col(COPY)).select(*[_q(n) for n in cols])
-    return others.unionByName(surplus_copies(tagged.filter(F.col(COPY)), key))
-
-
-def keep_latest(df: DataFrame, key: str, order: Sequence[Column], hot_rows: int = HOT_ROWS) -> Deduped:
+    buckets = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = total_order(df, key, order)
+    apart = F.lit(False) if apart is None else F.coalesce(apart, F.lit(False))
+    row = F.xxhash64(F.spark_partition_id(), *[value for _, value in _comparable(df)])
+    x = df.withColumns({"_apart": apart, "_bucket": F.pmod(row, F.lit(buckets)).cast("int")})
+    group = F.when(~F.col("_apart"), _q(key))
+    x = x.withColumn("_rn", F.row_number().over(Window.partitionBy("_apart", group, "_bucket").orderBy(*by)))
+    final = (F.col("_rn") == 1) & ~F.col("_apart")
+    x = x.withColumn("_slot", F.when(final, F.lit(-1)).otherwise(F.col("_bucket")))
+    x = x.withColumn("_rank", F.row_number().over(Window.partitionBy("_apart", group, "_slot").orderBy(*by)))
+    return x.withColumn(FIRST, (F.col("_slot") == -1) & (F.col("_rank") == 1)).drop(
+        "_apart", "_bucket", "_rn", "_slot", "_rank")
+
+
+def removed_rows(df: DataFrame, key: str, order: Sequence[Column], spread: int | None = None) -> DataFrame:
+    """Every row of ``df`` except the first per key."""
+    return mark_first(df, key, order, spread).filter(~F.col(FIRST)).drop(FIRST)
+
+
+def keep_latest(df: DataFrame, key: str, order: Sequence[Column], spread: int | None = None) -> Deduped:
     """Split ``df`` into the first row per key and the rows removed.
 
     ``order`` is the preference, e.g. ``[F.col('from_date').desc_nulls_last()]``.
     Rows with a null key form one group, as in a window partition.
     """
-    kept = winners(df, key, order)
-    return Deduped(kept, removed_rows(df, kept, key, hot_rows))
+    return Deduped(winners(df, key, order), removed_rows(df, key, order, spread))

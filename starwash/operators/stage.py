@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..functions import rules as R
 from . import clean
-from .dedupe import COPY, HOT_ROWS, keep_latest, tag_against_winners, winners
+from .dedupe import FIRST, keep_latest, mark_first
 from .keys import surrogate_keys
 
 REJECT_REASON = "reject_reason"
@@ -24,8 +24,6 @@ MISSING_KEY = "missing_key"
 DUPLICATE = "duplicate"
 INVALID_DATE = "invalid_date"
 STAGED = "staged"
-# rows identical to their key's winner; all but one are duplicates
-WINNER_COPY = "winner_copy"
 
 
 @dataclass(frozen=True)
@@ -35,7 +33,8 @@ class CleanOptions:
     ``dedupe_order``: ``"raw"`` sorts the raw issue-date string (reference
     behaviour); ``"latest_valid"`` sorts by the parsed date first.
     ``tie_break``: extra ascending columns after the issue date.
-    ``hot_rows``: rows of one key a join task may take before the key is salted.
+    ``spread``: buckets that a key's rows are ranked in first when duplicates
+    are marked (default: the session's shuffle partitions).
     """
 
     key: str = "reg_no"
@@ -46,7 +45,7 @@ class CleanOptions:
     fuel_rules: tuple = R.FUEL_RULES
     emission_pattern: str = R.EMISSION_PATTERN
     date_shapes: tuple = field(default=R.DATE_SHAPES)
-    hot_rows: int = HOT_ROWS
+    spread: int | None = None
 
 
 class Staged(NamedTuple):
@@ -68,7 +67,7 @@ def dedupe_order(opts: CleanOptions):
 def dedupe(df: DataFrame, opts: CleanOptions = CleanOptions()):
     """Missing-key split plus keep-latest: ``(missing, kept, removed)``."""
     missing = clean.missing_key(df, opts.key)
-    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts), opts.hot_rows)
+    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts), opts.spread)
     return missing, kept, removed
 
 
@@ -98,54 +97,37 @@ def star_columns(staged: DataFrame, opts: CleanOptions = CleanOptions()) -> Data
     return surrogate_keys(clean.emission_standard(staged, pattern=opts.emission_pattern))
 
 
-def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions(), salt: bool = True) -> DataFrame:
+def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """Every input row once, tagged with ``reject_reason``.
 
-    Reasons: missing_key, duplicate, winner_copy, invalid_date, staged. Kept
-    rows (invalid_date, staged) carry the derived columns; staged rows also
-    the star columns. Built so that each heavy subplan has one consumer: the
-    rows are joined to the per-key winners once, and the winners feed the
-    repair/parse chain once. ``winner_copy`` rows keep ``_pid`` so that all
-    but one copy can be marked later (``dedupe.surplus_copies``). ``salt=False``
-    is for callers that checked that no key has more than ``opts.hot_rows`` rows.
+    Reasons: missing_key, duplicate, invalid_date, staged. Kept rows
+    (invalid_date, staged) carry the derived columns; staged rows also the star
+    columns. The input is read once; rows without a key ride through the same
+    windows, spread over all tasks. Rejected rows are nulls to the repair and
+    parse chain, so it costs them nothing, and they leave as they came.
     """
-    valid = clean.valid_key(raw, opts.key)
-    kept = winners(valid, opts.key, dedupe_order(opts))
-    # every row goes through one join to its key's winner; rows without a key
-    # get a spread-out join key (input partition + row hash), so a flood of
-    # null or blank keys never lands on one reducer, and they are tagged by
-    # their own key first, whatever they happen to meet
+    columns = raw.columns
     no_key = X.blank(opts.key)
-    spread = F.concat_ws(":", F.lit("\u0001"), F.spark_partition_id().cast("string"),
-                         F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]).cast("string"))
-    rows = tag_against_winners(raw, kept, opts.key, join_key=F.when(no_key, spread).otherwise(F.col(opts.key)),
-                               hot_rows=opts.hot_rows, salt=salt)
-    rows = rows.withColumn(
-        REJECT_REASON,
-        F.when(no_key, F.lit(MISSING_KEY)).when(F.col(COPY), F.lit(WINNER_COPY)).otherwise(F.lit(DUPLICATE)),
-    ).drop(COPY)
-    parsed = repair_and_parse(kept, opts)
-    is_staged = F.col("from_date_parsed").isNotNull()
-    x = finish_stage(parsed.withColumn("_make_year_raw", F.col("make_year")), opts)
-    x = star_columns(x, opts).withColumns({
-        # invalid-date rows leave with their raw make year, as the reference's quarantine
-        "make_year": F.when(is_staged, F.col("make_year")).otherwise(F.col("_make_year_raw")),
-        REJECT_REASON: F.when(is_staged, F.lit(STAGED)).otherwise(F.lit(INVALID_DATE)),
-    }).drop("_make_year_raw")
-    return rows.unionByName(x, allowMissingColumns=True)
-
-
-def quarantine(tagged: DataFrame, raw_columns: list[str], key: str = "reg_no") -> DataFrame:
-    """Rejected rows from a (written) ``tagged_rows`` table, raw columns plus reason.
-
-    Of the ``winner_copy`` rows all but one per key are duplicates; the rest
-    are read by reason (partition pruning when the table is partitioned).
-    """
-    from .dedupe import PID, surplus_copies
-
-    reason = F.col(REJECT_REASON)
-    bad = tagged.filter(reason.isin(MISSING_KEY, DUPLICATE, INVALID_DATE)).select(
-        *[F.col(f"`{c}`") for c in raw_columns], REJECT_REASON)
-    copies = tagged.filter(reason == WINNER_COPY).select(*[F.col(f"`{c}`") for c in raw_columns], PID)
-    surplus = surplus_copies(copies, key).withColumn(REJECT_REASON, F.lit(DUPLICATE))
-    return bad.unionByName(surplus)
+    rows = mark_first(raw, opts.key, dedupe_order(opts), opts.spread, apart=no_key)
+    kept = F.col(FIRST)
+    rows = rows.select(
+        FIRST, no_key.alias("_no_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_raw"),
+        *[F.when(kept, F.col(f"`{c}`")).alias(c) for c in columns])
+    x = repair_and_parse(rows, opts)
+    x = finish_stage(x.withColumn("_make_year_raw", F.col("make_year")), opts)
+    x = star_columns(x, opts)
+    dated = F.col("from_date_parsed").isNotNull()
+    derived = [c for c in x.columns if c not in (*columns, FIRST, "_no_key", "_raw", "_make_year_raw")]
+    # invalid-date rows leave with their raw make year, as the reference's quarantine
+    value = {c: F.col(f"`{c}`") for c in columns}
+    value["make_year"] = F.when(dated, F.col("make_year")).otherwise(F.col("_make_year_raw"))
+    reason = (F.when(F.col("_no_key"), MISSING_KEY).when(~kept, DUPLICATE).when(dated, STAGED).otherwise(INVALID_DATE))
+    return x.select(
+        *[F.when(kept, value[c]).otherwise(F.col("_raw").getField(c)).alias(c) for c in columns],
+        reason.alias(REJECT_REASON), *[F.when(kept, F.col(c)).alias(c) for c in derived])
+
+
+def quarantine(tagged: DataFrame, raw_columns: list[str]) -> DataFrame:
+    """Rejected rows of a (written) ``tagged_rows`` table, raw columns plus reason
+    (a pruned read where the table is partitioned by reason)."""
+    return tagged.filter(F.col(REJECT_REASON) != STAGED).select(*[F.col(f"`{c}`") for c in raw_columns], REJECT_REASON)

@@ -19,6 +19,7 @@ from ..operators import clean as C
 from ..operators import dims as D
 from ..operators import quality as Q
 from ..operators import stage as S
+from ..operators.dedupe import keep_latest
 from ..operators.fact import FACT_COLUMNS, assemble_fact
 from ..operators.resolve import (
     VEHICLE,
@@ -61,13 +62,6 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return sinks.write_then_read(df, work_path(df.sparkSession, name))
 
 
-def _landed_dirty(spark, sf):
-    """The dirty view written once, for plans that read their input several
-    times (winners, rows joined to winners, key counts) - as the pipeline
-    lands a derived input."""
-    return _written(dirty(spark, sf), "dirty")
-
-
 def _staged_table(spark, sf):
     """Staged rows with star columns, written once (for chains with several consumers)."""
     return _written(_staged(spark, sf)[1], "staged")
@@ -105,7 +99,7 @@ def q_latest_per_key(spark, sf):
 
 
 def q_duplicates_removed(spark, sf):
-    return S.dedupe(_landed_dirty(spark, sf), OPTS)[2]
+    return S.dedupe(dirty(spark, sf), OPTS)[2]
 
 
 HOT_KEY = "HOT"
@@ -114,21 +108,26 @@ HOT_KEY = "HOT"
 def _hot_dirty(spark, sf):
     """The dirty view with every DIESEL/Diesel/LPG row (about 3/8 of all rows)
     under one registration key: a hot key for the dedupe."""
-    d = _landed_dirty(spark, sf)
+    d = dirty(spark, sf)
     return d.withColumn("reg_no", F.when(F.col("fuel").isin("DIESEL", "Diesel", "LPG"), F.lit(HOT_KEY))
                         .otherwise(F.col("reg_no")))
 
 
-# salt keys above 1,000 rows, so the salted path runs at every scale factor
-HOT_OPTS = S.CleanOptions(tie_break=DIRTY_TIE_BREAK, hot_rows=1000)
-
-
 def q_hot_key_latest(spark, sf):
-    return S.dedupe(_hot_dirty(spark, sf), HOT_OPTS)[1]
+    return S.dedupe(_hot_dirty(spark, sf), OPTS)[1]
 
 
 def q_hot_key_duplicates(spark, sf):
-    return S.dedupe(_hot_dirty(spark, sf), HOT_OPTS)[2]
+    return S.dedupe(_hot_dirty(spark, sf), OPTS)[2]
+
+
+def q_first_line_per_part(spark, sf):
+    """Keep-latest on a nullable bigint key: all rows, with a mark on the kept ones."""
+    lines = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_quantity") >= 5, F.col("l_partkey")).alias("part_key"),
+        "l_shipdate", "l_orderkey", "l_linenumber")
+    kept, removed = keep_latest(lines, "part_key", [F.col("l_shipdate").desc_nulls_last()])
+    return kept.withColumn("is_kept", F.lit(True)).unionByName(removed.withColumn("is_kept", F.lit(False)))
 
 
 def q_latest_valid_per_key(spark, sf):
@@ -346,7 +345,7 @@ def q_sized_write_roundtrip(spark, sf):
 
 def q_quarantine_roundtrip(spark, sf):
     path = work_path(spark, "quarantine")
-    tagged = _written(S.tagged_rows(_landed_dirty(spark, sf), OPTS), "tagged")
+    tagged = _written(S.tagged_rows(dirty(spark, sf), OPTS), "tagged")
     sinks.write_rejects(S.quarantine(tagged, list(DIRTY_RAW)), path)
     return readers.read_parquet(spark, path)
 
@@ -434,18 +433,18 @@ def q_etl_counts(spark, sf):
     The tagged rows are written once; every count is then an aggregate over
     that table or over the dimensions, map and fact built from its staged part.
     """
-    tagged = _written(S.tagged_rows(_landed_dirty(spark, sf), OPTS), "tagged")
+    tagged = _written(S.tagged_rows(dirty(spark, sf), OPTS), "tagged")
     reason = F.col(S.REJECT_REASON)
     by_reason = tagged.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
 
-    def n_of(*reasons, sign=1):
-        return F.coalesce(F.sum(F.when(reason.isin(*reasons), F.col("n") * sign)), F.lit(0))
+    def n_of(*reasons):
+        return F.coalesce(F.sum(F.when(reason.isin(*reasons), F.col("n"))), F.lit(0))
 
     kept = n_of(S.INVALID_DATE, S.STAGED)
     reasons = by_reason.agg(
-        (F.sum("n") - kept).alias("input_rows"),
+        F.sum("n").alias("input_rows"),
         n_of(S.MISSING_KEY).alias("missing_key"),
-        (n_of(S.DUPLICATE, S.WINNER_COPY) - kept).alias("duplicates_removed"),
+        n_of(S.DUPLICATE).alias("duplicates_removed"),
         kept.alias("after_dedupe"),
         n_of(S.INVALID_DATE).alias("invalid_dates"),
         n_of(S.STAGED).alias("staged_rows"),
@@ -454,7 +453,7 @@ def q_etl_counts(spark, sf):
     out = reasons.select(F.explode(F.map_from_arrays(
         F.array(*[F.lit(x) for x in names]), F.array(*[F.col(x).cast("long") for x in names]))).alias("metric", "value"))
 
-    staged = tagged.filter(reason == S.STAGED).drop(S.REJECT_REASON, "_pid")
+    staged = tagged.filter(reason == S.STAGED).drop(S.REJECT_REASON)
     dims = D.build_dimensions(staged)
     vmap = _written(resolve_vehicles(staged, dims.vehicle), "vehicle-map")
     fact = assemble_fact(staged, vmap, keep_match_flag=True)

@@ -244,6 +244,10 @@ ORACLES: dict[str, str] = {
         f"""SELECT * EXCLUDE (_rn, _pd) FROM (
               SELECT *, row_number() OVER (PARTITION BY reg_no ORDER BY _pd DESC NULLS LAST, {ORDER_KEEP}) AS _rn
               FROM (SELECT *, {_date_case(_date_clean('from_date'))} AS _pd FROM valid)) WHERE _rn = 1"""),
+    "first_line_per_part": """SELECT * EXCLUDE (_rn), _rn = 1 AS is_kept FROM (
+        SELECT *, row_number() OVER (PARTITION BY part_key ORDER BY l_shipdate DESC NULLS LAST, l_orderkey ASC NULLS FIRST,
+                                     l_linenumber ASC NULLS FIRST) AS _rn
+        FROM (SELECT CASE WHEN l_quantity >= 5 THEN l_partkey END AS part_key, l_shipdate, l_orderkey, l_linenumber FROM lineitem))""",
     "parse_mixed_dates": with_chain(f"SELECT {IDS}, from_date, to_date_raw, from_date_parsed, to_date_parsed FROM dparsed"),
     "invalid_dates": with_chain(f"SELECT {RAW} FROM invalid"),
     "office_repair": with_chain(f"SELECT {IDS}, office_cd, from_date FROM drep3"),

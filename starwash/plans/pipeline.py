@@ -2,15 +2,13 @@
 
 Run shape (each numbered step is one job or a few):
 
-0. a derived or text input (a join, CSV) is landed once as parquet in the
-   shared work folder (``spark.checkpoint.dir``); a plain parquet/orc scan is
-   read directly.
-1. keys above ``hot_rows`` rows are counted (key column only); then clean +
-   dedupe + parse + keys are written ONCE to the work folder, partitioned by
-   ``reject_reason`` ('staged' for rows that pass). The join of rows to their
-   key's winner is salted only if a hot key exists. This cuts the lineage: an
-   executor lost later recomputes from this table, not from the raw input.
-   Row counts per reason come from an ``Observation`` on the same write.
+1. every row is tagged by two windows over one scan (``dedupe.mark_first``) and
+   written ONCE to the work folder, partitioned by ``reject_reason`` ('staged'
+   for rows that pass). One plan whatever the data: the input is read once, so
+   derived and text inputs need no copy first, and a hot key is spread over all
+   tasks. This cuts the lineage: an executor lost later recomputes from this
+   table, not from the raw input. Row counts per reason come from an
+   ``Observation`` on the same write.
 2. quarantine: the reject partitions (pruned read) to ``bad_records``.
 3. dimensions from the staged partition (aggregates, map-side combined).
 4. vehicle resolution map (distinct vehicles only) to the work folder.
@@ -32,8 +30,6 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import dims as D
 from ..operators import stage as S
-from ..operators import clean
-from ..operators.dedupe import PID, hot_keys
 from ..operators.fact import assemble_fact
 from ..operators.resolve import resolve_vehicles
 from ..schema import conform
@@ -42,7 +38,7 @@ from ..sources import sinks
 from ..sources.readers import read_parquet
 
 STAGED = S.STAGED
-REASONS = (S.MISSING_KEY, S.DUPLICATE, S.WINNER_COPY, S.INVALID_DATE, STAGED)
+REASONS = (S.MISSING_KEY, S.DUPLICATE, S.INVALID_DATE, STAGED)
 
 
 def _count_by_reason(obs: Observation, df: DataFrame) -> DataFrame:
@@ -54,23 +50,6 @@ def _count_by_reason(obs: Observation, df: DataFrame) -> DataFrame:
     )
 
 
-_DERIVED_NODES = ("Join", "Aggregate", "Window", "Union", "Generate", "Sort", "Repartition", "Expand",
-                  "Deduplicate", "Intersect", "Except", "Sample", "LocalRelation", "LogicalRDD")
-
-
-def needs_landing(df: DataFrame) -> bool:
-    """True unless ``df`` is a plain parquet/orc scan (with projections/filters).
-
-    The stage step reads its input three times (missing-key filter, winners,
-    join to winners). A derived input would be recomputed each time, and a
-    text format re-parsed, so such inputs are landed once as parquet first.
-    """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(line.lstrip(" :+-").startswith(_DERIVED_NODES) for line in plan.splitlines()):
-        return True
-    return not any(fmt in plan for fmt in ("parquet", "orc"))
-
-
 def _observed(obs: Observation, names, written: DataFrame) -> dict:
     """The observed metrics, or zeros when this run's rows ``written`` are none.
 
@@ -124,15 +103,12 @@ def run_registrations_etl(
     conform_input: bool = True,
     work_dir: str | None = None,
     keep_work: bool = False,
-    land_input: bool | None = None,
 ) -> dict:
     """Clean, quarantine, build the star schema and write it; returns the metrics.
 
     Keyword-only on purpose (the reference's driver passed the run id where the
     output root belonged). ``raw`` may carry the reference's header names; they
-    are conformed to canonical names and cast to string first. ``land_input``
-    (default: decided by ``needs_landing``) writes the conformed input to the
-    work folder once before staging.
+    are conformed to canonical names and cast to string first.
     """
     spark = raw.sparkSession
     run_id = run_id or f"run_{int(time.time())}_{uuid.uuid4().hex[:6]}"
@@ -159,39 +135,29 @@ def run_registrations_etl(
     try:
         src = conform(raw) if conform_input else raw
         raw_cols = list(src.columns)
-        if needs_landing(src) if land_input is None else land_input:
-            src = sinks.write_then_read(src, f"{work}/input")
-            lap("land_input")
-
-        # 1. one pass over the input: every row tagged, written once. Keys above
-        #    hot_rows are looked for first (a count over the key column); only if
-        #    there are any does the join to the winners need salting.
-        hot = hot_keys(clean.valid_key(src, options.key), options.key, options.hot_rows)
-        n_hot = hot.count()
-        metrics["hot_keys"] = n_hot
+
+        # 1. one pass over the input: every row tagged, written once
         obs_stage = Observation("stage")
         stage_path = f"{work}/stage"
-        tagged = S.tagged_rows(src, options, salt=n_hot > 0)
+        tagged = S.tagged_rows(src, options)
         sinks.write_parquet(_count_by_reason(obs_stage, tagged), stage_path, partition_by=[S.REJECT_REASON])
         stage_table = read_parquet(spark, stage_path, tagged.schema)
         got = _observed(obs_stage, ["input_rows", *REASONS], stage_table)
         kept = got[S.INVALID_DATE] + got[STAGED]
         counts.update(
-            # every kept row appears twice: as its own winner copy and as invalid/staged
-            input_rows=got["input_rows"] - kept, missing_key=got[S.MISSING_KEY],
-            duplicates_removed=got[S.DUPLICATE] + got[S.WINNER_COPY] - kept, after_dedupe=kept,
+            input_rows=got["input_rows"], missing_key=got[S.MISSING_KEY],
+            duplicates_removed=got[S.DUPLICATE], after_dedupe=kept,
             invalid_dates=got[S.INVALID_DATE], staged_rows=got[STAGED],
         )
         lap("stage")
         reason = F.col(S.REJECT_REASON)
 
-        # 2. quarantine: reject partitions (pruned read), raw columns plus the reason;
-        #    of the winner copies all but one per key are duplicates
-        sinks.write_rejects(S.quarantine(stage_table, raw_cols, options.key), f"{root}/bad_records",
+        # 2. quarantine: reject partitions (pruned read), raw columns plus the reason
+        sinks.write_rejects(S.quarantine(stage_table, raw_cols), f"{root}/bad_records",
                             mode=mode, output_format=output_format)
         lap("quarantine")
 
-        staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON, PID)
+        staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON)
 
         # 3. dimensions: computed once into the work folder, then the ids that are
         #    not there yet are written (in append mode; all of them otherwise)
@@ -218,15 +184,13 @@ def run_registrations_etl(
         # 5. fact with match counts observed on the same write
         fact = assemble_fact(staged, vehicle_map, key=options.key, keep_match_flag=True)
         obs_fact = Observation("fact")
-        measured = fact.observe(
-            obs_fact,
+        fact_path = f"{root}/gold_fact_registrations"
+        # counted above the write's shuffle: a repeated map task is not counted again
+        files, nbytes = sinks.write_sized(fact, fact_path, partition_by=["REGISTRATION_YEAR"], target_mb=target_mb,
+                                          mode=mode, output_format=output_format, drop=["_matched"], observe=(obs_fact, [
             F.count(F.lit(1)).alias("fact_rows"),
             F.count_if(F.col("_matched") & ~F.col("IS_FUZZY_MATCH")).alias("exact_matches"),
-            F.count_if(F.col("IS_FUZZY_MATCH")).alias("fuzzy_matches"),
-        ).drop("_matched")
-        fact_path = f"{root}/gold_fact_registrations"
-        files, nbytes = sinks.write_sized(measured, fact_path, partition_by=["REGISTRATION_YEAR"],
-                                          target_mb=target_mb, mode=mode, output_format=output_format)
+            F.count_if(F.col("IS_FUZZY_MATCH")).alias("fuzzy_matches")]))
         got = _observed(obs_fact, ["fact_rows", "exact_matches", "fuzzy_matches"], staged)
         lap("fact")
         counts.update(fact_rows=got["fact_rows"], exact_matches=got["exact_matches"],

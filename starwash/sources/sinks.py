@@ -95,24 +95,29 @@ def session_conf(spark: SparkSession, values: dict[str, str]):
 def audit_size(spark: SparkSession, path: str, glob: str | None = None) -> tuple[int, int]:
     """SNK6: (files, bytes) of the data files under ``path``, on any Hadoop FS.
 
-    Uses the ``binaryFile`` source with only path and length selected, so the
-    file contents are never read. Hidden and ``_``-prefixed files are skipped.
+    A listing on the driver that keeps two numbers: no file is opened and no task
+    started. Hidden and ``_``-prefixed files and folders are skipped.
     """
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    try:
-        files = r.load(path)
-    except Exception as exc:  # a folder with no data file (empty write)
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return 0, 0
-        raise
-    row = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
-    return int(row["n"]), int(row["b"])
+    from fnmatch import fnmatch
+
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = size = 0
+    if not fs.exists(root):
+        return 0, 0
+    base = fs.getFileStatus(root).getPath().toString()
+    entries = fs.listFiles(root, True)
+    while entries.hasNext():
+        entry = entries.next()
+        parts = entry.getPath().toString()[len(base):].strip("/").split("/")
+        if not any(p.startswith(("_", ".")) for p in parts) and (glob is None or fnmatch(parts[-1], glob)):
+            files, size = files + 1, size + entry.getLen()
+    return files, size
 
 
 def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), target_mb: float = R.DEFAULT_TARGET_MB,
-                mode: str = "overwrite", output_format: str = "parquet", observe=None) -> tuple[int, int]:
+                mode: str = "overwrite", output_format: str = "parquet", observe=None, drop: Sequence[str] = ()) -> tuple[int, int]:
     """SNK5: write ``df`` in files of about ``target_mb`` and return (files, bytes).
 
     The advisory partition size is measured on shuffle data, which is larger
@@ -122,11 +127,14 @@ def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), targ
     out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     if observe is not None:  # (Observation, [metric columns])
         out = out.observe(observe[0], *observe[1])
+    out = out.drop(*drop)  # columns that only the observation needs
     target = str(int(target_mb * 1024 * 1024))
     with session_conf(spark, {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": target,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # merge up to the target, not down to one task per core
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         # a hot partition value is split into several files instead of one huge one
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }):
@@ -142,13 +150,9 @@ def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), targ
 
 
 def write_rejects(rejects: DataFrame, path: str, mode: str = "overwrite", output_format: str = "parquet",
-                  reason_col: str = "reject_reason") -> None:
-    """SNK7: one quarantine write partitioned by reason."""
-    w = rejects.write.mode(mode).partitionBy(reason_col)
-    if output_format == "csv":
-        w.options(**CSV_WRITE_OPTIONS).csv(path)
-    else:
-        w.format(output_format).save(path)
+                  reason_col: str = "reject_reason", target_mb: float = R.DEFAULT_TARGET_MB) -> None:
+    """SNK7: one quarantine write partitioned by reason, in files of about ``target_mb``."""
+    write_sized(rejects, path, [reason_col], target_mb, mode, output_format)
 
 
 def write_star(tables: dict[str, DataFrame], root: str, mode: str = "overwrite", output_format: str = "parquet",

@@ -149,16 +149,16 @@ def test_legacy_int(spark, raw, expected):
     assert df.select(X.legacy_int("s").alias("v")).first().v == expected
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 1_000_000])
-def test_keep_latest_salted_matches_window(spark, hot_rows):
-    rnd = random.Random(hot_rows)
+@pytest.mark.parametrize("spread", [1, 3, None])
+def test_keep_latest_matches_brute_force(spark, spread):
+    rnd = random.Random(spread or 0)
     rows = []
     for i in range(400):
         k = "HOT" if i % 3 == 0 else (None if i % 17 == 0 else f"K{rnd.randint(0, 30)}")
         rows.append((k, f"0{rnd.randint(1, 3)}/01/2020", str(rnd.randint(0, 2))))
     rows += [("HOT", "09/09/2099", "x")] * 5  # identical copies of the hot winner
     df = spark.createDataFrame(rows, "reg_no string, from_date string, v string").repartition(5)
-    kept, removed = keep_latest(df, "reg_no", [F.col("from_date").desc_nulls_last()], hot_rows=hot_rows)
+    kept, removed = keep_latest(df, "reg_no", [F.col("from_date").desc_nulls_last()], spread=spread)
     # brute force: the first row per key under (from_date desc, then every column asc)
     groups = {}
     for r in rows:
@@ -172,6 +172,17 @@ def test_keep_latest_salted_matches_window(spark, hot_rows):
     assert sorted((tuple(r) for r in removed.collect()), key=repr) == want_removed
 
 
+def test_keep_latest_any_key_type_and_nested_columns(spark):
+    rows = [(1, "a", [1, 2], {"x": 1}), (1, "a", [1, 1], {"x": 1}), (1, "a", [1, 1], {"x": 0}),
+            (None, "b", None, None), (None, "b", [0], {}), (2, "c", [], None)]
+    df = spark.createDataFrame(rows, "k bigint, o string, xs array<int>, m map<string,int>").repartition(3)
+    kept, removed = keep_latest(df, "k", [F.col("o").desc_nulls_last()])
+    got = {(r.k, tuple(r.xs) if r.xs is not None else None, str(r.m)) for r in kept.collect()}
+    assert got == {(1, (1, 1), "{'x': 0}"), (None, None, "None"), (2, (), "None")}
+    assert removed.count() == 3
+    assert keep_latest(df.limit(0), "k", [F.col("o")]).removed.count() == 0
+
+
 def _neg(s):
     return tuple(-ord(ch) for ch in s) + (1,)
 

@@ -2,11 +2,12 @@
 physical plans, not on timings)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from starwash.plans.catalog import QUERIES
 from starwash.operators import stage as S
 from starwash.plans import DIRTY_TIE_BREAK, dirty
-from starwash.plans.fixtures import table
+from starwash.plans.fixtures import DIRTY_RAW, table
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -29,13 +30,15 @@ def test_no_cartesian_or_python_in_plans(spark, sf_small, name):
 
 
 def test_stage_plan_shape(spark, sf_small):
-    plan = _plan(S.tagged_rows(dirty(spark, sf_small), S.CleanOptions(tie_break=DIRTY_TIE_BREAK)))
-    # top-1 per key is limited on the map side, before the shuffle
-    assert plan.count("WindowGroupLimit") >= 2
-    # rows meet their winner on (key, salt); the hot-key table is broadcast
-    assert "_salt" in plan and "_wsalt" in plan
-    assert "BroadcastExchange" in plan
-    assert not any(tok in plan for tok in FORBIDDEN)
+    src = table(spark, sf_small, "lineitem").select(
+        *[F.col("l_returnflag").alias(c) if c in ("reg_no", "from_date") else F.lit("x").alias(c) for c in DIRTY_RAW[:12]])
+    plan = _plan(S.tagged_rows(src))
+    # one scan, two windows, no join and nothing broadcast, whatever the keys
+    assert plan.count("Scan parquet") == 1 and plan.count("hashpartitioning") == 2
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+    # the kept rows alone: top-1 per key is limited on the map side, before the shuffle
+    kept = _plan(S.dedupe(dirty(spark, sf_small), S.CleanOptions(tie_break=DIRTY_TIE_BREAK))[1])
+    assert kept.count("WindowGroupLimit") >= 2
 
 
 def test_narrow_scans_are_pruned(spark, sf_small):
@@ -43,17 +46,7 @@ def test_narrow_scans_are_pruned(spark, sf_small):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
-def test_key_counts_read_one_column(spark, sf_small):
-    from starwash.operators.dedupe import hot_keys
-
-    plan = _plan(hot_keys(table(spark, sf_small, "lineitem"), "l_orderkey", 10))
-    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
-    assert "HashAggregate" in plan  # map-side combined, no sort
-
-
 def test_filters_reach_the_scan(spark, sf_small):
-    from pyspark.sql import functions as F
-
     df = table(spark, sf_small, "customer").filter(F.col("c_mktsegment") != "AUTOMOBILE").select("c_custkey")
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(c_mktsegment), Not(EqualTo(c_mktsegment,AUTOMOBILE))]" in plan
