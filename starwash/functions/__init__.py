@@ -3,7 +3,6 @@
 from . import rules
 from .columns import (
     blank,
-    block_key,
     date_id,
     first_match,
     fuzzy_key,
@@ -19,7 +18,6 @@ from .columns import (
 __all__ = [
     "rules",
     "blank",
-    "block_key",
     "date_id",
     "first_match",
     "fuzzy_key",

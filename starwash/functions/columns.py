@@ -93,10 +93,6 @@ def fuzzy_key(model, variant) -> Column:
     return norm(F.concat_ws(R.FUZZY_KEY_SEPARATOR, c(model), c(variant)))
 
 
-def block_key(x) -> Column:
-    return c(x).substr(1, R.BLOCK_KEY_LENGTH)
-
-
 def unknown_if_blank(x) -> Column:
     x = c(x)
     return F.when(x.isNull() | (x == ""), F.lit(R.UNKNOWN)).otherwise(x)

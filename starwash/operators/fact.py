@@ -1,20 +1,21 @@
 """Fact table assembly (OP4, JN6-7, PRJ22-23, FLT9).
 
-The fact joins staged rows to the vehicle-level resolution map (small: one row
-per distinct vehicle). AQE turns this into a broadcast join when the measured
-map is under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise
-keeps a sort-merge join with skew splitting, so a hot vehicle is split across
-tasks. The reference's manufacturer re-join on a unique key is an identity and
-is written as a projection.
+A vehicle that resolves to its own id needs no map row, and for the dimension
+built in the same run nearly all do. So staged rows are joined only to the map
+rows that change something: a fuzzy match, another id, or several matches. That
+remainder is usually small enough for AQE to broadcast by its measured size, and
+staged rows are not shuffled by vehicle; if it is not, the sort-merge join
+splits skewed vehicles. The reference's manufacturer re-join on a unique key is
+an identity and is written as a projection.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as X
-from .resolve import vehicle_join_condition
+from .resolve import VEHICLE, vehicle_join_condition
 
 FACT_COLUMNS = (
     "VEHICLE_ID",
@@ -34,12 +35,28 @@ FACT_COLUMNS = (
 )
 
 
-def assemble_fact(staged: DataFrame, vehicle_map: DataFrame, key: str = "reg_no", keep_match_flag: bool = False) -> DataFrame:
+def match_counts(staged: DataFrame, vehicle_map: DataFrame) -> DataFrame:
+    """One row: exact_matches, fuzzy_matches and total_resolved fact rows.
+
+    Registrations are counted per vehicle (map-side combined), then joined to the map.
+    """
+    n = staged.filter(F.col("from_date_parsed").isNotNull()).groupBy(*VEHICLE).agg(F.count(F.lit(1)).alias("n")).alias("s")
+    met = n.join(vehicle_map.alias("vm"), vehicle_join_condition("s", "vm"))
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("long")
+
+    fuzzy = F.col("IS_FUZZY_MATCH")
+    return met.agg(total(~fuzzy).alias("exact_matches"), total(fuzzy).alias("fuzzy_matches"),
+                   total(F.lit(True)).alias("total_resolved"))
+
+
+def assemble_fact(staged: DataFrame, vehicle_map: DataFrame, key: str = "reg_no") -> DataFrame:
     """One fact row per staged row and matching map row; unmatched rows keep their own id."""
     s = staged.alias("s")
-    vm = vehicle_map.select(
-        "VEHICLE_ID", "model_name", "variant", "MAKE_YEAR_KEY", "VEHICLE_ID_resolved", "IS_FUZZY_MATCH"
-    ).alias("vm")
+    matches = F.count(F.lit(1)).over(Window.partitionBy(*VEHICLE))
+    vm = vehicle_map.select(*VEHICLE, "VEHICLE_ID_resolved", "IS_FUZZY_MATCH", matches.alias("_matches")).filter(
+        F.col("IS_FUZZY_MATCH") | (F.col("VEHICLE_ID_resolved") != F.col("VEHICLE_ID")) | (F.col("_matches") > 1)).alias("vm")
     joined = s.join(vm, vehicle_join_condition("s", "vm"), "left")
     cols = [
         F.coalesce(F.col("vm.VEHICLE_ID_resolved"), F.col("s.VEHICLE_ID")).alias("VEHICLE_ID"),
@@ -57,6 +74,4 @@ def assemble_fact(staged: DataFrame, vehicle_map: DataFrame, key: str = "reg_no"
         F.col("s.model_name").alias("MODEL_NAME"),
         F.col("s.emission_standard").alias("EMISSION_STANDARD"),
     ]
-    if keep_match_flag:
-        cols.append(F.col("vm.VEHICLE_ID_resolved").isNotNull().alias("_matched"))
     return joined.select(*cols).filter(F.col("REGISTRATION_ISSUE_DATE_ID").isNotNull())

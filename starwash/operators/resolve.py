@@ -72,7 +72,7 @@ def probe_signatures(df: DataFrame, text: str, t: int) -> DataFrame:
     )
 
 
-def similar_pairs(
+def candidate_pairs(
     left: DataFrame,
     right: DataFrame,
     *,
@@ -80,16 +80,23 @@ def similar_pairs(
     right_text: str,
     keys: Sequence[tuple[str, str]],
     threshold: int = R.DEFAULT_FUZZY_THRESHOLD,
-    dist_col: str = "LEV_DIST",
+    prefix: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """All pairs equal on ``keys`` with ``levenshtein(left_text, right_text) <= threshold``.
+    """Pairs equal on ``keys`` whose texts share a segment: all that can be within ``threshold``.
 
-    Column names of ``left`` and ``right`` must not overlap.
+    ``prefix`` names a pair of ``keys`` whose values begin both texts (a prefix
+    block). That part is the same on both sides, so it is left out of the
+    segments: it does not change the distance, and kept in, it would be the one
+    segment that all short texts of a block have in common.
     """
     t = int(threshold)
-    lcols, rcols = left.columns, right.columns
-    lp = probe_signatures(left, left_text, t)
-    rp = index_signatures(right, right_text, t).withColumnsRenamed(
+
+    def rest(text, block):
+        return F.col(text).substr(F.length(F.col(block)) + 1, F.length(F.col(text))) if block else F.col(text)
+
+    lblock, rblock = prefix or (None, None)
+    lp = probe_signatures(left.withColumn("_lrest", rest(left_text, lblock)), "_lrest", t)
+    rp = index_signatures(right.withColumn("_rrest", rest(right_text, rblock)), "_rrest", t).withColumnsRenamed(
         {"_len": "_r_len", "_seg_no": "_r_seg_no", "_seg": "_r_seg"}
     )
     cond = [F.col(a) == F.col(b) for a, b in keys] + [
@@ -97,8 +104,19 @@ def similar_pairs(
         F.col("_seg_no") == F.col("_r_seg_no"),
         F.col("_seg") == F.col("_r_seg"),
     ]
-    pairs = lp.join(rp, cond, "inner").select(*lcols, *rcols).distinct()
-    dist = F.levenshtein(F.col(left_text), F.col(right_text), t)
+    return lp.join(rp, cond, "inner").select(*left.columns, *right.columns).distinct()
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, *, left_text: str, right_text: str,
+                  keys: Sequence[tuple[str, str]], threshold: int = R.DEFAULT_FUZZY_THRESHOLD,
+                  dist_col: str = "LEV_DIST", prefix: tuple[str, str] | None = None) -> DataFrame:
+    """All pairs equal on ``keys`` with ``levenshtein(left_text, right_text) <= threshold``.
+
+    Column names of ``left`` and ``right`` must not overlap; ``prefix`` as in ``candidate_pairs``.
+    """
+    pairs = candidate_pairs(left, right, left_text=left_text, right_text=right_text, keys=keys,
+                            threshold=threshold, prefix=prefix)
+    dist = F.levenshtein(F.col(left_text), F.col(right_text), int(threshold))
     return pairs.withColumn(dist_col, dist).filter(F.col(dist_col) >= 0)
 
 
@@ -110,59 +128,38 @@ def best_match(pairs: DataFrame, left_id: Sequence[str], right_id: str, dist_col
     )
 
 
-def _lookup(dim: DataFrame) -> DataFrame:
-    return dim.select(
-        F.col("VEHICLE_ID").alias("DV_VEHICLE_ID"),
-        X.norm("MODEL_NAME").alias("dv_model"),
-        X.norm("VARIANT").alias("dv_variant"),
-        F.col("MAKE_YEAR").alias("dv_make_year"),
-    )
+def natural_key(model, variant, year) -> Column:
+    """The normalised (model, variant, year) of a vehicle; null if any part is."""
+    parts = F.array(X.norm(model), X.norm(variant), X.c(year))
+    return F.when(F.forall(parts, lambda p: p.isNotNull()), parts)
 
 
-def resolve_vehicles(
-    staged: DataFrame, dim_vehicle: DataFrame, threshold: int = R.DEFAULT_FUZZY_THRESHOLD
-) -> DataFrame:
+def resolve_vehicles(staged: DataFrame, dim_vehicle: DataFrame, threshold: int = R.DEFAULT_FUZZY_THRESHOLD,
+                     block_length: int = R.BLOCK_KEY_LENGTH) -> DataFrame:
     """Vehicle-level resolution map.
 
     Columns: the vehicle tuple, VEHICLE_ID_resolved, LEV_DIST (null for exact),
     IS_FUZZY_MATCH. A vehicle with no exact and no fuzzy match is absent; one
-    matching several dimension rows exactly gets one row per match.
+    matching several dimension rows exactly gets one row per match. Fuzzy
+    matches are looked for among rows of the same year whose first
+    ``block_length`` characters agree.
     """
-    vehicles = staged.select(*VEHICLE).distinct()
-    dv = _lookup(dim_vehicle)
-    exact_cond = (
-        (X.norm("model_name") == F.col("dv_model"))
-        & (X.norm("variant") == F.col("dv_variant"))
-        & (F.col("MAKE_YEAR_KEY") == F.col("dv_make_year"))
-    )
-    joined = vehicles.join(dv, exact_cond, "left")
-    exact = joined.filter(F.col("DV_VEHICLE_ID").isNotNull()).select(
-        *VEHICLE,
-        F.col("DV_VEHICLE_ID").alias("VEHICLE_ID_resolved"),
-        F.lit(None).cast("int").alias("LEV_DIST"),
-    )
-    unresolved = joined.filter(F.col("DV_VEHICLE_ID").isNull()).select(*VEHICLE)
-    probes = unresolved.withColumn("FUZZY_KEY", X.fuzzy_key("model_name", "variant")).withColumn(
-        "BLOCK_KEY", X.block_key("FUZZY_KEY")
-    )
-    index = dv.select(
-        "DV_VEHICLE_ID",
-        "dv_make_year",
-        X.fuzzy_key("dv_model", "dv_variant").alias("DV_FUZZY_KEY"),
-        X.block_key("dv_model").alias("DV_BLOCK_KEY"),
-    )
-    pairs = similar_pairs(
-        probes,
-        index,
-        left_text="FUZZY_KEY",
-        right_text="DV_FUZZY_KEY",
-        keys=[("BLOCK_KEY", "DV_BLOCK_KEY"), ("MAKE_YEAR_KEY", "dv_make_year")],
-        threshold=threshold,
-    )
-    fuzzy = best_match(pairs, VEHICLE, "DV_VEHICLE_ID").withColumnRenamed(
-        "DV_VEHICLE_ID", "VEHICLE_ID_resolved"
-    )
-    return exact.unionByName(fuzzy).withColumn("IS_FUZZY_MATCH", F.col("LEV_DIST").isNotNull())
+    vehicles = staged.select(*VEHICLE).distinct().withColumn("_key", natural_key("model_name", "variant", "MAKE_YEAR_KEY"))
+    known = dim_vehicle.select(F.col("VEHICLE_ID").alias("VEHICLE_ID_resolved"), F.col("MAKE_YEAR").alias("_year"),
+                               X.norm("MODEL_NAME").alias("_model"), X.norm("VARIANT").alias("_variant"))
+    exact = vehicles.join(known.select("VEHICLE_ID_resolved", natural_key("_model", "_variant", "_year").alias("_key")), "_key")
+    unresolved = vehicles.join(exact.select("_key").distinct(), "_key", "left_anti").select(*VEHICLE)
+
+    probes = unresolved.withColumn("_text", X.fuzzy_key("model_name", "variant"))
+    probes = probes.withColumn("_block", F.substring("_text", 1, block_length))
+    index = known.select("VEHICLE_ID_resolved", "_year", X.fuzzy_key("_model", "_variant").alias("_known_text"),
+                         F.substring("_model", 1, block_length).alias("_known_block"))
+    block = ("_block", "_known_block")
+    pairs = similar_pairs(probes, index, left_text="_text", right_text="_known_text", threshold=threshold,
+                          keys=[block, ("MAKE_YEAR_KEY", "_year")], prefix=block)
+    fuzzy = best_match(pairs, VEHICLE, "VEHICLE_ID_resolved")
+    return (exact.select(*VEHICLE, "VEHICLE_ID_resolved", F.lit(None).cast("int").alias("LEV_DIST"))
+            .unionByName(fuzzy).withColumn("IS_FUZZY_MATCH", F.col("LEV_DIST").isNotNull()))
 
 
 def vehicle_join_condition(left: str, right: str) -> Column:

@@ -20,7 +20,7 @@ from ..operators import dims as D
 from ..operators import quality as Q
 from ..operators import stage as S
 from ..operators.dedupe import keep_latest
-from ..operators.fact import FACT_COLUMNS, assemble_fact
+from ..operators.fact import FACT_COLUMNS, assemble_fact, match_counts
 from ..operators.resolve import (
     VEHICLE,
     best_match,
@@ -224,13 +224,16 @@ def q_unresolved_keys(spark, sf):
 
 def q_fuzzy_match_best(spark, sf):
     part = table(spark, sf, "part")
-    probe = part.select("p_partkey", F.regexp_replace("p_name", "e", "").alias("probe_name")).withColumn(
-        "probe_block", F.col("probe_name").substr(1, 2))
+    parts = part.select("p_partkey", F.regexp_replace("p_name", "e", "").alias("probe_name"))
+    # each distinct name is looked up once, however many parts have it
+    probe = parts.select("probe_name").distinct().withColumn("probe_block", F.col("probe_name").substr(1, 2))
     names = part.select(F.col("p_name").alias("matched_name")).distinct().withColumn(
         "name_block", F.col("matched_name").substr(1, 2))
-    pairs = similar_pairs(probe, names, left_text="probe_name", right_text="matched_name",
-                          keys=[("probe_block", "name_block")], dist_col="lev_dist")
-    return best_match(pairs, ["p_partkey", "probe_name"], "matched_name", dist_col="lev_dist")
+    block = ("probe_block", "name_block")
+    pairs = similar_pairs(probe, names, left_text="probe_name", right_text="matched_name", keys=[block], prefix=block,
+                          dist_col="lev_dist")
+    return parts.join(best_match(pairs, ["probe_name"], "matched_name", dist_col="lev_dist"), "probe_name").select(
+        "p_partkey", "probe_name", "matched_name", "lev_dist")
 
 
 def q_resolution_map(spark, sf):
@@ -415,12 +418,23 @@ def _write_one(df: DataFrame, fmt: str, tmp: str, folder: str, name: str) -> Non
     fs.delete(src_dir, True)
 
 
+def q_compressed_csv_roundtrip(spark, sf):
+    """The generic sink: gzip CSV into a given number of files, read back by name and type."""
+    path = work_path(spark, "orders-csv-gz")
+    orders = table(spark, sf, "orders")
+    sinks.write_files(orders, "csv", path, n_files=4, compression="gzip")
+    return readers.read_csv(spark, path, orders.schema)
+
+
 def q_output_size_audit(spark, sf):
+    """The audit's files and bytes against the sizes that the written files' own metadata states."""
     path = work_path(spark, "audit")
     sinks.write_parquet(table(spark, sf, "lineitem"), path, partition_by=["l_returnflag"])
     files, nbytes = sinks.audit_size(spark, path, "*.parquet")
-    rows = readers.read_parquet(spark, path).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.select("rows", F.lit(files).cast("long").alias("files"), F.lit(nbytes).cast("long").alias("bytes"))
+    per_file = readers.read_parquet(spark, path).groupBy("_metadata.file_path").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_metadata.file_size").alias("size"))
+    return per_file.agg(F.sum("n").alias("rows"), (F.count(F.lit(1)) == files).alias("files_agree"),
+                        (F.sum("size") == nbytes).alias("bytes_agree"))
 
 
 def q_preview(spark, sf):
@@ -456,20 +470,15 @@ def q_etl_counts(spark, sf):
     staged = tagged.filter(reason == S.STAGED).drop(S.REJECT_REASON)
     dims = D.build_dimensions(staged)
     vmap = _written(resolve_vehicles(staged, dims.vehicle), "vehicle-map")
-    fact = assemble_fact(staged, vmap, keep_match_flag=True)
+    fact = assemble_fact(staged, vmap)
 
     def n(name, df):
         return df.agg(F.count(F.lit(1)).cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
 
-    matches = fact.agg(
-        F.count_if(F.col("_matched") & ~F.col("IS_FUZZY_MATCH")).alias("exact_matches"),
-        F.count_if(F.col("IS_FUZZY_MATCH")).alias("fuzzy_matches"),
-        F.count_if(F.col("_matched")).alias("total_resolved"),
-        F.count(F.lit(1)).alias("fact_rows"),
-    )
-    mnames = ["exact_matches", "fuzzy_matches", "total_resolved", "fact_rows"]
+    matches = match_counts(staged, vmap)
+    mnames = matches.columns
     for part in (n("dim_vehicle_rows", dims.vehicle), n("dim_manufacturer_rows", dims.manufacturer),
-                 n("dim_rta_rows", dims.office),
+                 n("dim_rta_rows", dims.office), n("fact_rows", fact),
                  matches.select(F.explode(F.map_from_arrays(F.array(*[F.lit(x) for x in mnames]),
                                                             F.array(*[F.col(x).cast("long") for x in mnames])))
                                 .alias("metric", "value"))):

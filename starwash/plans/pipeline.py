@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..operators import dims as D
 from ..operators import stage as S
-from ..operators.fact import assemble_fact
+from ..operators.fact import assemble_fact, match_counts
 from ..operators.resolve import resolve_vehicles
 from ..schema import conform
 from ..session import work_path
@@ -181,21 +181,18 @@ def run_registrations_etl(
                                             f"{work}/vehicle_map")
         lap("resolution")
 
-        # 5. fact with match counts observed on the same write
-        fact = assemble_fact(staged, vehicle_map, key=options.key, keep_match_flag=True)
+        # 5. fact; its rows are counted above the write's shuffle, where a repeated
+        #    map task is not counted again, and matches per vehicle
+        fact = assemble_fact(staged, vehicle_map, key=options.key)
         obs_fact = Observation("fact")
         fact_path = f"{root}/gold_fact_registrations"
-        # counted above the write's shuffle: a repeated map task is not counted again
         files, nbytes = sinks.write_sized(fact, fact_path, partition_by=["REGISTRATION_YEAR"], target_mb=target_mb,
-                                          mode=mode, output_format=output_format, drop=["_matched"], observe=(obs_fact, [
-            F.count(F.lit(1)).alias("fact_rows"),
-            F.count_if(F.col("_matched") & ~F.col("IS_FUZZY_MATCH")).alias("exact_matches"),
-            F.count_if(F.col("IS_FUZZY_MATCH")).alias("fuzzy_matches")]))
-        got = _observed(obs_fact, ["fact_rows", "exact_matches", "fuzzy_matches"], staged)
+                                          mode=mode, output_format=output_format,
+                                          observe=(obs_fact, [F.count(F.lit(1)).alias("fact_rows")]))
+        got = _observed(obs_fact, ["fact_rows"], staged)
+        matched = match_counts(staged, vehicle_map).first().asDict()
         lap("fact")
-        counts.update(fact_rows=got["fact_rows"], exact_matches=got["exact_matches"],
-                      fuzzy_matches=got["fuzzy_matches"],
-                      total_resolved=got["exact_matches"] + got["fuzzy_matches"])
+        counts.update(fact_rows=got["fact_rows"], **matched)
         metrics["writes"] = {"fact": {"path": fact_path, "files": files, "bytes": nbytes},
                              "dims": dim_paths, "bad_records": f"{root}/bad_records"}
         metrics["elapsed_sec"] = round(time.perf_counter() - started, 3)
