@@ -1,14 +1,13 @@
 """Deterministic star-schema dimensions (OP2, PRJ18-20, AGG3-4).
 
-One row per surrogate id. Where the reference kept an arbitrary row per id,
-the representative here is the row that is first under ``order_by`` (default:
-the registration key), picked with ``min_by`` - an aggregate, so a hot id is
-combined map-side before the shuffle.
+One row per surrogate id. Where the reference kept an arbitrary row per id, the
+representative here is the least attribute row (nulls first, columns in order).
+Staged rows are first reduced to distinct (id, attributes) by a hash aggregate
+that is combined map-side; the pick then sorts only the few rows that are left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -24,19 +23,10 @@ class Dims(NamedTuple):
     office: DataFrame
 
 
-def _order(order_by: Sequence[str]) -> Column:
-    cols = [F.col(c) for c in order_by]
-    return cols[0] if len(cols) == 1 else F.struct(*cols)
-
-
-def pick_first(df: DataFrame, key: str, attrs: dict[str, Column], order_by: Sequence[str]) -> DataFrame:
-    """``key`` plus ``attrs`` taken from the first row per key under ``order_by``."""
-    row = F.struct(*[expr.alias(name) for name, expr in attrs.items()])
-    return (
-        df.groupBy(key)
-        .agg(F.min_by(row, _order(order_by)).alias("_r"))
-        .select(key, *[F.col(f"_r.{name}").alias(name) for name in attrs])
-    )
+def representative(df: DataFrame, key: str, attrs: dict[str, Column]) -> DataFrame:
+    """``key`` plus the least row of ``attrs`` per key."""
+    distinct = df.select(key, *[expr.alias(name) for name, expr in attrs.items()]).distinct()
+    return distinct.groupBy(key).agg(F.min(F.struct(*attrs)).alias("_r")).select(key, "_r.*")
 
 
 def vehicle_attributes() -> dict[str, Column]:
@@ -53,20 +43,20 @@ def vehicle_attributes() -> dict[str, Column]:
     }
 
 
-def dim_vehicle(staged: DataFrame, order_by: Sequence[str] = ("reg_no",)) -> DataFrame:
-    return pick_first(staged, "VEHICLE_ID", vehicle_attributes(), order_by)
+def dim_vehicle(staged: DataFrame) -> DataFrame:
+    return representative(staged, "VEHICLE_ID", vehicle_attributes())
 
 
-def dim_manufacturer(staged: DataFrame, order_by: Sequence[str] = ("reg_no",)) -> DataFrame:
-    return pick_first(staged, "MANUFACTURER_ID", {"MAKER_NAME": F.col("maker_name")}, order_by)
+def dim_manufacturer(staged: DataFrame) -> DataFrame:
+    return representative(staged, "MANUFACTURER_ID", {"MAKER_NAME": F.col("maker_name")})
 
 
-def dim_office(staged: DataFrame, order_by: Sequence[str] = ("reg_no",)) -> DataFrame:
-    office = pick_first(staged, "RTA_ID", {"RTA_OFFICE_CODE": F.col("office_cd")}, order_by)
+def dim_office(staged: DataFrame) -> DataFrame:
+    office = representative(staged, "RTA_ID", {"RTA_OFFICE_CODE": F.col("office_cd")})
     return office.withColumns(
         {name: F.lit(None).cast("string") for name in ("RTA_REGION", "RTA_STATE", "RTA_CITY")}
     )
 
 
-def build_dimensions(staged: DataFrame, order_by: Sequence[str] = ("reg_no",)) -> Dims:
-    return Dims(dim_vehicle(staged, order_by), dim_manufacturer(staged, order_by), dim_office(staged, order_by))
+def build_dimensions(staged: DataFrame) -> Dims:
+    return Dims(dim_vehicle(staged), dim_manufacturer(staged), dim_office(staged))

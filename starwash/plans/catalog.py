@@ -371,6 +371,24 @@ def q_run_metrics(spark, sf):
     return runs.select(F.explode(counts).alias("metric", "value"))
 
 
+def _append_halves(spark, sf):
+    """Two runs over halves that share no key, the second appended to the first."""
+    root = work_path(spark, "star-append")
+    d = dirty(spark, sf)
+    even = F.coalesce(F.col("reg_no"), F.lit("")).rlike("[02468]$")
+    for half in (even, ~even):
+        run_registrations_etl(d.filter(half), output_root=root, options=OPTS, conform_input=False, mode="append")
+    return root
+
+
+def q_append_fact(spark, sf):
+    return readers.read_parquet(spark, f"{_append_halves(spark, sf)}/gold_fact_registrations").select(*FACT_COLUMNS)
+
+
+def q_append_dim_vehicle(spark, sf):
+    return readers.read_parquet(spark, f"{_append_halves(spark, sf)}/gold_dim_vehicle")
+
+
 def q_dir_ingest(spark, sf):
     folder = work_path(spark, "inbox")
     d = dirty(spark, sf)
@@ -388,10 +406,11 @@ def q_ingest_status(spark, sf):
     # an unreadable file with a parquet extension
     _write_one(table(spark, sf, "region").select(F.col("r_name").alias("value")), "text",
                f"{folder}/_x", folder, "broken.parquet")
-    schema = table(spark, sf, "region").schema
-    st = readers.ingest_status(spark, folder, schema)
+    # a readable file without rows
+    _write_one(table(spark, sf, "region").limit(0), "parquet", f"{folder}/_e", folder, "empty.parquet")
+    st = readers.ingest_status(spark, folder, table(spark, sf, "region").schema)
     fmt = F.lower(F.regexp_extract("file_name", r"\.([^.]+)$", 1)).alias("file_format")
-    return st.groupBy(fmt, "status").agg(F.sum("rows").cast("long").alias("rows"))
+    return st.groupBy(fmt, "status", F.col("error").isNotNull().alias("has_error")).agg(F.sum("rows").cast("long").alias("rows"))
 
 
 def _write_one(df: DataFrame, fmt: str, tmp: str, folder: str, name: str) -> None:

@@ -115,8 +115,13 @@ def emission_sql(src: str, pattern: str = R.EMISSION_PATTERN) -> str:
             FROM {src})"""
 
 
-def _first_per(key: str, src: str) -> str:
-    return f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY reg_no) AS _rn FROM {src}) WHERE _rn = 1"
+def _least_per(key: str, attrs: list[tuple[str, str]]) -> str:
+    """The least attribute row per key."""
+    names = ", ".join(name for name, _ in attrs)
+    order = ", ".join(f"{name} ASC NULLS FIRST" for name, _ in attrs)
+    cols = ", ".join(f"{expr} AS {name}" for name, expr in attrs)
+    return (f"SELECT {key}, {names} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn "
+            f"FROM (SELECT {key}, {cols} FROM staged)) WHERE _rn = 1")
 
 
 CHAIN: list[tuple[str, str]] = [
@@ -138,14 +143,13 @@ CHAIN: list[tuple[str, str]] = [
         sha256(lower(trim(maker_name))) AS MANUFACTURER_ID,
         sha256(lower(trim(office_cd))) AS RTA_ID
       FROM st4"""),
-    ("dim_vehicle", f"""SELECT VEHICLE_ID, model_name AS MODEL_NAME, variant AS VARIANT, emission_standard AS EMISSION_STANDARD,
-        fuel_clean AS FUEL, coalesce(colour, '{R.UNKNOWN}') AS COLOUR, coalesce(vehicle_class, '{R.UNKNOWN}') AS VEHICLE_CLASS,
-        make_year AS MAKE_YEAR, TRY_CAST(seat_capacity AS INTEGER) AS SEAT_CAPACITY, is_electric AS IS_ELECTRIC
-      FROM ({_first_per('VEHICLE_ID', 'staged')})"""),
-    ("dim_manufacturer", f"SELECT MANUFACTURER_ID, maker_name AS MAKER_NAME FROM ({_first_per('MANUFACTURER_ID', 'staged')})"),
-    ("dim_office", f"""SELECT RTA_ID, office_cd AS RTA_OFFICE_CODE, CAST(NULL AS VARCHAR) AS RTA_REGION,
-        CAST(NULL AS VARCHAR) AS RTA_STATE, CAST(NULL AS VARCHAR) AS RTA_CITY
-      FROM ({_first_per('RTA_ID', 'staged')})"""),
+    ("dim_vehicle", _least_per("VEHICLE_ID", [
+        ("MODEL_NAME", "model_name"), ("VARIANT", "variant"), ("EMISSION_STANDARD", "emission_standard"), ("FUEL", "fuel_clean"),
+        ("COLOUR", f"coalesce(colour, '{R.UNKNOWN}')"), ("VEHICLE_CLASS", f"coalesce(vehicle_class, '{R.UNKNOWN}')"),
+        ("MAKE_YEAR", "make_year"), ("SEAT_CAPACITY", "TRY_CAST(seat_capacity AS INTEGER)"), ("IS_ELECTRIC", "is_electric")])),
+    ("dim_manufacturer", _least_per("MANUFACTURER_ID", [("MAKER_NAME", "maker_name")])),
+    ("dim_office", _least_per("RTA_ID", [("RTA_OFFICE_CODE", "office_cd"), ("RTA_REGION", "CAST(NULL AS VARCHAR)"),
+                                         ("RTA_STATE", "CAST(NULL AS VARCHAR)"), ("RTA_CITY", "CAST(NULL AS VARCHAR)")])),
     ("sm", "SELECT reg_no, VEHICLE_ID, model_name, variant, MAKE_YEAR_KEY FROM staged"),
     ("dv", """SELECT VEHICLE_ID AS dv_id, lower(trim(MODEL_NAME)) AS dv_model, lower(trim(VARIANT)) AS dv_variant,
         MAKE_YEAR AS dv_make_year FROM dim_vehicle"""),
@@ -183,6 +187,16 @@ def with_chain(final: str, extra: list[tuple[str, str]] = ()) -> str:
     return f"WITH {ctes}\n{final}"
 
 
+#: two halves of the dirty view that share no key
+HALVES = ("regexp_matches(coalesce(reg_no, ''), '[02468]$')", "NOT regexp_matches(coalesce(reg_no, ''), '[02468]$')")
+
+
+def with_half(half: str, final: str) -> str:
+    """``with_chain`` over the rows of one half only."""
+    ctes = [("whole", DIRTY_SQL), ("dirty", f"SELECT * FROM whole WHERE {half}"), *CHAIN[1:]]
+    return "(WITH " + ",\n".join(f"{name} AS (\n{body}\n)" for name, body in ctes) + f"\n{final})"
+
+
 def _metric_rows(pairs: list[tuple[str, str]]) -> str:
     return "\nUNION ALL ".join(f"SELECT '{m}' AS metric, CAST(({q}) AS BIGINT) AS value" for m, q in pairs)
 
@@ -363,11 +377,17 @@ ORACLES: dict[str, str] = {
     "sized_write_roundtrip": "SELECT * FROM lineitem",
     "quarantine_roundtrip": with_chain(REJECTS),
     "star_roundtrip": with_chain(f"SELECT {FACT_COLS} FROM fact"),
+    "append_fact": f"""SELECT * FROM {with_half(HALVES[0], f"SELECT {FACT_COLS} FROM fact")}
+        UNION ALL SELECT * FROM {with_half(HALVES[1], f"SELECT {FACT_COLS} FROM fact")}""",
+    "append_dim_vehicle": f"""WITH a AS (SELECT * FROM {with_half(HALVES[0], "SELECT * FROM dim_vehicle")}),
+        b AS (SELECT * FROM {with_half(HALVES[1], "SELECT * FROM dim_vehicle")})
+        SELECT * FROM a UNION ALL SELECT * FROM b WHERE VEHICLE_ID NOT IN (SELECT VEHICLE_ID FROM a)""",
     "dir_ingest": with_chain("SELECT * FROM dirty"),
     "ingest_status": """
-        SELECT 'parquet' AS file_format, CAST(count(*) AS BIGINT) AS rows, 'ok' AS status FROM nation
-        UNION ALL SELECT 'csv', CAST(count(*) AS BIGINT), 'ok' FROM region
-        UNION ALL SELECT 'parquet', CAST(0 AS BIGINT), 'skipped'""",
+        SELECT 'parquet' AS file_format, CAST(count(*) AS BIGINT) AS rows, 'ok' AS status, false AS has_error FROM nation
+        UNION ALL SELECT 'csv', CAST(count(*) AS BIGINT), 'ok', false FROM region
+        UNION ALL SELECT 'parquet', CAST(0 AS BIGINT), 'empty', false
+        UNION ALL SELECT 'parquet', CAST(0 AS BIGINT), 'failed', true""",
     "compressed_csv_roundtrip": "SELECT * FROM orders",
     "output_size_audit": "SELECT count(*) AS rows, true AS files_agree, true AS bytes_agree FROM lineitem",
     "preview": with_chain(

@@ -101,39 +101,82 @@ def ingest_dir(spark: SparkSession, directory: str, schema: StructType = RAW_SCH
     return out
 
 
+def _none_of_format(exc: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc)
+
+
+def _rows_per_file(df: DataFrame, name: str, columns: Sequence[str] = ()) -> DataFrame:
+    """(file_name, ``name``): rows of each file, with all ``columns`` really decoded."""
+    # a count of the hashes would do, but Spark knows that they are never null and would read no column
+    decoded = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).bitwiseAND(F.lit(0))
+    seen = F.sum(decoded + 1) if columns else F.count(F.lit(1))
+    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(seen.alias(name))
+
+
+def read_error(df: DataFrame) -> str | None:
+    """The error that decoding every column of ``df`` meets, or None."""
+    try:
+        df.agg(F.max(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))).collect()
+    except Exception as exc:
+        return str(exc)
+    return None
+
+
 def ingest_status(spark: SparkSession, directory: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
-    """SRC4: per-file status (file_name, rows, status) without a job per file.
+    """SRC4: (file_name, rows, status, error) of every parquet and csv file.
+
+    ``ok``: all columns of all rows can be read. ``empty``: readable, without
+    rows. ``failed``: unreadable, or readable only in part; ``rows`` is what can be
+    read and ``error`` says why.
 
-    Files are listed with the ``binaryFile`` source (contents are not read);
-    all files of a format are read in one scan with ``ignoreCorruptFiles`` and
-    rows are counted per file from ``_metadata``. A listed file that yields no
-    rows is reported as ``skipped`` (unreadable or empty).
+    All files of a format are read in one scan that skips damage; parquet rows are
+    compared with the files' footers. Only files that give no rows, or fewer than
+    their footer states, are read again alone, for their error.
     """
-    listed = None
-    counted = None
+    listed, counted = None, None
     for glob, fmt in ((PARQUET_GLOB, "parquet"), (CSV_GLOB, "csv")):
         try:
-            files = (
-                spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-                .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"))
-            )
+            files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
+                     .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "path", F.lit(fmt).alias("fmt")))
         except Exception as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            if _none_of_format(exc):
                 continue
             raise
-        # row counts need no schema inference (which would trip over the unreadable files)
-        reader = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true").schema(schema)
-        df = reader.options(**CSV_READ_OPTIONS).csv(directory) if fmt == "csv" else reader.parquet(directory)
-        counts = df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
         listed = files if listed is None else listed.unionByName(files)
+        reader = spark.read.option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
+        if fmt == "csv":
+            df = reader.schema(schema).options(**CSV_READ_OPTIONS).csv(directory)
+            counts = _rows_per_file(df, "rows", df.columns).withColumn("stated", F.col("rows"))
+        else:
+            try:  # the files' own columns, from the footers that can be read
+                df = reader.option("mergeSchema", "true").parquet(directory)
+            except Exception as exc:
+                if _none_of_format(exc):
+                    continue
+                raise
+            counts = _rows_per_file(df, "stated").join(_rows_per_file(df, "rows", df.columns), "file_name", "left")
+        counts = counts.select("file_name", "rows", "stated")
         counted = counts if counted is None else counted.unionByName(counts)
     if listed is None:
         raise FileNotFoundError(f"no parquet or csv files in {directory}")
-    return listed.join(counted, "file_name", "left").select(
-        "file_name",
-        F.coalesce(F.col("rows"), F.lit(0)).alias("rows"),
-        F.when(F.col("rows").isNotNull(), F.lit("ok")).otherwise(F.lit("skipped")).alias("status"),
-    )
+    if counted is None:
+        counted = spark.createDataFrame([], "file_name string, rows long, stated long")
+    status = listed.join(counted, "file_name", "left").select(
+        "file_name", "path", "fmt", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("stated", F.lit(0)).alias("stated"))
+    errors = []
+    for f in status.filter("rows = 0 or rows < stated").collect():  # names of suspect files only
+        try:
+            alone = (read_csv(spark, f.path, schema) if f.fmt == "csv" else read_parquet(spark, f.path))
+            error = read_error(alone)
+        except Exception as exc:  # not even a schema
+            error = str(exc)
+        if error is None and f.rows < f.stated:
+            error = f"{f.rows} of {f.stated} rows could be read"
+        errors.append((f.path, error))
+    found = spark.createDataFrame(errors, "path string, error string")
+    return status.join(found, "path", "left").select(
+        "file_name", "rows",
+        F.when(F.col("error").isNotNull(), "failed").when(F.col("rows") == 0, "empty").otherwise("ok").alias("status"), "error")
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:

@@ -1,16 +1,15 @@
 """Per-file runs over an inbox folder, as a Structured Streaming query (SRC3, SRC4).
 
-Each new file in ``input_dir`` becomes one micro-batch (``maxFilesPerTrigger``)
-and one full pipeline run written under ``<output_root>/<run_id>``. A failing
-file is recorded in the status table and the stream goes on to the next one.
-The stream's checkpoint (in the shared folder) remembers which files are done,
-so a restarted job resumes instead of re-running finished files.
+Each new file in ``input_dir`` becomes one micro-batch and one full pipeline run
+written under ``<output_root>/<run_id>``. The run id is that of the batch, so a batch
+that is tried again overwrites its own output and status row. A file that cannot be
+read is recorded as failed and the stream goes on; any other error (a lost node, a
+full disk) is raised, and the batch is tried again at the next start. The checkpoint
+is kept under ``output_root``, so a restarted job resumes behind the finished files.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,8 +18,7 @@ from pyspark.sql.types import StructType
 from ..operators.stage import CleanOptions
 from ..plans.pipeline import run_registrations_etl
 from ..schema import RAW_SCHEMA
-from ..session import work_path
-from ..sources.readers import CSV_GLOB, CSV_READ_OPTIONS, PARQUET_GLOB
+from ..sources.readers import CSV_GLOB, CSV_READ_OPTIONS, PARQUET_GLOB, read_error
 
 STATUS_SCHEMA = ("run_id string, file_name string, batch_id long, rows long, status string, "
                  "error string, finished_at timestamp")
@@ -63,24 +61,26 @@ def start_inbox(
     stream = reader.load(input_dir).withColumn("_source_file", F.col("_metadata.file_name"))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"run_{int(time.time())}_{batch_id}"
-        file_name = f"batch-{batch_id}"  # kept if the file cannot even be read
+        run_id = f"{fmt}-{batch_id:09d}"
+        file_name = f"batch-{batch_id}"  # kept if the file cannot be read; the error then names it
         try:
             # one file per batch (maxFilesPerTrigger), so this collects one name
-            names = batch.select("_source_file").distinct().collect()
-            file_name = ",".join(sorted(r[0] for r in names))
+            file_name = ",".join(sorted(r[0] for r in batch.select("_source_file").distinct().collect()))
             metrics = run_registrations_etl(batch.drop("_source_file"), output_root=f"{root}/{run_id}",
                                             run_id=run_id, options=options, **etl_kwargs)
             row = dict(rows=metrics["counts"]["input_rows"], status="ok", error=None)
-        except Exception as exc:  # isolate the file, keep the stream going
-            row = dict(rows=None, status="failed", error=str(exc)[:2000])
+        except Exception:
+            error = read_error(batch)
+            if error is None:  # the file is sound: not its fault
+                raise
+            row = dict(rows=None, status="failed", error=error)
         _status_row(spark, run_id=run_id, file_name=file_name, batch_id=batch_id,
                     finished_at=None, **row).withColumn("finished_at", F.current_timestamp()) \
-            .write.mode("append").parquet(f"{root}/_status")
+            .write.mode("overwrite").parquet(f"{root}/_status/{run_id}")
 
     writer = (
         stream.writeStream.foreachBatch(run_batch)
-        .option("checkpointLocation", checkpoint or work_path(spark, "inbox-checkpoint"))
+        .option("checkpointLocation", checkpoint or f"{root}/_checkpoint-{fmt}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
@@ -88,4 +88,4 @@ def start_inbox(
 
 def inbox_status(spark: SparkSession, output_root: str) -> DataFrame:
     """The status table written by ``start_inbox``."""
-    return spark.read.parquet(f"{output_root.rstrip('/')}/_status")
+    return spark.read.schema(STATUS_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{output_root.rstrip('/')}/_status")

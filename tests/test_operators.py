@@ -214,3 +214,21 @@ def test_similar_pairs_near_copies_brute_force(spark, seed):
                                                           keys=[("lb", "rb")], threshold=t, dist_col="d").collect()}
         want = {(li, ri, _lev(lw, rw)) for li, lw, _ in left for ri, rw, _ in right if _lev(lw, rw) <= t}
         assert got == want, t
+
+
+def test_prefix_block_equals_brute_force_without_all_pairs(spark):
+    """Two-character blocks and names of 4 to 12 characters: right pairs, from few candidates."""
+    from starwash.operators.resolve import candidate_pairs
+
+    rnd = random.Random(3)
+    names = ["ab" + "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 10))) for _ in range(300)]
+    names += [n[:-1] + "x" for n in names[:60]]
+    left = spark.createDataFrame([(i, n, n[:2]) for i, n in enumerate(names[::2])], "lid int, ltext string, lblock string")
+    right = spark.createDataFrame([(i, n, n[:2]) for i, n in enumerate(names[1::2])], "rid int, rtext string, rblock string")
+    how = dict(left_text="ltext", right_text="rtext", keys=[("lblock", "rblock")], threshold=3, prefix=("lblock", "rblock"))
+    got = {(r.lid, r.rid, r.d) for r in similar_pairs(left, right, dist_col="d", **how).collect()}
+    want = {(i, j, _lev(a, b)) for i, a in enumerate(names[::2]) for j, b in enumerate(names[1::2]) if _lev(a, b) <= 3}
+    assert got == want
+    long = "length(ltext) >= 8 and length(rtext) >= 8"
+    every = left.filter("length(ltext) >= 8").count() * right.filter("length(rtext) >= 8").count()
+    assert candidate_pairs(left, right, **how).filter(long).count() < every / 4

@@ -114,3 +114,21 @@ def test_scale_conf():
     assert int(scale_conf(10 * 10**12)["spark.sql.shuffle.partitions"]) > 35_000
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(scale_conf(10**6)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_ingest_status_finds_damaged_pages(spark, tmp_path):
+    """A file whose footer is sound but whose pages are not is a failure with its error."""
+    import os
+
+    spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("a")).coalesce(1).write.parquet(str(tmp_path / "w"))
+    part = next(p for p in os.listdir(tmp_path / "w") if p.endswith(".parquet"))
+    data = (tmp_path / "w" / part).read_bytes()
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "good.parquet").write_bytes(data)
+    (folder / "damaged.parquet").write_bytes(data[:4] + bytes(len(data) // 2) + data[4 + len(data) // 2:])
+    (folder / "cut.parquet").write_bytes(data[: len(data) // 2])
+    got = {r.file_name: r for r in readers.ingest_status(spark, str(folder)).collect()}
+    assert (got["good.parquet"].status, got["good.parquet"].rows, got["good.parquet"].error) == ("ok", 5000, None)
+    for name in ("damaged.parquet", "cut.parquet"):
+        assert got[name].status == "failed" and got[name].error, name

@@ -26,6 +26,10 @@ def test_inbox_runs_each_file(spark, sf_small):
     assert set(st) == {"a.csv", "b.csv"}
     assert all(s == "ok" for s, _ in st.values())
     assert st["a.csv"][1] == d.filter(F.col("slno") == "1").count()
+    # a second start finds nothing to do
+    again = start_inbox(spark, inbox, out, fmt="csv", schema=CANONICAL_RAW_SCHEMA, conform_input=False)
+    again.awaitTermination(300)
+    assert inbox_status(spark, out).count() == 2
 
 
 def test_inbox_isolates_a_bad_file(spark, sf_small):
