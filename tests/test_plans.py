@@ -3,6 +3,7 @@ physical plans, not on timings)."""
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from starwash.plans.catalog import QUERIES
 from starwash.operators import stage as S
@@ -12,21 +13,29 @@ from starwash.plans.fixtures import DIRTY_RAW, table
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
-# queries that write first (their plan is a read of the written table)
-WRITES = {"parquet_roundtrip", "csv_roundtrip", "partitioned_roundtrip", "sized_write_roundtrip",
-          "quarantine_roundtrip", "star_roundtrip", "run_metrics", "dir_ingest", "ingest_status",
-          "output_size_audit", "etl_counts", "resolution_external", "resolution_map", "exact_match",
-          "unresolved_keys", "fact_registrations", "dq_threshold", "dq_fk_null", "dq_date_key", "dq_fk_orphans"}
-
-
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
-def test_no_cartesian_or_python_in_plans(spark, sf_small, name):
-    plan = _plan(QUERIES[name](spark, sf_small))
-    assert not any(tok in plan for tok in FORBIDDEN), name
+@pytest.fixture
+def written_plans(monkeypatch):
+    """Plans of all frames that are written while the test runs."""
+    plans = []
+    write = DataFrame.write
+
+    def noted(df):
+        plans.append(_plan(df))
+        return write.fget(df)
+
+    monkeypatch.setattr(DataFrame, "write", property(noted))
+    return plans
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cartesian_or_python_in_plans(spark, sf_small, written_plans, name):
+    """The query's plan and those of all tables that it writes on its way."""
+    plans = [_plan(QUERIES[name](spark, sf_small)), *written_plans]
+    assert not [tok for plan in plans for tok in FORBIDDEN if tok in plan], name
 
 
 def test_stage_plan_shape(spark, sf_small):
