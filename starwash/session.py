@@ -37,8 +37,8 @@ def scale_conf(input_bytes: int, partition_bytes: int = 512 << 20, shuffle_expan
                max_shuffle_partitions: int = 200_000) -> dict[str, str]:
     """Session settings for a cluster run over ``input_bytes`` of raw input.
 
-    Shuffle partitions are sized so that the widest shuffle (all rows, joined
-    to their key's winner; decoded rows are about ``shuffle_expansion`` times
+    Shuffle partitions are sized so that the widest shuffle (all rows, ranked
+    within their key; decoded rows are about ``shuffle_expansion`` times
     the encoded input) lands near ``partition_bytes`` per task before AQE
     merges small ones, capped so that map x reduce shuffle blocks stay
     manageable (at 100 TB the cap gives about 1 GB per reduce task, which sorts
