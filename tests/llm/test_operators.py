@@ -300,3 +300,16 @@ def test_pipeline_stages_chain(spark, sf_small):
             assert out.columns == list(pipeline.DOCUMENT_COLUMNS) and 0 < out.count() <= docs.count()
         docs = out
     assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 1024").count() == 0
+
+
+def test_line_dedup_extends_into_partial_lines(spark):
+    rng = random.Random(11)
+    sentence = words(60, rng)  # one sentence, without an inner cut
+    near = [words(9, rng).capitalize() + "! " for _ in range(8)]
+    edited = ["Other " + near[0]] + near[1:-1] + [near[-1].rstrip() + "changed end."]
+    docs = [(1, words(9, rng) + " " + sentence + " " + words(7, rng) + "."), (2, words(13, rng) + " " + sentence + " " + words(11, rng) + "."),
+            (3, "".join(near)), (4, "".join(edited))]
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out[1].text == docs[0][1] and out[3].text == docs[2][1]
+    assert out[2].text.split() == docs[1][1].split()[:13] + docs[1][1].split()[-11:]
+    assert len(out[4].text.split()) <= 4
