@@ -313,3 +313,15 @@ def test_line_dedup_extends_into_partial_lines(spark):
     assert out[1].text == docs[0][1] and out[3].text == docs[2][1]
     assert out[2].text.split() == docs[1][1].split()[:13] + docs[1][1].split()[-11:]
     assert len(out[4].text.split()) <= 4
+
+
+def test_line_dedup_short_lines_and_dense_scripts(spark):
+    rng = random.Random(12)
+    address = "\n".join(words(3, rng) for _ in range(20))
+    dense = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(90))
+    tabs = words(60, rng).replace(" ", "\t")
+    docs = [(2 * k + n, ("first " if n else "second ") + t + "\n" + words(9, rng) + ".") for k, t in enumerate((address, dense, tabs), 1) for n in (0, 1)]
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for k, t in enumerate((address, dense, tabs), 1):
+        assert out[2 * k].text == dict(docs)[2 * k]
+        assert out[2 * k + 1].text.split() == dict(docs)[2 * k + 1].replace(t, "").split()
