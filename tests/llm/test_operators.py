@@ -325,3 +325,20 @@ def test_line_dedup_short_lines_and_dense_scripts(spark):
     for k, t in enumerate((address, dense, tabs), 1):
         assert out[2 * k].text == dict(docs)[2 * k]
         assert out[2 * k + 1].text.split() == dict(docs)[2 * k + 1].replace(t, "").split()
+
+
+def test_line_dedup_finds_runs_whose_parts_have_other_origins(spark):
+    rng = random.Random(13)
+    a, b, c = (words(8, rng) + "." for _ in range(3))
+    pool = [words(8, rng) + "." for _ in range(12)]
+    docs = [(1, f"{a} {b}"), (5, f"{words(5, rng)}.\n{a} {b} {c}"), (9, f"{words(6, rng)}.\n{a} {b} {c}")]
+    docs += [(20 + k, " ".join(rng.choice(pool) for _ in range(9))) for k in range(60)]  # pairs recur in many combinations
+    out = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: len(r.text.split()) for r in out if r.doc_id < 10} == {1: 16, 5: 29, 9: 6}
+    seen, left = {}, 0
+    for r in sorted(out):
+        w = r.text.split()
+        grams = {tuple(w[k:k + 51]) for k in range(len(w) - 50)}
+        left += any(seen.get(g, r.doc_id) != r.doc_id for g in grams)
+        seen.update((g, r.doc_id) for g in grams if g not in seen)
+    assert left == 0
