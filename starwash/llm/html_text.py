@@ -40,10 +40,14 @@ from starwash.llm.linear import DenseRows, descend, sigmoid
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_HIDDEN = re.compile(r"hidden|none", re.I)
+_HIDING = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+#: class tokens that begin so tell of a part elsewhere in the page
+_TELLS = re.compile(r"(?:^|\s)(?:has|with|without|no|layout)[-_]\S*", re.I)
 
 #: fixed values: how HTML treats elements
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select textarea audio video".split())
+SKIPPED = frozenset("script style noscript template svg annotation annotation-xml iframe object canvas head title select textarea audio video".split())
 RAW = frozenset("script style title textarea noscript iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -78,6 +82,18 @@ FEATURES = tuple(PRIOR)
 _TAG_FEATURES = frozenset(("article", "content", "hidden", *BAD))
 
 
+def hides(attributes: str) -> bool:
+    """The attribute, a class of that name, or a style that hides the element; not overflow-hidden."""
+    if not _HIDDEN.search(attributes):
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
+        if (name == "hidden" or (name == "class" and "hidden" in value.split()) or (name == "style" and _HIDING.search(value))
+                or (name == "aria-hidden" and value.strip() == "true")):
+            return True
+    return False
+
+
 def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
     """(text, features, parent) of every text block, in page order."""
     out: list = []
@@ -85,6 +101,7 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
     stack = [("", frozenset(), 0, False)]
     text: list[str] = []
     linked = size = nodes = links = 0
+    held: dict[int, int] = {}  # characters in elements with hints; a hint is (hint, node) until all is read
 
     def flush():
         nonlocal text, linked, size
@@ -92,6 +109,8 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
             whole = " ".join(entities.unescape("".join(text)).split())
             if whole:
                 out.append((whole, describe(whole, linked / max(size, 1)), parent()))
+                for node in {z[1] for z in stack[-1][1] if isinstance(z, tuple)}:
+                    held[node] = held.get(node, 0) + len(whole)
         text, linked, size = [], 0, 0
 
     def parent():
@@ -178,8 +197,9 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
             added.add("top")
         if attributes:
             for value in _NAMES.findall(attributes):
-                added.update(_HINT_OF[w] for w in map(str.lower, _WORD.findall("".join(value))) if w in _HINT_OF)
-            if _HIDDEN.search(attributes):
+                named = _TELLS.sub(" ", "".join(value))
+                added.update((_HINT_OF[w], nodes) for w in map(str.lower, _WORD.findall(named)) if w in _HINT_OF)
+            if hides(attributes):
                 added.add("hidden")
         if tag in ("html", "body"):  # their classes name the kind of page, not a zone
             added = set()
@@ -192,7 +212,14 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
             close = re.compile(f"</{tag}\\b", re.I).search(page, at)
             at = close.start() if close else end
     flush()
-    return out
+    # an element with most of the page's text is no zone of it, whatever its classes say; a thread of comments can be that long
+    most = 0.5 * sum(len(b[0]) for b in out)
+
+    def settled(found):
+        return frozenset(f[0] if isinstance(f, tuple) else f for f in found
+                         if not isinstance(f, tuple) or f[0] in ("content", "comments") or held[f[1]] <= most)
+
+    return [(whole, settled(found), node) for whole, found, node in out] if held else out
 
 
 def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:

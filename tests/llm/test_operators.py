@@ -342,3 +342,18 @@ def test_line_dedup_finds_runs_whose_parts_have_other_origins(spark):
         left += any(seen.get(g, r.doc_id) != r.doc_id for g in grams)
         seen.update((g, r.doc_id) for g in grams if g not in seen)
     assert left == 0
+
+
+def test_html_hidden_and_zone_words_of_wrappers():
+    rng = random.Random(15)
+    text = [words(40, rng).capitalize() + "." for _ in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    nav = '<nav><ul><li><a href="/">Home</a></li></ul></nav>'
+    for attributes in ('class="content overflow-hidden"', 'class="content" style="overflow:hidden"', 'class="content has-sidebar"',
+                       'class="content layout-sidebar-right"', 'class="content sidebar-right-layout"'):
+        got = html_text.extract(f"<html><body>{nav}<div {attributes}>{body}</div></body></html>", html_text.PRIOR)
+        assert got == "\n\n".join(text), attributes
+    for attributes in ("hidden", 'class="hidden"', 'style="display: none"', 'style="visibility:hidden"', 'aria-hidden="true"', 'class="sidebar"'):
+        page = f'<html><body><div class="content">{body}</div><div {attributes}><p>{words(30, rng)}.</p></div></body></html>'
+        assert html_text.extract(page, html_text.PRIOR) == "\n\n".join(text), attributes
+    assert "x + y" in html_text.extract(f"<article><p>{text[0]} <math><mi>x + y</mi></math> {text[1]}</p></article>", html_text.PRIOR)
