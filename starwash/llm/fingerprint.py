@@ -1,6 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs (lines, and sentences within them) are hashed to 40-bit digests;
+A text's paragraphs (lines, sentences within them, and those of more than ``UNIT`` bytes
+cut after each word whose hash is 0 modulo ``STEP``) are hashed to 40-bit digests;
 with a 24-bit check they make one 64-bit value each. The distinct values are dealt
 by digest bits to shards of about ``SHARD`` values, and each shard is a lookup table
 of 3 x ``CELLS`` cells: a value goes to one cell of each third, and a cell is the XOR of
@@ -34,9 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from starwash.llm.common import text_or_empty
-from starwash.llm.line_dedup import lines_of
+from starwash.llm.line_dedup import _CUT, _MARK, _WHITE, _words, lines_of
 
 SHARD, CELLS, ROUNDS, LEVELS = 16, 8, 6, 5
+UNIT, STEP = 200, 8
 _ITEM = "array<struct<v:bigint,a:int,b:int,c:int>>"
 _PLACES = list(range(CELLS))
 
@@ -57,9 +59,16 @@ def _items(values: Column) -> Column:
     return F.transform(hashed, lambda x: F.struct(x["v"].alias("v"), place(x, 0).alias("a"), place(x, 16).alias("b"), place(x, 32).alias("c")))
 
 
+def _units(line: Column) -> Column:
+    """A long line in pieces that end at words chosen by their hashes, so an edit changes only those near it."""
+    ends = lambda w: F.hash(F.rtrim(w, F.lit(_WHITE))) % STEP == 0
+    marked = F.array_join(F.transform(_words(line, _CUT), lambda w: F.when(ends(w), F.concat(w, F.lit(_MARK))).otherwise(w)), "")
+    return F.when(F.octet_length(line) > UNIT, F.filter(F.split(marked, _MARK, -1), lambda p: p != "")).otherwise(F.array(line))
+
+
 def paragraph_items(text: Column) -> Column:
     """Distinct 64-bit values (digest and check) of a text's paragraphs, with their cells."""
-    pieces = F.coalesce(lines_of(text), F.array().cast("array<string>"))
+    pieces = F.flatten(F.transform(F.coalesce(lines_of(text), F.array().cast("array<string>")), _units))
     digests = F.transform(pieces, lambda p: F.xxhash64(F.rtrim(p, F.lit(" \n\r\t"))).bitwiseAND(F.lit((1 << 40) - 1)))
     return _items(F.transform(F.array_distinct(digests), lambda d: F.shiftleft(d, 24).bitwiseOR(_check(d))))
 

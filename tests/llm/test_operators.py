@@ -344,6 +344,14 @@ def test_line_dedup_finds_runs_whose_parts_have_other_origins(spark):
     assert left == 0
 
 
+def test_fingerprints_of_long_texts_without_cuts(spark):
+    rng = random.Random(14)
+    dense = lambda: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(900))
+    texts = [words(400, rng), words(400, rng), dense(), dense(), "\uffff " + words(400, rng), "! ".join(words(7, rng) for _ in range(60))]
+    out = fingerprint.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(0.3 < r.near_edited < 0.9 and r.near_next < 0.1 for r in out)
+
+
 def test_html_hidden_and_zone_words_of_wrappers():
     rng = random.Random(15)
     text = [words(40, rng).capitalize() + "." for _ in range(4)]
