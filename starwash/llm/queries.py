@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starwash.llm import decontaminate, fingerprint, html_text, line_dedup, near_dedup, packing, pii, quality, toxicity, url_filter
+from starwash.llm import (decontaminate, fingerprint, html_text, line_dedup, mixing, near_dedup, packing, pii, quality, resample, spelling,
+                          toxicity, url_filter)
 from starwash.llm.common import id_fold, table
 
 
@@ -82,6 +83,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs, typo_every=97)
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: weights of the sources in code-point order, repeating
+MIX_WEIGHTS = (5, 2, 1)
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS)
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_pii": op2_pii,
@@ -93,4 +113,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_fingerprint": op9_fingerprint,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling": op11_spelling,
+    "op12_resample": op12_resample,
+    "op13_mixing": op13_mixing,
 }
