@@ -285,7 +285,7 @@ def test_line_dedup_removes_later_runs_only(spark, edge, empty):
 def test_lines_join_back(spark):
     rng = random.Random(10)
     texts = ["".join(rng.choice("ab.? \n!\t") for _ in range(rng.randint(0, 80))) for _ in range(300)] + ["￿ x. y"]
-    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", line_dedup.lines_of(F.col("t")).alias("x")).collect()
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fingerprint.lines_of(F.col("t")).alias("x")).collect()
     assert all("".join(r.x or []) == r.t for r in rows)
 
 
