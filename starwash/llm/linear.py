@@ -9,19 +9,25 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35.0, 35.0)))
 
 
-class SparseRows:
-    """Rows of a sparse matrix: ``cols``/``vals`` laid end to end, ``sizes`` per row."""
+class BinaryRows:
+    """Rows of a sparse matrix of zeros and ones times a scale for each column: ``cols``
+    (int32) laid end to end, ``sizes`` per row. Eight bytes an entry."""
 
-    def __init__(self, cols: np.ndarray, vals: np.ndarray, sizes: np.ndarray, dim: int):
-        self.cols, self.vals, self.dim = cols, vals, dim
-        self.row = np.repeat(np.arange(len(sizes)), sizes)
-        self.n = len(sizes)
+    def __init__(self, cols: np.ndarray, sizes: np.ndarray, scale: np.ndarray):
+        self.cols, self.scale, self.n, self.dim = cols, scale, len(sizes), len(scale)
+        self.rows = np.repeat(np.arange(self.n, dtype=np.int32), sizes)[np.argsort(cols, kind="stable")]
+        self.row_ends, self.col_ends = np.cumsum(sizes), np.cumsum(np.bincount(cols, minlength=self.dim))
+
+    @staticmethod
+    def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
+        return np.diff(total[np.concatenate(([0], ends))])
 
     def dot(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=self.vals * w[self.cols], minlength=self.n)
+        return self._sums((self.scale * w).astype(np.float32)[self.cols], self.row_ends)
 
     def tdot(self, g: np.ndarray) -> np.ndarray:
-        return np.bincount(self.cols, weights=self.vals * g[self.row], minlength=self.dim)
+        return self.scale * self._sums(g.astype(np.float32)[self.rows], self.col_ends)
 
 
 class DenseRows:

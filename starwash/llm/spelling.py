@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -42,34 +43,80 @@ from starwash.llm.common import save, small_batches
 
 _RUN = re.compile("[a-zÀ-ÿ]+")
 LETTERS = 26 + 64  # a-z and U+00C0 to U+00FF
-SAMPLE, MAX_CELLS, _LEAF, _BLOCK = 20_000, 4096, 24, 1 << 19
+SAMPLE, MAX_CELLS, _LEAF, _BLOCK = 20_000, 4096, 64, 1 << 19
 _HELD = 200_000  # distinct words that a task holds before it sends them on
 _FAR = 1 << 14  # no count of a cell's bound is greater
 
 
+class _Words(dict):
+    """Numbers of the words seen since the last flush, with their CRCs and lengths in bytes."""
+
+    def __init__(self):
+        self.crc, self.size = array("q"), array("i")
+
+    def __missing__(self, word: str) -> int:
+        data = word.encode()
+        self.crc.append(zlib.crc32(data))
+        self.size.append(len(data))
+        self[word] = n = len(self.crc) - 1
+        return n
+
+
+def _carried(start: int, size: int) -> int:
+    """What a CRC state adds to the CRC of any ``size`` bytes after it: CRCs are linear."""
+    zeros = bytes(size)
+    return zlib.crc32(zeros, start) ^ zlib.crc32(zeros)
+
+
 def word_counts(documents: DataFrame, typo_every: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n) over all texts. With ``typo_every``, a run loses one letter in documents where
-    h = crc32('<id>:<run>') is a multiple of it: the letter at h modulo the run's length."""
+    h = crc32('<id>:<run>') is a multiple of it: the letter at h modulo the run's length.
+
+    h is put together from the id's state and the run's own CRC, which is taken once for
+    each word that a task holds."""
     small_batches(documents.sparkSession)
 
     def run(batches):
-        held: dict[str, int] = {}
+        words, total, edited = _Words(), np.zeros(0, np.int64), Counter()
+
+        def flush():
+            names = list(words)
+            counts = Counter({w: n for w, n in zip(names, total[: len(names)].tolist()) if n})
+            counts.update(edited)
+            return pd.DataFrame({"word": list(counts), "n": list(counts.values())}).astype({"word": object, "n": "int64"})
+
         for frame in batches:
+            found, ids = [], []
             for doc, text in zip(frame["i"], frame["t"]):
-                if not isinstance(text, str):
-                    continue
-                start = zlib.crc32(f"{doc}:".encode())
-                for word, n in Counter(_RUN.findall(text.encode("utf-8", "replace").lower().decode())).items():
-                    if typo_every:
-                        h = zlib.crc32(word.encode(), start)
-                        if not h % typo_every:
-                            at = h % len(word)
-                            word = word[:at] + word[at + 1 :]
-                    held[word] = held.get(word, 0) + n
-            if len(held) >= _HELD:
-                yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                held.clear()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())}).astype({"word": object, "n": "int64"})
+                if isinstance(text, str):
+                    runs = _RUN.findall(text.encode("utf-8", "replace").lower().decode())
+                    found.append(np.fromiter(map(words.__getitem__, runs), np.int64, len(runs)))
+                    ids.append(doc)
+            if not found:
+                continue
+            names, crc, size = None, np.array(words.crc), np.array(words.size)
+            seen = np.concatenate(found)
+            more = np.bincount(seen, minlength=len(crc))
+            if typo_every and len(seen):
+                sizes = np.unique(size[seen])
+                place = np.searchsorted(sizes, size)
+                for doc, at in zip(ids, found):
+                    start = zlib.crc32(f"{doc}:".encode())
+                    h = crc[at] ^ np.array([_carried(start, int(n)) for n in sizes])[place[at]]
+                    hit = np.flatnonzero(h % typo_every == 0)
+                    if len(hit):
+                        names = names or list(words)
+                        np.subtract.at(more, at[hit], 1)
+                        for k, x in zip(at[hit].tolist(), h[hit].tolist()):
+                            word = names[k]
+                            cut = x % len(word)
+                            edited[word[:cut] + word[cut + 1 :]] += 1
+            more[: len(total)] += total
+            total = more
+            if len(words) >= _HELD:
+                yield flush()
+                words, total, edited = _Words(), np.zeros(0, np.int64), Counter()
+        yield flush()
 
     texts = documents.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.col(text_col).cast("string").alias("t"))
     return texts.mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -125,29 +172,47 @@ def range_search(points: np.ndarray, askers: np.ndarray, lost: int):
     """Blocks (asker, point) of numbers with the point's vector one letter more than
     the asker's, and ``lost`` letters less: batched descent of a k-d tree."""
     used = np.flatnonzero(points.any(0) | askers.any(0))
-    points, askers = points[:, used], askers[:, used]
-    todo = [(np.arange(len(points)), np.arange(len(askers)))]
+    kind = np.int8 if max(points.max(initial=0), askers.max(initial=0)) < 64 else np.int16
+    # letter by letter: sums over letters add whole rows
+    points, askers = (np.ascontiguousarray(x[:, used].T.astype(kind)) for x in (points, askers))
+    size, of_point = askers.sum(0, dtype=np.int16), points.sum(0, dtype=np.int16)
+    todo = [(np.arange(points.shape[1]), np.arange(askers.shape[1]))]
     while todo:
         p, q = todo.pop()
-        here, asks = points[p], askers[q]
-        low, high = here.min(0), here.max(0)
-        near = (np.maximum(low - asks, 0).sum(1) <= 1) & (np.maximum(asks - high, 0).sum(1) <= lost)
-        q, asks = q[near], asks[near]
+        here = points[:, p]
+        low, high = here.min(1), here.max(1)
+        # letters that an asker lacks to reach the box, rarest first to go; then those it has too many of
+        for letters, over, most in ((np.flatnonzero(low), False, 1), (np.flatnonzero(high < kind(16)), True, lost)):
+            asks = askers[np.ix_(letters, q)] if len(letters) < len(used) else askers[:, q]
+            bound = (high if over else low)[letters, None]
+            far = np.maximum(asks, bound) - (bound if over else asks)
+            q = q[far.sum(0, dtype=np.int16) <= most]
         if not len(q):
             continue
-        if len(p) > _LEAF and (cut := _split(here)):
-            left = here[:, cut[0]] <= cut[1]
+        if len(p) > _LEAF and (cut := _split(here.T)):
+            left = here[cut[0]] <= cut[1]
             todo += [(p[left], q), (p[~left], q)]
             continue
-        shared = np.zeros((len(q), len(p)), np.int16)  # letters in common
+        asks = askers[:, q]
+        shared = np.zeros((len(q), len(p)), kind)  # letters in common
         for d in np.flatnonzero(high):
-            shared += np.minimum(asks[:, d, None], here[None, :, d])
-        size = asks.sum(1, dtype=np.int16)[:, None]
-        a, b = np.nonzero((shared == size - lost) & (here.sum(1, dtype=np.int16)[None, :] - shared == 1))
+            shared += np.minimum(asks[d, :, None], here[d, None, :])
+        a, b = np.nonzero((shared == size[q, None] - lost) & (of_point[None, p] - shared == 1))
         if len(a):
             yield q[a], p[b]
 
 
+def _groups(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, the number of each row's, and their counts: by hashes, checked."""
+    weights = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, vectors.shape[1])
+    with np.errstate(over="ignore"):
+        mixed = vectors.astype(np.int64) @ weights
+    _, first, group, count = np.unique(mixed, return_index=True, return_inverse=True, return_counts=True)
+    if (vectors[first][group] != vectors).any():  # two vectors with one hash
+        return np.unique(vectors, axis=0, return_inverse=True, return_counts=True)
+    return vectors[first], group, count
+
+
 def _replaced(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x != y).sum(1) == 1
 
@@ -180,8 +245,7 @@ def near_pairs(asking: list[str], homes: list[str], anagrams: int = 1 << 16):
     x, y = codes_of(asking), codes_of(homes)
     lost = 1 if x.shape[1] == y.shape[1] else 0
     same = _replaced if lost else _inserted
-    xv, xg, xn = np.unique(vectors_of(x), axis=0, return_inverse=True, return_counts=True)
-    yv, yg, yn = np.unique(vectors_of(y), axis=0, return_inverse=True, return_counts=True)
+    (xv, xg, xn), (yv, yg, yn) = _groups(vectors_of(x)), _groups(vectors_of(y))
     xo, yo = np.argsort(xg, kind="stable"), np.argsort(yg, kind="stable")
     xs, ys = np.cumsum(xn) - xn, np.cumsum(yn) - yn
     for a, b in range_search(yv, xv, lost):
@@ -197,14 +261,17 @@ def near_pairs(asking: list[str], homes: list[str], anagrams: int = 1 << 16):
                 yield left[i], right[j]
         few = product <= anagrams
         a, b, product = a[few], b[few], product[few]
-        ends = np.cumsum(product)
-        for start in range(0, int(ends[-1]) if len(ends) else 0, _BLOCK):
-            k = np.arange(start, min(start + _BLOCK, int(ends[-1])))
-            pair = np.searchsorted(ends, k, side="right")
-            k -= (ends - product)[pair]
-            i, j = xo[xs[a[pair]] + k // yn[b[pair]]], yo[ys[b[pair]] + k % yn[b[pair]]]
+        ends, start = np.cumsum(product), 0
+        while start < len(product):  # as many pairs of groups as fit in a block, one at least
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + _BLOCK, side="right")))
+            pair = np.repeat(np.arange(start, stop), product[start:stop])
+            k = np.arange(done, ends[stop - 1]) - (ends - product)[pair]
+            high, low = np.divmod(k, yn[b[pair]])
+            i, j = xo[xs[a[pair]] + high], yo[ys[b[pair]] + low]
             near = same(x[i], y[j])
             yield i[near], j[near]
+            start = stop
 
 
 def _best(words: list[str], n: np.ndarray) -> np.ndarray:
@@ -237,7 +304,7 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
                         ).astype({"word": object, "near": object})
 
 
-def near_words(vocabulary: DataFrame, cell_words: int = 10_000) -> DataFrame:
+def near_words(vocabulary: DataFrame, cell_words: int = 40_000) -> DataFrame:
     """(word, n_near, near, near_n) of the words that have near words; ``vocabulary`` is (word, n), distinct words."""
     spark = vocabulary.sparkSession
     sizes = {r["l"]: r["n"] for r in vocabulary.groupBy(F.length("word").alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -296,7 +363,7 @@ def roots_of(forms: DataFrame) -> DataFrame:
     return now.select("word", "root")
 
 
-def variants(vocabulary: DataFrame, ratio: int = 2, cell_words: int = 10_000) -> DataFrame:
+def variants(vocabulary: DataFrame, ratio: int = 2, cell_words: int = 40_000) -> DataFrame:
     """(word, form, root, n, n_near, form_n) for a written table (word, n): a word's form is its most
     frequent near word (ties: least in code-point order), if ``ratio`` times as frequent."""
     near = near_words(vocabulary, cell_words)
@@ -310,7 +377,7 @@ def variants(vocabulary: DataFrame, ratio: int = 2, cell_words: int = 10_000) ->
 
 
 def spelling_variants(documents: DataFrame, typo_every: int | None = None, min_letters: int = 5, min_count: int = 3, ratio: int = 2,
-                      cell_words: int = 10_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                      cell_words: int = 40_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``variants`` of the words of all texts that have ``min_letters`` and occur ``min_count`` times."""
     counts = word_counts(documents, typo_every, id_col, text_col)
     return variants(save(counts.filter((F.length("word") >= min_letters) & (F.col("n") >= min_count)), "vocabulary"), ratio, cell_words)

@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwash.llm.common import id_fold, sample_by_id, small_batches
-from starwash.llm.linear import SparseRows, fit_logistic, sigmoid
+from starwash.llm.common import id_fold, sample_by_id, save, small_batches
+from starwash.llm.linear import BinaryRows, fit_logistic, sigmoid
 
 #: n-gram lengths, and bits of the hashed feature space
 LENGTHS, BITS = (4, 5, 6), 20
@@ -69,33 +69,61 @@ def ngram_ids(text: str) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint32)
 
 
-def fit(texts: list[str], y: np.ndarray, prior: float, max_features: int = 1 << 15, min_docs: int = 4,
-        alpha: float = 1.0, l2: float = 1e-3) -> ToxicityModel:
-    """Fit on whole texts. ``prior`` is the toxic share of all training labels:
-    the sample is balanced, so the bias is moved back to it."""
-    y = np.asarray(y, dtype=float)
-    n_pos, n_neg = y.sum(), len(y) - y.sum()
+def _grams(sample: DataFrame) -> DataFrame:
+    """(i, y, ids): the distinct features of the sampled texts, taken on the executors."""
+    def run(batches):
+        for frame in batches:
+            ids = [np.unique(ngram_ids(t if isinstance(t, str) else "")).astype("<u4").tobytes() for t in frame["t"]]
+            yield pd.DataFrame({"i": frame["i"], "y": frame["y"], "ids": ids})
+
+    return save(sample.mapInPandas(run, "i long, y int, ids binary"), "toxic-grams")
+
+
+def _kept(grams: DataFrame, n_pos: int, n_neg: int, max_features: int, min_docs: int, alpha: float) -> pd.DataFrame:
+    """(feature, ratio) of the features that tell the classes apart, at most ``max_features``."""
+    def run(batches):
+        count = np.zeros((2, 1 << BITS), np.int32)
+        for frame in batches:
+            for y, ids in zip(frame["y"], frame["ids"]):
+                count[y][np.frombuffer(ids, "<u4")] += 1
+        at = np.flatnonzero(count.any(0))
+        yield pd.DataFrame({"feature": at.astype(np.int32), "neg": count[0][at], "pos": count[1][at]})
+
+    x = grams.mapInPandas(run, "feature int, neg int, pos int").groupBy("feature").agg(
+        (F.sum("neg") + alpha).alias("neg"), (F.sum("pos") + alpha).alias("pos"))
+    ratio = F.log(F.col("pos") / (n_pos + 2 * alpha)) - F.log(F.col("neg") / (n_neg + 2 * alpha))
+    x = x.withColumn("ratio", ratio).withColumn("sure", F.abs("ratio") / F.sqrt(1 / F.col("pos") + 1 / F.col("neg")))
+    x = x.filter((F.col("sure") > 2.0) & (F.col("pos") + F.col("neg") >= min_docs + 2 * alpha))
+    return x.orderBy(F.desc("sure"), "feature").limit(max_features).select("feature", "ratio").toPandas().sort_values("feature")
+
+
+def fit(sample: DataFrame, prior: float, max_features: int = 1 << 15, min_docs: int = 4, alpha: float = 1.0, l2: float = 1e-3) -> ToxicityModel:
+    """Fit on a written table (i, y, t) of labelled texts. ``prior`` is the toxic share of all
+    training labels: the sample is balanced, so the bias is moved back to it. Features are
+    counted on the executors; the driver gets the kept ones only, four bytes for each."""
+    grams = _grams(sample)
+    counts = {r["y"]: r["n"] for r in grams.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_pos, n_neg = counts.get(1, 0), counts.get(0, 0)
     if not n_pos or not n_neg:
         return ToxicityModel(np.empty(0, np.int64), np.empty(0), float(np.log(prior / (1 - prior))))
-    sets = [np.unique(ngram_ids(t)) for t in texts]
-    size = 1 << BITS
-    pos, neg = np.zeros(size), np.zeros(size)
-    for ids, label in zip(sets, y):
-        (pos if label else neg)[ids] += 1
-    ratio = np.log((pos + alpha) / (n_pos + 2 * alpha)) - np.log((neg + alpha) / (n_neg + 2 * alpha))
-    sure = np.abs(ratio) / np.sqrt(1 / (pos + alpha) + 1 / (neg + alpha))
-    sure[pos + neg < min_docs] = 0
-    keep = np.flatnonzero(sure > 2.0)
-    if len(keep) > max_features:
-        keep = np.sort(keep[np.argsort(-sure[keep], kind="stable")[:max_features]])
-    place = np.full(size, -1, dtype=np.int64)
-    place[keep] = np.arange(len(keep))
-    cols = [place[s][place[s] >= 0] for s in sets]
-    flat = np.concatenate(cols)
-    rows = SparseRows(flat, ratio[keep][flat], np.array([len(c) for c in cols]), len(keep))
-    w, b = fit_logistic(rows, y, l2, steps=300)
+    kept = _kept(grams, n_pos, n_neg, max_features, min_docs, alpha)
+    keep, ratio = kept["feature"].to_numpy(), kept["ratio"].to_numpy()
+    shared = grams.sparkSession.sparkContext.broadcast(keep)
+
+    def run(batches):
+        place = np.full(1 << BITS, -1, np.int32)
+        place[shared.value] = np.arange(len(shared.value))
+        for frame in batches:
+            cols = [place[np.frombuffer(ids, "<u4")] for ids in frame["ids"]]
+            yield pd.DataFrame({"i": frame["i"], "y": frame["y"], "cols": [c[c >= 0].astype("<i4").tobytes() for c in cols]})
+
+    rows = grams.mapInPandas(run, "i long, y int, cols binary").toPandas().sort_values("i", kind="stable")
+    y = rows["y"].to_numpy(dtype=float)
+    sizes = (rows["cols"].str.len() // 4).to_numpy()
+    cols = np.frombuffer(b"".join(rows.pop("cols")), "<i4")
+    w, b = fit_logistic(BinaryRows(cols, sizes, ratio), y, l2, steps=300)
     b += np.log(prior / (1 - prior)) - np.log(n_pos / n_neg)
-    return ToxicityModel(keep, w * ratio[keep], float(b))
+    return ToxicityModel(keep, w * ratio, float(b))
 
 
 def train(documents: DataFrame, labels: DataFrame, in_training=None, per_class: int = 2000, seed: int = 11,
@@ -107,16 +135,13 @@ def train(documents: DataFrame, labels: DataFrame, in_training=None, per_class:
     known = known.groupBy("_id").agg(F.max("_y").alias("_y")).filter("_y in (0, 1)")
     counts = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = counts.get(1, 0), counts.get(0, 0)
-    prior = (n1 + 1) / (n1 + n0 + 2)
-    if not n1 or not n0:
-        return fit([], np.empty(0), prior)
     picked = [sample_by_id(known.filter(F.col("_y") == y), "_id", per_class, seed, n) for y, n in ((1, n1), (0, n0))]
     # the sample's ids are at most 2 * per_class rows
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
-    sample = (documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-              .join(chosen, "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_y").alias("_y")).toPandas())
-    sample = sample.sort_values("_id", kind="stable")
-    return fit([t or "" for t in sample["_text"]], sample["_y"].to_numpy(), prior)
+    sample = (documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(chosen, "_id")
+              .groupBy("_id").agg(F.min("_text").alias("t"), F.max("_y").alias("y")).withColumnRenamed("_id", "i"))
+    small_batches(documents.sparkSession)
+    return fit(sample.select(F.col("i").cast("long"), "y", "t"), (n1 + 1) / (n1 + n0 + 2))
 
 
 def score(documents: DataFrame, model: ToxicityModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
