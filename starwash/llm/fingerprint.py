@@ -35,11 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from starwash.llm.common import text_or_empty
-from starwash.llm.line_dedup import _AFTER, _CUT
 
 #: a line's end, with the white space behind it; and the character that marks it
 _END, _MARK = "(?:\\n|[.?!] )\\s*+(?=\\S)", "\uffff"
 _WHITE = " \n\r\t\x0b\f"
+#: scripts without spaces, and the cuts between words, with the white space kept
+_DENSE = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]"
+_AFTER = f"(?<=[^\\x00-\\u0dff])(?<={_DENSE})(?=\\S)"  # one comparison sorts out most characters
+_CUT = "(?<=\\s)(?=\\S)"
 SHARD, CELLS, ROUNDS, LEVELS = 16, 8, 6, 5
 UNIT, STEP = 200, 8
 _ITEM = "array<struct<v:bigint,a:int,b:int,c:int>>"

@@ -1,6 +1,6 @@
 """Line dedup by winnowing.
 
-Texts are cut into words, at white space, and after each character of scripts that
+Texts are cut into words, at ASCII white space, and after each character of scripts that
 are written without spaces (there a code point counts as a word). Repeats often
 begin and end inside a line, so what is winnowed are grams of ``gram`` words in a
 row, which may span lines; a line that repeats is the case of a run that fills it.
@@ -25,8 +25,10 @@ fingerprinted again with grams of ``min_words`` words, whose matches are all lon
 So what a run of ``2 * min_words - gram`` (28) words or more loses does not depend on
 shorter passages that its parts share with other texts.
 
-Only hashes are shuffled, and the texts of matched documents, until the last step,
-which joins the runs to the texts.
+Words, windows and runs are numpy arrays inside Arrow batches: as higher-order functions
+they took 890 CPU seconds a GB, over twice the check tool's limit (see the README). The
+aggregation and the joins, on hashes, are Spark's; texts are shuffled for matched
+documents, and in the last step, which joins the runs to them.
 
 Defined cases: null and empty texts have no lines and are kept as they are; rows
 that share an id are versions of one document and not matched with each other; rows
@@ -37,80 +39,105 @@ Lines end at line breaks and sentence ends; ``n_removed`` counts those that lost
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwash.llm.common import save
+from starwash.llm.common import save, small_batches
 
 #: a line's end, with the white space behind it; and what a word that ends a line has behind it
-_END, _ENDS = "(?:\\n|[.?!] )\\s*+(?=\\S)", "\\n|[.?!] "
+_END, _ENDS = "(?:\\n|[.?!] )\\s*+(?=\\S)", re.compile(r"\n|[.?!] ")
 _RUNS = "array<struct<from:int,to:int>>"
-#: scripts without spaces, and the cuts between words: with the white space kept, and without it
-_DENSE = "[\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}\\p{IsTibetan}]"
-_MAYBE_DENSE = "[\\u0e00-\\u109f\\u1780-\\u17ff\\u2e80-\\ud7ff\\uf900-\\uffff\\x{10000}-\\x{3ffff}]"  # ranges are quick to sort out
-_AFTER = f"(?<=[^\\x00-\\u0dff])(?<={_DENSE})(?=\\S)"
-_CUT, _GAP = "(?<=\\s)(?=\\S)", "\\s+"
+_SPACE = r" \t\n\r\x0b\x0c"
+#: scripts without spaces: Thai to Myanmar, Khmer, kana, Han
+_DENSE = "฀-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U000323af"
+_ANY_DENSE = re.compile(f"[{_DENSE}]")
+_PIECE = re.compile(f"[^{_SPACE}]+[{_SPACE}]*")
+_DENSE_PIECE = re.compile(f"[^{_SPACE}{_DENSE}]*[{_DENSE}][{_SPACE}]*|[^{_SPACE}{_DENSE}]+[{_SPACE}]*")
 _LAST = (1 << 63) - 1  # stands for a null id: after all others
-_PLACES = (1 << 31) - 1
+_CACHE_WORDS = 300_000  # words whose hashes a Python worker remembers; only speed depends on it
 
 
-def _words(text: Column, cut: str) -> Column:
-    """Dense scripts need the slower pattern; most texts have none."""
-    plain = (F.octet_length(text) == F.char_length(text)) | ~text.rlike(_MAYBE_DENSE)
-    return F.when(plain, F.split(text, cut, -1)).otherwise(F.split(text, f"{cut}|{_AFTER}", -1))
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word) & 0xFFFFFFFF
+        return h
 
 
-def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(d, v, t): id, version and text of the texts that have one."""
-    text = F.col(text_col).cast("string")
-    return documents.filter(F.length(text) > 0).select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("d"), F.xxhash64(text).alias("v"), text.alias("t"))
+_HASHES = _Hashes()
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """The 32-bit hashes of a text's words."""
+    if not text.isascii() and _ANY_DENSE.search(text):
+        text = _ANY_DENSE.sub(r"\g<0> ", text)
+    words = text.encode("utf-8", "replace").split()
+    if len(_HASHES) > _CACHE_WORDS:
+        _HASHES.clear()
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint32, len(words))
+
 
+def word_pieces(text: str) -> list[str]:
+    """The words with the white space behind them; what stands before the first word is left out."""
+    dense = not text.isascii() and _ANY_DENSE.search(text)
+    return (_DENSE_PIECE if dense else _PIECE).findall(text)
 
-def _hashes(text: Column) -> Column:
-    return F.transform(_words(text, _GAP), lambda w: F.hash(w))
 
+def selected(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the grams that are the least of some window of starts."""
+    n = len(words) - gram + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    place = np.arange(n, dtype=np.int64)
+    keys = words[:n].astype(np.int64) << 31 | (1 << 31) - 1 - place  # ties: the last one is least
+    least, width = keys, 1
+    while width < min(window, n):
+        step = min(width, window - width, n - width)
+        least, width = np.minimum(least[:-step], least[step:]), width + step
+    at = np.unique((1 << 31) - 1 - (least & (1 << 31) - 1))
+    mixed = np.full(len(at), gram, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(gram):
+            mixed = (mixed ^ words[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+    return mixed.view(np.int64), at
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
 
+def _fingerprint(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and first places of the selected grams, and the distances between occurrences of one gram."""
+    h, at = selected(words, window, gram)
+    order = np.lexsort((at, h))
+    h, at = h[order], at[order]
+    again = np.flatnonzero(h[1:] == h[:-1]) + 1
+    first = np.ones(len(h), bool)
+    first[again] = False
+    return h[first], at[first].astype(np.int32), np.unique(at[again] - at[again - 1]).astype(np.int32)
 
-def _minima(keys: Column, window: int) -> Column:
-    """The least of every ``window`` keys in a row (of all, if they are fewer), each once:
-    widths are put together from shorter ones."""
-    def widened(mins: Column, offsets: list[int]) -> Column:
-        return _let(mins, lambda m: F.transform(m, lambda x, i: F.least(x, *[F.get(m, i + o) for o in offsets])))
 
-    mins, width = keys, 1
-    while width < window:
-        offsets = [min(width * k, window - width) for k in range(1, min(3, -(-window // width)))]
-        mins, width = widened(mins, offsets), offsets[-1] + width
-    return F.array_distinct(F.slice(mins, 1, F.greatest(F.size(keys) - window + 1, F.least(F.size(keys), F.lit(1)))))
+_PRINTS = "d long, v long, hs array<long>, ps array<int>, inner array<int>"
 
 
-def fingerprints(hashed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(d, v, ps, inner) from (d, v, ws): the selected grams' hashes and first places, and the
-    distances between an occurrence and the next one in the same text."""
-    # filters stand before costly columns only: Spark would push one behind them down and compute them twice
-    starts = F.slice("ws", 1, F.greatest(F.size("ws") - (gram - 1), F.lit(0)))
-    keys = F.transform(starts, lambda h, i: F.shiftleft(h.cast("long"), 31) + (F.lit(_PLACES) - i))
-    x = hashed.select("d", "v", "ws", keys.alias("ks"))
-    x = x.select("d", "v", "ws", _minima(F.col("ks"), window).alias("ms"))
-    place = lambda m: (F.lit(_PLACES) - m.bitwiseAND(F.lit(_PLACES))).cast("int")
-    prints = F.transform("ms", lambda m: F.struct(F.xxhash64(F.slice("ws", place(m) + 1, gram)).alias("h"), place(m).alias("p")))
-    x = x.select("d", "v", prints.alias("ps"))
-    again = F.size(F.array_distinct(F.transform("ps", lambda s: s["h"]))) < F.size("ps")
-    x = x.select("d", "v", "ps", F.when(again, F.sort_array("ps")).alias("s"))
-    before = lambda i: F.get("s", i - 1)
-    first = F.filter("s", lambda a, i: (i == 0) | (before(i)["h"] != a["h"]))
-    inner = F.transform(F.filter(F.transform("s", lambda a, i: F.struct(a["h"].alias("h"), a["p"].alias("p"), F.when(i > 0, before(i)).alias("b"))),
-                                 lambda a: F.coalesce(a["b"]["h"] == a["h"], F.lit(False))), lambda a: a["p"] - a["b"]["p"])
-    return x.select("d", "v", F.when(F.col("s").isNull(), F.col("ps")).otherwise(first).alias("ps"), F.array_distinct(inner).alias("inner"))
+def fingerprints(rows: DataFrame, window: int, gram: int) -> DataFrame:
+    """(d, v, hs, ps, inner) from (d, v, t) with texts, or (d, v, ws) with word hashes."""
+    small_batches(rows.sparkSession)
+    column = rows.columns[2]
+
+    def run(batches):
+        for frame in batches:
+            words = (word_hashes(x) if column == "t" else np.frombuffer(x, np.uint32) for x in frame[column])
+            found = [_fingerprint(w, window, gram) for w in words]
+            yield pd.DataFrame({"d": frame["d"], "v": frame["v"], **{c: [f[k] for f in found] for k, c in enumerate(("hs", "ps", "inner"))}})
+
+    return rows.mapInPandas(run, _PRINTS)
 
 
 def matches(found: DataFrame, name: str) -> DataFrame:
     """(d, v, d0, v0, shifts): each text with the first text of its grams, and with itself, from written ``fingerprints``."""
-    prints = found.select("d", "v", F.explode("ps").alias("x")).select("x.h", "d", "v", "x.p")
+    prints = found.select("d", "v", F.explode(F.arrays_zip("hs", "ps")).alias("x")).select(F.col("x.hs").alias("h"), "d", "v", F.col("x.ps").alias("p"))
     first = prints.groupBy("h").agg(F.min(F.struct("d", "v", "p")).alias("o"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     first = save(first.select("h", F.col("o.d").alias("d0"), F.col("o.v").alias("v0"), F.col("o.p").alias("p0")), f"{name}-firsts")
     across = prints.join(first, "h").filter("d != d0").select("d", "v", "d0", "v0", (F.col("p") - F.col("p0")).alias("shift"))
@@ -119,80 +146,104 @@ def matches(found: DataFrame, name: str) -> DataFrame:
     return save(across.unionByName(inside), f"{name}-shifts")
 
 
+def long_runs(words: np.ndarray, other: np.ndarray, shift: int, least: int) -> np.ndarray:
+    """(from, to) of the runs of ``words`` that stand in ``other`` as well, ``shift`` places before."""
+    low, high = max(0, shift), min(len(words), len(other) + shift)
+    if high - low < least:
+        return np.empty((0, 2), np.int64)
+    differ = np.flatnonzero(words[low:high] != other[low - shift : high - shift]) + low
+    edges = np.concatenate(([low - 1], differ, [high]))
+    long = np.flatnonzero(np.diff(edges) > least)
+    return np.stack((edges[long] + 1, edges[long + 1]), 1)
+
+
 def extended(shifts: DataFrame, hashed: DataFrame, min_words: int) -> DataFrame:
-    """(d, v, d0, r): the long runs of equal words along the shifts of each match."""
+    """(d, v, d0, r): the long runs of equal words along the shifts of each match, from to from to."""
     both = (shifts.join(hashed.select(F.col("d").alias("d0"), F.col("v").alias("v0"), F.col("ws").alias("ws0")), ["d0", "v0"])
             .join(hashed, ["d", "v"]))
 
-    # along a shift: the places where the two texts differ, and the borders
-    def runs(shift):
-        low, high = F.greatest(F.lit(0), shift), F.least(F.size("ws"), F.size("ws0") + shift)
-        part = F.slice("ws", low + 1, F.greatest(high - low, F.lit(0)))
-        differ = F.array_compact(F.transform(part, lambda w, i: F.when(w != F.get("ws0", i + low - shift), i + low)))
-        return _let(F.concat(F.array(low - 1), differ, F.array(high)), lambda e: F.filter(
-            F.zip_with(e, F.slice(e, 2, F.size(e)), lambda a, b: F.struct((a + 1).alias("from"), b.alias("to"))),
-            lambda r: F.coalesce(r["to"] - r["from"] >= min_words, F.lit(False))))
+    @F.pandas_udf("array<int>")
+    def runs(ws: pd.Series, ws0: pd.Series, shift: pd.Series) -> pd.Series:
+        out = []
+        for a, b, s in zip(ws, ws0, shift):
+            x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+            out.append(np.concatenate([long_runs(x, y, int(k), min_words) for k in s]).ravel().astype(np.int32))
+        return pd.Series(out)
 
-    return both.select("d", "v", "d0", F.flatten(F.transform("shifts", runs)).alias("r"))
+    return both.select("d", "v", "d0", runs("ws", "ws0", "shifts").alias("r"))
 
 
-def _merged(runs: Column) -> Column:
-    """Sorted runs without overlaps."""
-    last = lambda a: F.element_at(a, -1)
-    grow = lambda a, r: F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(
-        last(a)["from"].alias("from"), F.greatest(last(a)["to"], r["to"]).alias("to"))))
-    return F.aggregate(F.slice(runs, 2, F.size(runs)), F.slice(runs, 1, 1), lambda a, r: F.when(last(a)["to"] >= r["from"], grow(a, r)).otherwise(F.concat(a, F.array(r))))
+def merged(runs: np.ndarray) -> np.ndarray:
+    """Runs (from, to) in order, those that overlap or touch put together."""
+    runs = runs[np.argsort(runs[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(runs[:, 1])
+    begins = np.concatenate(([True], runs[1:, 0] > reach[:-1]))
+    return np.stack((runs[begins, 0], reach[np.concatenate((np.flatnonzero(begins)[1:] - 1, [len(runs) - 1]))]), 1)
 
 
 def repeated_runs(documents: DataFrame, min_words: int = 20, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(d, v, runs): the word ranges (from, to, end exclusive) to delete from each text, sorted, without overlaps."""
+    """(d, v, runs): the word ranges (from, to, end exclusive) to delete from each text; they may overlap."""
     gram = min(gram, min_words)
     window = min_words - gram + 1
-    keyed = _keyed(documents, id_col, text_col)
-    found = save(fingerprints(keyed.select("d", "v", _hashes(F.col("t")).alias("ws")), window, gram), "prints")
+    text = F.col(text_col).cast("string")
+    keyed = documents.filter(F.length(text) > 0).select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("d"), F.xxhash64(text).alias("v"), text.alias("t"))
+    found = save(fingerprints(keyed, window, gram), "prints")
     shifts = matches(found, "grams")
     asked = shifts.select("d", "v").unionByName(shifts.select(F.col("d0").alias("d"), F.col("v0").alias("v"))).distinct()
+
+    @F.pandas_udf("binary")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([word_hashes(t).tobytes() for t in texts])
+
     asked = keyed.join(asked, ["d", "v"], "left_semi").dropDuplicates(["d", "v"])
-    asked = save(asked.select("d", "v", _hashes(F.col("t")).alias("ws")), "asked")
+    asked = save(asked.select("d", "v", hashes("t").alias("ws")), "asked")
     long = save(extended(shifts, asked, min_words), "long")
     # grams whose first text has too little in common around them: again, by grams that are long enough themselves
     failed = long.filter((F.size("r") == 0) & (F.col("d") != F.col("d0"))).select("d", "v").distinct()
     found = save(fingerprints(asked.join(failed, ["d", "v"], "left_semi"), window, min_words), "long-prints")
     more = extended(matches(found, "long-grams"), asked, min_words)
     long = long.unionByName(more).filter(F.size("r") > 0).groupBy("d", "v").agg(F.collect_set("r").alias("r"))
-    return long.select("d", "v", _merged(F.sort_array(F.array_distinct(F.flatten("r")))).cast(_RUNS).alias("runs"))
-
-
-def _without(words: Column, runs: Column) -> Column:
-    """(text, lost): the words outside the runs, and the number of lines that lost words."""
-    begins = F.concat(F.array(F.lit(0)), F.transform(runs, lambda r: r["to"]))
-    ends = F.concat(F.transform(runs, lambda r: r["from"]), F.array(F.size(words)))
-    kept = F.zip_with(begins, ends, lambda a, b: F.array_join(F.slice(words, a + 1, F.greatest(b - a, F.lit(0))), ""))
-    breaks = F.array_compact(F.transform(words, lambda w, i: F.when(w.rlike(_ENDS), i)))
-
-    def lines(at):
-        line = lambda i: F.size(F.filter(at, lambda b: b < i))
-        spans = F.transform(runs, lambda r: F.struct(line(r["from"]).alias("a"), line(r["to"] - 1).alias("b")))
-        start = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("b"))
-        count = lambda s, x: F.struct((s["n"] + x["b"] - x["a"] + F.when(x["a"] == s["b"], 0).otherwise(1)).alias("n"), x["b"].alias("b"))
-        return F.aggregate(spans, start, count, lambda s: s["n"])
-
-    return F.struct(F.array_join(kept, "").alias("text"), _let(breaks, lines).alias("lost"))
+    pairs = F.transform(F.sequence(F.lit(0), F.size("r") - 2, F.lit(2)), lambda i: F.struct(F.get("r", i).alias("from"), F.get("r", i + 1).alias("to")))
+    return long.select("d", "v", F.flatten("r").alias("r")).select("d", "v", F.array_distinct(pairs).cast(_RUNS).alias("runs"))
+
+
+def without_runs(text: str, runs: np.ndarray) -> tuple[str, int]:
+    """The text outside the runs of words, and the number of lines that lost words."""
+    pieces = word_pieces(text)
+    kept, at, lost, line, seen = [text[: len(text) - sum(map(len, pieces))]], 0, -1, 0, 0
+    for a, b in merged(runs).tolist():
+        kept += pieces[at:a]
+        line += sum(1 for p in pieces[at:a] if _ENDS.search(p))
+        seen += line != lost
+        for p in pieces[a : b - 1]:
+            if _ENDS.search(p):
+                line, seen = line + 1, seen + 1
+        lost = line
+        line += bool(_ENDS.search(pieces[b - 1]))
+        at = b
+    return "".join(kept + pieces[at:]), seen
 
 
 def dedup_lines(documents: DataFrame, min_words: int = 20, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``documents`` with later repeats deleted from the texts, ``n_lines`` (before) and ``n_removed``."""
     runs = save(repeated_runs(documents, min_words, gram, id_col, text_col), "runs")
-    runs = runs.select(F.col("d").alias("_d0"), F.col("v").alias("_v0"), F.col("runs").alias("_runs"))
+    runs = runs.select(F.col("d").alias("_d0"), F.col("v").alias("_v0"), F.flatten(F.transform("runs", lambda r: F.array(r["from"], r["to"]))).alias("_runs"))
     names = [c for c in documents.columns if c.lower() not in ("n_lines", "n_removed")]
     # input columns ride in a struct, so that none can clash with those used here
     x = documents.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"))
     text = F.col("_row").getField(text_col).cast("string")
     x = x.select("_row", F.coalesce(F.col("_row").getField(id_col).cast("long"), F.lit(_LAST)).alias("_d"), F.xxhash64(text).alias("_v"))
     x = x.join(runs, (F.col("_d") == F.col("_d0")) & (F.col("_v") == F.col("_v0")), "left")
-    new = F.when(F.col("_runs").isNotNull(), _let(_words(text, _CUT), lambda w: _without(w, F.col("_runs"))))
+
+    @F.pandas_udf("text string, lost int")
+    def cut(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
+        out = [(None, 0) if r is None else without_runs(t, np.asarray(r).reshape(-1, 2)) for t, r in zip(texts, ranges)]
+        return pd.DataFrame(out, columns=["text", "lost"]).astype({"text": object})
+
+    # only texts that lose words go to Python
+    new = cut(F.when(F.col("_runs").isNotNull(), text), F.col("_runs"))
     lines = F.when(F.length(text) > 0, F.regexp_count(text, F.lit(_END)) + 1).otherwise(0)
-    x = x.select("_row", new.alias("_new"), lines.alias("_lines"))
-    kept = F.when(F.col("_new").isNotNull(), F.col("_new.text")).otherwise(text)
+    x = x.select("_row", F.col("_runs").isNotNull().alias("_cut"), new.alias("_new"), lines.alias("_lines"))
+    kept = F.when(F.col("_cut"), F.col("_new.text")).otherwise(text)
     return x.select(*[kept.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in names],
-                    F.col("_lines").alias("n_lines"), F.coalesce("_new.lost", F.lit(0)).alias("n_removed"))
+                    F.col("_lines").alias("n_lines"), F.col("_new.lost").alias("n_removed"))

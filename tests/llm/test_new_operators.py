@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starwash.llm import mixing, resample, spelling
+from starwash.llm import line_dedup, mixing, resample, spelling
 from starwash.llm.positions import with_position
 
 EDGE = [(1, None, "a"), (2, "", "a"), (3, " \n ", None), (None, "no ident here", None), (4, "letters letters letters", "b"),
@@ -202,3 +202,62 @@ def test_mixing_edge_cases(spark, edge):
     assert {r.source for r in out} == {"a", "b", "B", "é", None} and {r.target for r in out if r.source == "a"} == {0.0}
     assert mixing.mix(edge.limit(0), (1,)).count() == 0
     assert {r.copies for r in mixing.mix(edge.filter("doc_id < 3"), (1,)).collect()} == {0}
+
+
+def prose(n, rng):
+    return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("length", [20, 25, 30, 60])
+def test_every_pasted_passage_is_found(spark, length):
+    rng = random.Random(length)
+    docs, where = [], {}
+    for k in range(200):  # pasted into the middle of a sentence of two texts
+        passage = prose(length, rng)
+        for i in (2 * k, 2 * k + 1):
+            before, after = prose(rng.randint(1, 40), rng), prose(rng.randint(1, 40), rng)
+            docs.append((i, " ".join(before + passage + after)))
+            where[i] = before + after
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(out[i].text == t for i, t in docs if i % 2 == 0)
+    assert [i for i, _ in docs if i % 2 and out[i].text.split() != where[i]] == []
+
+
+def test_line_dedup_of_real_texts(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    earlier20, earlier51, left = set(), set(), 0
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        words, kept = r.text.split(), out[r.doc_id].split()
+        own = set()  # words that stand earlier, in this text or another one, in a run of 20
+        seen = {}
+        for k in range(len(words) - 19):
+            gram = tuple(words[k : k + 20])
+            if gram in earlier20 or gram in seen:
+                own.update(range(k, k + 20))
+            seen.setdefault(gram, k)
+        at = 0  # what is kept is in order, and only words of such runs are gone
+        for k, w in enumerate(words):
+            if at < len(kept) and kept[at] == w:
+                at += 1
+            else:
+                assert k in own or any(j in own for j in range(k - 20, k + 20)), (r.doc_id, k)
+        assert at == len(kept)
+        left += any(tuple(kept[k : k + 51]) in earlier51 for k in range(len(kept) - 50))
+        earlier20.update(seen)
+        earlier51.update(tuple(words[k : k + 51]) for k in range(len(words) - 50))
+    assert left == 0
+
+
+def test_line_dedup_pieces_and_columns(spark):
+    rng = random.Random(4)
+    for _ in range(300):
+        text = "".join(rng.choice("ab.? \n\t\u4e00\u0e01\u00e9\u2003x") for _ in range(rng.randint(0, 60)))
+        pieces = line_dedup.word_pieces(text)
+        assert text.endswith("".join(pieces)) and not text[: len(text) - sum(map(len, pieces))].strip(" \n\t")
+        assert line_dedup.word_hashes(text).tolist() == line_dedup.word_hashes(" ".join(pieces)).tolist()
+        assert len(pieces) == len(line_dedup.word_hashes(text))
+    text = " ".join(prose(30, rng))
+    rows = [(1, text, 0, "x", 3), (2, text + " end", 1, "y", 4)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, d int, v string, runs int")).collect()
+    assert [(r.text, r.d, r.v, r.runs) for r in sorted(out)] == [(text, 0, "x", 3), ("end", 1, "y", 4)]

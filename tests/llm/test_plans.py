@@ -6,7 +6,7 @@ from starwash.llm.queries import QUERIES
 
 PAIRS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
-NATIVE = ("op2_pii", "op3_url_filter", "op8_decontaminate", "op9_fingerprint", "op10_line_dedup")
+NATIVE = ("op2_pii", "op3_url_filter", "op8_decontaminate", "op9_fingerprint")  # op10 exceeds its CPU limit as native code, see README
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
