@@ -13,6 +13,12 @@ one scan, always by the same plan:
 2. the buckets' first rows are ranked within the key: at most ``spread`` rows of
    any key. The others ride along in their bucket, so no task takes a hot key.
 
+Inputs that are scans of parquet files need neither: there a row has an address (its
+file and its number in it), and ``mark_first_at`` finds each key's first address by
+aggregates over the key, the order and a hash of the row, which are combined before they
+are shuffled. One bitmap for every 32,768 rows of a file says which rows are first; the
+second scan looks its rows up there. No other column is shuffled or sorted, and no row is.
+
 Keys may have any comparable type; rows with a null key form one group.
 """
 
@@ -23,9 +29,12 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import DateType, MapType, StringType
+
+from ..session import work_path
 
 FIRST = "_first"
+_BITMAP_BYTES = 4096 + 64  # of 32,768 rows, with its key
 
 
 class Deduped(NamedTuple):
@@ -93,3 +102,87 @@ def keep_latest(df: DataFrame, key: str, order: Sequence[Column], spread: int |
     Rows with a null key form one group, as in a window partition.
     """
     return Deduped(winners(df, key, order), removed_rows(df, key, order, spread))
+
+
+class By(NamedTuple):
+    """A sort key: ascending with nulls first, or descending with nulls last."""
+
+    value: Column
+    desc: bool = False
+
+    @property
+    def order(self) -> Column:
+        return self.value.desc_nulls_last() if self.desc else self.value.asc_nulls_first()
+
+
+def _ascending(df: DataFrame, by: Sequence[By]) -> Column:
+    """A struct whose natural order is that of ``by``."""
+    kinds = df.select(*[b.value.alias(f"c{i}") for i, b in enumerate(by)]).schema.fields
+    fields = []
+    for b, kind in zip(by, kinds):
+        if not b.desc:
+            fields.append(b.value)
+            continue
+        fields.append(b.value.isNull())
+        if isinstance(kind.dataType, StringType):  # digits of the bytes turned round; a longer text comes before its beginning
+            turned = F.translate(F.hex(F.encode(b.value, "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210")
+            fields.append(F.concat(turned, F.lit("~")))
+        else:
+            fields.append(-(F.unix_date(b.value) if isinstance(kind.dataType, DateType) else b.value))
+    return F.struct(*[f.alias(f"o{i}") for i, f in enumerate(fields)])
+
+
+def _addressed(scan: DataFrame) -> DataFrame:
+    """``scan`` with the address of each row: ``_file`` (a hash of its path) and ``_row``, from 1."""
+    return scan.select("*", F.xxhash64("_metadata.file_path").alias("_file"), (F.col("_metadata.row_index") + 1).alias("_row"))
+
+
+def first_addresses(scan: DataFrame, key: str, by: Sequence[By], apart: Column | None = None) -> DataFrame:
+    """(``_file``, ``_row``) of the first row of each key; as in ``mark_first`` all other columns break ties."""
+    spark = scan.sparkSession
+    rest = [(name, value) for name, value in _comparable(scan) if name != key]
+    x = _addressed(scan)
+    if apart is not None:
+        x = x.filter(~F.coalesce(apart, F.lit(False)))
+    x = x.withColumns({"_k": _q(key), "_o": _ascending(scan, by)})
+    address = F.struct("_file", "_row")
+    same = x.select("_k", "_o", F.xxhash64(*[value for _, value in rest]).alias("_h"), address.alias("_at"))
+    same = same.groupBy("_k", "_o").agg(F.min("_h").alias("lo"), F.max("_h").alias("hi"), F.min("_at").alias("at"))
+    best = same.groupBy("_k").agg(F.min(F.struct("_o", "lo", "hi", "at")).alias("b")).select("_k", "b.*")
+    path = work_path(spark, "first-rows")
+    best.write.parquet(path)
+    best = spark.read.schema(best.schema).parquet(path)
+    # rows alike in key and order, but not in all columns: only these are compared by their columns
+    tied = best.filter("lo != hi").select(F.col("_k").alias("_tk"), F.col("_o").alias("_to"))
+    tied = x.join(tied, F.col("_k").eqNullSafe(F.col("_tk")) & F.col("_o").eqNullSafe(F.col("_to")), "left_semi")
+    order = F.struct(*[value.alias(f"c{i}") for i, (_, value) in enumerate(rest)], "_file", "_row")
+    tied = tied.groupBy("_k").agg(F.min(order).alias("m")).select("m._file", "m._row")
+    return best.filter("lo = hi").select("at.*").unionByName(tied)
+
+
+def mark_first_at(scan: DataFrame, key: str, by: Sequence[By], apart: Column | None = None, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """``mark_first`` for a scan of parquet files (with at most projections and filters above it).
+
+    The bitmaps take one bit a row. They are broadcast for as many files at a time
+    as fit in ``broadcast_bytes``; each group of files is a scan of its own, pruned by path.
+    """
+    spark = scan.sparkSession
+    first = first_addresses(scan, key, by, apart)
+    bitmaps = first.groupBy("_file", F.bitmap_bucket_number("_row").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_row")).alias("_bits"))
+    path = work_path(spark, "first-bitmaps")
+    bitmaps.write.parquet(path)
+    bitmaps = spark.read.schema(bitmaps.schema).parquet(path).withColumnsRenamed({"_file": "_bf", "_bucket": "_bb"})
+    groups = max(1, -(-bitmaps.count() * _BITMAP_BYTES // broadcast_bytes))
+    rows = None
+    for g in range(groups):
+        of_group = lambda file: F.pmod(file, F.lit(groups)) == g  # noqa: B023, E731
+        part = scan.filter(of_group(F.xxhash64("_metadata.file_path"))) if groups > 1 else scan
+        known = bitmaps.filter(of_group(F.col("_bf"))) if groups > 1 else bitmaps
+        x = _addressed(part).join(F.broadcast(known), (F.col("_file") == F.col("_bf")) & (F.bitmap_bucket_number("_row") == F.col("_bb")), "left")
+        at = F.bitmap_bit_position("_row")
+        byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        bit = F.getbit(byte, (at % 8).cast("int"))
+        x = x.withColumn(FIRST, F.coalesce(bit == 1, F.lit(False))).drop("_file", "_row", "_bf", "_bb", "_bits")
+        rows = x if rows is None else rows.unionByName(x)
+    return rows

@@ -6,18 +6,27 @@ reference decides per registration depends only on that tuple. The map is
 joined back to registrations by the tuple (null-safe on the model).
 
 The fuzzy step finds every dimension row in the same block and year within
-Levenshtein distance ``t`` without forming all pairs in a block. It uses the
-partition (pigeonhole) filter of Pass-Join (Li, Deng, Wang, Feng; VLDB 2011):
-split each dimension string of length L into t+1 segments; a probe within
-distance t must contain one of them unchanged, at a place bounded by the edits
-allowed before and after that segment and by the length gap. So the join is an
-equi-join on (block, year, L, segment no, segment text), followed by an exact
-``levenshtein(a, b, t)`` check. No candidate is dropped.
+Levenshtein distance ``t`` without forming all pairs in a block, also where the
+names of a model line share most of their letters:
+
+1. Partition filter (Pass-Join; Li, Deng, Wang, Feng; VLDB 2011), k of n: a text is
+   cut into n = t + k segments. t edits touch t of them at most, so a text within
+   distance t holds k unchanged, near their old places. Hence it holds at least one
+   of *any* t + 1 of them, and the t + 1 rarest are enough: segments that many texts
+   share (a common model name) are signatures of none.
+2. Each text takes the cut (long segments, thirds or pairs of letters) whose t + 1
+   rarest segments are the rarest in sum, counted over all texts.
+3. Distinct texts are joined by signature; ``levenshtein(a, b, t)`` is a condition of
+   that join, so it emits pairs within the distance only. Rows follow afterwards.
+
+A signature that stays frequent is split by the skew handling of its join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +37,9 @@ from ..functions import rules as R
 VEHICLE = ("VEHICLE_ID", "model_name", "variant", "MAKE_YEAR_KEY")
 
 
-def _segments(length: Column, i: Column, t: int):
+def _segments(length: Column, n: Column, i: Column):
     """Start (0-based) and length of segment ``i`` when a string of ``length``
-    is cut into t+1 parts, the longer parts last."""
-    n = t + 1
+    is cut into ``n`` parts, the longer parts last."""
     base = F.floor(length / n).cast("int")
     longer = (length % n).cast("int")
     shorter = n - longer
@@ -40,84 +48,89 @@ def _segments(length: Column, i: Column, t: int):
     return start, seg_len
 
 
-def index_signatures(df: DataFrame, text: str, t: int) -> DataFrame:
-    """t+1 rows per input row: (``_len``, ``_seg_no``, ``_seg``)."""
-    length = F.length(F.col(text))
-    x = df.withColumn("_len", length).withColumn("_seg_no", F.explode(F.sequence(F.lit(0), F.lit(t))))
-    start, seg_len = _segments(F.col("_len"), F.col("_seg_no"), t)
-    return x.withColumn("_seg", F.col(text).substr(start + 1, seg_len))
+def _cuts(length: Column, t: int) -> Column:
+    """Numbers of segments that a text of this length may be cut into."""
+    least = F.lit(t + 1)
+    return F.array_distinct(F.array(least, *[F.greatest(least, F.ceil(length / size).cast("int")) for size in (3, 2)]))
 
 
-def probe_signatures(df: DataFrame, text: str, t: int) -> DataFrame:
-    """Every (L, segment no, substring) a string within distance t of some
-    length-L string could share with it."""
-    plen = F.length(F.col(text))
-    x = (
-        df.withColumn("_plen", plen)
-        .withColumn("_len", F.explode(F.sequence(F.greatest(F.col("_plen") - t, F.lit(0)), F.col("_plen") + t)))
-        .withColumn("_seg_no", F.explode(F.sequence(F.lit(0), F.lit(t))))
-    )
-    start, seg_len = _segments(F.col("_len"), F.col("_seg_no"), t)
-    x = x.withColumn("_start", start).withColumn("_slen", seg_len)
-    # where segment i of a length-L string can sit in the probe: at most i edits
-    # before it and t - i after it (multi-match-aware), and the length gap d
-    # splits the t edits between the two sides (position-aware); Pass-Join, 4.2
-    i, p, d = F.col("_seg_no"), F.col("_start"), F.col("_plen") - F.col("_len")
-    lo = F.greatest(p - i, p + d - (F.lit(t) - i), p - F.floor((F.lit(t) - d) / 2), F.lit(0))
-    hi = F.least(p + i, p + d + (F.lit(t) - i), p + F.floor((F.lit(t) + d) / 2), F.col("_plen") - F.col("_slen"))
-    positions = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    x = x.withColumn("_pos", F.explode(positions))
-    return x.withColumn("_seg", F.col(text).substr(F.col("_pos") + 1, F.col("_slen"))).drop(
-        "_plen", "_start", "_slen", "_pos"
-    )
+def _signature(keys: Sequence[str], segment: Column) -> Column:
+    return F.xxhash64(*keys, "_len", "_n", "_i", segment)
 
 
-def candidate_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    *,
-    left_text: str,
-    right_text: str,
-    keys: Sequence[tuple[str, str]],
-    threshold: int = R.DEFAULT_FUZZY_THRESHOLD,
-    prefix: tuple[str, str] | None = None,
-) -> DataFrame:
-    """Pairs equal on ``keys`` whose texts share a segment: all that can be within ``threshold``.
-
-    ``prefix`` names a pair of ``keys`` whose values begin both texts (a prefix
-    block). That part is the same on both sides, so it is left out of the
-    segments: it does not change the distance, and kept in, it would be the one
-    segment that all short texts of a block have in common.
-    """
-    t = int(threshold)
+def index_signatures(texts: DataFrame, keys: Sequence[str], text: str, t: int) -> DataFrame:
+    """``t`` + 1 rows (``_sig``) for each distinct text: the rarest segments of its best cut."""
+    x = texts.withColumn("_len", F.length(text)).withColumn("_n", F.explode(_cuts(F.col("_len"), t)))
+    x = x.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    start, size = _segments(F.col("_len"), F.col("_n"), F.col("_i"))
+    x = x.select(*keys, text, "_n", "_i", _signature(keys, F.col(text).substr(start + 1, size)).alias("_sig"))
+    x = x.join(x.groupBy("_sig").agg(F.count(F.lit(1)).alias("_f")), "_sig")
+    x = x.groupBy(*keys, text).agg(F.collect_list(F.struct("_n", "_f", "_i", "_sig")).alias("_all"))
 
-    def rest(text, block):
-        return F.col(text).substr(F.length(F.col(block)) + 1, F.length(F.col(text))) if block else F.col(text)
+    def rarest(n):
+        chosen = F.slice(F.array_sort(F.filter("_all", lambda s: s["_n"] == n)), 1, t + 1)
+        return F.struct(F.aggregate(chosen, F.lit(0).cast("long"), lambda a, s: a + s["_f"]).alias("cost"), n.alias("n"),
+                        F.transform(chosen, lambda s: s["_sig"]).alias("sigs"))
+
+    best = F.array_min(F.transform(F.array_distinct(F.transform("_all", lambda s: s["_n"])), rarest))
+    return x.select(*keys, text, F.explode(best["sigs"]).alias("_sig"))
 
-    lblock, rblock = prefix or (None, None)
-    lp = probe_signatures(left.withColumn("_lrest", rest(left_text, lblock)), "_lrest", t)
-    rp = index_signatures(right.withColumn("_rrest", rest(right_text, rblock)), "_rrest", t).withColumnsRenamed(
-        {"_len": "_r_len", "_seg_no": "_r_seg_no", "_seg": "_r_seg"}
-    )
-    cond = [F.col(a) == F.col(b) for a, b in keys] + [
-        F.col("_len") == F.col("_r_len"),
-        F.col("_seg_no") == F.col("_r_seg_no"),
-        F.col("_seg") == F.col("_r_seg"),
-    ]
-    return lp.join(rp, cond, "inner").select(*left.columns, *right.columns).distinct()
+
+def probe_signatures(texts: DataFrame, keys: Sequence[str], text: str, t: int) -> DataFrame:
+    """Every signature that a string within distance ``t`` of a distinct text could have."""
+    plen = F.length(text)
+    x = texts.withColumn("_plen", plen).withColumn("_len", F.explode(F.sequence(F.greatest(plen - t, F.lit(0)), plen + t)))
+    x = x.withColumn("_n", F.explode(_cuts(F.col("_len"), t))).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    start, size = _segments(F.col("_len"), F.col("_n"), F.col("_i"))
+    x = x.withColumn("_start", start).withColumn("_size", size)
+    # a shift s takes |s| edits before the segment and |d - s| after it, for a length gap of d: t at most
+    gap = F.col("_plen") - F.col("_len")
+    low = F.greatest(F.col("_start") - F.floor((F.lit(t) - gap) / 2), F.lit(0))
+    high = F.least(F.col("_start") + F.floor((F.lit(t) + gap) / 2), F.col("_plen") - F.col("_size"))
+    places = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<bigint>"))
+    x = x.withColumn("_at", F.explode(places))
+    return x.select(*keys, text, _signature(keys, F.col(text).substr(F.col("_at") + 1, F.col("_size"))).alias("_sig"))
+
+
+def _distinct_texts(df: DataFrame, text: str, keys: Sequence[str], block: str | None, name: str, key_names: Sequence[str]) -> DataFrame:
+    """``df`` with its keys as ``key_names`` and its text, without the block it begins with, as ``name``."""
+    whole = F.col(text)
+    rest = whole.substr(F.length(F.col(block)) + 1, F.length(whole)) if block else whole
+    return df.withColumns({**{k: F.col(c) for k, c in zip(key_names, keys)}, name: rest})
+
+
+def text_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], t: int, verified: bool = True) -> DataFrame:
+    """(keys, ``_a``, ``_b``), once for each common signature: distinct texts ``_a`` of ``left`` and
+    ``_b`` of ``right``, equal on ``keys``, within distance ``t``. Without ``verified`` the distance is
+    not asked for, which shows what the join compares."""
+    known = [F.col(k).isNotNull() for k in keys]
+    distinct = lambda df, text: df.filter(reduce(and_, known, F.col(text).isNotNull())).select(*keys, text).distinct()
+    probes = probe_signatures(distinct(left, "_a"), keys, "_a", t).alias("p")
+    index = index_signatures(distinct(right, "_b"), keys, "_b", t).alias("i")
+    same = [F.col("p._sig") == F.col("i._sig"), *[F.col(f"p.{k}") == F.col(f"i.{k}") for k in keys]]
+    if verified:
+        same.append(F.levenshtein(F.col("_a"), F.col("_b"), t) >= 0)
+    return probes.join(index, same, "inner").select(*[F.col(f"p.{k}").alias(k) for k in keys], "_a", "_b")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, *, left_text: str, right_text: str,
                   keys: Sequence[tuple[str, str]], threshold: int = R.DEFAULT_FUZZY_THRESHOLD,
                   dist_col: str = "LEV_DIST", prefix: tuple[str, str] | None = None) -> DataFrame:
-    """All pairs equal on ``keys`` with ``levenshtein(left_text, right_text) <= threshold``.
+    """All pairs of rows equal on ``keys`` with ``levenshtein(left_text, right_text) <= threshold``.
 
-    Column names of ``left`` and ``right`` must not overlap; ``prefix`` as in ``candidate_pairs``.
+    Column names of ``left`` and ``right`` must not overlap. ``prefix`` names a pair of
+    ``keys`` whose values begin both texts (a prefix block): that part is the same on
+    both sides and does not change the distance, so it is left out of the segments.
+    Rows with a null text or key have no pairs.
     """
-    pairs = candidate_pairs(left, right, left_text=left_text, right_text=right_text, keys=keys,
-                            threshold=threshold, prefix=prefix)
-    dist = F.levenshtein(F.col(left_text), F.col(right_text), int(threshold))
-    return pairs.withColumn(dist_col, dist).filter(F.col(dist_col) >= 0)
+    t = int(threshold)
+    lblock, rblock = prefix or (None, None)
+    names = [f"_k{i}" for i in range(len(keys))]
+    lrows = _distinct_texts(left, left_text, [a for a, _ in keys], lblock, "_a", names)
+    rrows = _distinct_texts(right, right_text, [b for _, b in keys], rblock, "_b", names)
+    pairs = text_pairs(lrows, rrows, names, t).distinct()
+    pairs = pairs.withColumn(dist_col, F.levenshtein(F.col("_a"), F.col("_b"), t))
+    return lrows.join(pairs, [*names, "_a"]).join(rrows, [*names, "_b"]).select(*left.columns, *right.columns, dist_col)
 
 
 def best_match(pairs: DataFrame, left_id: Sequence[str], right_id: str, dist_col: str = "LEV_DIST") -> DataFrame:

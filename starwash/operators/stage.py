@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as X
 from ..functions import rules as R
+from ..schema import BAD_ROW
 from . import clean
-from .dedupe import FIRST, keep_latest, mark_first
+from .dedupe import FIRST, By, Deduped, keep_latest, mark_first, mark_first_at
 from .keys import surrogate_keys
 
 REJECT_REASON = "reject_reason"
+MALFORMED = "malformed_row"
 MISSING_KEY = "missing_key"
 DUPLICATE = "duplicate"
 INVALID_DATE = "invalid_date"
@@ -35,6 +37,8 @@ class CleanOptions:
     ``tie_break``: extra ascending columns after the issue date.
     ``spread``: buckets that a key's rows are ranked in first when duplicates
     are marked (default: the session's shuffle partitions).
+    ``row_addresses``: the input is a scan of parquet files (projections and filters
+    above it), so first rows are marked by their addresses and no row is shuffled.
     """
 
     key: str = "reg_no"
@@ -46,6 +50,7 @@ class CleanOptions:
     emission_pattern: str = R.EMISSION_PATTERN
     date_shapes: tuple = field(default=R.DATE_SHAPES)
     spread: int | None = None
+    row_addresses: bool = False
 
 
 class Staged(NamedTuple):
@@ -55,19 +60,30 @@ class Staged(NamedTuple):
     invalid: DataFrame
 
 
-def dedupe_order(opts: CleanOptions):
-    order = [F.col(opts.from_date).desc_nulls_last()]
+def dedupe_by(opts: CleanOptions) -> list[By]:
+    by = [By(F.col(opts.from_date), desc=True)]
     if opts.dedupe_order == "latest_valid":
-        order.insert(0, X.parse_mixed_date(opts.from_date, opts.date_shapes).desc_nulls_last())
+        by.insert(0, By(X.parse_mixed_date(opts.from_date, opts.date_shapes), desc=True))
     elif opts.dedupe_order != "raw":
         raise ValueError(f"unknown dedupe_order {opts.dedupe_order!r}")
-    return order + [F.col(t).asc_nulls_first() for t in opts.tie_break]
+    return by + [By(F.col(t)) for t in opts.tie_break]
+
+
+def mark_latest(df: DataFrame, opts: CleanOptions, apart=None) -> DataFrame:
+    """``df`` with ``_first``, by row addresses or by windows."""
+    if opts.row_addresses:
+        return mark_first_at(df, opts.key, dedupe_by(opts), apart)
+    return mark_first(df, opts.key, [b.order for b in dedupe_by(opts)], opts.spread, apart)
 
 
 def dedupe(df: DataFrame, opts: CleanOptions = CleanOptions()):
     """Missing-key split plus keep-latest: ``(missing, kept, removed)``."""
-    missing = clean.missing_key(df, opts.key)
-    kept, removed = keep_latest(clean.valid_key(df, opts.key), opts.key, dedupe_order(opts), opts.spread)
+    missing, keyed = clean.missing_key(df, opts.key), clean.valid_key(df, opts.key)
+    if opts.row_addresses:
+        marked = mark_latest(keyed, opts)
+        kept, removed = Deduped(marked.filter(FIRST).drop(FIRST), marked.filter(~F.col(FIRST)).drop(FIRST))
+    else:
+        kept, removed = keep_latest(keyed, opts.key, [b.order for b in dedupe_by(opts)], opts.spread)
     return missing, kept, removed
 
 
@@ -100,15 +116,18 @@ def star_columns(staged: DataFrame, opts: CleanOptions = CleanOptions()) -> Data
 def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
     """Every input row once, tagged with ``reject_reason``.
 
-    Reasons: missing_key, duplicate, invalid_date, staged. Kept rows
+    Reasons: malformed_row (where the input has a column ``_bad_row`` with the text of
+    a row that could not be parsed), missing_key, duplicate, invalid_date, staged. Kept rows
     (invalid_date, staged) carry the derived columns; staged rows also the star
-    columns. The input is read once; rows without a key ride through the same
-    windows, spread over all tasks. Rejected rows are nulls to the repair and
+    columns. By windows the input is read once; rows without a key ride through the
+    same windows, spread over all tasks. By row addresses it is read twice, the
+    first time the key and order columns only. Rejected rows are nulls to the repair and
     parse chain, so it costs them nothing, and they leave as they came.
     """
     columns = raw.columns
-    no_key = X.blank(opts.key)
-    rows = mark_first(raw, opts.key, dedupe_order(opts), opts.spread, apart=no_key)
+    malformed = F.col(BAD_ROW).isNotNull() if BAD_ROW in columns else F.lit(False)
+    no_key = malformed | X.blank(opts.key)
+    rows = mark_latest(raw, opts, apart=no_key)
     kept = F.col(FIRST)
     rows = rows.select(
         FIRST, no_key.alias("_no_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_raw"),
@@ -121,7 +140,8 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     # invalid-date rows leave with their raw make year, as the reference's quarantine
     value = {c: F.col(f"`{c}`") for c in columns}
     value["make_year"] = F.when(dated, F.col("make_year")).otherwise(F.col("_make_year_raw"))
-    reason = (F.when(F.col("_no_key"), MISSING_KEY).when(~kept, DUPLICATE).when(dated, STAGED).otherwise(INVALID_DATE))
+    unparsed = F.col("_raw").getField(BAD_ROW).isNotNull() if BAD_ROW in columns else F.lit(False)
+    reason = (F.when(unparsed, MALFORMED).when(F.col("_no_key"), MISSING_KEY).when(~kept, DUPLICATE).when(dated, STAGED).otherwise(INVALID_DATE))
     return x.select(
         *[F.when(kept, value[c]).otherwise(F.col("_raw").getField(c)).alias(c) for c in columns],
         reason.alias(REJECT_REASON), *[F.when(kept, F.col(c)).alias(c) for c in derived])

@@ -9,6 +9,7 @@ under the shared root first and return the read-back frame.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..operators import clean as C
 from ..operators import dims as D
 from ..operators import quality as Q
 from ..operators import stage as S
-from ..operators.dedupe import keep_latest
+from ..operators.dedupe import FIRST, By, keep_latest, mark_first_at
 from ..operators.fact import FACT_COLUMNS, assemble_fact, match_counts
 from ..operators.resolve import (
     VEHICLE,
@@ -29,10 +30,12 @@ from ..operators.resolve import (
     similar_pairs,
     vehicle_join_condition,
 )
+from ..schema import BAD_ROW
 from ..session import work_path
 from ..sources import readers, sinks
+from ..sources.publish import current, read_published
 from .fixtures import DIRTY_RAW, DIRTY_TIE_BREAK, dirty, table
-from .pipeline import run_registrations_etl
+from .pipeline import FACT, run_registrations_etl
 
 IDS = ["reg_no", "slno", "pk", "sk", "qty"]
 OPTS = S.CleanOptions(tie_break=DIRTY_TIE_BREAK)
@@ -94,11 +97,23 @@ def q_valid_key(spark, sf):
     return C.valid_key(dirty(spark, sf))
 
 
+def _landed(df: DataFrame) -> DataFrame:
+    """The rows as files, which have addresses (the view is a join)."""
+    return _written(df, "landed")
+
+
+AT = replace(OPTS, row_addresses=True)
+
+
 def q_latest_per_key(spark, sf):
     return S.dedupe(dirty(spark, sf), OPTS)[1]
 
 
 def q_duplicates_removed(spark, sf):
+    return S.dedupe(_landed(dirty(spark, sf)), AT)[2]
+
+
+def q_duplicates_removed_by_windows(spark, sf):
     return S.dedupe(dirty(spark, sf), OPTS)[2]
 
 
@@ -118,7 +133,15 @@ def q_hot_key_latest(spark, sf):
 
 
 def q_hot_key_duplicates(spark, sf):
-    return S.dedupe(_hot_dirty(spark, sf), OPTS)[2]
+    return S.dedupe(_landed(_hot_dirty(spark, sf)), AT)[2]
+
+
+def q_first_line_per_part_at(spark, sf):
+    """All rows of lineitem by their own addresses, with a mark on the first of each nullable key."""
+    lines = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_quantity") >= 5, F.col("l_partkey")).alias("part_key"),
+        "l_shipdate", "l_orderkey", "l_linenumber")
+    return mark_first_at(lines, "part_key", [By(F.col("l_shipdate"), desc=True)]).withColumnRenamed(FIRST, "is_kept")
 
 
 def q_first_line_per_part(spark, sf):
@@ -361,7 +384,7 @@ def _etl_run(spark, sf):
 
 def q_star_roundtrip(spark, sf):
     root, _ = _etl_run(spark, sf)
-    return readers.read_parquet(spark, f"{root}/gold_fact_registrations").select(*FACT_COLUMNS)
+    return read_published(spark, root, FACT).select(*FACT_COLUMNS)
 
 
 def q_run_metrics(spark, sf):
@@ -371,22 +394,35 @@ def q_run_metrics(spark, sf):
     return runs.select(F.explode(counts).alias("metric", "value"))
 
 
-def _append_halves(spark, sf):
-    """Two runs over halves that share no key, the second appended to the first."""
+def _append_halves(spark, sf, again=False, **how):
+    """Two runs over halves that share no key, the second appended to the first; ``again``: and the first once more."""
     root = work_path(spark, "star-append")
     d = dirty(spark, sf)
     even = F.coalesce(F.col("reg_no"), F.lit("")).rlike("[02468]$")
-    for half in (even, ~even):
-        run_registrations_etl(d.filter(half), output_root=root, options=OPTS, conform_input=False, mode="append")
+    for half in (even, ~even, even)[: 3 if again else 2]:
+        run_registrations_etl(d.filter(half), output_root=root, options=OPTS, conform_input=False, mode="append", **how)
     return root
 
 
+def q_append_repeated(spark, sf):
+    """An input that is appended a second time adds nothing: fact rows, and the parts they are in."""
+    root = _append_halves(spark, sf, again=True)
+    parts = len(current(spark, root)["tables"][FACT]["parts"])
+    return read_published(spark, root, FACT).select(*FACT_COLUMNS, F.lit(parts).cast("long").alias("n_parts"))
+
+
+def q_append_resolution(spark, sf):
+    """The second run's vehicles are resolved against those of both runs."""
+    root = _append_halves(spark, sf, resolve_against="published")
+    return read_published(spark, root, FACT).select(*FACT_COLUMNS)
+
+
 def q_append_fact(spark, sf):
-    return readers.read_parquet(spark, f"{_append_halves(spark, sf)}/gold_fact_registrations").select(*FACT_COLUMNS)
+    return read_published(spark, _append_halves(spark, sf), FACT).select(*FACT_COLUMNS)
 
 
 def q_append_dim_vehicle(spark, sf):
-    return readers.read_parquet(spark, f"{_append_halves(spark, sf)}/gold_dim_vehicle")
+    return read_published(spark, _append_halves(spark, sf), "gold_dim_vehicle")
 
 
 def q_dir_ingest(spark, sf):
@@ -413,6 +449,33 @@ def q_ingest_status(spark, sf):
     return st.groupBy(fmt, "status", F.col("error").isNotNull().alias("has_error")).agg(F.sum("rows").cast("long").alias("rows"))
 
 
+def _damaged_csv(spark, sf, folder: str) -> DataFrame:
+    """Orders as lines of CSV, every 7th with a field missing, every 11th with one too many and every
+    13th with a quote that is not closed, in files of a folder; returns the rows as read."""
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    line = F.concat_ws(",", k.cast("string"), F.when(k % 13 == 0, F.concat(F.lit('"'), "o_orderstatus")).otherwise(F.col("o_orderstatus")),
+                       F.when(k % 7 != 0, F.col("o_custkey").cast("string")), F.when(k % 11 == 0, F.lit("more")))
+    schema = StructType([StructField("key", StringType()), StructField("status", StringType()), StructField("customer", StringType())])
+    o.select(line.alias("value")).write.text(folder)
+    return readers.read_csv(spark, folder, schema, bad_rows=True, header="false")
+
+
+def q_csv_bad_rows(spark, sf):
+    """Rows that could not be parsed keep their text; all others are as written."""
+    rows = _damaged_csv(spark, sf, work_path(spark, "damaged-csv"))
+    good = F.col(BAD_ROW).isNull()
+    return rows.select(*[F.when(good, F.col(c)).alias(c) for c in ("key", "status", "customer")], F.col(BAD_ROW).alias("bad_row"))
+
+
+def _put(spark, path: str, text: str) -> None:
+    """A small file of its own name."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p)
+    out.write(text.encode())
+    out.close()
+
+
 def _write_one(df: DataFrame, fmt: str, tmp: str, folder: str, name: str) -> None:
     """Write ``df`` in parallel and move its part files into ``folder``.
 

@@ -191,9 +191,14 @@ def with_chain(final: str, extra: list[tuple[str, str]] = ()) -> str:
 HALVES = ("regexp_matches(coalesce(reg_no, ''), '[02468]$')", "NOT regexp_matches(coalesce(reg_no, ''), '[02468]$')")
 
 
-def with_half(half: str, final: str) -> str:
-    """``with_chain`` over the rows of one half only."""
-    ctes = [("whole", DIRTY_SQL), ("dirty", f"SELECT * FROM whole WHERE {half}"), *CHAIN[1:]]
+def with_half(half: str, final: str, known: str | None = None) -> str:
+    """``with_chain`` over the rows of one half only; ``known`` gives vehicles to resolve against besides its own."""
+    chain = CHAIN[1:]
+    if known:
+        both = "(SELECT * FROM earlier UNION ALL SELECT * FROM dim_vehicle WHERE VEHICLE_ID NOT IN (SELECT VEHICLE_ID FROM earlier))"
+        chain = [(n, body.replace("FROM dim_vehicle", f"FROM {both}") if n == "dv" else body) for n, body in chain]
+        chain = [("earlier", f"SELECT * FROM {known}"), *chain]
+    ctes = [("whole", DIRTY_SQL), ("dirty", f"SELECT * FROM whole WHERE {half}"), *chain]
     return "(WITH " + ",\n".join(f"{name} AS (\n{body}\n)" for name, body in ctes) + f"\n{final})"
 
 
@@ -379,6 +384,17 @@ ORACLES: dict[str, str] = {
     "star_roundtrip": with_chain(f"SELECT {FACT_COLS} FROM fact"),
     "append_fact": f"""SELECT * FROM {with_half(HALVES[0], f"SELECT {FACT_COLS} FROM fact")}
         UNION ALL SELECT * FROM {with_half(HALVES[1], f"SELECT {FACT_COLS} FROM fact")}""",
+    "append_repeated": f"""SELECT *, CAST(2 AS BIGINT) AS n_parts FROM (SELECT * FROM {with_half(HALVES[0], f"SELECT {FACT_COLS} FROM fact")}
+        UNION ALL SELECT * FROM {with_half(HALVES[1], f"SELECT {FACT_COLS} FROM fact")})""",
+    "append_resolution": f"""SELECT * FROM {with_half(HALVES[0], f"SELECT {FACT_COLS} FROM fact")}
+        UNION ALL SELECT * FROM {with_half(HALVES[1], f"SELECT {FACT_COLS} FROM fact", known=with_half(HALVES[0], "SELECT * FROM dim_vehicle"))}""",
+    "csv_bad_rows": """
+        SELECT CASE WHEN good THEN key END AS key, CASE WHEN good THEN status END AS status, CASE WHEN good THEN coalesce(buyer, extra) END AS customer,
+          CASE WHEN NOT good THEN concat_ws(',', key, status, buyer, extra) END AS bad_row
+        FROM (SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE WHEN o_orderkey % 13 = 0 THEN '"' ELSE '' END || o_orderstatus AS status,
+            CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS buyer,
+            CASE WHEN o_orderkey % 11 = 0 THEN 'more' END AS extra,
+            (o_orderkey % 7 <> 0) <> (o_orderkey % 11 = 0) AND o_orderkey % 13 <> 0 AS good FROM orders)""",
     "append_dim_vehicle": f"""WITH a AS (SELECT * FROM {with_half(HALVES[0], "SELECT * FROM dim_vehicle")}),
         b AS (SELECT * FROM {with_half(HALVES[1], "SELECT * FROM dim_vehicle")})
         SELECT * FROM a UNION ALL SELECT * FROM b WHERE VEHICLE_ID NOT IN (SELECT VEHICLE_ID FROM a)""",
@@ -395,3 +411,6 @@ ORACLES: dict[str, str] = {
     "etl_counts": with_chain(_metric_rows(PIPELINE_METRICS)),
     "run_metrics": with_chain(_metric_rows(PIPELINE_METRICS)),
 }
+# the same rows by another plan
+ORACLES["duplicates_removed_by_windows"] = ORACLES["duplicates_removed"]
+ORACLES["first_line_per_part_at"] = ORACLES["first_line_per_part"]

@@ -11,15 +11,18 @@ Run shape (each numbered step is one job or a few):
    ``Observation`` on the same write.
 2. quarantine: the reject partitions (pruned read) to ``bad_records``.
 3. dimensions from the staged partition (aggregates, map-side combined).
-4. vehicle resolution map (distinct vehicles only) to the work folder.
+4. vehicle resolution map (distinct vehicles only) to the work folder; on request
+   against the vehicles published by earlier runs as well.
 5. fact = staged rows joined to that map, written with AQE file sizing.
-6. a metrics row appended to ``<output_root>/metrics``.
+6. one manifest makes all tables of the run readable (``sources.publish``), and a
+   metrics row is appended to ``<output_root>/metrics``.
 
 The reference ran up to 30 actions, each recomputing from the source.
 """
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from dataclasses import asdict
@@ -34,19 +37,25 @@ from ..operators.fact import assemble_fact, match_counts
 from ..operators.resolve import resolve_vehicles
 from ..schema import conform
 from ..session import work_path
+from ..sources import publish as publishing
 from ..sources import sinks
 from ..sources.readers import read_parquet
 
+log = logging.getLogger(__name__)
+
 STAGED = S.STAGED
-REASONS = (S.MISSING_KEY, S.DUPLICATE, S.INVALID_DATE, STAGED)
+REASONS = (S.MALFORMED, S.MISSING_KEY, S.DUPLICATE, S.INVALID_DATE, STAGED)
+DIMENSIONS = ("gold_dim_vehicle", "gold_dim_manufacturer", "gold_dim_rta")
+FACT = "gold_fact_registrations"
 
 
-def _count_by_reason(obs: Observation, df: DataFrame) -> DataFrame:
+def _count_by_reason(obs: Observation, df: DataFrame, raw_columns: list[str]) -> DataFrame:
     reason = F.col(S.REJECT_REASON)
     return df.observe(
         obs,
         F.count(F.lit(1)).alias("input_rows"),
         *[F.count_if(reason == r).alias(r) for r in REASONS],
+        *publishing.input_fingerprint(raw_columns),
     )
 
 
@@ -68,19 +77,13 @@ def _observed(obs: Observation, names, written: DataFrame) -> dict:
     return {n: 0 for n in names}
 
 
-def _exists(spark, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def _without_known(dim: DataFrame, path: str, output_format: str) -> DataFrame:
-    """Rows of ``dim`` whose id (its first column) the table at ``path`` does not have yet."""
+def _without_known(dim: DataFrame, root: str, name: str, base: dict | None) -> DataFrame:
+    """Rows of ``dim`` whose id (its first column) the published table does not have yet."""
     spark, key = dim.sparkSession, dim.columns[0]
-    if not _exists(spark, path):
+    if not base or name not in base["tables"]:
         return dim
-    known = (spark.read.option("header", "true").csv(path) if output_format == "csv"
-             else spark.read.format(output_format).schema(dim.schema).load(path))
-    return dim.join(known.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_anti")
+    known = publishing.read_table(spark, root, base["tables"][name])
+    return dim.join(known.select(key).distinct(), key, "left_anti")
 
 
 def _delete(spark, path: str) -> None:
@@ -103,12 +106,18 @@ def run_registrations_etl(
     conform_input: bool = True,
     work_dir: str | None = None,
     keep_work: bool = False,
+    resolve_against: str = "run",
 ) -> dict:
     """Clean, quarantine, build the star schema and write it; returns the metrics.
 
     Keyword-only on purpose (the reference's driver passed the run id where the
     output root belonged). ``raw`` may carry the reference's header names; they
-    are conformed to canonical names and cast to string first.
+    are conformed to canonical names and cast to string first. Tables are read with
+    ``sources.publish.read_published(spark, output_root, name)``: ``mode="overwrite"``
+    replaces all of them at once, ``"append"`` adds to them, and an input that the
+    ledger has already adds nothing (``already_loaded`` in the metrics). Vehicles are
+    resolved against the dimension of this run (the reference's behaviour) or, with
+    ``resolve_against="published"``, against that of all runs so far and this one.
     """
     spark = raw.sparkSession
     run_id = run_id or f"run_{int(time.time())}_{uuid.uuid4().hex[:6]}"
@@ -125,6 +134,12 @@ def run_registrations_etl(
     }
     counts = metrics["counts"]
     steps = metrics["step_sec"] = {}
+    if mode not in ("append", "overwrite") or resolve_against not in ("run", "published"):
+        raise ValueError(f"unknown mode {mode!r} or resolve_against {resolve_against!r}")
+    append = mode == "append"
+    base = publishing.current(spark, root)
+    own = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    version = lambda table: publishing.version_path(root, table, own)
     started = last = time.perf_counter()
 
     def lap(name):
@@ -140,7 +155,7 @@ def run_registrations_etl(
         obs_stage = Observation("stage")
         stage_path = f"{work}/stage"
         tagged = S.tagged_rows(src, options)
-        sinks.write_parquet(_count_by_reason(obs_stage, tagged), stage_path, partition_by=[S.REJECT_REASON])
+        sinks.write_parquet(_count_by_reason(obs_stage, tagged, raw_cols), stage_path, partition_by=[S.REJECT_REASON])
         stage_table = read_parquet(spark, stage_path, tagged.schema)
         got = _observed(obs_stage, ["input_rows", *REASONS], stage_table)
         kept = got[S.INVALID_DATE] + got[STAGED]
@@ -148,13 +163,26 @@ def run_registrations_etl(
             input_rows=got["input_rows"], missing_key=got[S.MISSING_KEY],
             duplicates_removed=got[S.DUPLICATE], after_dedupe=kept,
             invalid_dates=got[S.INVALID_DATE], staged_rows=got[STAGED],
+            **({S.MALFORMED: got[S.MALFORMED]} if got[S.MALFORMED] else {}),
         )
         lap("stage")
+        # the ledger: an input that was loaded before adds nothing
+        fingerprint = f"{got['input_rows']}-{got.get('input_hash_1')}-{got.get('input_hash_2')}"
+        metrics["input_fingerprint"] = fingerprint
+        if append and got["input_rows"] and publishing.loaded(base, fingerprint):
+            counts.update({f"{n[5:]}_rows": 0 for n in DIMENSIONS}, fact_rows=0)
+            metrics["already_loaded"] = True
+            metrics["elapsed_sec"] = round(time.perf_counter() - started, 3)
+            sinks.write_metrics(spark, metrics, f"{root}/metrics")
+            return metrics
         reason = F.col(S.REJECT_REASON)
+        tables: dict[str, dict] = {}
 
         # 2. quarantine: reject partitions (pruned read), raw columns plus the reason
-        sinks.write_rejects(S.quarantine(stage_table, raw_cols), f"{root}/bad_records",
-                            mode=mode, output_format=output_format)
+        rejects = S.quarantine(stage_table, raw_cols)
+        size = sinks.write_rejects(rejects, version("bad_records"), output_format=output_format)
+        tables["bad_records"] = publishing.entry_of(rejects, root, version("bad_records"), got["input_rows"] - got[STAGED], *size,
+                                                    output_format, [S.REJECT_REASON])
         lap("quarantine")
 
         staged = stage_table.filter(reason == STAGED).drop(S.REJECT_REASON)
@@ -162,21 +190,22 @@ def run_registrations_etl(
         # 3. dimensions: computed once into the work folder, then the ids that are
         #    not there yet are written (in append mode; all of them otherwise)
         dims = D.build_dimensions(staged)
-        dim_paths, of_run = {}, {}
-        for name, frame in (("gold_dim_vehicle", dims.vehicle), ("gold_dim_manufacturer", dims.manufacturer),
-                            ("gold_dim_rta", dims.office)):
+        of_run = {}
+        for name, frame in zip(DIMENSIONS, (dims.vehicle, dims.manufacturer, dims.office)):
             of_run[name] = sinks.write_then_read(frame, f"{work}/{name}")
-            new = of_run[name]
-            if mode == "append":
-                new = _without_known(new, f"{root}/{name}", output_format)
+            new = _without_known(of_run[name], root, name, base) if append else of_run[name]
             obs = Observation(name)
-            dim_paths.update(sinks.write_star({name: new.observe(obs, F.count(F.lit(1)).alias("rows"))},
-                                              root, mode=mode, output_format=output_format))
-            counts[f"{name[5:]}_rows"] = _observed(obs, ["rows"], new)["rows"]
+            path = version(name)
+            sinks.write_files(new.observe(obs, F.count(F.lit(1)).alias("rows")), output_format, path)
+            rows = counts[f"{name[5:]}_rows"] = _observed(obs, ["rows"], new)["rows"]
+            tables[name] = publishing.entry_of(new, root, path, rows, *sinks.audit_size(spark, path, f"*.{output_format}"), output_format)
         lap("dimensions")
 
-        # 4. resolution map over distinct vehicles, against this run's dimension
+        # 4. resolution map over distinct vehicles
         dim_vehicle = of_run["gold_dim_vehicle"]
+        if resolve_against == "published" and append and base and "gold_dim_vehicle" in base["tables"]:
+            known = publishing.read_table(spark, root, base["tables"]["gold_dim_vehicle"])
+            dim_vehicle = known.unionByName(_without_known(dim_vehicle, root, "gold_dim_vehicle", base))
         vehicle_map = sinks.write_then_read(resolve_vehicles(staged, dim_vehicle, fuzzy_threshold),
                                             f"{work}/vehicle_map")
         lap("resolution")
@@ -185,16 +214,22 @@ def run_registrations_etl(
         #    map task is not counted again, and matches per vehicle
         fact = assemble_fact(staged, vehicle_map, key=options.key)
         obs_fact = Observation("fact")
-        fact_path = f"{root}/gold_fact_registrations"
+        fact_path = version(FACT)
         files, nbytes = sinks.write_sized(fact, fact_path, partition_by=["REGISTRATION_YEAR"], target_mb=target_mb,
-                                          mode=mode, output_format=output_format,
-                                          observe=(obs_fact, [F.count(F.lit(1)).alias("fact_rows")]))
+                                          output_format=output_format, observe=(obs_fact, [F.count(F.lit(1)).alias("fact_rows")]))
         got = _observed(obs_fact, ["fact_rows"], staged)
+        tables[FACT] = publishing.entry_of(fact, root, fact_path, got["fact_rows"], files, nbytes, output_format, ["REGISTRATION_YEAR"])
         matched = match_counts(staged, vehicle_map).first().asDict()
         lap("fact")
+
+        # 6. all tables become readable together
+        manifest = publishing.publish(spark, root, run_id, tables, append=append, base=base,
+                                      fingerprint=fingerprint if counts["input_rows"] else None)
+        lap("publish")
         counts.update(fact_rows=got["fact_rows"], **matched)
-        metrics["writes"] = {"fact": {"path": fact_path, "files": files, "bytes": nbytes},
-                             "dims": dim_paths, "bad_records": f"{root}/bad_records"}
+        metrics["writes"] = {"fact": {"path": fact_path, "files": files, "bytes": nbytes}, "manifest": manifest["number"],
+                             "dims": {n: f"{root}/{tables[n]['parts'][0]['path']}" for n in DIMENSIONS},
+                             "bad_records": version("bad_records")}
         metrics["elapsed_sec"] = round(time.perf_counter() - started, 3)
         sinks.write_metrics(spark, metrics, f"{root}/metrics")
         return metrics
@@ -203,11 +238,11 @@ def run_registrations_etl(
         try:
             sinks.write_metrics(spark, metrics, f"{root}/metrics")
         except Exception:
-            pass
+            log.exception("metrics of the failed run %s could not be written", run_id)
         raise
     finally:
         if not keep_work:
             try:
                 _delete(spark, work)
             except Exception:
-                pass
+                log.exception("work folder %s was not removed", work)

@@ -48,6 +48,9 @@ SOURCE_HEADER_NAMES = (
 
 SOURCE_TO_CANONICAL = dict(zip(SOURCE_HEADER_NAMES, RAW_COLUMNS))
 
+#: the text of a row that could not be parsed, null for all others
+BAD_ROW = "_bad_row"
+
 RAW_SCHEMA = StructType([StructField(n, StringType(), True) for n in SOURCE_HEADER_NAMES])
 CANONICAL_RAW_SCHEMA = StructType([StructField(n, StringType(), True) for n in RAW_COLUMNS])
 

@@ -11,6 +11,7 @@ import json
 from collections.abc import Sequence
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,25 +96,19 @@ def session_conf(spark: SparkSession, values: dict[str, str]):
 def audit_size(spark: SparkSession, path: str, glob: str | None = None) -> tuple[int, int]:
     """SNK6: (files, bytes) of the data files under ``path``, on any Hadoop FS.
 
-    A listing on the driver that keeps two numbers: no file is opened and no task
-    started. Hidden and ``_``-prefixed files and folders are skipped.
+    The listing is Spark's own (in parallel for many folders) and is summed by one
+    job; files are not opened, and no entry passes through the driver's Python.
+    Hidden and ``_``-prefixed files and folders are skipped.
     """
-    from fnmatch import fnmatch
-
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = size = 0
-    if not fs.exists(root):
-        return 0, 0
-    base = fs.getFileStatus(root).getPath().toString()
-    entries = fs.listFiles(root, True)
-    while entries.hasNext():
-        entry = entries.next()
-        parts = entry.getPath().toString()[len(base):].strip("/").split("/")
-        if not any(p.startswith(("_", ".")) for p in parts) and (glob is None or fnmatch(parts[-1], glob)):
-            files, size = files + 1, size + entry.getLen()
-    return files, size
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", glob or "*").load(path))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return 0, 0
+        raise
+    n, size = files.agg(F.count(F.lit(1)), F.sum("length")).first()
+    return n, size or 0
 
 
 def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), target_mb: float = R.DEFAULT_TARGET_MB,
@@ -149,9 +144,9 @@ def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), targ
 
 
 def write_rejects(rejects: DataFrame, path: str, mode: str = "overwrite", output_format: str = "parquet",
-                  reason_col: str = "reject_reason", target_mb: float = R.DEFAULT_TARGET_MB) -> None:
-    """SNK7: one quarantine write partitioned by reason, in files of about ``target_mb``."""
-    write_sized(rejects, path, [reason_col], target_mb, mode, output_format)
+                  reason_col: str = "reject_reason", target_mb: float = R.DEFAULT_TARGET_MB) -> tuple[int, int]:
+    """SNK7: one quarantine write partitioned by reason, in files of about ``target_mb``; returns (files, bytes)."""
+    return write_sized(rejects, path, [reason_col], target_mb, mode, output_format)
 
 
 def write_star(tables: dict[str, DataFrame], root: str, mode: str = "overwrite", output_format: str = "parquet",

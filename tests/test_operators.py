@@ -12,7 +12,7 @@ from starwash.operators import clean as C
 from starwash.operators import stage as S
 from starwash.operators.dedupe import keep_latest
 from starwash.operators.fact import assemble_fact
-from starwash.operators.resolve import best_match, resolve_vehicles, similar_pairs
+from starwash.operators.resolve import best_match, resolve_vehicles, similar_pairs, text_pairs
 
 
 @pytest.mark.parametrize(
@@ -218,8 +218,6 @@ def test_similar_pairs_near_copies_brute_force(spark, seed):
 
 def test_prefix_block_equals_brute_force_without_all_pairs(spark):
     """Two-character blocks and names of 4 to 12 characters: right pairs, from few candidates."""
-    from starwash.operators.resolve import candidate_pairs
-
     rnd = random.Random(3)
     names = ["ab" + "".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 10))) for _ in range(300)]
     names += [n[:-1] + "x" for n in names[:60]]
@@ -229,6 +227,24 @@ def test_prefix_block_equals_brute_force_without_all_pairs(spark):
     got = {(r.lid, r.rid, r.d) for r in similar_pairs(left, right, dist_col="d", **how).collect()}
     want = {(i, j, _lev(a, b)) for i, a in enumerate(names[::2]) for j, b in enumerate(names[1::2]) if _lev(a, b) <= 3}
     assert got == want
-    long = "length(ltext) >= 8 and length(rtext) >= 8"
-    every = left.filter("length(ltext) >= 8").count() * right.filter("length(rtext) >= 8").count()
-    assert candidate_pairs(left, right, **how).filter(long).count() < every / 4
+    a, b = (df.select(F.col(f"{s}block").alias("k"), F.expr(f"substr({s}text, 3)").alias(f"_{n}")) for df, s, n in ((left, "l", "a"), (right, "r", "b")))
+    compared = text_pairs(a, b, ["k"], 3, verified=False).filter("length(_a) >= 6 and length(_b) >= 6").distinct().count()
+    assert compared < a.filter("length(_a) >= 6").count() * b.filter("length(_b) >= 6").count() / 4
+
+
+@pytest.mark.parametrize("t", [1, 2, 3, 4])
+def test_names_of_one_model_line_are_not_all_compared(spark, t):
+    """Names that share most of their letters: few are compared, and the join emits pairs within the distance only."""
+    rnd = random.Random(t)
+    names = ["swift dzire " + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(260)]
+    names += ["swift dzire" + n[11:-1] for n in names[:20]] + ["swift dzire" + n[12:] for n in names[20:40]]
+    left = spark.createDataFrame([("sw", n) for n in names], "k string, _a string")
+    right = left.withColumnRenamed("_a", "_b")
+    pairs = text_pairs(left, right, ["k"], t)
+    got = {(r["_a"], r["_b"]) for r in pairs.collect()}
+    probe = {n for n in names if any(m != n and (n, m) in got for m in names)}
+    assert {(n, n) for n in names} <= got and {n for n in names[:40]} <= probe
+    assert got == {(a, b) for a in names for b in names if abs(len(a) - len(b)) <= t and _lev(a[11:], b[11:]) <= t}
+    assert pairs.count() <= 20 * len(got)
+    compared = text_pairs(left, right, ["k"], t, verified=False).distinct().count()
+    assert t == 4 or compared < len(names) ** 2 / 10  # eight letters of their own give four rare segments, not five

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from starwash.plans import DIRTY_TIE_BREAK, dirty, run_registrations_etl
 from starwash.operators.stage import CleanOptions
 from starwash.session import work_path
-from starwash.sources import readers
+from starwash.sources.publish import current, read_published, remove_unlisted
 
 OPTS = CleanOptions(tie_break=DIRTY_TIE_BREAK)
 
@@ -30,10 +30,10 @@ def test_etl_counts_and_properties(spark, sf_small):
     assert c["after_dedupe"] + c["duplicates_removed"] + c["missing_key"] == c["input_rows"]
     assert c["staged_rows"] + c["invalid_dates"] == c["after_dedupe"]
     assert c["fact_rows"] == c["staged_rows"]
-    fact = readers.read_parquet(spark, f"{root}/gold_fact_registrations")
+    fact = read_published(spark, root, "gold_fact_registrations")
     assert fact.count() == c["fact_rows"]
     assert m["writes"]["fact"]["files"] >= 1
-    bad = readers.read_parquet(spark, f"{root}/bad_records")
+    bad = read_published(spark, root, "bad_records")
     assert bad.count() == c["missing_key"] + c["duplicates_removed"] + c["invalid_dates"]
     runs = spark.read.json(f"{root}/metrics")
     assert runs.count() == 1 and runs.first().run_id == m["run_id"]
@@ -41,7 +41,7 @@ def test_etl_counts_and_properties(spark, sf_small):
 
 def test_pipeline_is_deterministic(spark, sf_small):
     def h(root):
-        fact = readers.read_parquet(spark, f"{root}/gold_fact_registrations")
+        fact = read_published(spark, root, "gold_fact_registrations")
         return fact.select(F.sum(F.xxhash64(*fact.columns).cast("decimal(38,0)")).alias("h")).first().h
     r1, _ = _run(spark, sf_small)
     r2, _ = _run(spark, sf_small)
@@ -51,7 +51,7 @@ def test_pipeline_is_deterministic(spark, sf_small):
 def test_pipeline_csv_output(spark, sf_small):
     root, m = _run(spark, sf_small, output_format="csv")
     assert m["counts"]["fact_rows"] == 1065
-    assert spark.read.option("header", "true").csv(f"{root}/gold_dim_rta").count() == m["counts"]["dim_rta_rows"]
+    assert read_published(spark, root, "gold_dim_rta").count() == m["counts"]["dim_rta_rows"]
 
 
 def test_pipeline_empty_and_all_missing(spark):
@@ -77,9 +77,9 @@ def test_pipeline_reference_headers_and_copies(spark):
     m = run_registrations_etl(raw, output_root=root)
     c = m["counts"]
     assert (c["input_rows"], c["after_dedupe"], c["duplicates_removed"], c["staged_rows"]) == (5, 1, 4, 1)
-    bad = readers.read_parquet(spark, f"{root}/bad_records")
+    bad = read_published(spark, root, "bad_records")
     assert sorted(r.slno for r in bad.collect()) == ["1", "1", "1", "2"]
-    fact = readers.read_parquet(spark, f"{root}/gold_fact_registrations").first()
+    fact = read_published(spark, root, "gold_fact_registrations").first()
     assert (fact.SLNO, fact.REGISTRATION_ISSUE_DATE_ID, fact.REGISTRATION_EXPIRY_DATE_ID) == ("1", 20230101, 20231231)
     # office fallback: a null office takes the issue-date text (reference behaviour)
     import hashlib
@@ -90,7 +90,7 @@ def test_pipeline_reference_headers_and_copies(spark):
 def test_pipeline_does_not_depend_on_spread(spark, sf_small):
     """Ranking keys in one bucket or in many changes nothing."""
     def fact_hash(root):
-        fact = readers.read_parquet(spark, f"{root}/gold_fact_registrations")
+        fact = read_published(spark, root, "gold_fact_registrations")
         return fact.select(F.sum(F.xxhash64(*sorted(fact.columns)).cast("decimal(38,0)")).alias("h")).first().h
 
     r1, m1 = _run(spark, sf_small)
@@ -125,10 +125,71 @@ def test_append_runs_keep_ids_unique_and_fact_rows_single(spark, sf_small, tmp_p
     one = run_registrations_etl(src, **opts)
     two = run_registrations_etl(src, **opts)
     none = run_registrations_etl(src.limit(0), **opts)
-    assert one["counts"]["fact_rows"] == two["counts"]["fact_rows"] > 0 and none["counts"]["fact_rows"] == 0
-    assert two["counts"]["dim_vehicle_rows"] == 0
-    dim = spark.read.parquet(f"{root}/gold_dim_vehicle")
+    more = run_registrations_etl(src.filter("slno = '1'"), **opts)  # another input, whose vehicles are known
+    assert one["counts"]["fact_rows"] > 0 and two["counts"]["fact_rows"] == none["counts"]["fact_rows"] == 0
+    assert two["already_loaded"] and more["counts"]["dim_vehicle_rows"] == 0 < more["counts"]["fact_rows"]
+    dim = read_published(spark, root, "gold_dim_vehicle")
     assert dim.count() == dim.select("VEHICLE_ID").distinct().count() == one["counts"]["dim_vehicle_rows"]
-    assert spark.read.parquet(f"{root}/gold_fact_registrations").count() == 2 * one["counts"]["fact_rows"]
+    assert read_published(spark, root, "gold_fact_registrations").count() == one["counts"]["fact_rows"] + more["counts"]["fact_rows"]
     assert (work / "mine.txt").read_text() == "keep" and [p.name for p in work.iterdir()] == ["mine.txt"]
-    assert spark.read.json(f"{root}/metrics").filter("step_json like '%stage%'").count() == 3
+    assert spark.read.json(f"{root}/metrics").filter("step_json like '%stage%'").count() == 4
+
+
+def test_a_run_that_dies_leaves_the_old_star(spark, sf_small, monkeypatch):
+    from starwash.plans import pipeline
+    from starwash.sources.publish import PublishConflict, publish
+
+    root, one = _run(spark, sf_small)
+    before = {t: sorted(map(str, read_published(spark, root, t).collect())) for t in current(spark, root)["tables"]}
+    half = dirty(spark, sf_small).filter("slno = '2'")
+    monkeypatch.setattr(pipeline, "assemble_fact", lambda *a, **k: 1 / 0)  # dimensions are written, the fact is not
+    for mode in ("overwrite", "append"):
+        try:
+            run_registrations_etl(half, output_root=root, options=OPTS, conform_input=False, mode=mode)
+            raise AssertionError("the run should have died")
+        except ZeroDivisionError:
+            pass
+        assert {t: sorted(map(str, read_published(spark, root, t).collect())) for t in before} == before
+    monkeypatch.undo()
+    assert remove_unlisted(spark, root) == 2 and remove_unlisted(spark, root) == 0
+    base = current(spark, root)
+    two = run_registrations_etl(half, output_root=root, options=OPTS, conform_input=False)
+    assert read_published(spark, root, "gold_fact_registrations").count() == two["counts"]["fact_rows"] < one["counts"]["fact_rows"]
+    try:
+        publish(spark, root, "late", base["tables"], base=base)
+        raise AssertionError("made against an old manifest")
+    except PublishConflict:
+        pass
+    assert current(spark, root)["run_id"] == two["run_id"]
+
+
+def test_row_addresses_change_nothing(spark, sf_small):
+    landed = work_path(spark, "t-landed")
+    dirty(spark, sf_small).repartition(5).write.parquet(landed)
+    roots = []
+    for addresses in (False, True):
+        roots.append(work_path(spark, "t-addr"))
+        m = run_registrations_etl(spark.read.parquet(landed), output_root=roots[-1], conform_input=False,
+                                  options=CleanOptions(tie_break=DIRTY_TIE_BREAK, row_addresses=addresses))
+        assert m["counts"]["duplicates_removed"] == 4428
+    for t in ("gold_fact_registrations", "gold_dim_vehicle", "bad_records"):
+        a, b = (read_published(spark, r, t) for r in roots)
+        assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect()))
+
+
+def test_rows_that_cannot_be_parsed_go_to_quarantine(spark, tmp_path):
+    from starwash.schema import CANONICAL_RAW_SCHEMA, RAW_COLUMNS
+    from starwash.sources import read_csv
+    from starwash.sources.readers import ingest_status
+
+    good = ["T1", "1", "Swift VXI", "PETROL", "Red", "LMV", "2018", "5", "", "", "Maruti", "OFF1", "01/01/2023", "31/12/2023"]
+    other = ["T2", *good[1:]]
+    lines = [",".join(RAW_COLUMNS), ",".join(good), ",".join(other[:9]), ",".join([*other, "more"]), ",".join([*other[:4], '"Red', *other[5:]])]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    raw = read_csv(spark, str(tmp_path / "a.csv"), CANONICAL_RAW_SCHEMA, bad_rows=True)
+    m = run_registrations_etl(raw, output_root=(root := work_path(spark, "t-bad")), options=CleanOptions(), conform_input=False)
+    assert m["counts"]["malformed_row"] == 3 and m["counts"]["fact_rows"] == 1 and m["counts"]["missing_key"] == 0
+    bad = read_published(spark, root, "bad_records").collect()
+    assert {r.reject_reason for r in bad} == {"malformed_row"} and sorted(r["_bad_row"] for r in bad) == sorted(lines[2:])
+    status = ingest_status(spark, str(tmp_path), CANONICAL_RAW_SCHEMA).collect()
+    assert [(r.status, r.rows, r.bad_rows) for r in status] == [("partial", 4, 3)]
