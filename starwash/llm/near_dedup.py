@@ -20,10 +20,14 @@ at J = 0.75 shares no key with probability (1 - 0.75^4)^32 = 5e-6.
    corrected for register collisions, then the exact test on the full sets.
    Connected components follow from the confirmed links.
 4. Rest: buckets that still hold several components are joined with themselves,
-   only across components and only pairs not tested yet; the length filter and
-   the sketch estimate are conditions of that join, so they bound what it emits,
-   and large buckets are split over ``tiles`` x ``tiles`` tasks.
-   What passes is tested on the full sets, and components are taken again.
+   only across components and only pairs not tested yet. Conditions of that join
+   bound what it emits: the length filter; an exact bound of the overlap (a shingle
+   that one component alone has cannot be shared across, so two nodes share no more
+   than the lesser number of their other shingles); the sketch estimate; and the
+   overlap of the sets themselves, for large ones of their ``LEAST`` least hashes.
+   So copies of one text that are edited to just below the threshold are compared
+   inside the join and emit nothing. Large buckets are split over ``tiles`` x
+   ``tiles`` tasks. What passes is tested on the full sets, and components are taken again.
 
 So hubs connect large groups in linear work, and step 4 leaves no candidate
 pair between different components untested.
@@ -49,6 +53,7 @@ from starwash.llm.components import components
 
 REGISTERS, BAND = 128, 4
 _MANTISSA = 10
+LEAST = 512
 _CACHE: dict[bytes, int] = {}
 _CACHE_WORDS = 200_000  # words whose hashes a Python worker remembers; only speed depends on it
 
@@ -180,6 +185,39 @@ def confirm(pairs: DataFrame, documents: DataFrame, percent: int, shingle: int,
             .select("a", "b").distinct())
 
 
+def shareable(nodes: DataFrame, documents: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, u, least) for the given (node, c): how many shingles of each node a node of another
+    component has, too, and the node's ``LEAST`` least shingle hashes (all, if it has no more)."""
+    small_batches(documents.sparkSession, 128)
+
+    def run(batches):
+        for frame in batches:
+            hashes = [(shingle_hashes(t if isinstance(t, str) else None, shingle) >> np.uint64(1)).view(np.int64) for t in frame["t"]]
+            yield pd.DataFrame({"node": frame["i"], "c": frame["c"], "s": hashes})
+
+    texts = documents.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
+    sets = save(texts.join(nodes.select(F.col("node").alias("i"), "c"), "i").mapInPandas(run, "node long, c long, s array<long>"), "mixed-sets")
+    each = sets.select("node", "c", F.explode("s").alias("s"))
+    # counted where they are read, so a shingle of many nodes costs one row a task
+    across = each.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 != c2").select("s")
+    shared = each.join(across, "s").groupBy("node").agg(F.count_distinct("s").alias("u"))
+    least = sets.select("node", F.slice("s", 1, LEAST).alias("least")).distinct()
+    return least.join(shared, "node")
+
+
+def _overlap_fits(a: str, b: str, percent: int):
+    """Sets of at most ``LEAST`` shingles: the exact test. Larger ones: the share of common hashes among
+    those up to the lower end of both lists is not 6 standard deviations below the threshold."""
+    x, y, n1, n2 = F.col(f"{a}least"), F.col(f"{b}least"), F.col(f"{a}n"), F.col(f"{b}n")
+    whole = (n1 <= LEAST) & (n2 <= LEAST)
+    exact = (100 + percent) * F.size(F.array_intersect(x, y)) >= percent * (n1 + n2)
+    end = F.least(*[F.when(n > LEAST, F.element_at(v, -1)).otherwise(F.lit((1 << 63) - 1)) for v, n in ((x, n1), (y, n2))])
+    low = [F.filter(v, lambda h: h <= end) for v in (x, y)]
+    both = F.size(F.array_intersect(*low))
+    slack = 6 * (percent * (100 - percent) / 10_000 / LEAST) ** 0.5
+    return F.when(whole, exact).otherwise(both >= (percent / 100 - slack) * (F.size(low[0]) + F.size(low[1]) - both))
+
+
 def near_duplicates(documents: DataFrame, percent: int = 75, shingle: int = 5, slack: float = 0.23, tiles: int = 16,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``documents``."""
@@ -212,16 +250,21 @@ def near_duplicates(documents: DataFrame, percent: int = 75, shingle: int = 5, s
     of = F.coalesce("component", "node")
     apart = buckets.join(found, "node", "left").select("key", "node", "size", of.alias("c"))
     mixed = apart.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 != c2").select("key")
-    apart = apart.join(mixed, "key").join(nodes, "node")
+    apart = save(apart.join(mixed, "key"), "mixed")
+    here = apart.select("node", "c").distinct()
+    # a node that shares less than its part of the threshold has no link across
+    apart = apart.join(nodes, "node").join(save(shareable(here, documents, shingle, id_col, text_col), "shareable"), "node")
+    apart = apart.filter(100 * F.col("u") >= percent * F.col("n"))
     split = F.when(F.col("size") > 64 * tiles, tiles).otherwise(1)
     tile = F.pmod(F.xxhash64("node"), split).cast("int")
     every = F.sequence(F.lit(0), (split - 1).cast("int"))
-    left = apart.select("key", F.col("c").alias("ac"), F.col("node").alias("a"), F.col("n").alias("an"), F.col("bands").alias("abands"),
+    left = apart.select("key", F.col("c").alias("ac"), F.col("node").alias("a"), F.col("n").alias("an"), F.col("u").alias("au"), F.col("bands").alias("abands"), F.col("least").alias("aleast"),
                         tile.alias("i"), F.explode(every).alias("j"))
-    right = apart.select("key", F.col("c").alias("bc"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("bands").alias("bbands"),
+    right = apart.select("key", F.col("c").alias("bc"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("u").alias("bu"), F.col("bands").alias("bbands"), F.col("least").alias("bleast"),
                          F.explode(every).alias("i"), tile.alias("j"))
     rest = (left.join(right, (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-                      & (left["ac"] < right["bc"]) & _alike("a", "b", percent, slack))
+                      & (left["ac"] < right["bc"]) & ((100 + percent) * F.least("au", "bu") >= percent * (F.col("an") + F.col("bn")))
+                      & _alike("a", "b", percent, slack) & _overlap_fits("a", "b", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     rest = save(rest.join(first, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
