@@ -304,6 +304,19 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
                         ).astype({"word": object, "near": object})
 
 
+def _blocks(batches, rows: int = 50_000):
+    """Batches put together: what is done for each length and cell is done for many words at once."""
+    held, n = [], 0
+    for frame in batches:
+        held.append(frame)
+        n += len(frame)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
 def near_words(vocabulary: DataFrame, cell_words: int = 40_000) -> DataFrame:
     """(word, n_near, near, near_n) of the words that have near words; ``vocabulary`` is (word, n), distinct words."""
     spark = vocabulary.sparkSession
@@ -325,7 +338,7 @@ def near_words(vocabulary: DataFrame, cell_words: int = 40_000) -> DataFrame:
     shared = spark.sparkContext.broadcast(dict(of_length))
 
     def deal(batches):
-        for frame in batches:
+        for frame in _blocks(batches):
             length = frame["word"].str.len().to_numpy()
             for size in np.unique(length):
                 part = frame[length == size]
@@ -342,7 +355,8 @@ def near_words(vocabulary: DataFrame, cell_words: int = 40_000) -> DataFrame:
     dealt = save(vocabulary.select("word", "n").mapInPandas(deal, "cell int, asks boolean, word string, n long"), "cells")
     tiles = lambda asks: F.ceil(F.count_if(F.col("asks") == asks) / (cell_words * (4 if asks else 1))).cast("int")
     tiled = dealt.groupBy("cell").agg(F.greatest(tiles(False), F.lit(1)).alias("h"), F.greatest(tiles(True), F.lit(1)).alias("a"))
-    x = dealt.join(tiled, "cell")
+    # one row a cell, so broadcast: joined by cell, all tiles of a cell would stay in one task
+    x = dealt.join(F.broadcast(tiled), "cell")
     tile = lambda count: F.pmod(F.xxhash64("word"), F.col(count)).cast("int")
     every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
     x = x.withColumn("i", F.explode(F.when(F.col("asks"), every("h")).otherwise(F.array(tile("h")))))
