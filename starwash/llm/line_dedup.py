@@ -43,48 +43,71 @@ import re
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starwash.llm.common import save, small_batches
 
 #: a line's end, with the white space behind it; and what a word that ends a line has behind it
-_END, _ENDS = "(?:\\n|[.?!] )\\s*+(?=\\S)", re.compile(r"\n|[.?!] ")
+_END, _ENDS = "(?:\\n|[.?!] )\\s*+(?=\\S)", re.compile(rb"(?:\n|[.?!] )[ \t\n\r\x0b\x0c]*")
 _RUNS = "array<struct<from:int,to:int>>"
 _SPACE = r" \t\n\r\x0b\x0c"
 #: scripts without spaces: Thai to Myanmar, Khmer, kana, Han
 _DENSE = "฀-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U000323af"
 _ANY_DENSE = re.compile(f"[{_DENSE}]")
-_PIECE = re.compile(f"[^{_SPACE}]+[{_SPACE}]*")
 _DENSE_PIECE = re.compile(f"[^{_SPACE}{_DENSE}]*[{_DENSE}][{_SPACE}]*|[^{_SPACE}{_DENSE}]+[{_SPACE}]*")
 _LAST = (1 << 63) - 1  # stands for a null id: after all others
-_CACHE_WORDS = 300_000  # words whose hashes a Python worker remembers; only speed depends on it
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+_OF_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256).astype(np.uint64)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word) & 0xFFFFFFFF
-        return h
+def _powers(n: int, known: list = [np.ones(64, np.uint64)]) -> np.ndarray:  # noqa: B006  grows with the longest word met
+    if len(known[0]) <= n:
+        with np.errstate(over="ignore"):
+            known[0] = np.cumprod(np.full(2 * n, _MIX), dtype=np.uint64)
+    return known[0]
 
 
-_HASHES = _Hashes()
+_powers(256)
+
+
+def _starts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes, the mask of those in words, and where words begin."""
+    codes = np.frombuffer(data, np.uint8)
+    inside = ~_IS_SPACE[codes]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    return codes, inside, np.flatnonzero(begins)
+
+
+def _spaced(text: str) -> str:
+    """Texts of dense scripts with a space behind each character of these."""
+    return _ANY_DENSE.sub(r"\g<0> ", text) if not text.isascii() and _ANY_DENSE.search(text) else text
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """The 32-bit hashes of a text's words."""
-    if not text.isascii() and _ANY_DENSE.search(text):
-        text = _ANY_DENSE.sub(r"\g<0> ", text)
-    words = text.encode("utf-8", "replace").split()
-    if len(_HASHES) > _CACHE_WORDS:
-        _HASHES.clear()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint32, len(words))
+    """The 32-bit hashes of a text's words: polynomials of their bytes, all words at once."""
+    codes, inside, starts = _starts(_spaced(text).encode("utf-8", "replace"))
+    if not len(starts):
+        return np.empty(0, np.uint32)
+    sizes = np.add.reduceat(inside, starts, dtype=np.int64)
+    ends = np.cumsum(sizes)
+    place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+    with np.errstate(over="ignore"):
+        h = np.add.reduceat(_OF_BYTE[codes[inside]] * _powers(int(sizes.max()))[place], ends - sizes)
+        h = (h ^ h >> np.uint64(31)) * _MIX
+    return (h >> np.uint64(32)).astype(np.uint32)
 
 
-def word_pieces(text: str) -> list[str]:
-    """The words with the white space behind them; what stands before the first word is left out."""
-    dense = not text.isascii() and _ANY_DENSE.search(text)
-    return (_DENSE_PIECE if dense else _PIECE).findall(text)
+def word_offsets(text: str) -> tuple[bytes, np.ndarray]:
+    """The text's bytes, and where each word begins in them."""
+    data = text.encode("utf-8", "replace")
+    if text.isascii() or not _ANY_DENSE.search(text):
+        return data, _starts(data)[2]
+    pieces = _DENSE_PIECE.findall(text)  # what stands before the first word is left out
+    sizes = np.array([len(p.encode("utf-8", "replace")) for p in pieces], np.int64)
+    return data, len(data) - sizes.sum() + np.cumsum(sizes) - sizes
 
 
 def selected(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,17 +115,17 @@ def selected(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.
     n = len(words) - gram + 1
     if n < 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    place = np.arange(n, dtype=np.int64)
-    keys = words[:n].astype(np.int64) << 31 | (1 << 31) - 1 - place  # ties: the last one is least
-    least, width = keys, 1
+    low = (1 << 31) - 1
+    least, width = words[:n].astype(np.int64) << 31 | low - np.arange(n), 1  # ties: the last one is least
     while width < min(window, n):
         step = min(width, window - width, n - width)
         least, width = np.minimum(least[:-step], least[step:]), width + step
-    at = np.unique((1 << 31) - 1 - (least & (1 << 31) - 1))
+    at = low - (least & low)
+    at = at[np.flatnonzero(np.diff(at, prepend=-1))]  # windows move on, and so do their least starts
     mixed = np.full(len(at), gram, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(gram):
-            mixed = (mixed ^ words[at + j]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ words[at + j]) * _MIX
             mixed ^= mixed >> np.uint64(29)
     return mixed.view(np.int64), at
 
@@ -110,12 +133,13 @@ def selected(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.
 def _fingerprint(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes and first places of the selected grams, and the distances between occurrences of one gram."""
     h, at = selected(words, window, gram)
-    order = np.lexsort((at, h))
+    order = np.argsort(h, kind="stable")
     h, at = h[order], at[order]
-    again = np.flatnonzero(h[1:] == h[:-1]) + 1
-    first = np.ones(len(h), bool)
-    first[again] = False
-    return h[first], at[first].astype(np.int32), np.unique(at[again] - at[again - 1]).astype(np.int32)
+    same = h[1:] == h[:-1]
+    if not same.any():
+        return h, at.astype(np.int32), np.empty(0, np.int32)
+    first = np.concatenate(([True], ~same))
+    return h[first], at[first].astype(np.int32), np.unique((at[1:] - at[:-1])[same]).astype(np.int32)
 
 
 _PRINTS = "d long, v long, hs array<long>, ps array<int>, inner array<int>"
@@ -209,19 +233,20 @@ def repeated_runs(documents: DataFrame, min_words: int = 20, gram: int = 12, id_
 
 def without_runs(text: str, runs: np.ndarray) -> tuple[str, int]:
     """The text outside the runs of words, and the number of lines that lost words."""
-    pieces = word_pieces(text)
-    kept, at, lost, line, seen = [text[: len(text) - sum(map(len, pieces))]], 0, -1, 0, 0
+    data, starts = word_offsets(text)
+    place = np.append(starts, len(data))
+    kept, at, line, lost, seen = [], 0, 0, -1, 0
     for a, b in merged(runs).tolist():
-        kept += pieces[at:a]
-        line += sum(1 for p in pieces[at:a] if _ENDS.search(p))
-        seen += line != lost
-        for p in pieces[a : b - 1]:
-            if _ENDS.search(p):
-                line, seen = line + 1, seen + 1
+        first, last, end = int(place[a]), int(place[b - 1]), int(place[b])
+        kept.append(data[at:first])
+        line += len(_ENDS.findall(kept[-1]))
+        more = len(_ENDS.findall(data, first, last))
+        seen += more + (line != lost)
+        line += more
         lost = line
-        line += bool(_ENDS.search(pieces[b - 1]))
-        at = b
-    return "".join(kept + pieces[at:]), seen
+        line += len(_ENDS.findall(data, last, end))
+        at = end
+    return b"".join([*kept, data[at:]]).decode("utf-8", "replace"), seen
 
 
 def dedup_lines(documents: DataFrame, min_words: int = 20, gram: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
