@@ -122,11 +122,12 @@ def mark(documents: DataFrame, benchmark: DataFrame, n: int = 10, max_broadcast:
     # written, so that the last join has no aggregation under it and Spark can split a text that many rows have
     result = save(scan.select("k1", "k2", "n_words").join(found.select("k1", "k2", "items", merged.alias("spans")), ["k1", "k2"], "left"), "hits")
 
-    out = documents.select(*keep, F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(7), text).alias("_k2"))
+    # input columns ride in a struct, so that none can clash with those used here
+    out = documents.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(7), text).alias("_k2"))
     out = out.join(result, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")))
     spans = F.coalesce("spans", F.array().cast("array<struct<from:int,to:int>>"))
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select(*keep, F.col("n_words").cast("long").alias("n_words"),
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], F.col("n_words").cast("long").alias("n_words"),
                       F.aggregate(spans, F.lit(0).cast("long"), lambda a, x: a + x["to"] - x["from"]).alias("n_hit"),
                       F.size(items).cast("long").alias("n_items"), items.alias("items"), spans.alias("spans"),
                       (F.size(spans) > 0).alias("contaminated"))

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import deque
+from collections import Counter, deque
 
 import numpy as np
 import pandas as pd
@@ -37,11 +37,12 @@ from pyspark.sql import functions as F
 from starwash.llm.common import small_batches
 from starwash.llm.linear import DenseRows, descend, sigmoid
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# as HTML reads tags: quotes count only after "=", an unquoted value ends at white space or ">"
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s>]*)"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*{_VALUE})?)*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>][^\s>]*\Z""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_HIDDEN = re.compile(r"hidden|none", re.I)
 _HIDING = re.compile(r"(?<![\w-])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 #: class tokens that begin so tell of a part elsewhere in the page
 _TELLS = re.compile(r"(?:^|\s)(?:has|with|without|no|layout)[-_]\S*", re.I)
@@ -82,35 +83,30 @@ FEATURES = tuple(PRIOR)
 _TAG_FEATURES = frozenset(("article", "content", "hidden", *BAD))
 
 
-def hides(attributes: str) -> bool:
+def hides(attributes: list[tuple[str, str]]) -> bool:
     """The attribute, a class of that name, or a style that hides the element; not overflow-hidden."""
-    if not _HIDDEN.search(attributes):
-        return False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
-        if (name == "hidden" or (name == "class" and "hidden" in value.split()) or (name == "style" and _HIDING.search(value))
-                or (name == "aria-hidden" and value.strip() == "true")):
-            return True
-    return False
+    return any(name == "hidden" or (name == "class" and "hidden" in value.lower().split()) or (name == "style" and bool(_HIDING.search(value)))
+               or (name == "aria-hidden" and value.strip().lower() == "true") for name, value in attributes)
 
 
 def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
     """(text, features, parent) of every text block, in page order."""
     out: list = []
-    # open elements: (tag, zones, node, skipped)
-    stack = [("", frozenset(), 0, False)]
+    # open elements: (tag, zone, node, skipped); a zone is the number of the nearest element with zones or hints
+    stack = [("", 0, 0, False)]
+    opened: Counter = Counter()
     text: list[str] = []
-    linked = size = nodes = links = 0
-    held: dict[int, int] = {}  # characters in elements with hints; a hint is (hint, node) until all is read
+    linked = size = nodes = links = total = 0
+    # of each zone: the one around it, the zones so far, its own hints, and the characters of blocks in it
+    around, zones, hints, held = [0], [frozenset()], [()], [0]
 
     def flush():
-        nonlocal text, linked, size
+        nonlocal text, linked, size, total
         if text:
             whole = " ".join(entities.unescape("".join(text)).split())
             if whole:
-                out.append((whole, describe(whole, linked / max(size, 1)), parent()))
-                for node in {z[1] for z in stack[-1][1] if isinstance(z, tuple)}:
-                    held[node] = held.get(node, 0) + len(whole)
+                out.append((whole, describe(whole, linked / max(size, 1)), parent(), stack[-1][1]))
+                total += len(whole)
         text, linked, size = [], 0, 0
 
     def parent():
@@ -121,7 +117,7 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
 
     def describe(whole, share):
         tags = {t for t, *_ in stack[-4:]}
-        found = set(stack[-1][1])
+        found = set()
         words = whole.count(" ") + 1
         if tags & {"h1", "h2", "h3", "h4", "h5", "h6"}:
             found.add("heading")
@@ -145,7 +141,12 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
 
     def close_to(k):
         nonlocal links
-        links -= sum(t == "a" for t, *_ in stack[k:])
+        for j in range(len(stack) - 1, k - 1, -1):
+            tag, zone, *_ = stack[j]
+            opened[tag] -= 1
+            links -= tag == "a"
+            if zone != stack[j - 1][1]:  # what has come since it was opened
+                held[zone] += total
         del stack[k:]
 
     at, end = 0, len(page)
@@ -166,7 +167,7 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
         if m.group(1):  # a closing tag
             if tag in BLOCK:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[k][0] == tag:
                     close_to(k)
                     break
@@ -190,36 +191,41 @@ def blocks_of(page: str) -> list[tuple[str, frozenset, int]]:
                     break
                 if stack[k][0] in BLOCK:
                     break
-        attributes = m.group(3)
-        _, zones, _, skipped = stack[-1]
-        added = {ZONES[tag]} if tag in ZONES else set()
-        if tag == "header" and "article" not in zones:
+        _, zone, _, skipped = stack[-1]
+        added, own = {ZONES[tag]} if tag in ZONES else set(), []
+        if tag == "header" and "article" not in zones[zone]:
             added.add("top")
-        if attributes:
-            for value in _NAMES.findall(attributes):
-                named = _TELLS.sub(" ", "".join(value))
-                added.update((_HINT_OF[w], nodes) for w in map(str.lower, _WORD.findall(named)) if w in _HINT_OF)
+        if m.group(3).strip(" /"):
+            attributes = [(name.lower(), "".join(values)) for name, *values in _ATTRIBUTE.findall(m.group(3))]
+            for name, value in attributes:
+                if name in ("class", "id", "role"):
+                    own += (_HINT_OF[w] for w in map(str.lower, _WORD.findall(_TELLS.sub(" ", value))) if w in _HINT_OF)
             if hides(attributes):
                 added.add("hidden")
         if tag in ("html", "body"):  # their classes name the kind of page, not a zone
-            added = set()
+            added, own = set(), []
         nodes += 1
-        if attributes.endswith("/") and tag not in BLOCK:
+        if tag not in RAW and tag not in BLOCK and m.group(3).rstrip().endswith("/") and not _UNQUOTED_END.search(m.group(3)):
             continue
-        stack.append((tag, zones | added if added else zones, nodes, skipped or tag in SKIPPED))
+        if added or own:
+            around.append(zone)
+            zones.append(zones[zone] | added)
+            hints.append(tuple(own))
+            held.append(-total)
+            zone = len(around) - 1
+        stack.append((tag, zone, nodes, skipped or tag in SKIPPED))
+        opened[tag] += 1
         links += tag == "a"
         if tag in RAW:  # up to its end tag, whatever stands there
             close = re.compile(f"</{tag}\\b", re.I).search(page, at)
             at = close.start() if close else end
     flush()
+    close_to(1)
     # an element with most of the page's text is no zone of it, whatever its classes say; a thread of comments can be that long
-    most = 0.5 * sum(len(b[0]) for b in out)
-
-    def settled(found):
-        return frozenset(f[0] if isinstance(f, tuple) else f for f in found
-                         if not isinstance(f, tuple) or f[0] in ("content", "comments") or held[f[1]] <= most)
-
-    return [(whole, settled(found), node) for whole, found, node in out] if held else out
+    most, settled = 0.5 * total, [frozenset()]
+    for k in range(1, len(around)):
+        settled.append(settled[around[k]] | {h for h in hints[k] if h in ("content", "comments") or held[k] <= most})
+    return [(whole, found | zones[zone] | settled[zone], node) for whole, found, node, zone in out]
 
 
 def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:

@@ -67,7 +67,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", prefix_hex
     # the longest rule first; "block" sorts after "allow"
     best = fits.groupBy("_url").agg(F.max(F.struct(F.length("expression").alias("n"), "verdict", "expression")).alias("best"))
     keep = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    out = pages.select(*keep).withColumns({"host": host, "path": path})
-    out = out.join(best.withColumnRenamed("_url", "_matched_url"), F.col(url_col) == F.col("_matched_url"), "left")
-    return out.select(*keep, "host", "path", F.col("best.expression").alias("rule"),
-                      F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    # input columns ride in a struct, so that none can clash with those used here
+    out = pages.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(url_col).alias("_asked"), host.alias("_host"), path.alias("_path"))
+    out = out.join(best, F.col("_asked") == F.col("_url"), "left")
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], F.col("_host").alias("host"), F.col("_path").alias("path"),
+                      F.col("best.expression").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))

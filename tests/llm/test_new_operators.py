@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starwash.llm import line_dedup, mixing, resample, spelling
+from starwash.llm import decontaminate, html_text, line_dedup, mixing, queries, resample, spelling, url_filter
 from starwash.llm.positions import with_position
 
 EDGE = [(1, None, "a"), (2, "", "a"), (3, " \n ", None), (None, "no ident here", None), (4, "letters letters letters", "b"),
@@ -264,3 +265,40 @@ def test_line_dedup_pieces_and_columns(spark):
     rows = [(1, text, 0, "x", 3), (2, text + " end", 1, "y", 4)]
     out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, d int, v string, runs int")).collect()
     assert [(r.text, r.d, r.v, r.runs) for r in sorted(out)] == [(text, 0, "x", 3), ("end", 1, "y", 4)]
+
+
+def test_input_columns_may_have_any_name(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", "b", 2, 3)], "page_id long, url string, best string, n int, _url int")
+    out = url_filter.judge(pages, url_filter.rule_table(spark, queries.URL_RULES)).collect()
+    assert [(r.best, r.n, r["_url"], r.rule, r.verdict) for r in out] == [("b", 2, 3, "org/", "allow")]
+    text = " ".join(f"word{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, text, "k", 5, 6), (2, None, "k", 5, 6)], "doc_id long, text string, k1 string, k2 int, hits int")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    out = sorted(decontaminate.mark(docs, items).collect())
+    assert [(r.k1, r.k2, r.hits, r.n_hit) for r in out] == [("k", 5, 6, 12), ("k", 5, 6, 0)]
+
+
+def test_pipeline_stages_keep_any_columns(spark, sf_small):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, None, "a", 1, 2, 9), (2, "", "b", 1, 2, 9), (3, "Some words of a short text.", "c", 1, 2, 9), (None, "no id", "d", 1, 2, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, k1 int, n_removed int, score int")
+    for name, stage in pipeline.STAGES[:4]:
+        out = stage(spark, docs, sf_small)
+        assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect())), name
+        assert stage(spark, docs.limit(0), sf_small).count() == 0, name
+
+
+def test_html_tags_as_browsers_read_them():
+    rng = random.Random(21)
+    text = [" ".join(prose(40, rng)).capitalize() + "." for _ in range(3)]
+    for odd in ("<p data-x=it's>{}</p>", '<p>{} <img alt="the 5" screen"></p>', '<p title=a"b>{}</p>', "<p class = 'x' hidden-x>{}</p>",
+                "<p>{}<br/></p>", "<p>{}</p><script src=/js/>var x = '<p>code</p>';</script>", "<p>{}</p><style media=a/>p {{}}</style>",
+                "<p>{}</p><span data-a=/b/></span>"):
+        page = "<html><body><article>" + "".join(odd.format(t) for t in text) + "</article></body></html>"
+        assert html_text.extract(page, html_text.PRIOR) == "\n\n".join(text), odd
+    for deep in ('<div class="content main">', '<span id=a>', "<b>"):
+        page = "<html><body>" + deep * 20_000 + f"<p>{text[0]}</p>" + "</i>" * 20_000
+        began = time.time()
+        html_text.blocks_of(page)
+        assert time.time() - began < 3
