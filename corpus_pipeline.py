@@ -1,7 +1,9 @@
 """A corpus pipeline of five stages over ``documents``.
 
-Each stage takes (spark, docs, sf_dir) and works on all that the stage before
-it kept. ``run`` chains them, writing each stage's rows as Parquet.
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
+kept. All but the last return the columns that they were given, whatever these are
+besides doc_id and text; an empty table gives an empty one. ``run`` chains them,
+writing each stage's rows as Parquet.
 """
 
 from __future__ import annotations
@@ -16,33 +18,48 @@ from starwash.llm.queries import tokenizer_file
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """id and text, and all other columns in a struct that no operator looks into."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *others).alias("row"))
+
+
+def _back(rows: DataFrame, columns: list[str], **changed) -> DataFrame:
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text"), **changed}
+    return rows.select(*[own[c] if c in own else F.col("row").getField(c).alias(c) for c in columns])
+
+
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject; null and empty texts have the score of the bias alone."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.training_rows())
-    return toxicity.score(docs.select(*DOCUMENT_COLUMNS), model).filter("predicted = 0").select(*DOCUMENT_COLUMNS)
+    return _back(toxicity.score(_rows(docs), model).filter("predicted = 0"), docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that repeat earlier runs; documents of which nothing is left go."""
-    cleaned = line_dedup.dedup_lines(docs.select(*DOCUMENT_COLUMNS))
+    """Texts without runs of words that stand earlier, ``n_chars`` counted anew where a text has changed;
+    documents of which nothing is left go, null and empty texts stay as they are."""
     changed = F.col("n_removed") > 0
-    return cleaned.filter(~changed | (F.trim("text") != "")).select(
-        "doc_id", "text", "lang", "source", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
+    kept = line_dedup.dedup_lines(_rows(docs)).filter(~changed | (F.trim("text") != ""))
+    n_chars = None
+    if "n_chars" in docs.columns:
+        n_chars = F.when(changed, F.length("text")).otherwise(F.col("row").getField("n_chars")).cast("long")
+    return _back(kept, docs.columns, **({"n_chars": n_chars.alias("n_chars")} if n_chars is not None else {}))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id."""
-    dropped = near_dedup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.select(*DOCUMENT_COLUMNS).join(dropped, "doc_id", "left_anti")
+    """One document of each group of near-duplicates: the one with the least id. Texts without words, and rows
+    without an id, are in no group and stay."""
+    dropped = near_dedup.near_duplicates(docs.select("doc_id", "text")).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
-    return decontaminate.decontaminate(docs.select(*DOCUMENT_COLUMNS), table(spark, sf_dir, "benchmark"))
+    """Documents in which no window of a benchmark item occurs; texts without words stay."""
+    return _back(decontaminate.decontaminate(_rows(docs), table(spark, sf_dir, "benchmark")), docs.columns)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, packed into sequences."""
+    """Pieces of all documents, packed into sequences; a null or empty text is its end token alone."""
     return packing.pack_documents(docs, tokenizer_file(), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 

@@ -24,6 +24,14 @@ def blank(x) -> Column:
     return x.isNull() | (F.trim(x) == "")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once a row, however often ``use`` has it.
+
+    An expression that is used in several places is otherwise written out in each, and
+    in the branches of a CASE Spark evaluates it each time."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def first_match(value: Column, rules: Sequence[tuple[str, str]], default: str) -> Column:
     """Ordered regex classifier: the label of the first matching rule."""
     out = None
@@ -43,12 +51,15 @@ def parse_mixed_date(x, shapes=R.DATE_SHAPES) -> Column:
         R.DATE_SEPARATOR_PATTERN,
         "/",
     )
-    out = None
-    for shape, fmt in shapes:
-        parsed = F.try_to_date(cleaned, fmt)
-        cond = cleaned.rlike(shape)
-        out = F.when(cond, parsed) if out is None else out.when(cond, parsed)
-    return out.otherwise(F.lit(None).cast("date"))
+
+    def by_shape(text):
+        out = None
+        for shape, fmt in shapes:
+            parsed, cond = F.try_to_date(text, fmt), text.rlike(shape)
+            out = F.when(cond, parsed) if out is None else out.when(cond, parsed)
+        return out.otherwise(F.lit(None).cast("date"))
+
+    return let(cleaned, by_shape)
 
 
 def legacy_int(x) -> Column:

@@ -110,11 +110,12 @@ def q_latest_per_key(spark, sf):
 
 
 def q_duplicates_removed(spark, sf):
-    return S.dedupe(_landed(dirty(spark, sf)), AT)[2]
+    return S.dedupe(dirty(spark, sf), OPTS)[2]
 
 
-def q_duplicates_removed_by_windows(spark, sf):
-    return S.dedupe(dirty(spark, sf), OPTS)[2]
+def q_duplicates_removed_at(spark, sf):
+    """The same by row addresses."""
+    return S.dedupe(_landed(dirty(spark, sf)), AT)[2]
 
 
 HOT_KEY = "HOT"
@@ -133,6 +134,10 @@ def q_hot_key_latest(spark, sf):
 
 
 def q_hot_key_duplicates(spark, sf):
+    return S.dedupe(_hot_dirty(spark, sf), OPTS)[2]
+
+
+def q_hot_key_duplicates_at(spark, sf):
     return S.dedupe(_landed(_hot_dirty(spark, sf)), AT)[2]
 
 

@@ -412,5 +412,6 @@ ORACLES: dict[str, str] = {
     "run_metrics": with_chain(_metric_rows(PIPELINE_METRICS)),
 }
 # the same rows by another plan
-ORACLES["duplicates_removed_by_windows"] = ORACLES["duplicates_removed"]
+ORACLES["duplicates_removed_at"] = ORACLES["duplicates_removed"]
+ORACLES["hot_key_duplicates_at"] = ORACLES["hot_key_duplicates"]
 ORACLES["first_line_per_part_at"] = ORACLES["first_line_per_part"]
