@@ -29,7 +29,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, MapType, StringType
+from pyspark.sql.types import DateType, FractionalType, IntegralType, MapType
 
 from ..session import work_path
 
@@ -124,11 +124,15 @@ def _ascending(df: DataFrame, by: Sequence[By]) -> Column:
             fields.append(b.value)
             continue
         fields.append(b.value.isNull())
-        if isinstance(kind.dataType, StringType):  # digits of the bytes turned round; a longer text comes before its beginning
-            turned = F.translate(F.hex(F.encode(b.value, "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210")
+        if isinstance(kind.dataType, IntegralType):
+            fields.append(F.bitwise_not(b.value))  # -x - 1, which the least integer has as well
+        elif isinstance(kind.dataType, FractionalType):
+            fields += [~F.isnan(b.value.cast("double")), -b.value]  # NaN is the greatest
+        elif isinstance(kind.dataType, DateType):
+            fields.append(-F.unix_date(b.value))
+        else:  # texts, and times as text: the digits of the bytes turned round; a longer text comes before its beginning
+            turned = F.translate(F.hex(F.encode(b.value.cast("string"), "UTF-8")), "0123456789ABCDEF", "FEDCBA9876543210")
             fields.append(F.concat(turned, F.lit("~")))
-        else:
-            fields.append(-(F.unix_date(b.value) if isinstance(kind.dataType, DateType) else b.value))
     return F.struct(*[f.alias(f"o{i}") for i, f in enumerate(fields)])
 
 

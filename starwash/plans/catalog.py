@@ -430,25 +430,33 @@ def q_append_dim_vehicle(spark, sf):
     return read_published(spark, _append_halves(spark, sf), "gold_dim_vehicle")
 
 
+def _append(df: DataFrame, fmt: str, folder: str) -> None:
+    """More files of a format in a folder that may have others."""
+    w = df.write.mode("append")
+    if fmt == "csv":
+        w.options(**sinks.CSV_WRITE_OPTIONS).option("nullValue", NULL_MARK).csv(folder)
+    else:
+        w.format(fmt).save(folder)
+
+
 def q_dir_ingest(spark, sf):
     folder = work_path(spark, "inbox")
     d = dirty(spark, sf)
-    # two files in one folder: some rows as parquet, the rest as csv
+    # some rows as parquet, the rest as csv, in one folder
     is_parquet = F.col("slno").isin("1", "2", "3")
-    _write_one(d.filter(is_parquet), "parquet", f"{folder}/_p", folder, "part-a.parquet")
-    _write_one(d.filter(~is_parquet), "csv", f"{folder}/_c", folder, "part-b.CSV")
+    _append(d.filter(is_parquet), "parquet", folder)
+    _append(d.filter(~is_parquet), "csv", folder)
     return readers.ingest_dir(spark, folder, DIRTY_SCHEMA, null_value=NULL_MARK)
 
 
 def q_ingest_status(spark, sf):
     folder = work_path(spark, "inbox-status")
-    _write_one(table(spark, sf, "nation"), "parquet", f"{folder}/_n", folder, "nation.parquet")
-    _write_one(table(spark, sf, "region"), "csv", f"{folder}/_r", folder, "region.csv")
-    # an unreadable file with a parquet extension
-    _write_one(table(spark, sf, "region").select(F.col("r_name").alias("value")), "text",
-               f"{folder}/_x", folder, "broken.parquet")
+    _append(table(spark, sf, "nation"), "parquet", folder)
+    _append(table(spark, sf, "region"), "csv", folder)
     # a readable file without rows
-    _write_one(table(spark, sf, "region").limit(0), "parquet", f"{folder}/_e", folder, "empty.parquet")
+    _append(table(spark, sf, "region").limit(0), "parquet", folder)
+    # an unreadable file with a parquet extension
+    _put(spark, f"{folder}/broken.parquet", "\n".join(r[0] for r in table(spark, sf, "region").select("r_name").limit(5).collect()))
     st = readers.ingest_status(spark, folder, table(spark, sf, "region").schema)
     fmt = F.lower(F.regexp_extract("file_name", r"\.([^.]+)$", 1)).alias("file_format")
     return st.groupBy(fmt, "status", F.col("error").isNotNull().alias("has_error")).agg(F.sum("rows").cast("long").alias("rows"))
@@ -481,30 +489,6 @@ def _put(spark, path: str, text: str) -> None:
     out.close()
 
 
-def _write_one(df: DataFrame, fmt: str, tmp: str, folder: str, name: str) -> None:
-    """Write ``df`` in parallel and move its part files into ``folder``.
-
-    The first part file is named ``name``; further ones ``<stem>-<i><ext>``.
-    No single-task funnel: a large frame lands as many files.
-    """
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w.options(**sinks.CSV_WRITE_OPTIONS).option("nullValue", NULL_MARK).csv(tmp)
-    else:
-        w.format(fmt).save(tmp)
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    src_dir = path(tmp)
-    fs = src_dir.getFileSystem(conf)
-    stem, dot, ext = name.rpartition(".")
-    parts = sorted(st.getPath().getName() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-"))
-    for i, part in enumerate(parts):
-        target = name if i == 0 else f"{stem}-{i}{dot}{ext}"
-        fs.rename(path(f"{tmp}/{part}"), path(f"{folder}/{target}"))
-    fs.delete(src_dir, True)
-
-
 def q_compressed_csv_roundtrip(spark, sf):
     """The generic sink: gzip CSV into a given number of files, read back by name and type."""
     path = work_path(spark, "orders-csv-gz")

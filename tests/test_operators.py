@@ -248,3 +248,24 @@ def test_names_of_one_model_line_are_not_all_compared(spark, t):
     assert pairs.count() <= 20 * len(got)
     compared = text_pairs(left, right, ["k"], t, verified=False).distinct().count()
     assert t == 4 or compared < len(names) ** 2 / 10  # eight letters of their own give four rare segments, not five
+
+
+def test_row_addresses_equal_windows_for_all_kinds_of_order(spark, tmp_path):
+    """First rows by addresses and by windows, for descending texts, numbers and times with nulls, copies and ties."""
+    from starwash.operators.dedupe import By, mark_first, mark_first_at
+
+    rnd = random.Random(6)
+    pick = lambda *v: rnd.choice([None, *v])
+    rows = [(pick("a", "b", "HOT"), pick("x", "xy", "", "é", "x~"), pick(1, -5, -2**63), pick(0.5, float("nan"), -1.0),
+             pick(dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1, 0, 0, 0, 5)), pick(dt.date(1960, 1, 1), dt.date(2020, 1, 1)), pick("u", "v"))
+            for _ in range(400)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows * 2, "k string, s string, n long, f double, t timestamp_ntz, d date, x string").repartition(7).write.parquet(path)
+    scan = spark.read.parquet(path)
+    for columns in (["s", "x"], ["n"], ["f", "s"], ["t", "n"], ["d"]):
+        for desc in (True, False):
+            by = [By(F.col(c), desc) for c in columns]
+            marked = lambda df: sorted(map(str, df.select(*scan.columns, "_first").collect()))
+            want = marked(mark_first(scan, "k", [b.order for b in by], apart=F.col("x") == "v"))
+            assert marked(mark_first_at(scan, "k", by, apart=F.col("x") == "v")) == want, (columns, desc)
+    assert marked(mark_first_at(scan, "k", by, broadcast_bytes=5000)) == marked(mark_first(scan, "k", [b.order for b in by]))

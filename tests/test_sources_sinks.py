@@ -56,10 +56,10 @@ def test_ingest_dir_by_extension(spark):
     folder = work_path(spark, "t-inbox")
     rows = [tuple(f"{c}{i}" for c in SOURCE_HEADER_NAMES) for i in range(5)]
     df = spark.createDataFrame(rows, RAW_SCHEMA)
-    from starwash.plans.catalog import _write_one
-    _write_one(df.limit(2).coalesce(1), "parquet", f"{folder}/_a", folder, "a.PARQUET")
-    _write_one(df.filter(F.col("slno") >= "slno2").coalesce(1), "csv", f"{folder}/_b", folder, "b.Csv")
-    _write_one(df.limit(1).coalesce(1), "json", f"{folder}/_c", folder, "c.json")
+    from named_files import write_named
+    write_named(df.limit(2).coalesce(1), "parquet", f"{folder}/_a", folder, "a.PARQUET")
+    write_named(df.filter(F.col("slno") >= "slno2").coalesce(1), "csv", f"{folder}/_b", folder, "b.Csv")
+    write_named(df.limit(1).coalesce(1), "json", f"{folder}/_c", folder, "c.json")
     got = readers.ingest_dir(spark, folder, lineage=True, null_value="\\N")
     assert got.count() == 5
     assert {r._source_file for r in got.collect()} == {"a.PARQUET", "b.Csv"}

@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from starwash.plans import dirty
-from starwash.plans.catalog import _write_one
 from starwash.operators.stage import CleanOptions
 from starwash.schema import CANONICAL_RAW_SCHEMA
 from starwash.session import work_path
 from starwash.streaming import inbox_status, start_inbox
 
+from named_files import write_named
+
 
 def test_inbox_runs_each_file(spark, sf_small):
     inbox = work_path(spark, "t-inbox-stream")
@@ -16,8 +17,8 @@ def test_inbox_runs_each_file(spark, sf_small):
     d = dirty(spark, sf_small).withColumns(
         {"second_vehicle": F.lit(None).cast("string"), "category": F.lit(None).cast("string")}
     ).select(*CANONICAL_RAW_SCHEMA.fieldNames())  # CSV columns are read by position
-    _write_one(d.filter(F.col("slno") == "1").coalesce(1), "csv", f"{inbox}/_a", inbox, "a.csv")
-    _write_one(d.filter(F.col("slno") == "2").coalesce(1), "csv", f"{inbox}/_b", inbox, "b.csv")
+    write_named(d.filter(F.col("slno") == "1").coalesce(1), "csv", f"{inbox}/_a", inbox, "a.csv")
+    write_named(d.filter(F.col("slno") == "2").coalesce(1), "csv", f"{inbox}/_b", inbox, "b.csv")
     q = start_inbox(spark, inbox, out, fmt="csv", schema=CANONICAL_RAW_SCHEMA,
                     options=CleanOptions(tie_break=("slno",)), conform_input=False,
                     read_options={"nullValue": "\\N"})
@@ -40,8 +41,8 @@ def test_inbox_isolates_a_bad_file(spark, sf_small):
     ).select(*CANONICAL_RAW_SCHEMA.fieldNames()).filter(F.col("slno") == "3").coalesce(1)
     # header does not match the declared schema: the run for this file fails
     bad = spark.createDataFrame([("x", "y")], "wrong string, header string").coalesce(1)
-    _write_one(bad, "csv", f"{inbox}/_a", inbox, "a_bad.csv")
-    _write_one(good, "csv", f"{inbox}/_b", inbox, "b_good.csv")
+    write_named(bad, "csv", f"{inbox}/_a", inbox, "a_bad.csv")
+    write_named(good, "csv", f"{inbox}/_b", inbox, "b_good.csv")
     q = start_inbox(spark, inbox, out, fmt="csv", schema=CANONICAL_RAW_SCHEMA,
                     options=CleanOptions(tie_break=("slno",)), conform_input=False,
                     read_options={"nullValue": "\\N"})
