@@ -52,3 +52,26 @@ def sample_by_id(df: DataFrame, id_col: str, rows: int, seed: int, total: int) -
     share = 1.0 if total <= rows else 0.95 * rows / total
     pick = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
     return df.filter(pick).limit(rows)
+
+
+def rows_with_ids(rows: DataFrame, ids: DataFrame, id_col: str, max_bits: int = 1 << 29) -> DataFrame:
+    """``rows`` whose ``id_col`` (long) is in ``ids`` (one column of that name).
+
+    A bitmap of 16 bits an id, at places given by hashes, is broadcast and drops most
+    other rows (all but 6 %) where they are read; the rest meet the ids in a join. So
+    what is shuffled is about the wanted rows, not the table. Beyond ``max_bits``
+    (64 MB; 30 million ids) the join alone decides: the result is the same."""
+    ids = ids.select(F.col(id_col).alias("_id")).distinct()
+    bits = 1 << 15
+    n = ids.count()
+    while bits < 16 * n:
+        bits *= 2
+    if bits <= max_bits:
+        place = lambda x: F.pmod(F.xxhash64(x, F.lit(5)), F.lit(bits))
+        maps = ids.select(place("_id").alias("p")).select((F.col("p") / F.lit(1 << 15)).cast("int").alias("_bucket"), (F.col("p") % (1 << 15)).alias("p"))
+        maps = maps.groupBy("_bucket").agg(F.bitmap_construct_agg("p").alias("_bits"))
+        at = place(id_col) % (1 << 15)
+        byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        near = rows.join(F.broadcast(maps), (place(id_col) / F.lit(1 << 15)).cast("int") == F.col("_bucket"))
+        rows = near.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+    return rows.join(ids.withColumnRenamed("_id", id_col), id_col, "left_semi")

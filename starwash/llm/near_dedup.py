@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starwash.llm.common import save, small_batches
+from starwash.llm.common import rows_with_ids, save, small_batches
 from starwash.llm.components import components
 
 REGISTERS, BAND = 128, 4
@@ -168,7 +168,7 @@ def confirm(pairs: DataFrame, documents: DataFrame, percent: int, shingle: int,
             yield pd.DataFrame({"i": frame["i"], "s": values})
 
     texts = documents.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    full = save(texts.join(ids, "i", "left_semi").mapInPandas(sets, "i long, s binary"), "sets")
+    full = save(rows_with_ids(texts, ids, "i").mapInPandas(sets, "i long, s binary"), "sets")
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -187,7 +187,7 @@ def confirm(pairs: DataFrame, documents: DataFrame, percent: int, shingle: int,
 
 def shareable(nodes: DataFrame, documents: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(node, u, least) for the given (node, c): how many shingles of each node a node of another
-    component has, too, and the node's ``LEAST`` least shingle hashes (all, if it has no more)."""
+    component has, too, and the first 31 bits of the node's ``LEAST`` least shingle hashes (of all, if it has no more)."""
     small_batches(documents.sparkSession, 128)
 
     def run(batches):
@@ -196,22 +196,24 @@ def shareable(nodes: DataFrame, documents: DataFrame, shingle: int, id_col: str,
             yield pd.DataFrame({"node": frame["i"], "c": frame["c"], "s": hashes})
 
     texts = documents.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"))
-    sets = save(texts.join(nodes.select(F.col("node").alias("i"), "c"), "i").mapInPandas(run, "node long, c long, s array<long>"), "mixed-sets")
+    here = nodes.select(F.col("node").alias("i"), "c")
+    sets = save(rows_with_ids(texts, here.select("i"), "i").join(here, "i").mapInPandas(run, "node long, c long, s array<long>"), "mixed-sets")
     each = sets.select("node", "c", F.explode("s").alias("s"))
     # counted where they are read, so a shingle of many nodes costs one row a task
     across = each.groupBy("s").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 != c2").select("s")
     shared = each.join(across, "s").groupBy("node").agg(F.count_distinct("s").alias("u"))
-    least = sets.select("node", F.slice("s", 1, LEAST).alias("least")).distinct()
+    least = sets.select("node", F.transform(F.slice("s", 1, LEAST), lambda h: F.shiftright(h, 32).cast("int")).alias("least")).distinct()
     return least.join(shared, "node")
 
 
 def _overlap_fits(a: str, b: str, percent: int):
-    """Sets of at most ``LEAST`` shingles: the exact test. Larger ones: the share of common hashes among
-    those up to the lower end of both lists is not 6 standard deviations below the threshold."""
+    """Sets of at most ``LEAST`` shingles: the exact test, but for two shingles that a set may have lost where
+    31 bits agree. Larger ones: the share of common hashes among those up to the lower end of both lists is not
+    6 standard deviations below the threshold."""
     x, y, n1, n2 = F.col(f"{a}least"), F.col(f"{b}least"), F.col(f"{a}n"), F.col(f"{b}n")
     whole = (n1 <= LEAST) & (n2 <= LEAST)
-    exact = (100 + percent) * F.size(F.array_intersect(x, y)) >= percent * (n1 + n2)
-    end = F.least(*[F.when(n > LEAST, F.element_at(v, -1)).otherwise(F.lit((1 << 63) - 1)) for v, n in ((x, n1), (y, n2))])
+    exact = (100 + percent) * (F.size(F.array_intersect(x, y)) + 2) >= percent * (n1 + n2)
+    end = F.least(*[F.when(n > LEAST, F.element_at(v, -1)).otherwise(F.lit((1 << 31) - 1)) for v, n in ((x, n1), (y, n2))])
     low = [F.filter(v, lambda h: h <= end) for v in (x, y)]
     both = F.size(F.array_intersect(*low))
     slack = 6 * (percent * (100 - percent) / 10_000 / LEAST) ** 0.5

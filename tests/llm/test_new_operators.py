@@ -13,7 +13,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starwash.llm import decontaminate, html_text, line_dedup, mixing, queries, resample, spelling, url_filter
+from starwash.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, queries, resample, spelling, url_filter
+from starwash.llm.common import rows_with_ids
 from starwash.llm.positions import with_position
 
 EDGE = [(1, None, "a"), (2, "", "a"), (3, " \n ", None), (None, "no ident here", None), (4, "letters letters letters", "b"),
@@ -302,3 +303,39 @@ def test_html_tags_as_browsers_read_them():
         began = time.time()
         html_text.blocks_of(page)
         assert time.time() - began < 3
+
+
+def test_rows_with_ids_is_a_semi_join(spark):
+    rows = spark.range(20_000).select("id", (F.col("id") * 3).alias("x")).union(spark.sql("select null, 1L"))
+    ids = spark.range(0, 40_000, 7).unionByName(spark.range(0, 100))
+    for bits in (1 << 29, 1):
+        got = rows_with_ids(rows, ids, "id", bits)
+        assert got.columns == ["id", "x"] and sorted(r.id for r in got.collect()) == sorted({*range(0, 20_000, 7), *range(100)})
+    assert rows_with_ids(rows, ids.limit(0), "id").count() == 0
+
+
+def test_copies_edited_to_just_below_the_threshold(spark):
+    """Every copy is near the threshold to all others, so sketches rule out none: components equal all pairs."""
+    rng = random.Random(30)
+    base = prose(150, rng)
+    docs = []
+    for k in range(120):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(0, 7)):
+            words[at] = f"edit{k}x{at}"
+        docs.append((k, " ".join(words)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(146)} for _, t in docs]
+    root = list(range(120))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in itertools.combinations(range(120), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 75 * (292 - both):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    out = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {k: find(k) for k in range(120)}
