@@ -206,6 +206,12 @@ def shareable(nodes: DataFrame, documents: DataFrame, shingle: int, id_col: str,
     return least.join(shared, "node")
 
 
+def _first_meeting(a: str, b: str):
+    """Two nodes may share many buckets, all of them mixed if one is: the pair is looked at in the first."""
+    before = [F.slice(f"{x}bands", F.lit(1), F.col("k")) for x in (a, b)]
+    return ~F.exists(F.zip_with(*before, lambda x, y: x == y), lambda same: same)
+
+
 def _overlap_fits(a: str, b: str, percent: int):
     """Sets of at most ``LEAST`` shingles: the exact test, but for two shingles that a set may have lost where
     31 bits agree. Larger ones: the share of common hashes among those up to the lower end of both lists is not
@@ -231,7 +237,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, shingle: int = 5, s
     nodes = save(members.filter("doc_id = node").select("node", F.col("n_shingles").alias("n"), "bands").distinct(), "nodes")
 
     band = nodes.select("node", F.posexplode("bands").alias("k", "key"))
-    band = band.select("node", F.xxhash64("k", "key").alias("key"))
+    band = band.select("node", "k", F.xxhash64("k", "key").alias("key"))
     shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     buckets = save(band.join(shared, "key"), "buckets")
     central = buckets.groupBy("node").agg(F.sum("size").alias("met"))
@@ -250,7 +256,7 @@ def near_duplicates(documents: DataFrame, percent: int = 75, shingle: int = 5, s
 
     # what hubs left apart: buckets that still hold several components
     of = F.coalesce("component", "node")
-    apart = buckets.join(found, "node", "left").select("key", "node", "size", of.alias("c"))
+    apart = buckets.join(found, "node", "left").select("key", "k", "node", "size", of.alias("c"))
     mixed = apart.groupBy("key").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 != c2").select("key")
     apart = save(apart.join(mixed, "key"), "mixed")
     here = apart.select("node", "c").distinct()
@@ -260,13 +266,13 @@ def near_duplicates(documents: DataFrame, percent: int = 75, shingle: int = 5, s
     split = F.when(F.col("size") > 64 * tiles, tiles).otherwise(1)
     tile = F.pmod(F.xxhash64("node"), split).cast("int")
     every = F.sequence(F.lit(0), (split - 1).cast("int"))
-    left = apart.select("key", F.col("c").alias("ac"), F.col("node").alias("a"), F.col("n").alias("an"), F.col("u").alias("au"), F.col("bands").alias("abands"), F.col("least").alias("aleast"),
+    left = apart.select("key", "k", F.col("c").alias("ac"), F.col("node").alias("a"), F.col("n").alias("an"), F.col("u").alias("au"), F.col("bands").alias("abands"), F.col("least").alias("aleast"),
                         tile.alias("i"), F.explode(every).alias("j"))
     right = apart.select("key", F.col("c").alias("bc"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("u").alias("bu"), F.col("bands").alias("bbands"), F.col("least").alias("bleast"),
                          F.explode(every).alias("i"), tile.alias("j"))
     rest = (left.join(right, (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
                       & (left["ac"] < right["bc"]) & ((100 + percent) * F.least("au", "bu") >= percent * (F.col("an") + F.col("bn")))
-                      & _alike("a", "b", percent, slack) & _overlap_fits("a", "b", percent))
+                      & _first_meeting("a", "b") & _alike("a", "b", percent, slack) & _overlap_fits("a", "b", percent))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     rest = save(rest.join(first, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
