@@ -20,6 +20,10 @@ names of a model line share most of their letters:
    that join, so it emits pairs within the distance only. Rows follow afterwards.
 
 A signature that stays frequent is split by the skew handling of its join.
+
+Joins with the dimension and of rows that an explode made are merge joins by hint: Spark
+estimates them by the bytes of their files, before any explode, and would broadcast
+them through the driver.
 """
 
 from __future__ import annotations
@@ -64,7 +68,7 @@ def index_signatures(texts: DataFrame, keys: Sequence[str], text: str, t: int) -
     x = x.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     start, size = _segments(F.col("_len"), F.col("_n"), F.col("_i"))
     x = x.select(*keys, text, "_n", "_i", _signature(keys, F.col(text).substr(start + 1, size)).alias("_sig"))
-    x = x.join(x.groupBy("_sig").agg(F.count(F.lit(1)).alias("_f")), "_sig")
+    x = x.hint("merge").join(x.groupBy("_sig").agg(F.count(F.lit(1)).alias("_f")).hint("merge"), "_sig")
     x = x.groupBy(*keys, text).agg(F.collect_list(F.struct("_n", "_f", "_i", "_sig")).alias("_all"))
 
     def rarest(n):
@@ -110,7 +114,7 @@ def text_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], t: int, v
     same = [F.col("p._sig") == F.col("i._sig"), *[F.col(f"p.{k}") == F.col(f"i.{k}") for k in keys]]
     if verified:
         same.append(F.levenshtein(F.col("_a"), F.col("_b"), t) >= 0)
-    return probes.join(index, same, "inner").select(*[F.col(f"p.{k}").alias(k) for k in keys], "_a", "_b")
+    return probes.hint("merge").join(index.hint("merge"), same, "inner").select(*[F.col(f"p.{k}").alias(k) for k in keys], "_a", "_b")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, *, left_text: str, right_text: str,
@@ -130,7 +134,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, *, left_text: str, right_te
     rrows = _distinct_texts(right, right_text, [b for _, b in keys], rblock, "_b", names)
     pairs = text_pairs(lrows, rrows, names, t).distinct()
     pairs = pairs.withColumn(dist_col, F.levenshtein(F.col("_a"), F.col("_b"), t))
-    return lrows.join(pairs, [*names, "_a"]).join(rrows, [*names, "_b"]).select(*left.columns, *right.columns, dist_col)
+    pairs = lrows.hint("merge").join(pairs.hint("merge"), [*names, "_a"]).hint("merge")
+    return pairs.join(rrows.hint("merge"), [*names, "_b"]).select(*left.columns, *right.columns, dist_col)
 
 
 def best_match(pairs: DataFrame, left_id: Sequence[str], right_id: str, dist_col: str = "LEV_DIST") -> DataFrame:
@@ -160,8 +165,9 @@ def resolve_vehicles(staged: DataFrame, dim_vehicle: DataFrame, threshold: int =
     vehicles = staged.select(*VEHICLE).distinct().withColumn("_key", natural_key("model_name", "variant", "MAKE_YEAR_KEY"))
     known = dim_vehicle.select(F.col("VEHICLE_ID").alias("VEHICLE_ID_resolved"), F.col("MAKE_YEAR").alias("_year"),
                                X.norm("MODEL_NAME").alias("_model"), X.norm("VARIANT").alias("_variant"))
-    exact = vehicles.join(known.select("VEHICLE_ID_resolved", natural_key("_model", "_variant", "_year").alias("_key")), "_key")
-    unresolved = vehicles.join(exact.select("_key").distinct(), "_key", "left_anti").select(*VEHICLE)
+    keyed = known.select("VEHICLE_ID_resolved", natural_key("_model", "_variant", "_year").alias("_key"))
+    exact = vehicles.hint("merge").join(keyed.hint("merge"), "_key")
+    unresolved = vehicles.hint("merge").join(exact.select("_key").distinct().hint("merge"), "_key", "left_anti").select(*VEHICLE)
 
     probes = unresolved.withColumn("_text", X.fuzzy_key("model_name", "variant"))
     probes = probes.withColumn("_block", F.substring("_text", 1, block_length))
