@@ -11,16 +11,16 @@ a candidate by its format and context (length, digits, groups, separators, glued
 neighbours, key words before it), without the checks above: what they learn is
 which formats in which contexts are personal data, so they also find values that a
 check misses. Labels are the base spans themselves: a candidate is positive if it
-is a base span. The trees are fitted on the candidates of a hash sample of about
-``sample_docs`` documents, combined to distinct feature vectors first (one row
-each, at most ``max_vectors``); thresholds per kind are calibrated on the
-other half of the sample: the least score above which the precision is at least
-``precision``. A kind that never reaches it adds nothing. Added spans do not overlap
+is a base span. Every candidate of every document counts, copies as often as they occur:
+they are combined to distinct feature vectors first (a table, one row each). The trees
+are fitted on the half of the texts that a hash chooses, by sums over that table;
+thresholds per kind are calibrated on the other half: the least score above which the
+precision is at least ``precision``. A kind that never reaches it adds nothing. Added spans do not overlap
 base spans; of overlapping added ones the best score stays.
 
 All work on texts is one narrow pass of built-in functions: patterns mark their
 matches and a split finds the places, so time is linear in the text, and scores
-are CASE expressions. Only the sample is aggregated.
+are CASE expressions. Training is one more such pass.
 
 Defined cases: null and empty texts have no spans; a text with U+FFFF is read with
 that character replaced by another of no meaning (U+FFFE); repeated rows are each
@@ -33,10 +33,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starwash.llm.common import text_or_empty
+from starwash.llm.common import save, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 _MARK, _OTHER = "\uffff", "\ufffe"
@@ -66,6 +66,8 @@ _HINTS = (
     "tel|phone|fon|mobil|call|fax|llam|appel",
 )
 FEATURES = ("kind", "digits", "groups", "longest", "length", "plus", "brackets", "dots", "spaces", "letters", "glued_left", "glued_right", "hint")
+_BINS = 41  # the features' values are 0 to 40
+_SCALE = 1000  # scores are whole thousandths of log-odds
 _SPAN = "array<struct<start:int,kind:int,end:int,text:string>>"
 
 
@@ -174,79 +176,80 @@ class PiiModel:
         return total
 
 
-def _best_split(x, g, h, rows):
-    best = (0.0, 0, -1, 0.0, 0.0)
-    for f in range(x.shape[1]):
-        top = int(x[rows, f].max()) if rows.any() else 0
-        gs, hs = np.bincount(x[rows, f], g[rows], top + 1).cumsum(), np.bincount(x[rows, f], h[rows], top + 1).cumsum()
-        gain = gs**2 / (hs + 1) + (gs[-1] - gs) ** 2 / (hs[-1] - hs + 1) - gs[-1] ** 2 / (hs[-1] + 1)
-        k = int(np.argmax(gain))
-        if gain[k] > best[0] + 1e-9:
-            best = (gain[k], f, k, -gs[k] / (hs[k] + 1), -(gs[-1] - gs[k]) / (hs[-1] - hs[k] + 1))
-    if best[2] < 0:
-        leaf = -g[rows].sum() / (h[rows].sum() + 1)
-        best = (0.0, 0, 0, leaf, leaf)
-    return best
-
-
-def fit_trees(x: np.ndarray, positive: np.ndarray, total: np.ndarray, rounds: int = 30, rate: float = 0.3):
-    """Boosted depth-two trees (logistic loss) on weighted distinct feature vectors."""
-    share = positive.sum() / total.sum()
-    start = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    z, trees = np.full(len(x), start), []
+def _best_split(g: np.ndarray, h: np.ndarray):
+    """(gain, feature, cut, low leaf, high leaf) from the gradients' sums: a row for each feature, a column for each bin."""
+    gs, hs = g.cumsum(axis=1), h.cumsum(axis=1)
+    all_g, all_h = gs[:, -1:], hs[:, -1:]
+    gain = gs**2 / (hs + 1) + (all_g - gs) ** 2 / (all_h - hs + 1) - all_g**2 / (all_h + 1)
+    f, k = divmod(int(np.argmax(gain)), gain.shape[1])
+    if gain[f, k] <= 1e-9:
+        leaf = -all_g[0, 0] / (all_h[0, 0] + 1)
+        return 0.0, 0, 0, leaf, leaf
+    return gain[f, k], f, k, -gs[f, k] / (hs[f, k] + 1), -(all_g[f, 0] - gs[f, k]) / (all_h[f, 0] - hs[f, k] + 1)
+
+
+def _as_candidate() -> Column:
+    """A row of the table of vectors as ``PiiModel.score`` reads it."""
+    return F.struct(*[F.col(n).alias("kind_" if n == "kind" else n) for n in FEATURES])
+
+
+def _gradients(vectors: DataFrame, model: PiiModel, high: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and curvatures of the logistic loss, summed on the executors: [side, feature, bin]."""
+    p = 1 / (1 + F.exp(-F.col("_z") / _SCALE))
+    x = vectors.select(model.score(_as_candidate()).alias("_z"), high.cast("int").alias("side"), "n", "y", *FEATURES)
+    x = x.select("side", (F.col("n") * p - F.col("y")).alias("g"), (F.col("n") * p * (1 - p)).alias("h"),
+                 F.posexplode(F.array(*FEATURES)).alias("f", "bin"))
+    # whole numbers, so sums do not depend on their order
+    whole = lambda c: F.sum(F.round(F.col(c) * (1 << 20)).cast("long")).alias(c)
+    g, h = np.zeros((2, 2, len(FEATURES), _BINS))
+    for r in x.groupBy("side", "f", "bin").agg(whole("g"), whole("h")).collect():
+        g[r.side, r.f, r.bin], h[r.side, r.f, r.bin] = r.g / (1 << 20), r.h / (1 << 20)
+    return g, h
+
+
+def fit_trees(vectors: DataFrame, positive: int, total: int, rounds: int = 30, rate: float = 0.3) -> PiiModel:
+    """Boosted depth-two trees (logistic loss) on a table of weighted distinct feature vectors. Two sums over
+    it a tree, on the executors; the driver gets one number for each feature and bin. Scores are whole thousandths."""
+    share = positive / total
+    model = PiiModel(float(round(_SCALE * np.log((share + 1e-6) / (1 - share + 1e-6)))), [], {})
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-z))
-        g, h = total * p - positive, total * p * (1 - p) + 1e-9
-        _, f, cut, _, _ = _best_split(x, g, h, np.ones(len(x), bool))
+        g, h = _gradients(vectors, model, F.lit(False))
+        _, f, cut, _, _ = _best_split(g[0], h[0])
+        g, h = _gradients(vectors, model, F.col(FEATURES[f]) > cut)
         halves = []
-        for rows in (x[:, f] <= cut, x[:, f] > cut):
-            _, f2, cut2, low, high = _best_split(x, g, h, rows) if rows.any() else (0, 0, 0, 0.0, 0.0)
-            low, high = rate * low, rate * high
-            z[rows] += np.where(x[rows, f2] <= cut2, low, high)
-            halves.append((FEATURES[f2], cut2, low, high))
-        trees.append((FEATURES[f], cut, *halves))
-    return start, trees, z
-
-
-def train(documents: DataFrame, sample_docs: int = 20_000, max_vectors: int = 20_000, precision: float = 0.98,
-          text_col: str = "text") -> PiiModel:
-    """Fit trees and thresholds on the candidates of a hash sample of documents."""
-    nothing = PiiModel(0.0, [], {})
-    total = documents.count()
-    if not total:
-        return nothing
-    share = min(1.0, sample_docs / total)
+        for side in (0, 1):
+            _, f2, cut2, low, high = _best_split(g[side], h[side])
+            halves.append((FEATURES[f2], cut2, float(round(_SCALE * rate * low)), float(round(_SCALE * rate * high))))
+        model.trees.append((FEATURES[f], cut, *halves))
+    return model
+
+
+def candidate_vectors(documents: DataFrame, text_col: str = "text") -> DataFrame:
+    """Every candidate of every document as (``half``, features): how many (``n``) and how many base spans (``y``)."""
     text = text_or_empty(text_col)
-    pick = F.pmod(F.xxhash64(F.lit(5), text), F.lit(1 << 20))
-    sample = documents.filter(pick < int(share * (1 << 20)) + 1).select(_clean(text).alias("t"), (pick % 2).alias("half")).distinct()
-    rows = described(sample, "half").select("half", "base", F.explode("described").alias("c")).select(
+    texts = documents.select(_clean(text).alias("t"), F.pmod(F.xxhash64(F.lit(5), text), F.lit(2)).alias("half"))
+    rows = described(texts, "half").select("half", "base", F.explode("described").alias("c")).select(
         "half", F.exists("base", lambda b: (b["start"] == F.col("c")["start"]) & (b["end"] == F.col("c")["end"]) & (b["kind"] == F.col("c")["kind"])).alias("y"),
         *[F.col("c")["kind_" if n == "kind" else n].alias(n) for n in FEATURES])
-    vectors = (rows.groupBy("half", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("int")).alias("y"))
-               .orderBy(F.desc("n"), *FEATURES, "half").limit(max_vectors).collect())
-    if not vectors:
-        return nothing
-    x = np.array([[v[n] for n in FEATURES] for v in vectors], dtype=np.int64)
-    n, y, half = (np.array([v[c] for v in vectors], dtype=float) for c in ("n", "y", "half"))
-    fit = half == 0
-    if not y[fit].sum() or not (n - y)[fit].sum():
-        return nothing
-    start, trees, _ = fit_trees(x[fit], y[fit], n[fit])
-    z = np.full(len(x), start)
-    for feature, cut, low, high in trees:
-        for left, (f2, c2, a, b) in ((True, low), (False, high)):
-            rows_in = (x[:, FEATURES.index(feature)] <= cut) == left
-            z[rows_in] += np.where(x[rows_in, FEATURES.index(f2)] <= c2, a, b)
-    thresholds = {}
-    for kind in range(len(KINDS)):
-        mine = np.flatnonzero(~fit & (x[:, 0] == kind))
-        order = mine[np.argsort(-z[mine], kind="stable")]
-        hits, seen = y[order].cumsum(), n[order].cumsum()
-        # (hits + 1) / (seen + 2): few candidates do not make a sure threshold
-        good = np.flatnonzero((hits + 1) / (seen + 2) >= precision) if len(order) else []
-        if len(good):
-            thresholds[kind] = float(z[order[good[-1]]])
-    return PiiModel(start, trees, thresholds)
+    return rows.groupBy("half", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("int")).alias("y"))
+
+
+def train(documents: DataFrame, precision: float = 0.98, text_col: str = "text") -> PiiModel:
+    """Fit trees and thresholds on the candidates of all documents."""
+    vectors = save(candidate_vectors(documents, text_col), "pii-vectors")
+    fit = vectors.filter("half = 0")
+    total, positive = fit.agg(F.sum("n"), F.sum("y")).first()
+    if not positive or positive == total:
+        return PiiModel(0.0, [], {})
+    model = fit_trees(fit, positive, total)
+    scored = vectors.filter("half = 1").select("kind", model.score(_as_candidate()).alias("z"), "n", "y")
+    scored = scored.groupBy("kind", "z").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
+    best = Window.partitionBy("kind").orderBy(F.desc("z"))  # a row for each thousandth
+    scored = scored.select("kind", "z", F.sum("y").over(best).alias("hits"), F.sum("n").over(best).alias("seen"))
+    # (hits + 1) / (seen + 2): few candidates do not make a sure threshold
+    sure = scored.filter((F.col("hits") + 1) / (F.col("seen") + 2) >= precision).groupBy("kind").agg(F.min("z").alias("z"))
+    model.thresholds.update({r.kind: float(r.z) for r in sure.orderBy("kind").collect()})
+    return model
 
 
 def _clean(text: Column) -> Column:

@@ -109,6 +109,13 @@ def test_pii_trees_add_spans_and_redact(spark, edge, empty):
     assert pii.detect(empty, pii.train(empty)).count() == 0
 
 
+def test_pii_learns_from_every_candidate(spark):
+    """No document and no rare vector is left out of the counts: 25,000 texts, each with a card of its own and a mail."""
+    docs = spark.range(25_000).selectExpr("id as doc_id", "concat('card 4', lpad(id, 15, '0'), repeat(' x', cast(id % 20 as int)), ' a', id, '@b.org') as text")
+    got = pii.candidate_vectors(docs).groupBy("kind").sum("n").collect()
+    assert {r.kind: r["sum(n)"] for r in got}[0] == 25_000 and {r.kind: r["sum(n)"] for r in got}[2] == 25_000
+
+
 def test_url_filter_edge_cases(spark):
     pages = spark.createDataFrame(
         [(1, None), (2, "no scheme"), (3, "HTTP://A.Example.ORG/es/x?q"), (4, "http://example.org/en/12"), (5, "http://example.org/"),
