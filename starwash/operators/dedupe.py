@@ -13,6 +13,9 @@ one scan, always by the same plan:
 2. the buckets' first rows are ranked within the key: at most ``spread`` rows of
    any key. The others ride along in their bucket, so no task takes a hot key.
 
+``spread_for`` asks whether that is needed at all: where no key has many rows, one
+window (a spread of 1) gives the same marks and moves every row once, not twice.
+
 Inputs that are scans of parquet files need neither: there a row has an address (its
 file and its number in it), and ``mark_first_at`` finds each key's first address by
 aggregates over the key, the order and a hash of the row, which are combined before they
@@ -34,6 +37,7 @@ from pyspark.sql.types import DateType, FractionalType, IntegralType, MapType
 from ..session import work_path
 
 FIRST = "_first"
+MOST_ROWS_OF_KEY = 250_000  # that are ranked in one task
 _BITMAP_BYTES = 4096 + 64  # of 32,768 rows, with its key
 
 
@@ -63,7 +67,8 @@ def total_order(df: DataFrame, key: str, order: Sequence[Column]) -> list[Column
 
 def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """The first row per key under ``order`` (plus the all-column tie-break)."""
-    w = Window.partitionBy(_q(key)).orderBy(*total_order(df, key, order))
+    # the hash first: sorts compare it, not the keys' texts
+    w = Window.partitionBy(F.xxhash64(_q(key)), _q(key)).orderBy(*total_order(df, key, order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
@@ -73,23 +78,41 @@ def mark_first(df: DataFrame, key: str, order: Sequence[Column], spread: int | N
 
     ``spread`` is the number of buckets that a key's rows are ranked in first
     (default: the session's shuffle partitions, so a hot key fills all tasks
-    alike). Rows that meet ``apart`` are in no group: they are never first, and
-    are spread over the tasks like a hot key.
+    alike; 1: they are ranked once, by one window). Rows that meet ``apart`` are in
+    no group: they are never first, and are spread over the tasks like a hot key.
     """
-    buckets = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = spread or partitions
     by = total_order(df, key, order)
     apart = F.lit(False) if apart is None else F.coalesce(apart, F.lit(False))
     row = F.xxhash64(F.spark_partition_id(), *[value for _, value in _comparable(df)])
+    if buckets == 1:
+        x = df.withColumn("_apart", apart)
+        x = x.withColumn("_slot", F.when(F.col("_apart"), F.pmod(row, F.lit(partitions))).cast("int"))
+        keyed = F.when(~F.col("_apart"), _q(key))
+        rank = F.row_number().over(Window.partitionBy(F.xxhash64(keyed, "_slot"), keyed, "_apart", "_slot").orderBy(*by))
+        return x.withColumn("_rank", rank).withColumn(FIRST, (F.col("_rank") == 1) & ~F.col("_apart")).drop("_apart", "_slot", "_rank")
     x = df.withColumns({"_apart": apart, "_bucket": F.pmod(row, F.lit(buckets)).cast("int")})
-    group = F.when(~F.col("_apart"), _q(key))
-    x = x.withColumn("_rn", F.row_number().over(Window.partitionBy("_apart", group, "_bucket").orderBy(*by)))
+    group = [F.xxhash64("_apart", _q(key)), "_apart", F.when(~F.col("_apart"), _q(key))]  # sorts compare the hash first
+    x = x.withColumn("_rn", F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*by)))
     final = (F.col("_rn") == 1) & ~F.col("_apart")
     x = x.withColumn("_slot", F.when(final, F.lit(-1)).otherwise(F.col("_bucket")))
-    x = x.withColumn("_rank", F.row_number().over(Window.partitionBy("_apart", group, "_slot").orderBy(*by)))
+    x = x.withColumn("_rank", F.row_number().over(Window.partitionBy(*group, "_slot").orderBy(*by)))
     return x.withColumn(FIRST, (F.col("_slot") == -1) & (F.col("_rank") == 1)).drop(
         "_apart", "_bucket", "_rn", "_slot", "_rank")
 
 
+def spread_for(df: DataFrame, key: str, apart: Column | None = None, most: int = MOST_ROWS_OF_KEY) -> int | None:
+    """1 if no key of ``df`` has more than ``most`` rows (one window will do), else None (``mark_first``'s default).
+
+    Rows are counted by 65,536 hashes of the key, combined before the shuffle. A hash has at least as many
+    rows as any of its keys, so 1 is never wrong; on very large inputs the answer may be None without a hot key.
+    """
+    keyed = df if apart is None else df.filter(~F.coalesce(apart, F.lit(False)))
+    n = keyed.groupBy(F.pmod(F.xxhash64(_q(key)), F.lit(1 << 16)).alias("_h")).agg(F.count(F.lit(1)).alias("n"))
+    return 1 if (n.agg(F.max("n")).first()[0] or 0) <= most else None
+
+
 def removed_rows(df: DataFrame, key: str, order: Sequence[Column], spread: int | None = None) -> DataFrame:
     """Every row of ``df`` except the first per key."""
     return mark_first(df, key, order, spread).filter(~F.col(FIRST)).drop(FIRST)

@@ -7,7 +7,7 @@ fuel, make year, date parts. Emission standard and surrogate keys follow.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -17,7 +17,7 @@ from ..functions import columns as X
 from ..functions import rules as R
 from ..schema import BAD_ROW
 from . import clean
-from .dedupe import FIRST, By, Deduped, keep_latest, mark_first, mark_first_at
+from .dedupe import FIRST, By, Deduped, keep_latest, mark_first, mark_first_at, spread_for
 from .keys import surrogate_keys
 
 REJECT_REASON = "reject_reason"
@@ -36,7 +36,8 @@ class CleanOptions:
     behaviour); ``"latest_valid"`` sorts by the parsed date first.
     ``tie_break``: extra ascending columns after the issue date.
     ``spread``: buckets that a key's rows are ranked in first when duplicates
-    are marked (default: the session's shuffle partitions).
+    are marked (default: the session's shuffle partitions; 1: one window, see
+    ``spread_known``).
     ``row_addresses``: the input is a scan of parquet files (projections and filters
     above it), so first rows are marked by their addresses and no row is shuffled.
     """
@@ -76,6 +77,19 @@ def mark_latest(df: DataFrame, opts: CleanOptions, apart=None) -> DataFrame:
     return mark_first(df, opts.key, [b.order for b in dedupe_by(opts)], opts.spread, apart)
 
 
+def no_key(df: DataFrame, opts: CleanOptions):
+    """Malformed rows and rows without a key."""
+    malformed = F.col(BAD_ROW).isNotNull() if BAD_ROW in df.columns else F.lit(False)
+    return malformed | X.blank(opts.key)
+
+
+def spread_known(df: DataFrame, opts: CleanOptions) -> CleanOptions:
+    """``opts`` with a spread of 1 if the rows of ``df``, counted by key, allow it (one job over the key column)."""
+    if opts.row_addresses or opts.spread:
+        return opts
+    return replace(opts, spread=spread_for(df, opts.key, no_key(df, opts)))
+
+
 def dedupe(df: DataFrame, opts: CleanOptions = CleanOptions()):
     """Missing-key split plus keep-latest: ``(missing, kept, removed)``."""
     missing, keyed = clean.missing_key(df, opts.key), clean.valid_key(df, opts.key)
@@ -125,12 +139,11 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
     parse chain, so it costs them nothing, and they leave as they came.
     """
     columns = raw.columns
-    malformed = F.col(BAD_ROW).isNotNull() if BAD_ROW in columns else F.lit(False)
-    no_key = malformed | X.blank(opts.key)
-    rows = mark_latest(raw, opts, apart=no_key)
+    keyless = no_key(raw, opts)
+    rows = mark_latest(raw, opts, apart=keyless)
     kept = F.col(FIRST)
     rows = rows.select(
-        FIRST, no_key.alias("_no_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_raw"),
+        FIRST, keyless.alias("_no_key"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_raw"),
         *[F.when(kept, F.col(f"`{c}`")).alias(c) for c in columns])
     x = repair_and_parse(rows, opts)
     x = finish_stage(x.withColumn("_make_year_raw", F.col("make_year")), opts)

@@ -70,6 +70,13 @@ def _staged_table(spark, sf):
     return _written(_staged(spark, sf)[1], "staged")
 
 
+def _tagged_table(spark, sf):
+    """All rows of the dirty view with their reasons, written once by reason."""
+    raw = dirty(spark, sf)
+    tagged = S.tagged_rows(raw, S.spread_known(raw, OPTS))
+    return sinks.write_then_read(tagged, work_path(spark, "tagged"), partition_by=[S.REJECT_REASON])
+
+
 def _chain(spark, sf):
     """Staged rows, dimensions and the vehicle map for the dirty view."""
     staged = _staged_table(spark, sf)
@@ -376,8 +383,8 @@ def q_sized_write_roundtrip(spark, sf):
 
 def q_quarantine_roundtrip(spark, sf):
     path = work_path(spark, "quarantine")
-    tagged = _written(S.tagged_rows(dirty(spark, sf), OPTS), "tagged")
-    sinks.write_rejects(S.quarantine(tagged, list(DIRTY_RAW)), path)
+    tagged = _tagged_table(spark, sf)
+    sinks.write_rejects(S.quarantine(tagged, list(DIRTY_RAW)), path, from_files=True)
     return readers.read_parquet(spark, path)
 
 
@@ -518,7 +525,7 @@ def q_etl_counts(spark, sf):
     The tagged rows are written once; every count is then an aggregate over
     that table or over the dimensions, map and fact built from its staged part.
     """
-    tagged = _written(S.tagged_rows(dirty(spark, sf), OPTS), "tagged")
+    tagged = _tagged_table(spark, sf)
     reason = F.col(S.REJECT_REASON)
     by_reason = tagged.groupBy(reason).agg(F.count(F.lit(1)).alias("n"))
 

@@ -57,7 +57,10 @@ DIRTY_TIE_BREAK = ("slno", "pk", "sk", "qty")
 
 def register_tables(spark: SparkSession, sf_dir: str, names=("lineitem", "part")) -> None:
     for name in names:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").createOrReplaceTempView(name)
+        df = table(spark, sf_dir, name)
+        # parts are joined by a shuffle at any size: as compressed files they look small enough to be broadcast long
+        # after they are not, and rows that are made wide in the scan of lineitem fill its few tasks
+        (df.hint("shuffle_hash") if name == "part" else df).createOrReplaceTempView(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

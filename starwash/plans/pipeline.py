@@ -154,7 +154,7 @@ def run_registrations_etl(
         # 1. one pass over the input: every row tagged, written once
         obs_stage = Observation("stage")
         stage_path = f"{work}/stage"
-        tagged = S.tagged_rows(src, options)
+        tagged = S.tagged_rows(src, S.spread_known(src, options))
         sinks.write_parquet(_count_by_reason(obs_stage, tagged, raw_cols), stage_path, partition_by=[S.REJECT_REASON])
         stage_table = read_parquet(spark, stage_path, tagged.schema)
         got = _observed(obs_stage, ["input_rows", *REASONS], stage_table)
@@ -180,7 +180,8 @@ def run_registrations_etl(
 
         # 2. quarantine: reject partitions (pruned read), raw columns plus the reason
         rejects = S.quarantine(stage_table, raw_cols)
-        size = sinks.write_rejects(rejects, version("bad_records"), output_format=output_format)
+        size = sinks.write_rejects(rejects, version("bad_records"), output_format=output_format,
+                                   target_mb=target_mb, from_files=True)
         tables["bad_records"] = publishing.entry_of(rejects, root, version("bad_records"), got["input_rows"] - got[STAGED], *size,
                                                     output_format, [S.REJECT_REASON])
         lap("quarantine")

@@ -30,9 +30,12 @@ def write_parquet(df: DataFrame | None, path: str, mode: str = "overwrite",
     if df is None:
         return
     w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if not partition_by:
+        w.parquet(path)
+        return
+    # a task keeps the files of a few partition values open, instead of sorting its rows by them
+    with session_conf(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+        w.partitionBy(*partition_by).parquet(path)
 
 
 def write_then_read(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -77,6 +80,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", max_records_per
     w.csv(path)
 
 
+OPEN_FILES = 8  # of a task that writes by partition values; with more values its rows are sorted
+
+
 @contextmanager
 def session_conf(spark: SparkSession, values: dict[str, str]):
     """Temporarily set session SQL confs for one action."""
@@ -144,9 +150,23 @@ def write_sized(df: DataFrame, path: str, partition_by: Sequence[str] = (), targ
 
 
 def write_rejects(rejects: DataFrame, path: str, mode: str = "overwrite", output_format: str = "parquet",
-                  reason_col: str = "reject_reason", target_mb: float = R.DEFAULT_TARGET_MB) -> tuple[int, int]:
-    """SNK7: one quarantine write partitioned by reason, in files of about ``target_mb``; returns (files, bytes)."""
-    return write_sized(rejects, path, [reason_col], target_mb, mode, output_format)
+                  reason_col: str = "reject_reason", target_mb: float = R.DEFAULT_TARGET_MB,
+                  from_files: bool = False) -> tuple[int, int]:
+    """SNK7: one quarantine write partitioned by reason, in files of about ``target_mb``; returns (files, bytes).
+
+    ``from_files``: the rejects are a scan of written files, which is split at ``target_mb``, so no file is larger
+    and no row is shuffled for its size; a task writes one file for each reason that it reads.
+    """
+    if not from_files:
+        return write_sized(rejects, path, [reason_col], target_mb, mode, output_format)
+    spark = rejects.sparkSession
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": str(int(target_mb * 1024 * 1024)),
+                              "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+        w = rejects.write.mode(mode).partitionBy(reason_col)
+        if output_format == "csv":
+            w = w.options(**CSV_WRITE_OPTIONS)
+        w.format(output_format).save(path)
+    return audit_size(spark, path, f"*.{output_format}")
 
 
 def write_star(tables: dict[str, DataFrame], root: str, mode: str = "overwrite", output_format: str = "parquet",

@@ -269,3 +269,32 @@ def test_row_addresses_equal_windows_for_all_kinds_of_order(spark, tmp_path):
             want = marked(mark_first(scan, "k", [b.order for b in by], apart=F.col("x") == "v"))
             assert marked(mark_first_at(scan, "k", by, apart=F.col("x") == "v")) == want, (columns, desc)
     assert marked(mark_first_at(scan, "k", by, broadcast_bytes=5000)) == marked(mark_first(scan, "k", [b.order for b in by]))
+
+
+def test_one_window_where_no_key_is_hot(spark):
+    """A spread of 1 moves every row once and marks as many windows do; rows apart are never first."""
+    from starwash.operators.dedupe import FIRST, mark_first, spread_for
+
+    rows = [(None if k % 10 == 0 else f"k{k % 40}", k % 7, k % 3) for k in range(600)]
+    df = spark.createDataFrame(rows, "reg_no string, a int, b int").repartition(5)
+    apart = F.col("reg_no").isNull()
+    one, many = (mark_first(df, "reg_no", [F.col("a").desc()], n, apart) for n in (1, None))
+    count = lambda x: sorted(map(tuple, x.groupBy("reg_no", "a", "b", FIRST).count().collect()), key=repr)
+    assert count(one) == count(many)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
+    assert spread_for(df, "reg_no", apart) == 1 and spread_for(df, "reg_no", apart, most=5) is None
+    assert spread_for(df.limit(0), "reg_no") == 1
+
+
+def test_resolution_broadcasts_no_dimension(spark):
+    """Joins with a dimension, and of its exploded segments, do not pass through the driver, however small its files."""
+    from starwash.operators.resolve import resolve_vehicles
+
+    cols = "VEHICLE_ID string, model_name string, variant string, MAKE_YEAR_KEY string"
+    staged = spark.createDataFrame([("v1", "SWIFT", "VXI", "2018"), ("v2", "SWIFT", "VXO", "2018")], cols)
+    dim = spark.createDataFrame([("d1", "SWIFT", "VXI", "2018")], "VEHICLE_ID string, MODEL_NAME string, VARIANT string, MAKE_YEAR string")
+    out = resolve_vehicles(staged, dim)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.VEHICLE_ID, r.VEHICLE_ID_resolved, r.LEV_DIST) for r in out.collect()}
+    assert got == {("v1", "d1", None), ("v2", "d1", 1)}

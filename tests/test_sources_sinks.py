@@ -132,3 +132,20 @@ def test_ingest_status_finds_damaged_pages(spark, tmp_path):
     assert (got["good.parquet"].status, got["good.parquet"].rows, got["good.parquet"].error) == ("ok", 5000, None)
     for name in ("damaged.parquet", "cut.parquet"):
         assert got[name].status == "failed" and got[name].error, name
+
+
+def test_rejects_of_files_are_written_without_a_shuffle(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from starwash.session import work_path
+    from starwash.sources import sinks
+
+    rows = spark.range(5000).selectExpr("id", "concat('r', id % 3) as reject_reason")
+    rejects = sinks.write_then_read(rows, work_path(spark, "t-tagged"), partition_by=["reject_reason"])
+    plans, write = [], DataFrame.write
+    monkeypatch.setattr(DataFrame, "write", property(lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write.fget(df))[1]))
+    path = work_path(spark, "t-rejects")
+    files, size = sinks.write_rejects(rejects, path, from_files=True)
+    assert files >= 3 and size > 0 and not any("Exchange" in p for p in plans)
+    assert sorted(map(tuple, spark.read.parquet(path).groupBy("reject_reason").count().collect())) == [("r0", 1667), ("r1", 1667), ("r2", 1666)]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
