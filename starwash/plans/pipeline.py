@@ -2,11 +2,10 @@
 
 Run shape (each numbered step is one job or a few):
 
-1. every row is tagged by two windows over one scan (``dedupe.mark_first``) and
-   written ONCE to the work folder, partitioned by ``reject_reason`` ('staged'
-   for rows that pass). One plan whatever the data: the input is read once, so
-   derived and text inputs need no copy first, and a hot key is spread over all
-   tasks. This cuts the lineage: an executor lost later recomputes from this
+1. rows are counted by hashes of the key (``dedupe.spread_for``, the key column only);
+   every row is tagged by one window over one scan, or by two if a key is hot
+   (``dedupe.mark_first``), which spread it over all tasks, and written ONCE to the
+   work folder, partitioned by ``reject_reason`` ('staged' for rows that pass). This cuts the lineage: an executor lost later recomputes from this
    table, not from the raw input. Row counts per reason come from an
    ``Observation`` on the same write.
 2. quarantine: the reject partitions (pruned read) to ``bad_records``.
