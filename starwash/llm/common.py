@@ -74,4 +74,5 @@ def rows_with_ids(rows: DataFrame, ids: DataFrame, id_col: str, max_bits: int =
         byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
         near = rows.join(F.broadcast(maps), (place(id_col) / F.lit(1 << 15)).cast("int") == F.col("_bucket"))
         rows = near.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
-    return rows.join(ids.withColumnRenamed("_id", id_col), id_col, "left_semi")
+    # the ids are distinct, so this is a semi join; written as one, the optimizer moves it below the bitmap, and all rows are shuffled
+    return rows.join(ids.withColumnRenamed("_id", id_col), id_col).select(*rows.columns)

@@ -305,6 +305,15 @@ def test_rows_with_ids_is_a_semi_join(spark):
     assert rows_with_ids(rows, ids.limit(0), "id").count() == 0
 
 
+def test_rows_with_ids_meet_the_bitmap_first(spark, tmp_path):
+    """The optimizer must not move the join with the ids below the bitmap, where all rows are shuffled."""
+    spark.range(5_000).select("id", F.col("id").cast("string").alias("t")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    plan = rows_with_ids(rows, rows.filter("id % 50 = 0").select("id"), "id")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2 and "getbit" in joins[1] and "getbit" not in joins[0]
+
+
 def test_copies_edited_to_just_below_the_threshold(spark):
     """Every copy is near the threshold to all others, so sketches rule out none: components equal all pairs."""
     rng = random.Random(30)
