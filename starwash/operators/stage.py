@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as X
 from ..functions import rules as R
 from ..schema import BAD_ROW
+from ..sources import sinks
 from . import clean
 from .dedupe import FIRST, By, Deduped, keep_latest, mark_first, mark_first_at, spread_for
 from .keys import surrogate_keys
@@ -26,6 +27,8 @@ MISSING_KEY = "missing_key"
 DUPLICATE = "duplicate"
 INVALID_DATE = "invalid_date"
 STAGED = "staged"
+KEPT = "kept"  # of a row that has passed the dedupe and is not derived yet
+KEPT_SPLIT = 16 << 20  # bytes of kept rows in a task that derives their columns: the chain is work for the CPU
 
 
 @dataclass(frozen=True)
@@ -160,6 +163,45 @@ def tagged_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFram
         reason.alias(REJECT_REASON), *[F.when(kept, F.col(c)).alias(c) for c in derived])
 
 
+def marked_rows(raw: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Every input row as it came, with ``reject_reason``: malformed_row, missing_key, duplicate or kept."""
+    keyless = no_key(raw, opts)
+    unparsed = F.col(BAD_ROW).isNotNull() if BAD_ROW in raw.columns else F.lit(False)
+    reason = F.when(unparsed, MALFORMED).when(keyless, MISSING_KEY).when(~F.col(FIRST), DUPLICATE).otherwise(KEPT)
+    return mark_latest(raw, opts, apart=keyless).withColumn(REJECT_REASON, reason).drop(FIRST)
+
+
+def derived_rows(kept: DataFrame, opts: CleanOptions = CleanOptions()) -> DataFrame:
+    """Kept rows (raw columns) with the derived columns and ``reject_reason``: staged or invalid_date, as ``tagged_rows`` has them."""
+    columns = kept.columns
+    x = repair_and_parse(kept, opts)
+    x = star_columns(finish_stage(x.withColumn("_make_year_raw", F.col("make_year")), opts), opts)
+    dated = F.col("from_date_parsed").isNotNull()
+    # invalid-date rows leave with their raw make year, as the reference's quarantine
+    value = {c: F.col(f"`{c}`") for c in columns}
+    value["make_year"] = F.when(dated, F.col("make_year")).otherwise(F.col("_make_year_raw")).alias("make_year")
+    return x.select(*value.values(), F.when(dated, STAGED).otherwise(INVALID_DATE).alias(REJECT_REASON),
+                    *[c for c in x.columns if c not in (*columns, "_make_year_raw")])
+
+
+def write_tagged(raw: DataFrame, path: str, opts: CleanOptions = CleanOptions(),
+                 observe_marked=None, observe_derived=None) -> DataFrame:
+    """The rows of ``tagged_rows``, written below ``path`` by reason and read back.
+
+    All rows are written as they came, by what the dedupe says of them; only the kept ones are read again, and
+    go through the repair and parse chain. So rejected rows pay for the window and one write. ``observe_*``:
+    (Observation, [metric columns]) on either write.
+    """
+    watched = lambda df, what: df.observe(what[0], *what[1]) if what else df
+    marked = sinks.write_then_read(watched(marked_rows(raw, opts), observe_marked), f"{path}/marked", partition_by=[REJECT_REASON])
+    kept = marked.filter(F.col(REJECT_REASON) == KEPT).drop(REJECT_REASON)
+    derived = derived_rows(kept, opts)
+    with sinks.session_conf(raw.sparkSession, {"spark.sql.files.maxPartitionBytes": str(KEPT_SPLIT)}):
+        derived = sinks.write_then_read(watched(derived, observe_derived), f"{path}/derived", partition_by=[REJECT_REASON])
+    rejects = marked.filter(F.col(REJECT_REASON) != KEPT)
+    return derived.unionByName(rejects, allowMissingColumns=True)
+
+
 def quarantine(tagged: DataFrame, raw_columns: list[str]) -> DataFrame:
     """Rejected rows of a (written) ``tagged_rows`` table, raw columns plus reason
     (a pruned read where the table is partitioned by reason)."""

@@ -73,8 +73,7 @@ def _staged_table(spark, sf):
 def _tagged_table(spark, sf):
     """All rows of the dirty view with their reasons, written once by reason."""
     raw = dirty(spark, sf)
-    tagged = S.tagged_rows(raw, S.spread_known(raw, OPTS))
-    return sinks.write_then_read(tagged, work_path(spark, "tagged"), partition_by=[S.REJECT_REASON])
+    return S.write_tagged(raw, work_path(spark, "tagged"), S.spread_known(raw, OPTS))
 
 
 def _chain(spark, sf):

@@ -3,11 +3,12 @@
 Run shape (each numbered step is one job or a few):
 
 1. rows are counted by hashes of the key (``dedupe.spread_for``, the key column only);
-   every row is tagged by one window over one scan, or by two if a key is hot
-   (``dedupe.mark_first``), which spread it over all tasks, and written ONCE to the
-   work folder, partitioned by ``reject_reason`` ('staged' for rows that pass). This cuts the lineage: an executor lost later recomputes from this
-   table, not from the raw input. Row counts per reason come from an
-   ``Observation`` on the same write.
+   every row is marked by one window over one scan, or by two if a key is hot
+   (``dedupe.mark_first``), which spread it over all tasks, and written ONCE as it came to the
+   work folder, partitioned by ``reject_reason`` ('kept' for rows that pass the dedupe). Kept rows are read from
+   there, repaired and parsed, and written as 'staged' or 'invalid_date' (``stage.write_tagged``). This cuts the
+   lineage: an executor lost later recomputes from these tables, not from the raw input. Row counts per reason come
+   from an ``Observation`` on each write.
 2. quarantine: the reject partitions (pruned read) to ``bad_records``.
 3. dimensions from the staged partition (aggregates, map-side combined).
 4. vehicle resolution map (distinct vehicles only) to the work folder; on request
@@ -38,7 +39,6 @@ from ..schema import conform
 from ..session import work_path
 from ..sources import publish as publishing
 from ..sources import sinks
-from ..sources.readers import read_parquet
 
 log = logging.getLogger(__name__)
 
@@ -48,14 +48,11 @@ DIMENSIONS = ("gold_dim_vehicle", "gold_dim_manufacturer", "gold_dim_rta")
 FACT = "gold_fact_registrations"
 
 
-def _count_by_reason(obs: Observation, df: DataFrame, raw_columns: list[str]) -> DataFrame:
+def _of_marked(obs: Observation, raw_columns: list[str]) -> tuple:
     reason = F.col(S.REJECT_REASON)
-    return df.observe(
-        obs,
-        F.count(F.lit(1)).alias("input_rows"),
-        *[F.count_if(reason == r).alias(r) for r in REASONS],
-        *publishing.input_fingerprint(raw_columns),
-    )
+    return obs, [F.count(F.lit(1)).alias("input_rows"),
+                 *[F.count_if(reason == r).alias(r) for r in (S.MALFORMED, S.MISSING_KEY, S.DUPLICATE)],
+                 *publishing.input_fingerprint(raw_columns)]
 
 
 def _observed(obs: Observation, names, written: DataFrame) -> dict:
@@ -139,6 +136,7 @@ def run_registrations_etl(
     base = publishing.current(spark, root)
     own = f"{run_id}-{uuid.uuid4().hex[:8]}"
     version = lambda table: publishing.version_path(root, table, own)
+    reason = F.col(S.REJECT_REASON)
     started = last = time.perf_counter()
 
     def lap(name):
@@ -150,13 +148,12 @@ def run_registrations_etl(
         src = conform(raw) if conform_input else raw
         raw_cols = list(src.columns)
 
-        # 1. one pass over the input: every row tagged, written once
-        obs_stage = Observation("stage")
-        stage_path = f"{work}/stage"
-        tagged = S.tagged_rows(src, S.spread_known(src, options))
-        sinks.write_parquet(_count_by_reason(obs_stage, tagged, raw_cols), stage_path, partition_by=[S.REJECT_REASON])
-        stage_table = read_parquet(spark, stage_path, tagged.schema)
-        got = _observed(obs_stage, ["input_rows", *REASONS], stage_table)
+        # 1. one pass over the input: every row marked and written once, kept rows derived from there
+        obs_marked, obs_derived = Observation("marked"), Observation("derived")
+        stage_table = S.write_tagged(src, f"{work}/stage", S.spread_known(src, options), _of_marked(obs_marked, raw_cols),
+                                     (obs_derived, [F.count_if(reason == r).alias(r) for r in (S.INVALID_DATE, STAGED)]))
+        got = _observed(obs_marked, ["input_rows", *REASONS], stage_table)
+        got = {**got, **_observed(obs_derived, [S.INVALID_DATE, STAGED], stage_table.filter(reason.isin(S.INVALID_DATE, STAGED)))}
         kept = got[S.INVALID_DATE] + got[STAGED]
         counts.update(
             input_rows=got["input_rows"], missing_key=got[S.MISSING_KEY],
@@ -174,7 +171,6 @@ def run_registrations_etl(
             metrics["elapsed_sec"] = round(time.perf_counter() - started, 3)
             sinks.write_metrics(spark, metrics, f"{root}/metrics")
             return metrics
-        reason = F.col(S.REJECT_REASON)
         tables: dict[str, dict] = {}
 
         # 2. quarantine: reject partitions (pruned read), raw columns plus the reason

@@ -298,3 +298,21 @@ def test_resolution_broadcasts_no_dimension(spark):
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
     got = {(r.VEHICLE_ID, r.VEHICLE_ID_resolved, r.LEV_DIST) for r in out.collect()}
     assert got == {("v1", "d1", None), ("v2", "d1", 1)}
+
+
+def test_written_tags_equal_the_lazy_ones(spark, tmp_path):
+    """Rows marked and written first, then derived, are those of ``tagged_rows``; rejects are written as they came."""
+    rows = [("T1", "1", "ace LXI BSIV 2018", "2024-01-02", "x"), ("T1", "2", None, "2023-01-02", None), (None, "3", "m", "2023-01-02", "y"),
+            ("  ", "4", "m", None, ""), ("T2", "5", "@EV  car", "31/02/2023", "z"), ("T3", "6", "unk now", "RTA MEDAK", None),
+            ("T4", "7", "tipper#9", "05.06.24", "q"), ("T4", "7", "tipper#9", "05.06.24", "q")]
+    raw = spark.createDataFrame([(k, n, m, "DIESEL", None, None, "", None, o, None, d, None) for k, n, m, d, o in rows],
+                                "reg_no string, slno string, model_desc string, fuel string, colour string, vehicle_class string, make_year string, "
+                                "seat_capacity string, maker_name string, office_cd string, from_date string, to_date_raw string")
+    opts = S.CleanOptions(tie_break=("slno",), spread=1)
+    lazy, written = S.tagged_rows(raw, opts), S.write_tagged(raw, f"{tmp_path}/t", opts)
+    names = sorted(lazy.columns)
+    assert names == sorted(written.columns)
+    key = lambda df: sorted(map(repr, df.select(*names).collect()))
+    assert key(lazy) == key(written)
+    # the rows of the first write are raw: no rejected row is parsed
+    assert spark.read.parquet(f"{tmp_path}/t/marked").columns == [*raw.columns, S.REJECT_REASON]
