@@ -87,13 +87,12 @@ def mark_first(df: DataFrame, key: str, order: Sequence[Column], spread: int | N
     apart = F.lit(False) if apart is None else F.coalesce(apart, F.lit(False))
     row = F.xxhash64(F.spark_partition_id(), *[value for _, value in _comparable(df)])
     if buckets == 1:
-        x = df.withColumn("_apart", apart)
-        x = x.withColumn("_slot", F.when(F.col("_apart"), F.pmod(row, F.lit(partitions))).cast("int"))
-        keyed = F.when(~F.col("_apart"), _q(key))
-        rank = F.row_number().over(Window.partitionBy(F.xxhash64(keyed, "_slot"), keyed, "_apart", "_slot").orderBy(*by))
-        return x.withColumn("_rank", rank).withColumn(FIRST, (F.col("_rank") == 1) & ~F.col("_apart")).drop("_apart", "_slot", "_rank")
+        # rows apart have a slot and others have none, so that no row needs a copy of its key or a hash of it in the shuffle
+        x = df.withColumn("_slot", F.when(apart, F.pmod(row, F.lit(partitions))).cast("int"))
+        x = x.withColumn("_rank", F.row_number().over(Window.partitionBy(_q(key), "_slot").orderBy(*by)))
+        return x.withColumn(FIRST, (F.col("_rank") == 1) & F.col("_slot").isNull()).drop("_slot", "_rank")
     x = df.withColumns({"_apart": apart, "_bucket": F.pmod(row, F.lit(buckets)).cast("int")})
-    group = [F.xxhash64("_apart", _q(key)), "_apart", F.when(~F.col("_apart"), _q(key))]  # sorts compare the hash first
+    group = [_q(key), "_apart"]  # rows apart may have keys, but share no group with the others
     x = x.withColumn("_rn", F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*by)))
     final = (F.col("_rn") == 1) & ~F.col("_apart")
     x = x.withColumn("_slot", F.when(final, F.lit(-1)).otherwise(F.col("_bucket")))
