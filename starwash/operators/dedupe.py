@@ -67,8 +67,8 @@ def total_order(df: DataFrame, key: str, order: Sequence[Column]) -> list[Column
 
 def winners(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """The first row per key under ``order`` (plus the all-column tie-break)."""
-    # the hash first: sorts compare it, not the keys' texts
-    w = Window.partitionBy(F.xxhash64(_q(key)), _q(key)).orderBy(*total_order(df, key, order))
+    # the key itself and nothing beside it: a hash before it would be shuffled with every row, and does not compress
+    w = Window.partitionBy(_q(key)).orderBy(*total_order(df, key, order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

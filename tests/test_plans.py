@@ -7,7 +7,8 @@ from pyspark.sql.classic.dataframe import DataFrame
 
 from starwash.plans.catalog import QUERIES
 from starwash.operators import stage as S
-from starwash.plans import DIRTY_TIE_BREAK, dirty
+from starwash.operators.dedupe import FIRST, mark_first, winners
+from starwash.plans import DIRTY_TIE_BREAK, dirty, fixtures
 from starwash.plans.fixtures import DIRTY_RAW, table
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -50,6 +51,40 @@ def test_stage_plan_shape(spark, sf_small):
     assert kept.count("WindowGroupLimit") >= 2
 
 
+def test_windows_shuffle_no_hash_and_no_copy_of_the_key(spark, sf_small):
+    """What is shuffled for the windows is the rows themselves, and a slot where all of them are marked."""
+    raw = dirty(spark, sf_small)
+    for rows, extra in ((winners(raw, "reg_no", [F.col("from_date").desc_nulls_last()]), 0),
+                        (mark_first(raw, "reg_no", [F.col("from_date").desc_nulls_last()], 1, F.col("fuel").isNull()), 1)):
+        tree = rows._jdf.queryExecution().optimizedPlan()
+        while not tree.nodeName().startswith("Window") or tree.children().head().nodeName().startswith("Window"):
+            tree = tree.children().head()
+        assert tree.children().head().output().size() == len(raw.columns) + extra, tree.toString()
+
+
+def test_marks_with_rows_apart_that_have_keys(spark):
+    """Rows apart are never first, and take no other row's place, whether they have a key or not."""
+    rows = [("a", 1, False), ("a", 3, True), ("a", 2, None), ("a", 3, True), (None, 1, False), (None, 2, True), ("b", 5, True), ("", 1, False)]
+    df = spark.createDataFrame(rows, "k string, v int, off boolean")
+    for spread in (1, 3):
+        got = mark_first(df, "k", [F.col("v").desc()], spread, F.col("off")).collect()
+        assert sorted((tuple(r)[:2] for r in got if r[FIRST]), key=str) == [("", 1), ("a", 2), (None, 1)]
+        assert len(got) == len(rows)
+
+
+def test_view_tasks_are_sized_by_rows(spark, sf_small, monkeypatch):
+    """From some size on a task of the view derives a bounded number of rows, and the view stays the same."""
+    lines = table(spark, sf_small, "lineitem").count()
+    before = dirty(spark, sf_small).collect()
+    tasks = spark.sparkContext.defaultParallelism + 3
+    monkeypatch.setattr(fixtures, "ROWS_IN_TASK", -(-lines // tasks))
+    rows = dirty(spark, sf_small)
+    plan = _plan(rows)
+    assert plan.count("hashpartitioning") == 2 and plan.count("REPARTITION_BY_NUM") == 1
+    assert rows.rdd.getNumPartitions() == -(-lines // fixtures.ROWS_IN_TASK) > spark.sparkContext.defaultParallelism
+    assert sorted(rows.collect(), key=str) == sorted(before, key=str)
+
+
 def test_narrow_scans_are_pruned(spark, sf_small):
     plan = QUERIES["date_parts"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
