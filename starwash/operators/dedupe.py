@@ -17,10 +17,11 @@ one scan, always by the same plan:
 window (a spread of 1) gives the same marks and moves every row once, not twice.
 
 Inputs that are scans of parquet files need neither: there a row has an address (its
-file and its number in it), and ``mark_first_at`` finds each key's first address by
-aggregates over the key, the order and a hash of the row, which are combined before they
-are shuffled. One bitmap for every 32,768 rows of a file says which rows are first; the
-second scan looks its rows up there. No other column is shuffled or sorted, and no row is.
+file and its number in it), and ``mark_first_at`` finds each key's first address by one
+aggregate over the key, the order and a hash of the row, which is combined before it
+is shuffled. One bitmap for every 32,768 rows of a file says which rows are first; the
+second scan looks its rows up there. No other column is shuffled or sorted, and no row is,
+but those that tie with the first of their key and differ from it (see ``first_addresses``).
 
 Keys may have any comparable type; rows with a null key form one group.
 """
@@ -39,6 +40,7 @@ from ..session import work_path
 FIRST = "_first"
 MOST_ROWS_OF_KEY = 250_000  # that are ranked in one task
 _BITMAP_BYTES = 4096 + 64  # of 32,768 rows, with its key
+_TIE_BITS = 1 << 27  # that the hashes of tied keys are dealt to
 
 
 class Deduped(NamedTuple):
@@ -163,27 +165,46 @@ def _addressed(scan: DataFrame) -> DataFrame:
     return scan.select("*", F.xxhash64("_metadata.file_path").alias("_file"), (F.col("_metadata.row_index") + 1).alias("_row"))
 
 
+def _bit(number: str) -> Column:
+    """Whether the bitmap ``_bits`` that ``number`` falls into has its bit."""
+    at = F.bitmap_bit_position(number)
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (at % 8).cast("int")) == 1
+
+
 def first_addresses(scan: DataFrame, key: str, by: Sequence[By], apart: Column | None = None) -> DataFrame:
-    """(``_file``, ``_row``) of the first row of each key; as in ``mark_first`` all other columns break ties."""
+    """(``_file``, ``_row``) of the first row of each key; as in ``mark_first`` all other columns break ties.
+
+    A task sends one row for each of its keys: the least order, the least and the greatest hash of the rows that
+    have it, and an address. Where the two hashes differ, the rows are compared by their columns. A bitmap of the
+    hashes of such keys and orders (16 MB at most) leaves out the others before anything of them is shuffled, and a
+    task sends the least of its rows only, however many tie. Without such keys the scan is not read for this at all.
+    """
     spark = scan.sparkSession
     rest = [(name, value) for name, value in _comparable(scan) if name != key]
     x = _addressed(scan)
     if apart is not None:
         x = x.filter(~F.coalesce(apart, F.lit(False)))
     x = x.withColumns({"_k": _q(key), "_o": _ascending(scan, by)})
-    address = F.struct("_file", "_row")
-    same = x.select("_k", "_o", F.xxhash64(*[value for _, value in rest]).alias("_h"), address.alias("_at"))
-    same = same.groupBy("_k", "_o").agg(F.min("_h").alias("lo"), F.max("_h").alias("hi"), F.min("_at").alias("at"))
-    best = same.groupBy("_k").agg(F.min(F.struct("_o", "lo", "hi", "at")).alias("b")).select("_k", "b.*")
+    best = x.select("_k", "_o", F.xxhash64(*[value for _, value in rest]).alias("_h"), "_file", "_row").groupBy("_k").agg(
+        F.min(F.struct("_o", "_h", "_file", "_row")).alias("lo"), F.min(F.struct("_o", F.bitwise_not("_h").alias("_h"))).alias("hi"))
+    tie = F.col("lo._h") != F.bitwise_not("hi._h")
+    best = best.select("lo._file", "lo._row", F.when(tie, F.struct(F.col("_k").alias("_tk"), F.col("lo._o").alias("_to"))).alias("_tie"))
     path = work_path(spark, "first-rows")
     best.write.parquet(path)
     best = spark.read.schema(best.schema).parquet(path)
-    # rows alike in key and order, but not in all columns: only these are compared by their columns
-    tied = best.filter("lo != hi").select(F.col("_k").alias("_tk"), F.col("_o").alias("_to"))
-    tied = x.join(tied, F.col("_k").eqNullSafe(F.col("_tk")) & F.col("_o").eqNullSafe(F.col("_to")), "left_semi")
+    first = best.filter("_tie is null").select("_file", "_row")
+    ties = best.filter("_tie is not null").select("_tie.*")
+    if ties.isEmpty():
+        return first
+    number = lambda k, o: F.pmod(F.xxhash64(k, o), F.lit(_TIE_BITS)) + 1
+    wanted = ties.select(number("_tk", "_to").alias("_tie_bit")).groupBy(F.bitmap_bucket_number("_tie_bit").alias("_tie_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_tie_bit")).alias("_bits"))
+    near = x.withColumn("_tie_bit", number("_k", "_o")).join(F.broadcast(wanted), F.bitmap_bucket_number("_tie_bit") == F.col("_tie_bucket"))
     order = F.struct(*[value.alias(f"c{i}") for i, (_, value) in enumerate(rest)], "_file", "_row")
-    tied = tied.groupBy("_k").agg(F.min(order).alias("m")).select("m._file", "m._row")
-    return best.filter("lo = hi").select("at.*").unionByName(tied)
+    near = near.filter(_bit("_tie_bit")).groupBy("_k", "_o").agg(F.min(order).alias("m"))
+    tied = near.join(ties, F.col("_k").eqNullSafe(F.col("_tk")) & F.col("_o").eqNullSafe(F.col("_to")))
+    return first.unionByName(tied.select("m._file", "m._row"))
 
 
 def mark_first_at(scan: DataFrame, key: str, by: Sequence[By], apart: Column | None = None, broadcast_bytes: int = 64 << 20) -> DataFrame:
@@ -206,9 +227,6 @@ def mark_first_at(scan: DataFrame, key: str, by: Sequence[By], apart: Column | N
         part = scan.filter(of_group(F.xxhash64("_metadata.file_path"))) if groups > 1 else scan
         known = bitmaps.filter(of_group(F.col("_bf"))) if groups > 1 else bitmaps
         x = _addressed(part).join(F.broadcast(known), (F.col("_file") == F.col("_bf")) & (F.bitmap_bucket_number("_row") == F.col("_bb")), "left")
-        at = F.bitmap_bit_position("_row")
-        byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        bit = F.getbit(byte, (at % 8).cast("int"))
-        x = x.withColumn(FIRST, F.coalesce(bit == 1, F.lit(False))).drop("_file", "_row", "_bf", "_bb", "_bits")
+        x = x.withColumn(FIRST, F.coalesce(_bit("_row"), F.lit(False))).drop("_file", "_row", "_bf", "_bb", "_bits")
         rows = x if rows is None else rows.unionByName(x)
     return rows

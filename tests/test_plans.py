@@ -7,7 +7,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 
 from starwash.plans.catalog import QUERIES
 from starwash.operators import stage as S
-from starwash.operators.dedupe import FIRST, mark_first, winners
+from starwash.operators.dedupe import FIRST, By, first_addresses, mark_first, mark_first_at, winners
 from starwash.plans import DIRTY_TIE_BREAK, dirty, fixtures
 from starwash.plans.fixtures import DIRTY_RAW, table
 
@@ -85,6 +85,28 @@ def test_view_tasks_are_sized_by_rows(spark, sf_small, monkeypatch):
     assert sorted(rows.collect(), key=str) == sorted(before, key=str)
 
 
+def test_row_addresses_shuffle_keys_and_ties_only(spark, tmp_path, written_plans):
+    """One shuffle, of a row for each key, finds the first rows; of other rows only those that tie with a first one come near another."""
+    rows = spark.range(4000).selectExpr("if(id % 8 < 3, 'HOT', if(id % 97 = 0, null, 'k' || id % 700)) k", "id % 7 o", "id % 4 x", "if(id % 2 = 0, 0.0D, -0.0D) z", "id")
+    rows.drop("id").union(rows.filter("k = 'HOT'").selectExpr("k", "6L", "3L", "z")).repartition(5).write.parquet(str(tmp_path / "ties"))
+    rows.repartition(5).write.parquet(str(tmp_path / "none"))
+    ties, none = (spark.read.parquet(str(tmp_path / name)) for name in ("ties", "none"))
+    written_plans.clear()
+    only_keys = _plan(first_addresses(none, "k", [By(F.col("o"), desc=True), By(F.col("id"))]))
+    assert written_plans[0].count("hashpartitioning") == 1
+    assert "Exchange" not in only_keys and "Join" not in only_keys  # no tie: nothing is compared
+    tied = first_addresses(ties, "k", [By(F.col("o"), desc=True)])
+    plan = _plan(tied)
+    scanned = plan.index("ReadSchema: struct<k:string")  # of the rows, joined with the bitmap before they are sorted or shuffled
+    above = [line.split("- ", 1)[1] for line in plan[:scanned].splitlines() if "- " in line]
+    nodes = [line.split(" ")[0].split("(")[0] for line in above]
+    assert nodes[-1:] == ["FileScan"] and {"Exchange", "Sort"}.isdisjoint(nodes[len(nodes) - nodes[::-1].index("BroadcastHashJoin"):])
+    for key, by in (("k", [By(F.col("o"), desc=True)]), ("k", [By(F.col("z"))]), ("z", [By(F.col("o"))])):
+        want = mark_first(ties, key, [b.order for b in by])
+        count = lambda df: sorted(map(tuple, df.groupBy("k", "o", "x", "z", FIRST).count().collect()), key=repr)
+        assert count(mark_first_at(ties, key, by)) == count(want), (key, by)
+
+
 def test_narrow_scans_are_pruned(spark, sf_small):
     plan = QUERIES["date_parts"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
